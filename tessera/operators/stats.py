@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from .. import jvmstats
 from .ranking import average_ranks, exact_median
+from .util import attach_scalar
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                  T.DecimalType)
@@ -368,7 +369,7 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     tot = counts.agg(F.sum("count").alias("__n"),
                      F.sum(F.when(F.col(label) == 0, F.col("count"))).alias("__neg"),
                      F.sum(F.when(F.col(label) == 1, F.col("count"))).alias("__pos"))
-    return counts.crossJoin(tot).select(
+    return attach_scalar(counts, tot).select(
         label, "count", (F.col("count") / F.col("__n")).alias("share"),
         (F.col("__neg") / F.col("__pos")).alias("imbalance_ratio"))
 
@@ -379,7 +380,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     tot = counts.agg(F.sum("count").alias("__n"), F.count(F.lit(1)).alias("__k"),
                      F.sum(F.when(F.col(label) == 0, F.col("count"))).alias("__neg"),
                      F.sum(F.when(F.col(label) == 1, F.col("count"))).alias("__pos"))
-    return counts.crossJoin(tot).select(
+    return attach_scalar(counts, tot).select(
         label, "count",
         (F.col("__n") / (F.col("__k") * F.col("count"))).alias("balanced_weight"),
         F.when(F.col(label) == 1, F.col("__neg") / F.col("__pos")).otherwise(F.lit(1.0)).alias("ratio_weight"))

@@ -78,3 +78,288 @@ def a6_a7_correlations(spark, sf_dir):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature-vs-label correlation report (A6-A8) on the text features, sorted by |r|."""
     return a6_a7_correlations(spark, sf_dir).orderBy(F.abs("pearson_r").desc(), "feature")
+
+
+# ================================================================== evaluation (scores)
+from ..operators import ensemble, evaluate, folds  # noqa: E402
+from . import scores as SC  # noqa: E402
+
+_SC = S.scores_cte()
+
+
+def _scores(spark, sf_dir):
+    return SC.scores(spark, sf_dir)
+
+
+@register("w3_pr_curve", f"""
+WITH {_SC}
+SELECT model, threshold, CAST(tp AS DOUBLE) / (tp + fp) AS precision,
+       CASE WHEN n_pos > 0 THEN CAST(tp AS DOUBLE) / n_pos ELSE 1.0 END AS recall
+FROM curve""")
+def w3_pr_curve(spark, sf_dir):
+    return evaluate.pr_curve(_scores(spark, sf_dir), ["model"])
+
+
+@register("w4_roc_curve", f"""
+WITH {_SC}
+SELECT model, threshold, CAST(fp AS DOUBLE) / n_neg AS fpr, CAST(tp AS DOUBLE) / n_pos AS tpr FROM curve""")
+def w4_roc_curve(spark, sf_dir):
+    return evaluate.roc_curve(_scores(spark, sf_dir), ["model"])
+
+
+@register("a20_a22_curve_areas", f"""
+WITH {_SC},
+c2 AS (SELECT *, CAST(tp AS DOUBLE) / (tp + fp) AS prec,
+              CASE WHEN (tp - pos) + (fp - neg) > 0 THEN CAST(tp - pos AS DOUBLE) / ((tp - pos) + (fp - neg))
+                   ELSE 1.0 END AS prec_prev,
+              n_neg - (fp) AS neg_below FROM curve)
+SELECT model,
+       round(sum(pos * (neg_below + neg / 2.0)) / (max(n_pos) * max(n_neg)), 6) AS roc_auc,
+       round(sum(pos * prec) / max(n_pos), 6) AS average_precision,
+       round(sum(pos * (prec + prec_prev) / 2.0) / max(n_pos), 6) AS pr_auc
+FROM c2 GROUP BY model""")
+def a20_a22_curve_areas(spark, sf_dir):
+    a = evaluate.curve_areas(_scores(spark, sf_dir), ["model"])
+    return a.select("model", rnd("roc_auc").alias("roc_auc"), rnd("average_precision").alias("average_precision"),
+                    rnd("pr_auc").alias("pr_auc"))
+
+
+@register("a17_confusion", f"""
+WITH {_SC}
+SELECT model, label, CAST(p >= 0.5 AS INTEGER) AS pred, count(*) AS count FROM scores GROUP BY ALL""")
+def a17_confusion(spark, sf_dir):
+    return evaluate.confusion_matrix(evaluate.predict(_scores(spark, sf_dir), 0.5), ["model"])
+
+
+@register("a18_class_report", f"""
+WITH {_SC},
+pr AS (SELECT model, label, CAST(p >= 0.5 AS INTEGER) AS pred FROM scores),
+cls AS (SELECT DISTINCT model, label AS class FROM pr UNION SELECT DISTINCT model, pred FROM pr),
+per AS (
+  SELECT c.model, c.class,
+         (SELECT count(*) FROM pr WHERE pr.model = c.model AND pr.label = c.class) AS support,
+         (SELECT count(*) FROM pr WHERE pr.model = c.model AND pr.pred = c.class) AS predicted,
+         (SELECT count(*) FROM pr WHERE pr.model = c.model AND pr.pred = c.class AND pr.label = c.class) AS tp
+  FROM cls c),
+per2 AS (
+  SELECT model, class, support, tp,
+         CASE WHEN predicted > 0 THEN CAST(tp AS DOUBLE) / predicted ELSE 0.0 END AS precision,
+         CASE WHEN support > 0 THEN CAST(tp AS DOUBLE) / support ELSE 0.0 END AS recall
+  FROM per),
+per3 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+                        ELSE 0.0 END AS f1 FROM per2)
+SELECT model, CAST(class AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM per3
+UNION ALL
+SELECT model, 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+       CAST(sum(support) AS BIGINT) FROM per3 GROUP BY model
+UNION ALL
+SELECT model, 'weighted avg', round(sum(precision * support) / sum(support), 6),
+       round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+       CAST(sum(support) AS BIGINT) FROM per3 GROUP BY model
+UNION ALL
+SELECT model, 'accuracy', round(CAST(sum(tp) AS DOUBLE) / sum(support), 6), round(CAST(sum(tp) AS DOUBLE) / sum(support), 6),
+       round(CAST(sum(tp) AS DOUBLE) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM per3 GROUP BY model""")
+def a18_class_report(spark, sf_dir):
+    r = evaluate.classification_report(evaluate.predict(_scores(spark, sf_dir), 0.5), ["model"])
+    return r.select("model", "class", rnd("precision").alias("precision"), rnd("recall").alias("recall"),
+                    rnd("f1").alias("f1"), "support")
+
+
+@register("a19_f1_at_threshold", f"""
+WITH {_SC}, {S.grid_values('g', [0.5])}, t AS ({S.grid_f1('g')})
+SELECT model, threshold, CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1 FROM t""")
+def a19_f1_at_threshold(spark, sf_dir):
+    return evaluate.f1_at_threshold(_scores(spark, sf_dir), 0.5, ["model"])
+
+
+@register("a26_f1_curve", f"""
+WITH {_SC}, {S.grid_values('g', evaluate.CURVE_GRID)}, t AS ({S.grid_f1('g')})
+SELECT model, CAST(t_index AS INTEGER) AS t_index, threshold,
+       CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1 FROM t""")
+def a26_f1_curve(spark, sf_dir):
+    return evaluate.f1_curve(_scores(spark, sf_dir), ["model"])
+
+
+_COARSE_SQL = f"""
+{S.grid_values('cg', evaluate.COARSE_GRID)}, ct AS ({S.grid_f1('cg')}),
+cf AS (SELECT model, t_index, threshold,
+              CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1 FROM ct),
+cbest AS (SELECT model, arg_max(threshold, f1 * 1000 - t_index / 1000.0) AS thr, max(f1) AS f1 FROM cf GROUP BY model)"""
+
+
+@register("m15_coarse_threshold", f"""
+WITH {_SC}, {_COARSE_SQL}
+SELECT model, CASE WHEN f1 > 0 THEN thr ELSE 0.5 END AS best_threshold,
+       CASE WHEN f1 > 0 THEN f1 ELSE 0.0 END AS best_f1 FROM cbest""")
+def m15_coarse_threshold(spark, sf_dir):
+    return evaluate.coarse_threshold_search(_scores(spark, sf_dir), ["model"])
+
+
+_M14_SQL = f"""
+prc AS (SELECT model, threshold, CAST(tp AS DOUBLE) / (tp + fp) AS precision,
+               CASE WHEN n_pos > 0 THEN CAST(tp AS DOUBLE) / n_pos ELSE 1.0 END AS recall FROM curve),
+prf AS (SELECT model, threshold, 2 * precision * recall / (precision + recall + 1e-10) AS f1 FROM prc),
+prb AS (SELECT model, max(f1) AS pr_f1 FROM prf GROUP BY model),
+prt AS (SELECT f.model, min(f.threshold) AS pr_threshold, max(b.pr_f1) AS pr_f1
+        FROM prf f JOIN prb b ON f.model = b.model AND f.f1 = b.pr_f1 GROUP BY f.model),
+{S.grid_values('fg', evaluate.FINE_GRID)}, ft AS ({S.grid_f1('fg')}),
+ff AS (SELECT model, t_index, threshold,
+              CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1 FROM ft),
+fb AS (SELECT model, max(f1) AS g_f1 FROM ff GROUP BY model),
+fbt AS (SELECT f.model, f.threshold AS g_threshold, b.g_f1 FROM ff f JOIN fb b ON f.model = b.model AND f.f1 = b.g_f1
+        QUALIFY row_number() OVER (PARTITION BY f.model ORDER BY f.t_index) = 1),
+m14 AS (SELECT p.model,
+               CASE WHEN g.g_f1 > p.pr_f1 THEN g.g_threshold ELSE p.pr_threshold END AS best_threshold,
+               CASE WHEN g.g_f1 > p.pr_f1 THEN g.g_f1 ELSE p.pr_f1 END AS best_f1
+        FROM prt p JOIN fbt g USING (model))"""
+
+
+@register("m14_threshold_search", f"""
+WITH {_SC}, {_M14_SQL}
+SELECT model, best_threshold, round(best_f1, 9) AS best_f1 FROM m14""")
+def m14_threshold_search(spark, sf_dir):
+    t = evaluate.threshold_search(_scores(spark, sf_dir), ["model"])
+    return t.select("model", "best_threshold", rnd("best_f1", 9).alias("best_f1"))
+
+
+@register("a25_score_histogram", f"""
+WITH {_SC},
+rng AS (SELECT model, label, min(p) AS lo0, max(p) AS hi0, count(*) AS n FROM scores GROUP BY ALL),
+r2 AS (SELECT *, CASE WHEN hi0 > lo0 THEN lo0 ELSE lo0 - 0.5 END AS lo,
+                 CASE WHEN hi0 > lo0 THEN hi0 ELSE hi0 + 0.5 END AS hi FROM rng),
+b AS (SELECT s.model, s.label, CAST(least(floor((s.p - r.lo) / (r.hi - r.lo) * 50) + 1, 50) AS INTEGER) AS bin,
+             r.lo, (r.hi - r.lo) / 50 AS w, r.n
+      FROM scores s JOIN r2 r USING (model, label))
+SELECT model, label, bin, round(lo + (bin - 1) * w, 9) AS bin_start, round(lo + bin * w, 9) AS bin_end,
+       count(*) AS count, round(count(*) / (n * w), 6) AS density
+FROM b GROUP BY model, label, bin, lo, w, n""")
+def a25_score_histogram(spark, sf_dir):
+    h = evaluate.score_histogram(_scores(spark, sf_dir), ["model"])
+    return h.select("model", "label", "bin", rnd("bin_start", 9).alias("bin_start"), rnd("bin_end", 9).alias("bin_end"),
+                    "count", rnd("density").alias("density"))
+
+
+@register("w1_rank_transform", f"""
+WITH {_SC}
+SELECT id, label, model, p,
+       CASE WHEN count(*) OVER (PARTITION BY model) > 1
+            THEN CAST(rank() OVER (PARTITION BY model ORDER BY p) - 1 AS DOUBLE) / (count(*) OVER (PARTITION BY model) - 1)
+            ELSE 0.0 END AS rank_p
+FROM scores""")
+def w1_rank_transform(spark, sf_dir):
+    return ensemble.rank_transform(_scores(spark, sf_dir), ["model"])
+
+
+@register("w5_stratified_folds", f"""
+WITH {_SC}
+SELECT id, label, fold FROM lfold""")
+def w5_stratified_folds(spark, sf_dir):
+    return folds.stratified_folds(SC.labeled(spark, sf_dir), "label", SC.N_FOLDS, "id", SC.FOLD_SEED)
+
+
+@register("w6_stratified_split", f"""
+WITH {_SC}
+SELECT id, label, pos < floor(class_n * 0.2 + 0.5) AS is_test FROM lpos""")
+def w6_stratified_split(spark, sf_dir):
+    return folds.stratified_split(SC.labeled(spark, sf_dir), "label", test_fraction=0.2, id_col="id",
+                                  seed=SC.FOLD_SEED)
+
+
+@register("v8_undersample", f"""
+WITH {_SC}
+SELECT id, label FROM lpos WHERE pos < (SELECT min(class_n) FROM lpos)""")
+def v8_undersample(spark, sf_dir):
+    return folds.undersample(SC.labeled(spark, sf_dir), "label", "id", SC.FOLD_SEED)
+
+
+@register("a23_cv_summary", f"""
+WITH {_SC}, {S.grid_values('g', [0.5])}, t AS ({S.grid_f1('g', 'sfold', 'model, fold')}),
+ff AS (SELECT model, fold, CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1 FROM t)
+SELECT model, round(avg(f1), 6) AS mean, round(stddev_pop(f1), 6) AS std, max(f1) AS best,
+       arg_max(fold, f1 * 1000 - fold / 1000.0) AS best_fold
+FROM ff GROUP BY model""")
+def a23_cv_summary(spark, sf_dir):
+    s = SC.scores_with_folds(spark, sf_dir)
+    per_fold = evaluate.f1_at_threshold(s, 0.5, ["model", "fold"])
+    c = evaluate.cv_summary(per_fold, "f1", ["model"])
+    return c.select("model", rnd("mean").alias("mean"), rnd("std").alias("std"), "best", "best_fold")
+
+
+# ------------------------------------------------------------------ ensembles N1-N9
+_MODELS_SQL = f"""{_M14_SQL},
+cvf AS (SELECT model, fold, CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1
+        FROM ({S.grid_f1('g5', 'sfold', 'model, fold')})),
+models AS (SELECT m.model, m.best_threshold, m.best_f1, c.best_cv_score
+           FROM m14 m JOIN (SELECT model, avg(f1) AS best_cv_score FROM cvf GROUP BY model) c USING (model)),
+mw AS (SELECT model, CASE WHEN coalesce(best_f1, best_cv_score) IS NULL OR coalesce(best_f1, best_cv_score) <= 0
+                          THEN 1.0 ELSE coalesce(best_f1, best_cv_score) * coalesce(best_f1, best_cv_score) END AS w,
+              best_threshold FROM models)"""
+_ENS_HEAD = f"WITH {_SC}, {S.grid_values('g5', [0.5])}, {_MODELS_SQL}"
+
+
+@register("n1_model_weights", f"""{_ENS_HEAD}
+SELECT model, round(best_threshold, 9) AS best_threshold, round(w, 9) AS weight FROM mw""")
+def n1_model_weights(spark, sf_dir):
+    m = SC.model_table(spark, sf_dir)
+    return m.select("model", rnd("best_threshold", 9).alias("best_threshold"),
+                    rnd(ensemble.model_weight(), 9).alias("weight"))
+
+
+@register("n2_n5_ensembles", f"""{_ENS_HEAD},
+rk AS (SELECT id, model, p,
+              CASE WHEN count(*) OVER (PARTITION BY model) > 1
+                   THEN CAST(rank() OVER (PARTITION BY model ORDER BY p) - 1 AS DOUBLE) / (count(*) OVER (PARTITION BY model) - 1)
+                   ELSE 0.0 END AS r FROM scores)
+SELECT s.id,
+       round(avg(s.p), 6) AS mean_p,
+       round(sum(s.p * w.w) / sum(w.w), 6) AS weighted_p,
+       round(exp(avg(ln(s.p + 1e-10))), 6) AS geometric_p,
+       round(avg(k.r), 6) AS rank_p
+FROM scores s JOIN mw w USING (model) JOIN rk k ON k.id = s.id AND k.model = s.model
+GROUP BY s.id""")
+def n2_n5_ensembles(spark, sf_dir):
+    s = _scores(spark, sf_dir)
+    models = SC.model_table(spark, sf_dir)
+    mean = ensemble.combine(s, "mean").withColumnRenamed("p", "mean_p")
+    wm = ensemble.combine(s, "weighted_mean", models).withColumnRenamed("p", "weighted_p")
+    gm = ensemble.combine(s, "geometric_mean").withColumnRenamed("p", "geometric_p")
+    rm = ensemble.combine(s, "rank_mean").withColumnRenamed("p", "rank_p")
+    j = mean.join(wm, "id").join(gm, "id").join(rm, "id")
+    return j.select("id", *[rnd(c).alias(c) for c in ("mean_p", "weighted_p", "geometric_p", "rank_p")])
+
+
+@register("n6_vote", f"""
+WITH {_SC}
+SELECT id, CAST(sum(CAST(p > 0.5 AS BIGINT)) AS DOUBLE) / count(*) AS p,
+       CAST(CASE WHEN 2 * sum(CAST(p > 0.5 AS BIGINT)) = count(*) THEN CAST(avg(p) >= 0.5 AS INTEGER)
+                 ELSE CAST(2 * sum(CAST(p > 0.5 AS BIGINT)) > count(*) AS INTEGER) END AS INTEGER) AS vote_label
+FROM scores GROUP BY id""")
+def n6_vote(spark, sf_dir):
+    return ensemble.combine(_scores(spark, sf_dir), "vote", tie_breaker="prob_mean")
+
+
+@register("n7_n9_submission", f"""{_ENS_HEAD},
+thr AS (SELECT coalesce(avg(best_threshold), 0.5) AS t FROM mw),
+ens AS (SELECT s.id, sum(s.p * w.w) / sum(w.w) AS p FROM scores s JOIN mw w USING (model) GROUP BY s.id)
+SELECT regexp_extract('https://openalex.org/W' || CAST(id AS VARCHAR), 'W[0-9]+', 0) AS work_id,
+       CAST(CASE WHEN p = t THEN 0 WHEN p >= t THEN 1 ELSE 0 END AS INTEGER) AS label
+FROM ens, thr""")
+def n7_n9_submission(spark, sf_dir):
+    s = _scores(spark, sf_dir)
+    models = SC.model_table(spark, sf_dir)
+    ens = ensemble.combine(s, "weighted_mean", models)
+    thr = models.agg(ensemble.final_threshold().alias("__t"))
+    from ..operators.util import attach_scalar
+    with_t = attach_scalar(ens.withColumn("id", F.concat(F.lit("https://openalex.org/W"), F.col("id").cast("string"))),
+                           thr)
+    return ensemble.submission(with_t, F.col("__t"), "conservative")
+
+
+@register("a24_score_summary", f"""
+WITH {_SC}, e AS (SELECT id, avg(p) AS p FROM scores GROUP BY id)
+SELECT round(avg(p), 6) AS mean, round(stddev_pop(p), 6) AS std, min(p) AS min, max(p) AS max, count(p) AS n FROM e""")
+def a24_score_summary(spark, sf_dir):
+    e = ensemble.combine(_scores(spark, sf_dir), "mean")
+    s = evaluate.score_summary(e)
+    return s.select(rnd("mean").alias("mean"), rnd("std").alias("std"), "min", "max", "n")

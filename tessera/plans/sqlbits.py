@@ -92,3 +92,55 @@ def unpivot_features(src: str, feats: list[str], label: str = "label", cast: str
     return "\nUNION ALL\n".join(
         f"SELECT '{f}' AS feature, CAST({f} AS {cast}) AS x, CAST({label} AS DOUBLE) AS y FROM {src}"
         for f in feats)
+
+
+def _model_values() -> str:
+    from .scores import MODEL_PARAMS
+    return ", ".join(f"('{m}', {a}, {b})" for m, a, b in MODEL_PARAMS)
+
+
+def scores_cte() -> str:
+    from .scores import FOLD_SEED, N_FOLDS
+    key = keys.seeded_key_sql("id", FOLD_SEED)
+    return f"""
+labeled AS (
+  SELECT d.doc_id AS id, l.quality AS label FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
+scores AS (
+  SELECT b.id, b.label, m.model, CAST((b.id * m.a + b.label * m.b) % 1000 AS DOUBLE) / 1000.0 AS p
+  FROM labeled b, (VALUES {_model_values()}) AS m(model, a, b)),
+lpos AS (
+  SELECT id, label,
+         row_number() OVER (PARTITION BY label ORDER BY {key}, id) - 1 AS pos,
+         count(*) OVER (PARTITION BY label) AS class_n
+  FROM labeled),
+lfold AS (
+  SELECT id, label, CAST(CASE WHEN class_n // {N_FOLDS} = 0 THEN {N_FOLDS - 1}
+                         ELSE least(pos // (class_n // {N_FOLDS}), {N_FOLDS - 1}) END AS INTEGER) AS fold
+  FROM lpos),
+sfold AS (SELECT s.*, f.fold FROM scores s JOIN lfold f USING (id)),
+counts AS (
+  SELECT model, p AS threshold, sum(CAST(label = 1 AS BIGINT)) AS pos, sum(CAST(label <> 1 AS BIGINT)) AS neg
+  FROM scores GROUP BY model, p),
+curve AS (
+  SELECT model, threshold, pos, neg,
+         sum(pos) OVER (PARTITION BY model ORDER BY threshold DESC) AS tp,
+         sum(neg) OVER (PARTITION BY model ORDER BY threshold DESC) AS fp,
+         sum(pos) OVER (PARTITION BY model) AS n_pos,
+         sum(neg) OVER (PARTITION BY model) AS n_neg
+  FROM counts)"""
+
+
+def grid_values(name: str, grid: list[float]) -> str:
+    """A VALUES table (t_index, threshold) with exact doubles."""
+    rows = ", ".join(f"({i}, CAST('{float(t)!r}' AS DOUBLE))" for i, t in enumerate(grid))
+    return f"{name}(t_index, threshold) AS (SELECT * FROM (VALUES {rows}))"
+
+
+def grid_f1(grid_name: str, src: str = "scores", keys: str = "model") -> str:
+    """Per (keys, t_index): tp, fp, fn and F1 of p ≥ threshold, by brute force over the grid."""
+    return f"""
+  SELECT {keys}, g.t_index, g.threshold,
+         sum(CAST(s.label = 1 AND s.p >= g.threshold AS BIGINT)) AS tp,
+         sum(CAST(s.label <> 1 AND s.p >= g.threshold AS BIGINT)) AS fp,
+         sum(CAST(s.label = 1 AND s.p < g.threshold AS BIGINT)) AS fn
+  FROM {src} s, {grid_name} g GROUP BY ALL"""

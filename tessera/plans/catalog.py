@@ -363,3 +363,80 @@ def a24_score_summary(spark, sf_dir):
     e = ensemble.combine(_scores(spark, sf_dir), "mean")
     s = evaluate.score_summary(e)
     return s.select(rnd("mean").alias("mean"), rnd("std").alias("std"), "min", "max", "n")
+
+
+# ================================================================== nested records F1, F5-F21, F29-F32
+from . import records as RC  # noqa: E402
+
+_DOUBLE_TYPES = ("double", "float")
+
+
+def _round_doubles(df: DataFrame, digits: int = ROUND) -> DataFrame:
+    return df.select(*[rnd(f.name, digits).alias(f.name) if f.dataType.typeName() in _DOUBLE_TYPES else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+@register("f5_f21_record_features", """
+WITH fa AS (
+  SELECT l_orderkey, l_quantity AS fh, l_extendedprice AS fc FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_extendedprice) = 1),
+a0 AS (
+  SELECT l_orderkey,
+         count(*) AS num_authors,
+         count(DISTINCT 'I' || CAST(l_suppkey AS VARCHAR)) AS num_institutions,
+         CAST(min(l_linenumber) AS DOUBLE) AS first_author_papers,
+         max(l_quantity) AS max_author_h_index, avg(l_quantity) AS avg_author_h_index,
+         sum(l_extendedprice) AS total_author_citations, avg(l_extendedprice) AS avg_author_citations,
+         count(*) FILTER (WHERE l_linenumber <= 3) AS num_authorships,
+         count(*) AS num_concepts, max(l_discount * 10) AS max_concept_score, avg(l_discount * 10) AS avg_concept_score,
+         count(*) FILTER (WHERE l_discount * 10 >= 0.5) AS num_high_concepts,
+         count(l_partkey) AS num_references, count(DISTINCT l_suppkey) AS num_related_works,
+         count(*) FILTER (WHERE l_returnflag = 'R') AS num_grants,
+         count(*) AS num_locations,
+         count(*) AS num_topics, max(l_tax * 10) AS max_topic_score, avg(l_tax * 10) AS avg_topic_score,
+         count(DISTINCT l_returnflag) AS num_keywords,
+         count(*) FILTER (WHERE l_linestatus = 'O') AS num_mesh_terms,
+         count(*) FILTER (WHERE l_discount > 0.08) AS num_sdgs
+  FROM lineitem GROUP BY l_orderkey),
+a AS (SELECT a0.*, fa.fh AS first_author_h_index, fa.fc AS first_author_citations FROM a0 JOIN fa USING (l_orderkey))
+SELECT o.o_orderkey AS id,
+       CAST(year(o.o_orderdate) AS BIGINT) AS publication_year,
+       coalesce(o.o_orderpriority, 'unknown') AS type, coalesce(o.o_orderstatus, 'unknown') AS language,
+       coalesce(a.num_authors, 0) AS num_authors, coalesce(a.num_institutions, 0) AS num_institutions,
+       round(coalesce(a.first_author_h_index, 0.0), 6) AS first_author_h_index,
+       round(coalesce(a.first_author_citations, 0.0), 6) AS first_author_citations,
+       round(coalesce(a.first_author_papers, 0.0), 6) AS first_author_papers,
+       round(coalesce(a.max_author_h_index, 0.0), 6) AS max_author_h_index,
+       round(coalesce(a.avg_author_h_index, 0.0), 6) AS avg_author_h_index,
+       round(coalesce(a.total_author_citations, 0.0), 6) AS total_author_citations,
+       round(coalesce(a.avg_author_citations, 0.0), 6) AS avg_author_citations,
+       coalesce(a.num_authorships, 0) AS num_authorships,
+       round(o.o_totalprice / 1000, 6) AS venue_impact_factor,
+       round(CAST(o.o_custkey % 100 AS DOUBLE), 6) AS venue_h_index,
+       round(o.o_totalprice, 6) AS venue_citations,
+       CAST(coalesce(o.o_orderstatus = 'O', false) AS INTEGER) AS is_oa_venue,
+       CAST(coalesce(starts_with(o.o_orderpriority, '1'), false) AS INTEGER) AS is_in_doaj,
+       coalesce(a.num_concepts, 0) AS num_concepts,
+       round(coalesce(a.max_concept_score, 0.0), 6) AS max_concept_score,
+       round(coalesce(a.avg_concept_score, 0.0), 6) AS avg_concept_score,
+       coalesce(a.num_high_concepts, 0) AS num_high_concepts,
+       CAST(coalesce(o.o_orderstatus = 'F', false) AS INTEGER) AS is_oa,
+       CASE WHEN o.o_orderstatus = 'F' THEN 'gold' WHEN o.o_orderstatus = 'P' THEN 'green' ELSE 'closed' END AS oa_status,
+       CAST(coalesce(o.o_orderpriority IN ('1-URGENT', '2-HIGH'), false) AS INTEGER) AS any_repository_has_fulltext,
+       coalesce(a.num_references, 0) AS num_references, coalesce(a.num_related_works, 0) AS num_related_works,
+       CAST(o.o_orderpriority = '1-URGENT' AS INTEGER) AS has_doi,
+       CAST(coalesce(o.o_orderstatus = 'F', false) AS INTEGER) AS has_pmid,
+       0 AS has_pmcid,
+       coalesce(a.num_grants, 0) AS num_grants, CAST(coalesce(a.num_grants, 0) > 0 AS INTEGER) AS has_grants,
+       coalesce(a.num_locations, 0) AS num_locations,
+       coalesce(a.num_topics, 0) AS num_topics,
+       round(coalesce(a.max_topic_score, 0.0), 6) AS max_topic_score,
+       round(coalesce(a.avg_topic_score, 0.0), 6) AS avg_topic_score,
+       coalesce(a.num_keywords, 0) AS num_keywords, coalesce(a.num_mesh_terms, 0) AS num_mesh_terms,
+       coalesce(a.num_sdgs, 0) AS num_sdgs, CAST(coalesce(a.num_sdgs, 0) > 0 AS INTEGER) AS has_sdgs,
+       CAST(2025 - year(o.o_orderdate) AS BIGINT) AS num_years_after_publication,
+       CAST(trunc(epoch_us(TIMESTAMP '2025-01-01 00:00:00') - epoch_us(o.o_orderdate)) // 86400000000 AS BIGINT) AS days_since_updated,
+       CAST((epoch_us(TIMESTAMP '2025-01-01 00:00:00') - epoch_us(date_trunc('day', o.o_orderdate))) // 86400000000 AS BIGINT) AS days_since_publication
+FROM orders o LEFT JOIN a ON a.l_orderkey = o.o_orderkey""")
+def f5_f21_record_features(spark, sf_dir):
+    return _round_doubles(RC.record_feature_table(RC.records(spark, sf_dir)))

@@ -210,14 +210,14 @@ def chi_square_stats(df: DataFrame, features: Sequence[str], label: str) -> Data
     χ² = n·max(0, |ad − bc| − n/2)² / (R1·R2·C1·C2).
     """
     ct = contingency(df, features, label)
-    rows = ct.groupBy("feature", "x").agg(F.sum("count").alias("R"))
-    cols = ct.groupBy("feature", "y").agg(F.sum("count").alias("C"))
+    rows = ct.groupBy("feature", "x").agg(F.sum("count").alias("row_total"))
+    cols = ct.groupBy("feature", "y").agg(F.sum("count").alias("col_total"))
     dims = ct.groupBy("feature").agg(
         F.sum("count").alias("n"), F.countDistinct("x").alias("r"), F.countDistinct("y").alias("k"),
         F.min("x").alias("__x0"), F.min("y").alias("__y0"))
     cell = ct.join(rows, ["feature", "x"]).join(cols, ["feature", "y"]).join(dims, "feature")
     agg = cell.groupBy("feature", "n", "r", "k").agg(
-        F.sum(F.col("count") * F.col("count") / (F.col("R") * F.col("C"))).alias("__s"),
+        F.sum(F.col("count") * F.col("count") / (F.col("row_total") * F.col("col_total"))).alias("__s"),
         # 2×2 cells: a = (x0, y0), d = (x1, y1), b/c the off-diagonal ones
         F.sum(F.when((F.col("x") == F.col("__x0")) & (F.col("y") == F.col("__y0")), F.col("count"))
               .otherwise(0)).alias("__a"),
@@ -227,10 +227,10 @@ def chi_square_stats(df: DataFrame, features: Sequence[str], label: str) -> Data
               .otherwise(0)).alias("__b"),
         F.sum(F.when((F.col("x") != F.col("__x0")) & (F.col("y") == F.col("__y0")), F.col("count"))
               .otherwise(0)).alias("__c"),
-        F.max(F.when(F.col("x") == F.col("__x0"), F.col("R"))).alias("__r1"),
-        F.max(F.when(F.col("x") != F.col("__x0"), F.col("R"))).alias("__r2"),
-        F.max(F.when(F.col("y") == F.col("__y0"), F.col("C"))).alias("__c1"),
-        F.max(F.when(F.col("y") != F.col("__y0"), F.col("C"))).alias("__c2"))
+        F.max(F.when(F.col("x") == F.col("__x0"), F.col("row_total"))).alias("__r1"),
+        F.max(F.when(F.col("x") != F.col("__x0"), F.col("row_total"))).alias("__r2"),
+        F.max(F.when(F.col("y") == F.col("__y0"), F.col("col_total"))).alias("__c1"),
+        F.max(F.when(F.col("y") != F.col("__y0"), F.col("col_total"))).alias("__c2"))
     dof = (F.col("r") - 1) * (F.col("k") - 1)
     n = F.col("n").cast("double")
     yates = (n * F.pow(F.greatest(F.lit(0.0), F.abs(F.col("__a") * F.col("__d") - F.col("__b") * F.col("__c"))
@@ -278,15 +278,15 @@ def anova_stats(df: DataFrame, features: Sequence[str], label: str) -> DataFrame
     """
     g = group_moments(df, features, label).where((F.col("n") > 1) & (F.col("var") > ANOVA_MIN_VAR))
     per = g.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("k"), F.sum("n").alias("N"),
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"),
         (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("__grand"),
         F.sum(F.col("n") * F.col("var")).alias("ssw"))
     ssb = g.join(per, "feature").groupBy("feature").agg(
         F.sum(F.col("n") * F.pow(F.col("mean") - F.col("__grand"), 2)).alias("ssb"))
     out = per.join(ssb, "feature").where(F.col("k") >= 2)
-    f = (F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("N") - F.col("k")))
+    f = (F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("n_total") - F.col("k")))
     return out.select("feature", f.alias("F"), (F.col("k") - 1).cast("long").alias("df_between"),
-                      (F.col("N") - F.col("k")).cast("long").alias("df_within")) \
+                      (F.col("n_total") - F.col("k")).cast("long").alias("df_within")) \
         .where(~F.isnan("F") & F.col("F").isNotNull() & (F.abs("F") != float("inf")))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import stats
+from ..sources.tables import table
 from . import sqlbits as S
 from . import works as W
 
@@ -440,3 +441,229 @@ SELECT o.o_orderkey AS id,
 FROM orders o LEFT JOIN a ON a.l_orderkey = o.o_orderkey""")
 def f5_f21_record_features(spark, sf_dir):
     return _round_doubles(RC.record_feature_table(RC.records(spark, sf_dir)))
+
+
+# ================================================================== statistics and imputation
+from ..functions import encode, nested as NF, text as TX  # noqa: E402
+from ..operators import schema as SO  # noqa: E402
+
+RAW_COLUMNS = ["id", "title", "abstract", "language", "type", "n_chars", "label", "toxic"]
+NUMERIC_TRAIN = CORR_FEATURES + ["label", "toxic"]
+CATEGORICAL_TRAIN = ["type", "language"]
+CHI_FEATURES = ["type", "language", "size_class"]
+SIZE_CLASS_CUT = 2000
+
+
+def _feats_full(spark, sf_dir):
+    w = W.works(spark, sf_dir)
+    return W.work_features(w).join(w.select("id", "toxic"), "id")
+
+
+def _missing_sql() -> str:
+    parts = []
+    for c in RAW_COLUMNS:
+        parts.append(f"""SELECT '{c}' AS column,
+  count(*) FILTER (WHERE split = 'train' AND {c} IS NULL) AS train_missing,
+  count(*) FILTER (WHERE split = 'val' AND {c} IS NULL) AS val_missing,
+  count(*) FILTER (WHERE split = 'test' AND {c} IS NULL) AS test_missing,
+  count(*) FILTER (WHERE split = 'train' AND {c} IS NULL) / count(*) FILTER (WHERE split = 'train') AS train_pct,
+  count(*) FILTER (WHERE split = 'val' AND {c} IS NULL) / count(*) FILTER (WHERE split = 'val') AS val_pct,
+  count(*) FILTER (WHERE split = 'test' AND {c} IS NULL) / count(*) FILTER (WHERE split = 'test') AS test_pct
+FROM works""")
+    return f"WITH {S.WORKS_CTE}\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("a1_missingness", _missing_sql())
+def a1_missingness(spark, sf_dir):
+    w = W.works(spark, sf_dir)
+    splits = {s: w.where(F.col("split") == s).select(*RAW_COLUMNS) for s in ("train", "val", "test")}
+    return stats.missingness_report(splits)
+
+
+@register("a2_medians", f"WITH {S.WORKS_CTE}, f2 AS (SELECT f.*, w.toxic FROM feats f JOIN works w USING (id)) "
+          + "\nUNION ALL\n".join(f"SELECT '{c}' AS column, round(median({c}), 6) AS median FROM f2 WHERE split = 'train'"
+                                  for c in NUMERIC_TRAIN).replace("UNION ALL\nSELECT", "UNION ALL\nSELECT", 1)
+          .replace(" f2 AS (SELECT f.*, w.toxic FROM feats f JOIN works w USING (id)) ",
+                   " f2 AS (SELECT f.*, w.toxic FROM feats f JOIN works w USING (id))\n"))
+def a2_medians(spark, sf_dir):
+    train = _feats_full(spark, sf_dir).where(F.col("split") == "train")
+    return stats.column_medians(train, NUMERIC_TRAIN).select("column", rnd("median").alias("median"))
+
+
+@register("a3_modes", f"WITH {S.WORKS_CTE}\n" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column, coalesce((SELECT {c} FROM feats WHERE split = 'train' AND {c} IS NOT NULL
+        GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1), '__missing__') AS mode""" for c in CATEGORICAL_TRAIN))
+def a3_modes(spark, sf_dir):
+    train = _feats_full(spark, sf_dir).where(F.col("split") == "train")
+    return stats.column_modes(train, CATEGORICAL_TRAIN)
+
+
+def _impute_sql() -> str:
+    num = ",\n".join(f"round(coalesce(CAST({c} AS DOUBLE), (SELECT median({c}) FROM f2 WHERE split = 'train')), 6) AS {c}"
+                     for c in NUMERIC_TRAIN)
+    cat = ",\n".join(f"""coalesce({c}, (SELECT {c} FROM f2 WHERE split = 'train' AND {c} IS NOT NULL
+        GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}""" for c in CATEGORICAL_TRAIN)
+    return f"""WITH {S.WORKS_CTE}, f2 AS (SELECT f.*, w.toxic FROM feats f JOIN works w USING (id))
+SELECT id, {cat}, {num}, split FROM f2"""
+
+
+@register("a4_impute", _impute_sql())
+def a4_impute(spark, sf_dir):
+    full = _feats_full(spark, sf_dir).select("id", *CATEGORICAL_TRAIN, *NUMERIC_TRAIN, "split")
+    spec = stats.fit_imputation(full.where(F.col("split") == "train").drop("split"), id_cols=["id"])
+    out = stats.apply_imputation(full, spec)
+    return _round_doubles(out)
+
+
+def _chi_src(spark, sf_dir):
+    t = _feats_full(spark, sf_dir).where((F.col("split") == "train") & F.col("label").isNotNull())
+    return t.withColumn("size_class", F.when(F.col("n_chars") > SIZE_CLASS_CUT, "long").otherwise("short"))
+
+
+_CHI_CTE = f"""{S.WORKS_CTE},
+t AS (SELECT *, CASE WHEN n_chars > {SIZE_CLASS_CUT} THEN 'long' ELSE 'short' END AS size_class
+      FROM feats WHERE split = 'train' AND label IS NOT NULL),
+ct AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS x, label AS y, count(*) AS count FROM t GROUP BY ALL" for c in CHI_FEATURES)})"""
+
+
+@register("a9_contingency", f"WITH {_CHI_CTE}\nSELECT feature, x, y, count FROM ct")
+def a9_contingency(spark, sf_dir):
+    return stats.contingency(_chi_src(spark, sf_dir), CHI_FEATURES, "label")
+
+
+@register("a10_a11_chi_square", f"""WITH {_CHI_CTE},
+xs AS (SELECT DISTINCT feature, x FROM ct), ys AS (SELECT DISTINCT feature, y FROM ct),
+grid AS (SELECT xs.feature, xs.x, ys.y, coalesce(ct.count, 0) AS o
+         FROM xs JOIN ys ON xs.feature = ys.feature LEFT JOIN ct ON ct.feature = xs.feature AND ct.x = xs.x AND ct.y = ys.y),
+tot AS (SELECT feature, sum(o) AS n, count(DISTINCT x) AS r, count(DISTINCT y) AS k FROM grid GROUP BY feature),
+rt AS (SELECT feature, x, sum(o) AS R FROM grid GROUP BY ALL), cts AS (SELECT feature, y, sum(o) AS C FROM grid GROUP BY ALL),
+e AS (SELECT g.feature, g.o, CAST(rt.R AS DOUBLE) * cts.C / tot.n AS e, (tot.r - 1) * (tot.k - 1) AS dof
+      FROM grid g JOIN rt USING (feature, x) JOIN cts USING (feature, y) JOIN tot USING (feature)),
+chi AS (SELECT feature, sum(CASE WHEN dof = 1 THEN pow(abs(o - e) - least(0.5, abs(o - e)), 2) / e
+                                 ELSE pow(o - e, 2) / e END) AS chi2, max(dof) AS dof FROM e GROUP BY feature)
+SELECT c.feature, round(c.chi2, 6) AS chi2, CAST(c.dof AS BIGINT) AS dof,
+       round(sqrt(c.chi2 / (t.n * (least(t.r, t.k) - 1))), 6) AS cramers_v, CAST(t.n AS BIGINT) AS n
+FROM chi c JOIN tot t USING (feature) WHERE t.r >= 2 AND t.k >= 2""")
+def a10_a11_chi_square(spark, sf_dir):
+    c = stats.chi_square_stats(_chi_src(spark, sf_dir), CHI_FEATURES, "label")
+    return c.select("feature", rnd("chi2").alias("chi2"), "dof", rnd("cramers_v").alias("cramers_v"), "n")
+
+
+@register("a12_anova", f"""WITH {S.WORKS_CTE},
+long AS ({S.unpivot_features("(SELECT * FROM feats WHERE split = 'train')", CORR_FEATURES)}),
+g AS (SELECT feature, y, count(*) AS n, avg(x) AS mean, var_pop(x) AS var FROM long
+      WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY feature, y HAVING count(*) > 1 AND var_pop(x) > 1e-10),
+per AS (SELECT feature, count(*) AS k, sum(n) AS N, sum(n * mean) / sum(n) AS grand, sum(n * var) AS ssw
+        FROM g GROUP BY feature HAVING count(*) >= 2),
+ssb AS (SELECT g.feature, sum(g.n * pow(g.mean - p.grand, 2)) AS ssb FROM g JOIN per p USING (feature) GROUP BY g.feature)
+SELECT feature, round((ssb / (k - 1)) / (ssw / (N - k)), 6) AS F, CAST(k - 1 AS BIGINT) AS df_between,
+       CAST(N - k AS BIGINT) AS df_within
+FROM per JOIN ssb USING (feature)""")
+def a12_anova(spark, sf_dir):
+    a = stats.anova_stats(_train(spark, sf_dir), CORR_FEATURES, "label")
+    return a.select("feature", rnd("F").alias("F"), "df_between", "df_within")
+
+
+@register("a14_label_diagnostics", f"""WITH {S.WORKS_CTE}
+SELECT count(DISTINCT label) AS n_unique, count(DISTINCT label) <= 20 AS is_categorical, 'int' AS dtype
+FROM feats WHERE split = 'train'""")
+def a14_label_diagnostics(spark, sf_dir):
+    return stats.label_diagnostics(_train(spark, sf_dir), "label")
+
+
+@register("a15_class_counts", f"""WITH {S.WORKS_CTE},
+c AS (SELECT label, count(*) AS count FROM feats WHERE split = 'train' AND label IS NOT NULL GROUP BY label)
+SELECT label, count, count / (SELECT sum(count) FROM c) AS share,
+       (SELECT sum(count) FILTER (WHERE label = 0) FROM c) / (SELECT sum(count) FILTER (WHERE label = 1) FROM c)
+       AS imbalance_ratio
+FROM c""")
+def a15_class_counts(spark, sf_dir):
+    return stats.class_counts(_train(spark, sf_dir), "label")
+
+
+@register("a16_class_weights", f"""WITH {S.WORKS_CTE},
+c AS (SELECT label, count(*) AS count FROM feats WHERE split = 'train' AND label IS NOT NULL GROUP BY label)
+SELECT label, count, (SELECT sum(count) FROM c) / ((SELECT count(*) FROM c) * count) AS balanced_weight,
+       CASE WHEN label = 1 THEN (SELECT sum(count) FILTER (WHERE label = 0) FROM c)
+                                / (SELECT sum(count) FILTER (WHERE label = 1) FROM c) ELSE 1.0 END AS ratio_weight
+FROM c""")
+def a16_class_weights(spark, sf_dir):
+    return stats.class_weights(_train(spark, sf_dir), "label")
+
+
+# ================================================================== schema operators (P-series)
+DUP_CANDIDATES = CORR_FEATURES + ["text_length"]
+
+
+@register("p11_duplicate_columns", f"""WITH {S.WORKS_CTE}
+SELECT 'text_length' AS column, 'n_chars' AS duplicate_of
+WHERE (SELECT count(*) FROM documents WHERE abs(length(text) - n_chars) > 1e-8 + 1e-5 * abs(n_chars)) = 0""")
+def p11_duplicate_columns(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.length("text").alias("text_length"))
+    full = _feats(spark, sf_dir).join(docs, "id")
+    return SO.duplicate_columns(full, DUP_CANDIDATES)
+
+
+@register("p12_binary_columns", f"""WITH {S.WORKS_CTE}
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column FROM feats WHERE split = 'train' HAVING count(*) FILTER (WHERE CAST({c} AS DOUBLE) NOT IN (0.0, 1.0)) = 0"
+    for c in NUMERIC_TRAIN if c != "toxic"))
+def p12_binary_columns(spark, sf_dir):
+    return SO.binary_columns(_train(spark, sf_dir), [c for c in NUMERIC_TRAIN if c != "toxic"])
+
+
+@register("p8_p9_model_ready", """
+SELECT o_orderkey AS id, CAST(1 - CAST(coalesce(o_orderstatus = 'F', false) AS INTEGER) AS FLOAT) AS is_not_oa,
+       CAST(o_totalprice AS FLOAT) AS venue_citations,
+       CAST(coalesce((SELECT count(*) FROM lineitem l WHERE l.l_orderkey = o.o_orderkey), 0) AS FLOAT) AS num_authors
+FROM orders o""")
+def p8_p9_model_ready(spark, sf_dir):
+    f = RC.record_feature_table(RC.records(spark, sf_dir)).select("id", "is_oa", "venue_citations", "num_authors")
+    return SO.downcast_fill(SO.complement(f, "is_oa"), exclude=["id"]).select("id", "is_not_oa", "venue_citations",
+                                                                          "num_authors")
+
+
+# ================================================================== record-level functions
+@register("f26_f35_clean_text", f"""WITH {S.WORKS_CTE},
+c AS (SELECT id, title, abstract,
+             CASE WHEN abstract IS NOT NULL AND abstract <> '' THEN coalesce(title, '') || '. ' || abstract
+                  ELSE coalesce(title, '') END AS raw FROM works),
+c2 AS (SELECT id, raw, regexp_replace(regexp_replace(raw, {S.q(S.WS + '+')}, ' ', 'g'),
+                                     {S.q('[^' + S.WORD[1:-1] + S.WS[1:-1] + ".,!?;:'" + '"()-]')}, '', 'g') AS t FROM c)
+SELECT id, CASE WHEN raw IS NULL OR raw = '' THEN ''
+                ELSE trim(CASE WHEN length(t) > 10000 THEN substring(t, 1, 10000) || '...' ELSE t END) END AS embedding_text
+FROM c2""")
+def f26_f35_clean_text(spark, sf_dir):
+    w = W.works(spark, sf_dir)
+    return w.select("id", TX.embedding_text("title", "abstract").alias("embedding_text"))
+
+
+@register("f36_work_id", """
+SELECT page_id,
+       CASE WHEN starts_with(url, 'W') AND length(url) > 1 AND NOT contains(url, '/') THEN url
+            WHEN regexp_extract(url, 'W[0-9]+', 0) <> '' THEN regexp_extract(url, 'W[0-9]+', 0) ELSE url END AS from_url,
+       'W' || CAST(page_id AS VARCHAR) AS from_bare,
+       'W' || CAST(page_id AS VARCHAR) AS from_path
+FROM pages""")
+def f36_work_id(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", TX.work_id("url").alias("from_url"),
+                    TX.work_id(F.concat(F.lit("W"), F.col("page_id").cast("string"))).alias("from_bare"),
+                    TX.work_id(F.concat(F.col("url"), F.lit("/W"), F.col("page_id").cast("string"), F.lit("x")))
+                    .alias("from_path"))
+
+
+@register("f34_json_path", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, event_type FROM events""")
+def f34_json_path(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", NF.json_value("props", "$.k", "int").alias("k"), "event_type")
+
+
+@register("f27_one_hot", f"""WITH {S.WORKS_CTE}
+SELECT id, {", ".join(f"CAST(coalesce(language = '{v}', false) AS INTEGER) AS language_{v}" for v in ("de", "en", "es", "fr"))}
+FROM feats""")
+def f27_one_hot(spark, sf_dir):
+    f = _feats(spark, sf_dir)
+    vocab = encode.fit_vocabulary(f.where(F.col("split") == "train"), "language", null_label="unknown")
+    return f.select("id", *encode.one_hot("language", vocab, null_label="unknown"))

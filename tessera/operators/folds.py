@@ -74,9 +74,14 @@ def undersample(df: DataFrame, label: str, id_col: str = "id", seed: int = 42) -
 
 
 def exact_sample(df: DataFrame, fraction: float, id_col: str = "id", seed: int = 42) -> DataFrame:
-    """Exactly ``int(total · fraction)`` rows, chosen by seeded hash order (the limit is the feature)."""
+    """Exactly ``int(total · fraction)`` rows, the first ones in seeded hash order.
+
+    The cut is found from exact prefix sums over the hash key, so the sample
+    is a filter, not a sort-and-limit through one task.
+    """
     n = int(df.count() * fraction)
-    return df.withColumn("__h", _key(df, id_col, seed)).orderBy("__h", id_col).limit(n).drop("__h")
+    pos = class_positions(df.withColumn("__all", F.lit(0)), "__all", id_col, seed)
+    return pos.where(F.col("pos") < n).drop("pos", "class_n", "__all")
 
 
 def weighted_resample(df: DataFrame, label: str, n: int | None = None, id_col: str = "id",

@@ -16,6 +16,7 @@ from ..operators import stats
 from ..sources.tables import table
 from . import sqlbits as S
 from . import works as W
+from ..functions import keys as _keys  # noqa: F401
 
 ROUND = 6
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -667,3 +668,102 @@ def f27_one_hot(spark, sf_dir):
     f = _feats(spark, sf_dir)
     vocab = encode.fit_vocabulary(f.where(F.col("split") == "train"), "language", null_label="unknown")
     return f.select("id", *encode.one_hot("language", vocab, null_label="unknown"))
+
+
+# ================================================================== reports with p-values (rows-only checks)
+@register("a8_correlation_report")
+def a8_correlation_report(spark, sf_dir):
+    return stats.correlation_report(_train(spark, sf_dir), CORR_FEATURES, "label")
+
+
+@register("a10_chi_square_report")
+def a10_chi_square_report(spark, sf_dir):
+    return stats.chi_square_report(_chi_src(spark, sf_dir), CHI_FEATURES, "label")
+
+
+@register("a12_anova_report")
+def a12_anova_report(spark, sf_dir):
+    return stats.anova_report(_train(spark, sf_dir), CORR_FEATURES, "label")
+
+
+@register("a13_tukey_hsd")
+def a13_tukey_hsd(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    top = [r["feature"] for r in stats.anova_report(train, CORR_FEATURES, "label").limit(20).collect()]
+    return stats.tukey_hsd(train, top, "label")
+
+
+# ================================================================== sources and sinks (S-series)
+import uuid  # noqa: E402
+
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..sources import files as FS  # noqa: E402
+from ..streaming import ingest  # noqa: E402
+
+
+def _scratch(spark, what: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+@register("s1_s3_jsonl_roundtrip", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def s1_s3_jsonl_roundtrip(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    path = _scratch(spark, "jsonl")
+    FS.write_jsonl(ev, path)
+    # one malformed line next to the good ones: the scan must drop it
+    spark.createDataFrame([('{"event_id": 1, "ts": ',)], "value string").write.mode("append").text(path)
+    return FS.read_jsonl(spark, path, ev.schema)
+
+
+@register("s4_s5_union_align", f"""WITH {S.WORKS_CTE}, f2 AS (SELECT f.*, w.toxic FROM feats f JOIN works w USING (id))
+SELECT id, label, toxic, n_chars, split FROM f2 WHERE split = 'train'
+UNION ALL SELECT id, label, 0, n_chars, split FROM f2 WHERE split = 'val'
+UNION ALL SELECT id, 0, toxic, n_chars, split FROM f2 WHERE split = 'test'""")
+def s4_s5_union_align(spark, sf_dir):
+    f = _feats_full(spark, sf_dir).select("id", "label", "toxic", "n_chars", "split")
+    parts = [f.where(F.col("split") == "train"), f.where(F.col("split") == "val").drop("toxic"),
+             f.where(F.col("split") == "test").drop("label")]
+    return SO.union_aligned(parts, fill=0)
+
+
+@register("s6_table_counts", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in
+    ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+     "embeddings", "pages", "benchmark", "labels", "conversations")))
+def s6_table_counts(spark, sf_dir):
+    from ..sources.tables import TABLES
+    out = None
+    for t in TABLES:
+        c = table(spark, sf_dir, t).select(F.lit(t).alias("table_name")).groupBy("table_name") \
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@register("s7_exact_sample", f"""
+WITH d AS (SELECT doc_id, lang, row_number() OVER (ORDER BY {S.keys.seeded_key_sql('doc_id', 42)}, doc_id) - 1 AS pos
+           FROM documents)
+SELECT doc_id, lang FROM d WHERE pos < floor((SELECT count(*) FROM documents) * 0.1)""")
+def s7_exact_sample(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return folds.exact_sample(d, 0.1, "doc_id", 42)
+
+
+@register("s13_stream_features", f"""WITH {S.WORKS_CTE}
+SELECT id, type, language, title_length, abstract_length, has_abstract, title_word_count, abstract_word_count,
+       nlp_char_count, nlp_word_count, nlp_avg_word_length, nlp_sentence_count, nlp_avg_sentence_length,
+       nlp_capital_ratio, nlp_number_ratio, nlp_punctuation_ratio, n_chars FROM feats""")
+def s13_stream_features(spark, sf_dir):
+    schema = table(spark, sf_dir, "documents").schema
+    sink = _scratch(spark, "stream-sink")
+
+    def to_features(docs: DataFrame) -> DataFrame:
+        w = docs.select(F.col("doc_id").alias("id"), TX.first_line("text").alias("title"),
+                        TX.after_first_line("text").alias("abstract"), F.col("lang").alias("language"),
+                        F.col("source").alias("type"), "n_chars")
+        return W.work_features(w.withColumn("label", F.lit(None).cast("int")).withColumn("split", F.lit(None)
+                                                                                          .cast("string"))) \
+            .drop("label", "split")
+
+    ingest.ingest_available(spark, sf_dir, schema, to_features, sink, glob="documents.parquet")
+    return spark.read.parquet(sink)

@@ -19,6 +19,30 @@ from pyspark.sql import functions as F
 from .ranking import value_prefix_sums
 
 PR_F1_EPS = 1e-10   # fixed value: added to P+R in the PR-curve F1
+_K0 = "__key0"
+
+
+def _keyed(fn):
+    """Let a metric run without grouping keys (one constant key, dropped afterwards)."""
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(scores, *args, **kwargs):
+        keys = kwargs.pop("keys", None)
+        names = list(fn.__code__.co_varnames[1:fn.__code__.co_argcount])
+        if keys is None and "keys" in names:
+            i = names.index("keys")
+            if len(args) > i:
+                keys, args = args[i], args[:i] + args[i + 1:]
+        if keys is None:
+            keys = fn.__defaults__[names.index("keys") - (len(names) - len(fn.__defaults__))]
+        keys = list(keys)
+        if keys:
+            return fn(scores, *args[:names.index("keys")], keys, *args[names.index("keys"):], **kwargs)
+        out = fn(scores.withColumn(_K0, F.lit(0)), *args[:names.index("keys")], [_K0],
+                 *args[names.index("keys"):], **kwargs)
+        return out.drop(_K0)
+    return wrapper
 
 
 def _pos(label: str) -> Column:
@@ -46,6 +70,7 @@ def score_counts(scores: DataFrame, keys: Sequence[str], label: str = "label", p
 
 # ----------------------------------------------------------------- W3 / W4 curves
 
+@_keyed
 def pr_curve(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "label", p: str = "p") -> DataFrame:
     """Precision and recall when predicting positive for score ≥ threshold, per distinct score.
 
@@ -57,6 +82,7 @@ def pr_curve(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "
                     F.when(F.col("n_pos") > 0, F.col("tp") / F.col("n_pos")).otherwise(F.lit(1.0)).alias("recall"))
 
 
+@_keyed
 def roc_curve(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "label", p: str = "p") -> DataFrame:
     """false/true positive rates at every distinct score (no intermediate points dropped)."""
     c = score_counts(scores, keys, label, p)
@@ -67,6 +93,7 @@ def roc_curve(scores: DataFrame, keys: Sequence[str] = ("model",), label: str =
 
 # ----------------------------------------------------------------- A20-A22 areas
 
+@_keyed
 def curve_areas(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "label",
                 p: str = "p") -> DataFrame:
     """A20 ROC-AUC (ties count one half), A21 average precision (step), A22 PR-AUC (trapezoid).
@@ -87,6 +114,7 @@ def curve_areas(scores: DataFrame, keys: Sequence[str] = ("model",), label: str
 
 # ----------------------------------------------------------------- thresholds
 
+@_keyed
 def threshold_metrics(scores: DataFrame, thresholds: Sequence[float], keys: Sequence[str] = ("model",),
                       label: str = "label", p: str = "p") -> DataFrame:
     """Confusion counts and positive-class F1 at each listed threshold (prediction: p ≥ t).
@@ -142,12 +170,14 @@ COARSE_GRID = linspace(0.1, 0.9, 17)
 CURVE_GRID = linspace(0.0, 1.0, 100)
 
 
+@_keyed
 def f1_at_threshold(scores: DataFrame, threshold: float = 0.5, keys: Sequence[str] = ("model",),
                     label: str = "label", p: str = "p") -> DataFrame:
     """Positive-class F1 of ``p ≥ threshold`` (0 when undefined)."""
     return threshold_metrics(scores, [threshold], keys, label, p).select(*keys, "threshold", "f1")
 
 
+@_keyed
 def f1_curve(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "label", p: str = "p") -> DataFrame:
     """F1 at 100 evenly spaced thresholds on [0, 1]."""
     return threshold_metrics(scores, CURVE_GRID, keys, label, p).select(*keys, "t_index", "threshold", "f1")
@@ -160,6 +190,7 @@ def _first_best(df: DataFrame, keys: Sequence[str], score: str, order: Column, c
     return best.select(*keys, *[F.col(f"__b.{c}").alias(c) for c in cols])
 
 
+@_keyed
 def coarse_threshold_search(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "label",
                             p: str = "p") -> DataFrame:
     """17 thresholds 0.1…0.9; starts at (0.5, 0.0) and moves only on strict improvement."""
@@ -170,6 +201,7 @@ def coarse_threshold_search(scores: DataFrame, keys: Sequence[str] = ("model",),
                        F.when(F.col("f1") > 0, F.col("f1")).otherwise(F.lit(0.0)).alias("best_f1"))
 
 
+@_keyed
 def threshold_search(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "label",
                      p: str = "p") -> DataFrame:
     """Argmax of F1 on the PR curve (first maximum by ascending threshold; the end

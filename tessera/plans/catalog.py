@@ -696,7 +696,7 @@ def a13_tukey_hsd(spark, sf_dir):
 # ================================================================== sources and sinks (S-series)
 import uuid  # noqa: E402
 
-from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..session import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 from ..sources import files as FS  # noqa: E402
 from ..streaming import ingest  # noqa: E402
 
@@ -767,3 +767,167 @@ def s13_stream_features(spark, sf_dir):
 
     ingest.ingest_available(spark, sf_dir, schema, to_features, sink, glob="documents.parquet")
     return spark.read.parquet(sink)
+
+
+# ================================================================== joins and vectors
+from pyspark.ml.feature import StandardScaler as _StdScaler, VectorAssembler as _VA  # noqa: E402
+from pyspark.ml.functions import vector_to_array as _v2a  # noqa: E402
+
+from ..operators import join as JN, models as MD, vectors as VC  # noqa: E402
+
+
+def _emb(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings")
+
+
+@register("j1_j3_join_embeddings", f"""WITH {S.WORKS_CTE}
+SELECT w.id, w.label, e.embedding FROM works w JOIN labels l ON l.doc_id = w.id
+LEFT JOIN embeddings e ON e.vec_id = w.id""")
+def j1_j3_join_embeddings(spark, sf_dir):
+    w = W.works(spark, sf_dir).select("id")
+    lab = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    fam = {"sent": _emb(spark, sf_dir).select(F.col("vec_id").alias("id"), "embedding")}
+    j = JN.attach_families(JN.attach_labels(w, lab), fam, check_unique=True)
+    return j.select("id", "label", F.col("sent_embedding").alias("embedding"))
+
+
+@register("v3_assemble", """
+SELECT vec_id, list_concat([CAST(label AS DOUBLE), CAST(vec_id AS DOUBLE)], CAST(embedding AS DOUBLE[])) AS features
+FROM embeddings""")
+def v3_assemble(spark, sf_dir):
+    e = _emb(spark, sf_dir)
+    a = VC.assemble(e, ["label", "vec_id"], ["embedding"])
+    return a.select("vec_id", _v2a("features").alias("features"))
+
+
+_U_CTE = """u AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS dim FROM embeddings),
+st AS (SELECT dim, avg(x) AS m, stddev_pop(x) AS s FROM u GROUP BY dim)"""
+
+
+@register("v6_scale_stats", f"""WITH {_U_CTE}
+SELECT CAST(dim - 1 AS BIGINT) AS dim, round(m, 6) AS mean, round(s, 6) AS std FROM st""")
+def v6_scale_stats(spark, sf_dir):
+    m = VC.vector_moments(_emb(spark, sf_dir), "embedding")
+    return m.select(F.col("dim").cast("long").alias("dim"), rnd("mean").alias("mean"), rnd("std").alias("std"))
+
+
+@register("v6_scaled_embeddings", f"""WITH {_U_CTE}
+SELECT vec_id, list(round((x - m) / CASE WHEN s > 0 THEN s ELSE 1 END, 6) ORDER BY dim) AS scaled
+FROM u JOIN st USING (dim) GROUP BY vec_id""")
+def v6_scaled_embeddings(spark, sf_dir):
+    e = _emb(spark, sf_dir)
+    sc = VC.fit_array_scaler(e, "embedding")
+    out = sc.transform(e, "embedding", "scaled")
+    return out.select("vec_id", F.transform("scaled", lambda x: F.round(x, 6)).alias("scaled"))
+
+
+def _sel_sql() -> str:
+    cols = []
+    for c in CORR_FEATURES:
+        cols.append(f"""round(CASE WHEN (SELECT count(*) FILTER (WHERE CAST({c} AS DOUBLE) NOT IN (0.0, 1.0)) FROM tr) = 0
+            THEN CAST({c} AS DOUBLE)
+            ELSE (CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM tr))
+                 / coalesce(nullif((SELECT stddev_pop({c}) FROM tr), 0), 1.0) END, 6) AS {c}""")
+    return f"""WITH {S.WORKS_CTE}, tr AS (SELECT * FROM feats WHERE split = 'train')
+SELECT id, {", ".join(cols)} FROM feats"""
+
+
+@register("v7_selective_scale", _sel_sql())
+def v7_selective_scale(spark, sf_dir):
+    f = _feats(spark, sf_dir)
+    train = f.where(F.col("split") == "train")
+    (out,) = VC.selective_scale(train, [f.select("id", *CORR_FEATURES)], CORR_FEATURES)
+    return out.select("id", *[rnd(F.col(c).cast("double")).alias(c) for c in CORR_FEATURES])
+
+
+@register("v1_text_embedding")
+def v1_text_embedding(spark, sf_dir):
+    w = W.works(spark, sf_dir)
+    t = w.select("id", "split", TX.embedding_text("title", "abstract").alias("text"))
+    return VC.embed_text(t, "text", dim=64, fit_df=t.where(F.col("split") == "train")).select("id", "embedding")
+
+
+@register("v4_v5_pca")
+def v4_v5_pca(spark, sf_dir):
+    e = _emb(spark, sf_dir)
+    model = VC.fit_pca(e, "embedding", 8)
+    ev = VC.explained_variance(model)
+    out = VC.apply_pca(model, e, "embedding", "pca")
+    return out.select("vec_id", "pca").withColumn("explained_variance_total", F.lit(float(sum(ev))))
+
+
+# ================================================================== models (M1-M18, S12): rows-only checks
+MODEL_FEATURES = CORR_FEATURES
+
+
+def _model_frames(spark, sf_dir):
+    f = _feats(spark, sf_dir).where(F.col("label").isNotNull())
+    f = f.withColumn("label", F.col("label").cast("double"))
+    va = _VA(inputCols=MODEL_FEATURES, outputCol="raw")
+    train = va.transform(f.where(F.col("split") == "train"))
+    hold = va.transform(f.where(F.col("split") != "train"))
+    scaler = _StdScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(train)
+    train = scaler.transform(train)
+    hold = scaler.transform(hold)
+    folds_ = folds.stratified_folds(train.select("id", "label"), "label", 5, "id", 42)
+    # iterative fitting re-reads its input many times: cut the lineage into the shared checkpoint folder
+    train = cut_lineage(train.join(folds_.select("id", "fold"), "id").select("id", "label", "features", "fold"))
+    hold = cut_lineage(hold.select("id", "label", "features"))
+    return train, hold
+
+
+def _model_query(kind: str, **params):
+    def q(spark, sf_dir):
+        train, hold = _model_frames(spark, sf_dir)
+        s = MD.fit_and_score(kind, train, hold, n_features=len(MODEL_FEATURES), **params)
+        return s.select("id", F.lit(kind).alias("model"), "p")
+    return q
+
+
+for _name, _kind, _params in (("m1_gbt_scores", "gbt", {"maxIter": 20, "maxDepth": 3}),
+                              ("m2_random_forest_scores", "random_forest", {"numTrees": 30}),
+                              ("m2_bagging_scores", "bagging", {"numTrees": 10}),
+                              ("m3_decision_tree_scores", "decision_tree", {}),
+                              ("m4_logistic_scores", "logistic", {}),
+                              ("m5_linear_svc_scores", "linear_svc", {}),
+                              ("m6_naive_bayes_scores", "gaussian_nb", {}),
+                              ("m7_mlp_scores", "mlp", {"maxIter": 50}),
+                              ("m8_dummy_scores", "dummy", {})):
+    register(_name)(_model_query(_kind, **_params))
+
+
+@register("m10_model_comparison")
+def m10_model_comparison(spark, sf_dir):
+    train, hold = _model_frames(spark, sf_dir)
+    return MD.compare_models(["logistic", "decision_tree", "gaussian_nb", "dummy"], train, hold,
+                             n_features=len(MODEL_FEATURES)).select("model", "f1", "roc_auc")
+
+
+@register("m11_cross_validation")
+def m11_cross_validation(spark, sf_dir):
+    train, _ = _model_frames(spark, sf_dir)
+    est = MD.estimator("logistic")
+    grid = MD.param_grid(est, {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 0.5]})
+    _, metrics = MD.cross_validate(est, grid, train, "fold")
+    return spark.createDataFrame([(i, m) for i, m in enumerate(metrics)], "param_set int, mean_f1 double")
+
+
+@register("m16_isotonic_calibration")
+def m16_isotonic_calibration(spark, sf_dir):
+    train, hold = _model_frames(spark, sf_dir)
+    return MD.isotonic_calibrated_scores("logistic", train, hold, "fold", 3)
+
+
+@register("m17_bundle_scoring")
+def m17_bundle_scoring(spark, sf_dir):
+    train, hold = _model_frames(spark, sf_dir)
+    model = _Pipeline_fit(train)
+    path = _scratch(spark, "bundle")
+    MD.save_bundle(model, {"threshold": 0.5, "features": MODEL_FEATURES}, path)
+    loaded, meta = MD.load_bundle(spark, path)
+    s = MD.score_batch(loaded, hold, "features", len(meta["features"]), keep=["id"])
+    return s.select("id", "p", (F.col("p") >= F.lit(meta["threshold"])).cast("int").alias("label"))
+
+
+def _Pipeline_fit(train):
+    return MD.pipeline([MD.estimator("logistic")]).fit(train)

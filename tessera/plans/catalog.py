@@ -931,3 +931,75 @@ def m17_bundle_scoring(spark, sf_dir):
 
 def _Pipeline_fit(train):
     return MD.pipeline([MD.estimator("logistic")]).fit(train)
+
+
+# ================================================================== neighbours and resampling
+from ..operators import resample as RS  # noqa: E402
+
+
+def _emb_binary(spark, sf_dir):
+    """Embeddings with a 0/1 label (class 0 against the rest: an imbalanced binary task)."""
+    e = _emb(spark, sf_dir)
+    return e.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features"),
+                    (F.col("label") == 0).cast("int").alias("label"))
+
+
+_CHUNK_SQL = f"""ch AS (SELECT vec_id, embedding,
+       (row_number() OVER (ORDER BY {S.keys.seeded_key_sql('vec_id', 42)}, vec_id) - 1) // {RS.CHUNK_ROWS} AS chunk
+       FROM embeddings)"""
+
+
+@register("j5_knn_within_chunks", f"""WITH {_CHUNK_SQL},
+pairs AS (SELECT a.vec_id AS id, b.vec_id AS neighbor_id, list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS d
+          FROM ch a JOIN ch b ON a.chunk = b.chunk AND a.vec_id <> b.vec_id),
+ranked AS (SELECT id, neighbor_id, d, row_number() OVER (PARTITION BY id ORDER BY d, neighbor_id) AS rank FROM pairs)
+SELECT CAST(id AS VARCHAR) AS id, CAST(neighbor_id AS VARCHAR) AS neighbor_id, CAST(rank AS INTEGER) AS rank,
+       round(d, 5) AS distance
+FROM ranked WHERE rank <= 5""")
+def j5_knn_within_chunks(spark, sf_dir):
+    e = _emb_binary(spark, sf_dir)
+    chunks = RS.assign_chunks(e, RS.CHUNK_ROWS, "id", 42)
+    nb = RS.knn_within_groups(chunks, "chunk", 5)
+    return nb.select("id", "neighbor_id", "rank", rnd("distance", 5).alias("distance"))
+
+
+_EMB_SPLIT_SQL = f"""eb AS (SELECT vec_id, embedding, CAST(label = 0 AS INTEGER) AS y FROM embeddings),
+ep AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {S.keys.seeded_key_sql('vec_id', 42)}, vec_id) - 1 AS pos,
+              count(*) OVER (PARTITION BY y) AS class_n FROM eb),
+es AS (SELECT *, pos < floor(class_n * 0.2 + 0.5) AS is_test FROM ep)"""
+
+
+@register("m9_knn_classifier", f"""WITH {_EMB_SPLIT_SQL},
+pairs AS (SELECT q.vec_id AS id, b.y AS ny, list_distance(CAST(q.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS d, b.vec_id AS nid
+          FROM es q JOIN es b ON q.is_test AND NOT b.is_test),
+top AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, nid) <= 5)
+SELECT CAST(id AS VARCHAR) AS id, avg(CAST(ny AS DOUBLE)) AS p, CAST(avg(CAST(ny AS DOUBLE)) > 0.5 AS DOUBLE) AS prediction
+FROM top GROUP BY id""")
+def m9_knn_classifier(spark, sf_dir):
+    e = _emb_binary(spark, sf_dir)
+    s = folds.stratified_split(e, "label", test_fraction=0.2, id_col="id", seed=42)
+    train, test = s.where(~F.col("is_test")), s.where(F.col("is_test"))
+    return RS.knn_classify(test, train, 5)
+
+
+@register("v9_v11_smote_enn")
+def v9_v11_smote_enn(spark, sf_dir):
+    return RS.resample_half(_emb_binary(spark, sf_dir), method="enn")
+
+
+@register("v10_smote_tomek")
+def v10_smote_tomek(spark, sf_dir):
+    return RS.resample_half(_emb_binary(spark, sf_dir), method="tomek")
+
+
+@register("v14_weighted_resample", f"""WITH eb AS (SELECT vec_id, CAST(label = 0 AS INTEGER) AS label FROM embeddings),
+c AS (SELECT label, count(*) AS nc FROM eb GROUP BY label),
+r AS (SELECT e.vec_id, e.label, ((SELECT count(*) FROM eb) / (SELECT count(*) FROM c)) / c.nc AS rate,
+             CAST({S.keys.seeded_key_sql('e.vec_id', 42)} AS DOUBLE) / 2147483648.0 AS u
+      FROM eb e JOIN c USING (label)),
+k AS (SELECT vec_id, label, CAST(floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END AS INTEGER) AS copies
+      FROM r)
+SELECT vec_id AS id, label FROM k, range(copies) t(i)""")
+def v14_weighted_resample(spark, sf_dir):
+    e = _emb_binary(spark, sf_dir)
+    return folds.weighted_resample(e, "label", id_col="id", seed=42).select("id", "label")

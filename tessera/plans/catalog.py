@@ -37,7 +37,8 @@ def rnd(c, digits: int = ROUND):
 
 
 def _feats(spark, sf_dir):
-    return W.work_features(W.works(spark, sf_dir))
+    """Materialised base features (see works.feature_table), without ``toxic``."""
+    return W.feature_table(spark, sf_dir).drop("toxic")
 
 
 def _train(spark, sf_dir):
@@ -52,7 +53,7 @@ CORR_FEATURES = W.TEXT_FEATURES + ["n_chars"]
 WITH {S.WORKS_CTE}
 SELECT * FROM feats""")
 def f_text_features(spark, sf_dir):
-    return _feats(spark, sf_dir)
+    return W.work_features(W.works(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ A6-A8
@@ -90,7 +91,7 @@ _SC = S.scores_cte()
 
 
 def _scores(spark, sf_dir):
-    return SC.scores(spark, sf_dir)
+    return SC.scores_with_folds(spark, sf_dir).drop("fold")
 
 
 @register("w3_pr_curve", f"""
@@ -456,8 +457,7 @@ SIZE_CLASS_CUT = 2000
 
 
 def _feats_full(spark, sf_dir):
-    w = W.works(spark, sf_dir)
-    return W.work_features(w).join(w.select("id", "toxic"), "id")
+    return W.feature_table(spark, sf_dir)
 
 
 def _missing_sql() -> str:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate, folds
 from ..sources.tables import table
+from .materialize import materialized
 
 # Per model (name, id multiplier, label shift); p = ((id·a + label·b) mod 1000) / 1000.
 MODEL_PARAMS = (("m_a", 7919, 300), ("m_b", 104729, 450), ("m_c", 15485863, 200))
@@ -37,14 +38,20 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scores_with_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = folds.stratified_folds(labeled(spark, sf_dir), "label", N_FOLDS, "id", FOLD_SEED)
-    return scores(spark, sf_dir).join(f.select("id", "fold"), "id")
+    """Scores with the fold of each id, written once per session (a predictions table)."""
+    def build():
+        f = folds.stratified_folds(labeled(spark, sf_dir), "label", N_FOLDS, "id", FOLD_SEED)
+        return scores(spark, sf_dir).join(f.select("id", "fold"), "id")
+    return materialized(spark, "scores", sf_dir, build)
 
 
 def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """model, best_threshold, best_f1 (M14 on the scores), best_cv_score (mean fold F1 at 0.5)."""
-    s = scores_with_folds(spark, sf_dir)
-    th = evaluate.threshold_search(s, ["model"])
-    per_fold = evaluate.f1_at_threshold(s, 0.5, ["model", "fold"])
-    cv = evaluate.cv_summary(per_fold, "f1", ["model"]).select("model", F.col("mean").alias("best_cv_score"))
-    return th.join(cv, "model")
+    """model, best_threshold, best_f1 (M14 on the scores), best_cv_score (mean fold F1 at 0.5);
+    one row per model, written once per session (the model metadata of the bundles)."""
+    def build():
+        s = scores_with_folds(spark, sf_dir)
+        th = evaluate.threshold_search(s, ["model"])
+        per_fold = evaluate.f1_at_threshold(s, 0.5, ["model", "fold"])
+        cv = evaluate.cv_summary(per_fold, "f1", ["model"]).select("model", F.col("mean").alias("best_cv_score"))
+        return th.join(cv, "model")
+    return materialized(spark, "model-table", sf_dir, build)

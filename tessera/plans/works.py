@@ -57,3 +57,15 @@ def work_features(w: DataFrame) -> DataFrame:
         *text.title_abstract_features("title", "abstract"),
         *text.nlp_features(combined),
         "n_chars", "label", "split")
+
+
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base feature table (plus ``toxic``), written once per session like the reference's
+    ``X_{split}`` files; later queries read it (column pruning and filter pushdown apply)
+    instead of re-running the text expressions."""
+    from .materialize import materialized
+
+    def build():
+        w = works(spark, sf_dir)
+        return work_features(w).join(w.select("id", "toxic"), "id")
+    return materialized(spark, "work-features", sf_dir, build, ("split",))

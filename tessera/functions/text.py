@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 WORD_RE = r"(?U)\b\w+\b"            # a word for the nlp_* features
 SPACE_RE = r"(?U)\s+"               # whitespace run (str.split semantics)
 SENTENCE_END_RE = r"[.!?]+"         # sentence separators
+TOKEN_RE = r"(?U)\S+"               # a whitespace-separated token
+NON_WORD_RE = r"(?U)\W+"
+SENTENCE_RE = r"(?U)[^.!?]*[^.!?\s][^.!?]*"   # a sentence piece with some non-space
+SENTENCE_TOKEN_RE = r"(?U)[^\s.!?]+"
 CAPITAL_RE = r"[A-Z]"
 DIGIT_RE = r"\p{Nd}"
 PUNCT_RE = r"[.,;:!?]"
@@ -35,9 +39,8 @@ def has_text(text) -> Column:
 
 
 def whitespace_word_count(text) -> Column:
-    """``len(str.split())``: whitespace-separated tokens, empty/null → 0."""
-    t = F.coalesce(_c(text), F.lit(""))
-    return F.size(F.filter(F.split(t, SPACE_RE), lambda w: w != "")).cast("long")
+    """``len(str.split())``: whitespace-separated tokens (maximal non-space runs), empty/null → 0."""
+    return F.coalesce(F.regexp_count(_c(text), F.lit(TOKEN_RE)), F.lit(0)).cast("long")
 
 
 def regex_word_count(text) -> Column:
@@ -46,9 +49,8 @@ def regex_word_count(text) -> Column:
 
 
 def sentence_count(text) -> Column:
-    """Pieces between ``[.!?]+`` that are not blank."""
-    t = F.coalesce(_c(text), F.lit(""))
-    return F.size(F.filter(F.split(t, SENTENCE_END_RE), lambda s: s.rlike(r"(?U)\S"))).cast("long")
+    """Pieces between ``[.!?]+`` that are not blank: one match per piece holding a non-space."""
+    return F.coalesce(F.regexp_count(_c(text), F.lit(SENTENCE_RE)), F.lit(0)).cast("long")
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -65,10 +67,11 @@ def nlp_features(text) -> list[Column]:
     t = F.coalesce(_c(text), F.lit(""))
     chars = F.length(t).cast("long")
     words = F.regexp_count(t, F.lit(WORD_RE)).cast("long")
-    word_chars = F.length(F.array_join(F.regexp_extract_all(t, F.lit(WORD_RE), F.lit(0)), ""))
+    # every word character lies in exactly one maximal word run, i.e. one \b\w+\b match
+    word_chars = F.length(F.regexp_replace(t, NON_WORD_RE, ""))
     sentences = sentence_count(t)
-    # words of the kept sentences == whitespace tokens once separators are blanks
-    sentence_words = whitespace_word_count(F.regexp_replace(t, SENTENCE_END_RE, " "))
+    # words of the kept sentences == runs of characters that are neither blank nor separators
+    sentence_words = F.regexp_count(t, F.lit(SENTENCE_TOKEN_RE)).cast("long")
     return [
         chars.alias("nlp_char_count"),
         words.alias("nlp_word_count"),
@@ -97,21 +100,26 @@ def combined_text(title, abstract) -> Column:
     return F.concat(F.coalesce(_c(title), F.lit("")), F.lit(" "), F.coalesce(_c(abstract), F.lit("")))
 
 
-def clean_text(text, max_chars: int = CLEAN_MAX_CHARS) -> Column:
-    """collapse whitespace, drop unusual characters, cut, trim."""
+def clean_text(text, max_chars: int | None = None) -> Column:
+    """collapse whitespace, drop unusual characters, trim.
+
+    The whole text is kept by default; ``max_chars=CLEAN_MAX_CHARS`` reproduces the
+    reference's cut (first 10,000 characters + "...") for models with an input limit.
+    """
     t = F.regexp_replace(F.regexp_replace(_c(text), SPACE_RE, " "), CLEAN_KEEP_RE, "")
-    cut = F.when(F.length(t) > max_chars, F.concat(F.substring(t, 1, max_chars), F.lit("..."))).otherwise(t)
+    cut = t if max_chars is None else \
+        F.when(F.length(t) > max_chars, F.concat(F.substring(t, 1, max_chars), F.lit("..."))).otherwise(t)
     # Python's strip() removes any whitespace; after collapsing only ' ' can remain at the ends
     out = F.regexp_replace(cut, r"^(?U)\s+|(?U)\s+$", "")
     return F.when(_c(text).isNull() | (_c(text) == ""), F.lit("")).otherwise(out)
 
 
-def embedding_text(title, abstract) -> Column:
+def embedding_text(title, abstract, max_chars: int | None = None) -> Column:
     """``"{title}. {abstract}"`` when there is an abstract, else the title; then cleaned."""
     a = _c(abstract)
     raw = F.when(a.isNotNull() & (a != ""), F.concat(F.coalesce(_c(title), F.lit("")), F.lit(". "), a)) \
         .otherwise(F.coalesce(_c(title), F.lit("")))
-    return clean_text(raw)
+    return clean_text(raw, max_chars)
 
 
 def work_id(id_col) -> Column:

@@ -631,8 +631,7 @@ c AS (SELECT id, title, abstract,
                   ELSE coalesce(title, '') END AS raw FROM works),
 c2 AS (SELECT id, raw, regexp_replace(regexp_replace(raw, {S.q(S.WS + '+')}, ' ', 'g'),
                                      {S.q('[^' + S.WORD[1:-1] + S.WS[1:-1] + ".,!?;:'" + '"()-]')}, '', 'g') AS t FROM c)
-SELECT id, CASE WHEN raw IS NULL OR raw = '' THEN ''
-                ELSE trim(CASE WHEN length(t) > 10000 THEN substring(t, 1, 10000) || '...' ELSE t END) END AS embedding_text
+SELECT id, CASE WHEN raw IS NULL OR raw = '' THEN '' ELSE trim(t) END AS embedding_text
 FROM c2""")
 def f26_f35_clean_text(spark, sf_dir):
     w = W.works(spark, sf_dir)

@@ -44,8 +44,9 @@ def infer_schema(spark: SparkSession, path: str | Sequence[str], sample_lines: i
 
 
 def rejected_lines(df: DataFrame) -> DataFrame:
-    """Rows a ``keep_rejects`` scan could not parse."""
-    return df.where(F.col(CORRUPT_COLUMN).isNotNull()).select(CORRUPT_COLUMN)
+    """Rows a ``keep_rejects`` scan could not parse (whole rows: Spark refuses plans that read
+    only the corrupt-record column of a raw file)."""
+    return df.where(F.col(CORRUPT_COLUMN).isNotNull())
 
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"

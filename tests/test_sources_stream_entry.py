@@ -53,3 +53,21 @@ def test_entry_and_registry(spark):
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 60
     assert os.path.isdir(e.SMOKE_DIR)
+
+
+def test_schema_inference_from_sample(spark):
+    import json
+    d = tempfile.mkdtemp(prefix="tessera-test-")
+    with open(f"{d}/a.jsonl", "w") as f:
+        f.write("\n".join(json.dumps({"id": f"W{i}", "n": i, "tags": ["x"]}) for i in range(5)) + "\n{broken\n")
+    df = files.read_jsonl(spark, d)
+    assert set(df.columns) == {"id", "n", "tags"} and df.count() == 5
+
+
+def test_extract_struct_and_compose(spark):
+    from tessera.operators import schema
+    df = spark.createDataFrame([(1, {"a": 1, "b": "x", "c": 2.0})], "id long, s struct<a: int, b: string, c: double>")
+    out = schema.extract_struct(df, "s", "source_", drop=["source_c"])
+    assert out.columns == ["id", "source_a", "source_b"]
+    composed = schema.compose(df, [(True, lambda d: d.withColumn("k", F.lit(1))), (False, lambda d: d.drop("id"))])
+    assert composed.columns == ["id", "s", "k"]

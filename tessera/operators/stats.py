@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import jvmstats
+from ..session import cut_lineage
 from .ranking import average_ranks, exact_median
 from .util import attach_scalar
 
@@ -147,39 +148,46 @@ def apply_imputation(df: DataFrame, spec: Mapping) -> DataFrame:
 
 # ---------------------------------------------------------------- A6-A8 correlations
 
-def correlation_stats(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+def correlation_stats(df: DataFrame, features: Sequence[str], label: str, checkpoint: bool = True) -> DataFrame:
     """Pearson r and Spearman rho (average ranks) of each feature vs the label.
 
     Pairs with a null on either side are dropped. Features with fewer than
-    ``MIN_PAIRS`` pairs or a constant side are skipped. Spearman is a weighted
-    Pearson over distinct ``(x, y)`` pairs of average ranks, so rows sharing a
-    value collapse before any shuffle.
-    Output: feature, n, pearson_r, spearman_r.
+    ``MIN_PAIRS`` pairs or a constant side are skipped. The input is read once
+    into distinct ``(feature, x, y)`` pair counts (checkpointed into the shared
+    folder, so the branches below do not rescan it); Pearson is a two-pass
+    centred weighted moment over those pairs, Spearman a weighted Pearson of
+    their average ranks. Output: feature, n, pearson_r, spearman_r.
     """
     long = to_long(df, features, label).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    long = long.withColumn("y", F.col("y").cast("double"))
-    pear = long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.corr("x", "y").alias("pearson_r"),
-        F.min("x").alias("__xmin"), F.max("x").alias("__xmax"),
-        F.min("y").alias("__ymin"), F.max("y").alias("__ymax"))
-    pear = pear.where((F.col("n") >= MIN_PAIRS) & (F.col("__xmin") < F.col("__xmax"))
-                      & (F.col("__ymin") < F.col("__ymax"))).select("feature", "n", "pearson_r")
-
-    pairs = long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("w"))
+    pairs = long.withColumn("y", F.col("y").cast("double")).groupBy("feature", "x", "y") \
+        .agg(F.count(F.lit(1)).alias("w"))
+    if checkpoint:
+        pairs = cut_lineage(pairs)
+    w = F.col("w")
+    mom = pairs.groupBy("feature").agg(
+        F.sum("w").alias("n"), (F.sum(w * F.col("x")) / F.sum("w")).alias("__mx"),
+        (F.sum(w * F.col("y")) / F.sum("w")).alias("__my"),
+        F.min("x").alias("__xmin"), F.max("x").alias("__xmax"), F.min("y").alias("__ymin"), F.max("y").alias("__ymax"))
+    mom = mom.where((F.col("n") >= MIN_PAIRS) & (F.col("__xmin") < F.col("__xmax"))
+                    & (F.col("__ymin") < F.col("__ymax")))
+    # one row per feature: bounded by the schema
+    c = pairs.join(F.broadcast(mom.select("feature", "n", "__mx", "__my")), "feature")
+    dx, dy = F.col("x") - F.col("__mx"), F.col("y") - F.col("__my")
+    pear = c.groupBy("feature").agg(
+        F.first("n").alias("n"),
+        (F.sum(w * dx * dy) / F.sqrt(F.sum(w * dx * dx) * F.sum(w * dy * dy))).alias("pearson_r"))
+
     rx = average_ranks(pairs, ["feature"], "x", "w").select("feature", "x", F.col("rank").alias("rx"))
     ry = average_ranks(pairs, ["feature"], "y", "w").select("feature", "y", F.col("rank").alias("ry"))
     ranked = pairs.join(rx, ["feature", "x"]).join(ry, ["feature", "y"])
     # mean of average ranks over n rows is (n+1)/2 exactly → centred sums are stable
-    tot = ranked.groupBy("feature").agg(F.sum("w").alias("__n"))
-    c = ranked.join(tot, "feature").select(
-        "feature", "w",
-        (F.col("rx") - (F.col("__n") + 1) / 2.0).alias("dx"),
-        (F.col("ry") - (F.col("__n") + 1) / 2.0).alias("dy"))
-    spear = c.groupBy("feature").agg(
-        (F.sum(F.col("w") * F.col("dx") * F.col("dy"))
-         / F.sqrt(F.sum(F.col("w") * F.col("dx") * F.col("dx"))
-                  * F.sum(F.col("w") * F.col("dy") * F.col("dy")))).alias("spearman_r"))
-    return pear.join(spear, "feature", "left")
+    tot = ranked.join(F.broadcast(mom.select("feature", "n")), "feature")
+    mid = (F.col("n") + 1) / 2.0
+    rdx, rdy = F.col("rx") - mid, F.col("ry") - mid
+    spear = tot.groupBy("feature").agg(
+        (F.sum(w * rdx * rdy) / F.sqrt(F.sum(w * rdx * rdx) * F.sum(w * rdy * rdy))).alias("spearman_r"))
+    return pear.join(spear, "feature", "left").select("feature", F.col("n").cast("long").alias("n"),
+                                                      "pearson_r", "spearman_r")
 
 
 def correlation_report(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:

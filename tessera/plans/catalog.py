@@ -1002,3 +1002,30 @@ SELECT vec_id AS id, label FROM k, range(copies) t(i)""")
 def v14_weighted_resample(spark, sf_dir):
     e = _emb_binary(spark, sf_dir)
     return folds.weighted_resample(e, "label", id_col="id", seed=42).select("id", "label")
+
+
+@register("a27_feature_importance")
+def a27_feature_importance(spark, sf_dir):
+    from ..operators import evaluate as EV
+    train, _ = _model_frames(spark, sf_dir)
+    model = MD.estimator("gbt", maxIter=20, maxDepth=3).fit(train)
+    return EV.feature_importance(model, MODEL_FEATURES, spark, top=20)
+
+
+@register("s9_s10_report_roundtrip", f"""WITH {S.WORKS_CTE},
+c AS (SELECT label, count(*) AS count FROM feats WHERE split = 'train' AND label IS NOT NULL GROUP BY label)
+SELECT label, count, (SELECT sum(count) FROM c) / ((SELECT count(*) FROM c) * count) AS balanced_weight,
+       CASE WHEN label = 1 THEN (SELECT sum(count) FILTER (WHERE label = 0) FROM c)
+                                / (SELECT sum(count) FILTER (WHERE label = 1) FROM c) ELSE 1.0 END AS ratio_weight,
+       (SELECT count(*) FROM feats WHERE split = 'train') AS spec_rows
+FROM c""")
+def s9_s10_report_roundtrip(spark, sf_dir):
+    """A report written as CSV (S9) and a spec written as JSON (S10), both read back."""
+    train = _train(spark, sf_dir)
+    rep = stats.class_weights(train, "label")
+    path = _scratch(spark, "report")
+    FS.write_report_csv(rep, f"{path}/class_weights")
+    back = spark.read.option("header", True).schema(rep.schema).csv(f"{path}/class_weights")
+    FS.write_spec(spark, {"rows": train.count()}, f"{path}/spec")
+    rows = FS.read_spec(spark, f"{path}/spec")["rows"]
+    return back.withColumn("spec_rows", F.lit(int(rows)).cast("long"))

@@ -22,27 +22,16 @@ PR_F1_EPS = 1e-10   # fixed value: added to P+R in the PR-curve F1
 _K0 = "__key0"
 
 
-def _keyed(fn):
-    """Let a metric run without grouping keys (one constant key, dropped afterwards)."""
-    import functools
-
-    @functools.wraps(fn)
-    def wrapper(scores, *args, **kwargs):
-        keys = kwargs.pop("keys", None)
-        names = list(fn.__code__.co_varnames[1:fn.__code__.co_argcount])
-        if keys is None and "keys" in names:
-            i = names.index("keys")
-            if len(args) > i:
-                keys, args = args[i], args[:i] + args[i + 1:]
-        if keys is None:
-            keys = fn.__defaults__[names.index("keys") - (len(names) - len(fn.__defaults__))]
-        keys = list(keys)
-        if keys:
-            return fn(scores, *args[:names.index("keys")], keys, *args[names.index("keys"):], **kwargs)
-        out = fn(scores.withColumn(_K0, F.lit(0)), *args[:names.index("keys")], [_K0],
-                 *args[names.index("keys"):], **kwargs)
-        return out.drop(_K0)
-    return wrapper
+def _ensure_keys(scores: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str], bool]:
+    """Metrics group by keys; without keys a constant key is used and dropped afterwards."""
+    keys = list(keys)
+    if keys:
+        return scores, keys, False
+    return scores.withColumn(_K0, F.lit(0)), [_K0], True
+
+
+def _done(out: DataFrame, added: bool) -> DataFrame:
+    return out.drop(_K0) if added else out
 
 
 def _pos(label: str) -> Column:
@@ -70,30 +59,29 @@ def score_counts(scores: DataFrame, keys: Sequence[str], label: str = "label", p
 
 # ----------------------------------------------------------------- W3 / W4 curves
 
-@_keyed
 def pr_curve(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "label", p: str = "p") -> DataFrame:
     """Precision and recall when predicting positive for score ≥ threshold, per distinct score.
 
     (The conventional extra end point precision=1, recall=0 is not a row.)
     """
+    scores, keys, added = _ensure_keys(scores, keys)
     c = score_counts(scores, keys, label, p)
-    return c.select(*keys, "threshold",
-                    (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-                    F.when(F.col("n_pos") > 0, F.col("tp") / F.col("n_pos")).otherwise(F.lit(1.0)).alias("recall"))
+    return _done(c.select(*keys, "threshold",
+                          (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
+                          F.when(F.col("n_pos") > 0, F.col("tp") / F.col("n_pos")).otherwise(F.lit(1.0))
+                          .alias("recall")), added)
 
 
-@_keyed
 def roc_curve(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "label", p: str = "p") -> DataFrame:
     """false/true positive rates at every distinct score (no intermediate points dropped)."""
+    scores, keys, added = _ensure_keys(scores, keys)
     c = score_counts(scores, keys, label, p)
-    return c.select(*keys, "threshold",
-                    (F.col("fp") / F.col("n_neg")).alias("fpr"),
-                    (F.col("tp") / F.col("n_pos")).alias("tpr"))
+    return _done(c.select(*keys, "threshold", (F.col("fp") / F.col("n_neg")).alias("fpr"),
+                          (F.col("tp") / F.col("n_pos")).alias("tpr")), added)
 
 
 # ----------------------------------------------------------------- A20-A22 areas
 
-@_keyed
 def curve_areas(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "label",
                 p: str = "p") -> DataFrame:
     """A20 ROC-AUC (ties count one half), A21 average precision (step), A22 PR-AUC (trapezoid).
@@ -101,20 +89,20 @@ def curve_areas(scores: DataFrame, keys: Sequence[str] = ("model",), label: str
     PR-AUC integrates precision over recall from the (recall 0, precision 1)
     end point through every distinct threshold, highest first.
     """
+    scores, keys, added = _ensure_keys(scores, keys)
     c = score_counts(scores, keys, label, p)
     prec = F.col("tp") / (F.col("tp") + F.col("fp"))
     above = F.col("tp_above") + F.col("fp_above")
     prec_prev = F.when(above > 0, F.col("tp_above") / above).otherwise(F.lit(1.0))
-    return c.groupBy(*keys).agg(
+    return _done(c.groupBy(*keys).agg(
         (F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
          / (F.first("n_pos") * F.first("n_neg"))).alias("roc_auc"),
         (F.sum(F.col("pos") * prec) / F.first("n_pos")).alias("average_precision"),
-        (F.sum(F.col("pos") * (prec + prec_prev) / 2.0) / F.first("n_pos")).alias("pr_auc"))
+        (F.sum(F.col("pos") * (prec + prec_prev) / 2.0) / F.first("n_pos")).alias("pr_auc")), added)
 
 
 # ----------------------------------------------------------------- thresholds
 
-@_keyed
 def threshold_metrics(scores: DataFrame, thresholds: Sequence[float], keys: Sequence[str] = ("model",),
                       label: str = "label", p: str = "p") -> DataFrame:
     """Confusion counts and positive-class F1 at each listed threshold (prediction: p ≥ t).
@@ -123,6 +111,7 @@ def threshold_metrics(scores: DataFrame, thresholds: Sequence[float], keys: Sequ
     (F1 is 0 when undefined). Each distinct score is bucketed against the
     sorted grid; the grid per key is ``len(thresholds)`` rows.
     """
+    scores, keys, added = _ensure_keys(scores, keys)
     grid = sorted(set(float(t) for t in thresholds))
     m = len(grid)
     arr = F.array(*[F.lit(g) for g in grid])
@@ -135,27 +124,25 @@ def threshold_metrics(scores: DataFrame, thresholds: Sequence[float], keys: Sequ
     totals = per.groupBy(*kcols).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     # positions 1..m of the sorted grid; a score with __idx ≥ j is ≥ grid[j-1]
     rows = totals.select(*kcols, "n_pos", "n_neg", F.explode(F.sequence(F.lit(1), F.lit(m))).alias("__idx"))
-    w = Window.partitionBy(*kcols).orderBy(F.col("__idx").desc()) \
-        .rowsBetween(Window.unboundedPreceding, 0) if kcols else \
-        Window.orderBy(F.col("__idx").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(*kcols).orderBy(F.col("__idx").desc()).rowsBetween(Window.unboundedPreceding, 0)
     joined = rows.join(per, kcols + ["__idx"], "left").select(
         *kcols, "__idx", "n_pos", "n_neg",
         F.sum(F.coalesce("pos", F.lit(0))).over(w).alias("tp"),
         F.sum(F.coalesce("neg", F.lit(0))).over(w).alias("fp"))
     pos_of = F.array(*[F.lit(grid.index(float(t)) + 1) for t in thresholds])
     listed = F.posexplode(pos_of).alias("t_index", "__idx")
-    keyed = totals.select(*kcols, listed) if kcols else totals.select(listed)
+    keyed = totals.select(*kcols, listed)
     out = keyed.join(joined.drop("n_pos", "n_neg"), kcols + ["__idx"]).join(totals, kcols)
     tp, fp = F.col("tp"), F.col("fp")
     fn = F.col("n_pos") - tp
     tn = F.col("n_neg") - fp
     den = 2 * tp + fp + fn
-    return out.select(
+    return _done(out.select(
         *kcols, F.col("t_index").cast("int").alias("t_index"),
         F.element_at(arr, F.col("__idx")).alias("threshold"),
         tp.cast("long").alias("tp"), fp.cast("long").alias("fp"), fn.cast("long").alias("fn"),
         tn.cast("long").alias("tn"),
-        F.when(den > 0, 2 * tp / den).otherwise(F.lit(0.0)).alias("f1"))
+        F.when(den > 0, 2 * tp / den).otherwise(F.lit(0.0)).alias("f1")), added)
 
 
 def linspace(start: float, stop: float, num: int) -> list[float]:
@@ -170,14 +157,12 @@ COARSE_GRID = linspace(0.1, 0.9, 17)
 CURVE_GRID = linspace(0.0, 1.0, 100)
 
 
-@_keyed
 def f1_at_threshold(scores: DataFrame, threshold: float = 0.5, keys: Sequence[str] = ("model",),
                     label: str = "label", p: str = "p") -> DataFrame:
     """Positive-class F1 of ``p ≥ threshold`` (0 when undefined)."""
     return threshold_metrics(scores, [threshold], keys, label, p).select(*keys, "threshold", "f1")
 
 
-@_keyed
 def f1_curve(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "label", p: str = "p") -> DataFrame:
     """F1 at 100 evenly spaced thresholds on [0, 1]."""
     return threshold_metrics(scores, CURVE_GRID, keys, label, p).select(*keys, "t_index", "threshold", "f1")
@@ -190,23 +175,23 @@ def _first_best(df: DataFrame, keys: Sequence[str], score: str, order: Column, c
     return best.select(*keys, *[F.col(f"__b.{c}").alias(c) for c in cols])
 
 
-@_keyed
 def coarse_threshold_search(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "label",
                             p: str = "p") -> DataFrame:
     """17 thresholds 0.1…0.9; starts at (0.5, 0.0) and moves only on strict improvement."""
+    scores, keys, added = _ensure_keys(scores, keys)
     tm = threshold_metrics(scores, COARSE_GRID, keys, label, p)
     best = _first_best(tm, keys, "f1", F.col("t_index"), ["threshold", "f1"])
-    return best.select(*keys,
+    return _done(best.select(*keys,
                        F.when(F.col("f1") > 0, F.col("threshold")).otherwise(F.lit(0.5)).alias("best_threshold"),
-                       F.when(F.col("f1") > 0, F.col("f1")).otherwise(F.lit(0.0)).alias("best_f1"))
+                       F.when(F.col("f1") > 0, F.col("f1")).otherwise(F.lit(0.0)).alias("best_f1")), added)
 
 
-@_keyed
 def threshold_search(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "label",
                      p: str = "p") -> DataFrame:
     """Argmax of F1 on the PR curve (first maximum by ascending threshold; the end
     point has F1 0 and threshold 0.5), then the 120-point grid replaces it only on strict
     improvement (first grid point reaching the grid maximum)."""
+    scores, keys, added = _ensure_keys(scores, keys)
     pr = pr_curve(scores, keys, label, p)
     f1pr = 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + PR_F1_EPS)
     pr = pr.withColumn("f1", f1pr)
@@ -217,9 +202,9 @@ def threshold_search(scores: DataFrame, keys: Sequence[str] = ("model",), label:
         *keys, F.col("threshold").alias("g_threshold"), F.col("f1").alias("g_f1"))
     j = pr_best.join(g_best, list(keys))
     better = F.col("g_f1") > F.col("pr_f1")
-    return j.select(*keys,
-                    F.when(better, F.col("g_threshold")).otherwise(F.col("pr_threshold")).alias("best_threshold"),
-                    F.when(better, F.col("g_f1")).otherwise(F.col("pr_f1")).alias("best_f1"))
+    return _done(j.select(*keys,
+                          F.when(better, F.col("g_threshold")).otherwise(F.col("pr_threshold")).alias("best_threshold"),
+                          F.when(better, F.col("g_f1")).otherwise(F.col("pr_f1")).alias("best_f1")), added)
 
 
 # ----------------------------------------------------------------- A17 / A18

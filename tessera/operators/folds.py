@@ -84,6 +84,9 @@ def exact_sample(df: DataFrame, fraction: float, id_col: str = "id", seed: int =
     return pos.where(F.col("pos") < n).drop("pos", "class_n", "__all")
 
 
+COPY_BLOCK = 10_000   # copies of one row made inside one task at most
+
+
 def weighted_resample(df: DataFrame, label: str, n: int | None = None, id_col: str = "id",
                       seed: int = 42) -> DataFrame:
     """Resampling with weight 1/class count, so each class contributes ``n / k`` rows.
@@ -91,7 +94,8 @@ def weighted_resample(df: DataFrame, label: str, n: int | None = None, id_col: s
     Every row is repeated ``floor(r)`` times plus once more when its seeded
     uniform falls below ``frac(r)`` (r = rows wanted / class size): the same
     expected counts as drawing with replacement, decided per row from the id,
-    so a recomputed task gives the same rows.
+    so a recomputed task gives the same rows. Large copy counts (a tiny class)
+    are first split into blocks of ``COPY_BLOCK`` that are spread over tasks.
     """
     from ..functions.keys import seeded_unit
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
@@ -100,6 +104,11 @@ def weighted_resample(df: DataFrame, label: str, n: int | None = None, id_col: s
     want = (F.lit(float(n)) if n is not None else F.col("__n").cast("double")) / F.col("__k")
     rate = want / F.col("__nc")
     copies = F.floor(rate) + (seeded_unit(id_col, seed) < rate - F.floor(rate)).cast("long")
-    return (j.withColumn("__copies", copies.cast("int")).where(F.col("__copies") > 0)
-            .withColumn("__rep", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-            .drop("__nc", "__k", "__n", "__copies", "__rep"))
+    c = j.withColumn("__copies", copies.cast("long")).where(F.col("__copies") > 0).drop("__nc", "__k", "__n")
+    blocks = F.sequence(F.lit(0), F.floor((F.col("__copies") - 1) / COPY_BLOCK).cast("long"))
+    spread = (c.withColumn("__block", F.explode(blocks))
+              .withColumn("__in_block", F.least(F.lit(COPY_BLOCK).cast("long"),
+                                                F.col("__copies") - F.col("__block") * COPY_BLOCK))
+              .repartition(id_col, "__block"))
+    return (spread.withColumn("__rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__in_block"))))
+            .drop("__copies", "__block", "__in_block", "__rep"))

@@ -148,14 +148,13 @@ def duplicate_columns(df: DataFrame, columns: Sequence[str], rtol: float = DUP_R
     hi = np.array([np.nan if sig[f"hi|{c}"] is None else sig[f"hi|{c}"] for c in cols])
     s = np.array([np.nan if sig[f"s|{c}"] is None else sig[f"s|{c}"] for c in cols])
     m = np.array([np.nan if sig[f"m|{c}"] is None else sig[f"m|{c}"] for c in cols])
-    cand = []
-    for i in range(len(cols)):
-        for j in range(i + 1, len(cols)):
-            if n[i] != total or n[j] != total:      # a null never compares close
-                continue
-            tol = atol + rtol * m[j]
-            if abs(lo[i] - lo[j]) <= tol and abs(hi[i] - hi[j]) <= tol and abs(s[i] - s[j]) <= total * tol:
-                cand.append((i, j))
+    # necessary conditions for closeness on every row, checked for all pairs at once
+    full = (n == total)
+    tol = atol + rtol * m[None, :]                                     # tolerance uses |b| = column j
+    ok = (np.abs(lo[:, None] - lo[None, :]) <= tol) & (np.abs(hi[:, None] - hi[None, :]) <= tol) \
+        & (np.abs(s[:, None] - s[None, :]) <= total * tol) & full[:, None] & full[None, :]
+    ok = np.triu(np.nan_to_num(ok, nan=False).astype(bool), k=1)
+    cand = [(int(i), int(j)) for i, j in zip(*np.nonzero(ok))]
     close: set[tuple[int, int]] = set()
     if cand:
         checks = df.agg(*[F.max(F.abs(_q(cols[i]).cast("double") - _q(cols[j]).cast("double"))

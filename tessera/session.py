@@ -52,3 +52,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+                  min_partitions: int = 200) -> int:
+    """Size shuffle partitions for an input of ``input_bytes`` (≈ target bytes per partition).
+
+    Only raises the configured value (a cluster's own setting is kept when larger); AQE still
+    coalesces small partitions and splits skewed ones at run time.
+    """
+    want = max(min_partitions, -(-int(input_bytes) // int(target_partition_bytes)))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if want > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(want))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_partition_bytes)))
+    return max(want, current)

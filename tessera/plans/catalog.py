@@ -1029,3 +1029,34 @@ def s9_s10_report_roundtrip(spark, sf_dir):
     FS.write_spec(spark, {"rows": train.count()}, f"{path}/spec")
     rows = FS.read_spec(spark, f"{path}/spec")["rows"]
     return back.withColumn("spec_rows", F.lit(int(rows)).cast("long"))
+
+
+# ================================================================== more than two groups (A12, A13 with 10 classes)
+EMB_DIMS = 4
+
+
+def _emb_dims(spark, sf_dir):
+    e = _emb(spark, sf_dir)
+    return e.select(F.col("vec_id").alias("id"), "label",
+                    *[F.col("embedding")[i].cast("double").alias(f"d{i}") for i in range(EMB_DIMS)])
+
+
+@register("a12_anova_multigroup", f"""WITH long AS ({" UNION ALL ".join(
+    f"SELECT 'd{i}' AS feature, CAST(embedding[{i + 1}] AS DOUBLE) AS x, CAST(label AS DOUBLE) AS y FROM embeddings"
+    for i in range(EMB_DIMS))}),
+g AS (SELECT feature, y, count(*) AS n, avg(x) AS mean, var_pop(x) AS var FROM long
+      WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY feature, y HAVING count(*) > 1 AND var_pop(x) > 1e-10),
+per AS (SELECT feature, count(*) AS k, sum(n) AS N, sum(n * mean) / sum(n) AS grand, sum(n * var) AS ssw
+        FROM g GROUP BY feature HAVING count(*) >= 2),
+ssb AS (SELECT g.feature, sum(g.n * pow(g.mean - p.grand, 2)) AS ssb FROM g JOIN per p USING (feature) GROUP BY g.feature)
+SELECT feature, round((ssb / (k - 1)) / (ssw / (N - k)), 6) AS F, CAST(k - 1 AS BIGINT) AS df_between,
+       CAST(N - k AS BIGINT) AS df_within
+FROM per JOIN ssb USING (feature)""")
+def a12_anova_multigroup(spark, sf_dir):
+    a = stats.anova_stats(_emb_dims(spark, sf_dir), [f"d{i}" for i in range(EMB_DIMS)], "label")
+    return a.select("feature", rnd("F").alias("F"), "df_between", "df_within")
+
+
+@register("a13_tukey_multigroup")
+def a13_tukey_multigroup(spark, sf_dir):
+    return stats.tukey_hsd(_emb_dims(spark, sf_dir), [f"d{i}" for i in range(EMB_DIMS)], "label")

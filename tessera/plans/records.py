@@ -22,27 +22,31 @@ AS_OF = dt.datetime(2025, 1, 1)
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    author = F.struct(
-        F.col("l_linenumber").alias("_pos"),
-        F.when(F.col("l_linenumber") <= 3, F.concat(F.lit("p"), F.col("l_linenumber").cast("string")))
-        .alias("author_position"),
-        F.struct(F.struct(F.col("l_quantity").alias("2yr_h_index"),
-                          F.col("l_extendedprice").alias("2yr_citedness_count"),
-                          F.col("l_linenumber").cast("double").alias("2yr_works_count")).alias("summary_stats"))
+    # one sorted array of line items per order; every nested field is derived from it
+    item = F.struct("l_linenumber", "l_quantity", "l_extendedprice", "l_partkey", "l_suppkey", "l_discount",
+                    "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    grouped = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    it = F.col("items")
+    author = lambda i: F.struct(
+        i["l_linenumber"].alias("_pos"),
+        F.when(i["l_linenumber"] <= 3, F.concat(F.lit("p"), i["l_linenumber"].cast("string"))).alias("author_position"),
+        F.struct(F.struct(i["l_quantity"].alias("2yr_h_index"), i["l_extendedprice"].alias("2yr_citedness_count"),
+                          i["l_linenumber"].cast("double").alias("2yr_works_count")).alias("summary_stats"))
         .alias("author"),
-        F.array(F.struct(F.concat(F.lit("I"), F.col("l_suppkey").cast("string")).alias("id"))).alias("institutions"))
-    nested_items = li.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(author)).alias("authorships"),
-        F.collect_list(F.struct((F.col("l_discount") * 10).alias("score"))).alias("concepts"),
-        F.collect_list(F.struct((F.col("l_tax") * 10).alias("score"))).alias("topics"),
-        F.collect_list(F.col("l_partkey").cast("string")).alias("referenced_works"),
-        F.collect_set(F.col("l_suppkey").cast("string")).alias("related_works"),
-        F.collect_list(F.when(F.col("l_returnflag") == "R", F.struct(F.col("l_linenumber").alias("n"))))
-        .alias("grants"),
-        F.collect_list(F.struct(F.col("l_shipdate").alias("ts"))).alias("locations"),
-        F.collect_set("l_returnflag").alias("keywords"),
-        F.collect_list(F.when(F.col("l_linestatus") == "O", F.col("l_linenumber"))).alias("mesh"),
-        F.collect_list(F.when(F.col("l_discount") > 0.08, F.col("l_linenumber")))
+        F.array(F.struct(F.concat(F.lit("I"), i["l_suppkey"].cast("string")).alias("id"))).alias("institutions"))
+    nested_items = grouped.select(
+        "l_orderkey",
+        F.transform(it, author).alias("authorships"),
+        F.transform(it, lambda i: F.struct((i["l_discount"] * 10).alias("score"))).alias("concepts"),
+        F.transform(it, lambda i: F.struct((i["l_tax"] * 10).alias("score"))).alias("topics"),
+        F.transform(it, lambda i: i["l_partkey"].cast("string")).alias("referenced_works"),
+        F.array_distinct(F.transform(it, lambda i: i["l_suppkey"].cast("string"))).alias("related_works"),
+        F.transform(F.filter(it, lambda i: i["l_returnflag"] == "R"),
+                    lambda i: F.struct(i["l_linenumber"].alias("n"))).alias("grants"),
+        F.transform(it, lambda i: F.struct(i["l_shipdate"].alias("ts"))).alias("locations"),
+        F.array_distinct(F.transform(it, lambda i: i["l_returnflag"])).alias("keywords"),
+        F.transform(F.filter(it, lambda i: i["l_linestatus"] == "O"), lambda i: i["l_linenumber"]).alias("mesh"),
+        F.transform(F.filter(it, lambda i: i["l_discount"] > 0.08), lambda i: i["l_linenumber"])
         .alias("sustainable_development_goals"))
     o = table(spark, sf_dir, "orders")
     base = o.select(

@@ -442,7 +442,7 @@ SELECT o.o_orderkey AS id,
        CAST((epoch_us(TIMESTAMP '2025-01-01 00:00:00') - epoch_us(date_trunc('day', o.o_orderdate))) // 86400000000 AS BIGINT) AS days_since_publication
 FROM orders o LEFT JOIN a ON a.l_orderkey = o.o_orderkey""")
 def f5_f21_record_features(spark, sf_dir):
-    return _round_doubles(RC.record_feature_table(RC.records(spark, sf_dir)))
+    return _round_doubles(RC.order_feature_table(spark, sf_dir))
 
 
 # ================================================================== statistics and imputation
@@ -619,7 +619,7 @@ SELECT o_orderkey AS id, CAST(1 - CAST(coalesce(o_orderstatus = 'F', false) AS I
        CAST(coalesce((SELECT count(*) FROM lineitem l WHERE l.l_orderkey = o.o_orderkey), 0) AS FLOAT) AS num_authors
 FROM orders o""")
 def p8_p9_model_ready(spark, sf_dir):
-    f = RC.record_feature_table(RC.records(spark, sf_dir)).select("id", "is_oa", "venue_citations", "num_authors")
+    f = RC.order_feature_table(spark, sf_dir).select("id", "is_oa", "venue_citations", "num_authors")
     return SO.downcast_fill(SO.complement(f, "is_oa"), exclude=["id"]).select("id", "is_not_oa", "venue_citations",
                                                                           "num_authors")
 
@@ -1060,3 +1060,47 @@ def a12_anova_multigroup(spark, sf_dir):
 @register("a13_tukey_multigroup")
 def a13_tukey_multigroup(spark, sf_dir):
     return stats.tukey_hsd(_emb_dims(spark, sf_dir), [f"d{i}" for i in range(EMB_DIMS)], "label")
+
+
+# ================================================================== nested records through JSON lines (S1 + F1-F21)
+@register("f1_f21_nested_jsonl", """
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id,
+       CAST(year(l_shipdate) AS BIGINT) AS publication_year,
+       coalesce(l_returnflag, 'unknown') AS type,
+       CASE WHEN l_linestatus = 'O' THEN 'en' ELSE 'unknown' END AS language,
+       CAST(2 AS BIGINT) AS num_authors,
+       CAST(CASE WHEN l_returnflag = 'R' OR l_suppkey = l_partkey THEN 1 ELSE 2 END AS BIGINT) AS num_institutions,
+       round(l_quantity, 6) AS first_author_h_index, round(l_extendedprice, 6) AS first_author_citations,
+       round(CAST(l_linenumber AS DOUBLE), 6) AS first_author_papers,
+       round(greatest(l_quantity, CASE WHEN l_linestatus = 'O' THEN 0.0 ELSE l_tax * 100 END), 6) AS max_author_h_index,
+       round((l_quantity + CASE WHEN l_linestatus = 'O' THEN 0.0 ELSE l_tax * 100 END) / 2, 6) AS avg_author_h_index,
+       round(l_extendedprice + l_discount * 1000, 6) AS total_author_citations,
+       round((l_extendedprice + l_discount * 1000) / 2, 6) AS avg_author_citations,
+       CAST(1 AS BIGINT) AS num_authorships,
+       round(l_extendedprice / 1000, 6) AS venue_impact_factor, 0.0 AS venue_h_index,
+       round(l_quantity, 6) AS venue_citations,
+       CAST(l_linestatus = 'O' AS INTEGER) AS is_oa_venue, 0 AS is_in_doaj,
+       CAST(2 AS BIGINT) AS num_concepts, round(greatest(l_discount * 10, l_tax * 10), 6) AS max_concept_score,
+       round((l_discount * 10 + l_tax * 10) / 2, 6) AS avg_concept_score,
+       CAST(CAST(l_discount * 10 >= 0.5 AS INTEGER) + CAST(l_tax * 10 >= 0.5 AS INTEGER) AS BIGINT) AS num_high_concepts,
+       CAST(l_returnflag = 'A' AS INTEGER) AS is_oa,
+       CASE WHEN l_returnflag = 'A' THEN 'gold' WHEN l_returnflag = 'R' THEN 'bronze' ELSE 'closed' END AS oa_status,
+       0 AS any_repository_has_fulltext,
+       CAST(2 AS BIGINT) AS num_references, CAST(0 AS BIGINT) AS num_related_works,
+       CAST(l_linestatus = 'F' AS INTEGER) AS has_doi, 0 AS has_pmid, 0 AS has_pmcid,
+       CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS BIGINT) AS num_grants,
+       CAST(l_returnflag = 'R' AS INTEGER) AS has_grants,
+       CAST(1 AS BIGINT) AS num_locations,
+       CAST(CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END AS BIGINT) AS num_topics,
+       round(CASE WHEN l_returnflag = 'N' THEN 0.0 ELSE l_tax * 5 END, 6) AS max_topic_score,
+       round(CASE WHEN l_returnflag = 'N' THEN 0.0 ELSE l_tax * 5 END, 6) AS avg_topic_score,
+       CAST(2 AS BIGINT) AS num_keywords, CAST(0 AS BIGINT) AS num_mesh_terms,
+       CAST(CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END AS BIGINT) AS num_sdgs,
+       CAST(l_discount > 0.05 AS INTEGER) AS has_sdgs
+FROM lineitem""")
+def f1_f21_nested_jsonl(spark, sf_dir):
+    rec = RC.line_records(spark, sf_dir)
+    path = _scratch(spark, "records-jsonl")
+    FS.write_jsonl(rec, path)                       # nested JSON lines, nulls omitted like absent keys
+    back = FS.read_jsonl(spark, path, rec.schema)
+    return _round_doubles(back.select("id", *NF.record_features(back.columns)))

@@ -33,8 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the setting points at shared storage and is respected as is.
-    Only when it is unset (tests, local runs) a fresh scratch folder is made.
+    On a cluster the setting points at shared storage and is respected as is
+    (and is required). Only for a local master without the setting (tests,
+    local runs) a fresh scratch folder is made.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -42,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage for this cluster")
     path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)

@@ -13,7 +13,10 @@ one task. Instead:
    exact prefix sum.
 
 A value that holds a third of all rows is still one row after step 1, so hot
-values do not create hot tasks.
+values do not create hot tasks. The keys are low-cardinality (features,
+models, classes): the per-key tables of steps 2-3 hold ``#keys × buckets``
+rows and are broadcast, so a key with most of the values is never routed to
+a single join task.
 """
 
 from __future__ import annotations
@@ -47,7 +50,7 @@ def value_prefix_sums(df: DataFrame, keys: Sequence[str], x: str,
     bounds = g.groupBy(*kcols).agg(
         F.percentile_approx(F.col(x).cast("double"), qs, accuracy).alias("__bounds"))
     xv = F.col(x).cast("double")
-    gb = (g.join(bounds, kcols)
+    gb = (g.join(F.broadcast(bounds), kcols)
           .withColumn("__bucket", F.size(F.filter("__bounds", lambda b: b < xv)))
           .drop("__bounds"))
 
@@ -62,7 +65,7 @@ def value_prefix_sums(df: DataFrame, keys: Sequence[str], x: str,
     )
 
     wb = Window.partitionBy(*kcols, "__bucket").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
-    out = gb.join(offsets, kcols + ["__bucket"])
+    out = gb.join(F.broadcast(offsets), kcols + ["__bucket"])
     cols = [F.col(c) for c in kcols] + [F.col(x)] + [F.col(n) for n in names]
     for n in names:
         le = F.col(f"__off_{n}") + F.sum(n).over(wb)

@@ -223,7 +223,8 @@ def chi_square_stats(df: DataFrame, features: Sequence[str], label: str) -> Data
     dims = ct.groupBy("feature").agg(
         F.sum("count").alias("n"), F.countDistinct("x").alias("r"), F.countDistinct("y").alias("k"),
         F.min("x").alias("__x0"), F.min("y").alias("__y0"))
-    cell = ct.join(rows, ["feature", "x"]).join(cols, ["feature", "y"]).join(dims, "feature")
+    # per-feature dimensions and label totals are tiny (features × classes): broadcast
+    cell = ct.join(rows, ["feature", "x"]).join(F.broadcast(cols), ["feature", "y"]).join(F.broadcast(dims), "feature")
     agg = cell.groupBy("feature", "n", "r", "k").agg(
         F.sum(F.col("count") * F.col("count") / (F.col("row_total") * F.col("col_total"))).alias("__s"),
         # 2×2 cells: a = (x0, y0), d = (x1, y1), b/c the off-diagonal ones

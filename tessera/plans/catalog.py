@@ -1077,7 +1077,7 @@ SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id
        round(l_extendedprice + l_discount * 1000, 6) AS total_author_citations,
        round((l_extendedprice + l_discount * 1000) / 2, 6) AS avg_author_citations,
        CAST(1 AS BIGINT) AS num_authorships,
-       round(l_extendedprice / 1000, 6) AS venue_impact_factor, 0.0 AS venue_h_index,
+       round(l_extendedprice / 1000, 6) AS venue_impact_factor, CAST(0.0 AS DOUBLE) AS venue_h_index,
        round(l_quantity, 6) AS venue_citations,
        CAST(l_linestatus = 'O' AS INTEGER) AS is_oa_venue, 0 AS is_in_doaj,
        CAST(2 AS BIGINT) AS num_concepts, round(greatest(l_discount * 10, l_tax * 10), 6) AS max_concept_score,

@@ -7,16 +7,32 @@ the value hash.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml.feature import StandardScaler as _StdScaler
+from pyspark.ml.feature import VectorAssembler as _VA
+from pyspark.ml.functions import vector_to_array as _v2a
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import stats
+from ..functions import encode
+from ..functions import nested as NF
+from ..functions import text as TX
+from ..operators import ensemble, evaluate, folds, stats
+from ..operators import join as JN
+from ..operators import models as MD
+from ..operators import resample as RS
+from ..operators import schema as SO
+from ..operators import vectors as VC
+from ..session import cut_lineage, ensure_checkpoint_dir
+from ..sources import files as FS
 from ..sources.tables import table
+from ..streaming import ingest
+from . import records as RC
+from . import scores as SC
 from . import sqlbits as S
 from . import works as W
-from ..functions import keys as _keys  # noqa: F401
 
 ROUND = 6
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,8 +100,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ================================================================== evaluation (scores)
-from ..operators import ensemble, evaluate, folds  # noqa: E402
-from . import scores as SC  # noqa: E402
 
 _SC = S.scores_cte()
 
@@ -369,7 +383,6 @@ def a24_score_summary(spark, sf_dir):
 
 
 # ================================================================== nested records F1, F5-F21, F29-F32
-from . import records as RC  # noqa: E402
 
 _DOUBLE_TYPES = ("double", "float")
 
@@ -446,8 +459,6 @@ def f5_f21_record_features(spark, sf_dir):
 
 
 # ================================================================== statistics and imputation
-from ..functions import encode, nested as NF, text as TX  # noqa: E402
-from ..operators import schema as SO  # noqa: E402
 
 RAW_COLUMNS = ["id", "title", "abstract", "language", "type", "n_chars", "label", "toxic"]
 NUMERIC_TRAIN = CORR_FEATURES + ["label", "toxic"]
@@ -481,11 +492,12 @@ def a1_missingness(spark, sf_dir):
     return stats.missingness_report(splits)
 
 
-@register("a2_medians", f"WITH {S.WORKS_CTE}, f2 AS (SELECT f.*, w.toxic FROM feats f JOIN works w USING (id)) "
-          + "\nUNION ALL\n".join(f"SELECT '{c}' AS column, round(median({c}), 6) AS median FROM f2 WHERE split = 'train'"
-                                  for c in NUMERIC_TRAIN).replace("UNION ALL\nSELECT", "UNION ALL\nSELECT", 1)
-          .replace(" f2 AS (SELECT f.*, w.toxic FROM feats f JOIN works w USING (id)) ",
-                   " f2 AS (SELECT f.*, w.toxic FROM feats f JOIN works w USING (id))\n"))
+_A2_SQL = (f"WITH {S.WORKS_CTE},\nf2 AS (SELECT f.*, w.toxic FROM feats f JOIN works w USING (id))\n"
+           + "\nUNION ALL\n".join(f"SELECT '{c}' AS column, round(median({c}), 6) AS median FROM f2 "
+                                    f"WHERE split = 'train'" for c in NUMERIC_TRAIN))
+
+
+@register("a2_medians", _A2_SQL)
 def a2_medians(spark, sf_dir):
     train = _feats_full(spark, sf_dir).where(F.col("split") == "train")
     return stats.column_medians(train, NUMERIC_TRAIN).select("column", rnd("median").alias("median"))
@@ -693,11 +705,7 @@ def a13_tukey_hsd(spark, sf_dir):
 
 
 # ================================================================== sources and sinks (S-series)
-import uuid  # noqa: E402
 
-from ..session import cut_lineage, ensure_checkpoint_dir  # noqa: E402
-from ..sources import files as FS  # noqa: E402
-from ..streaming import ingest  # noqa: E402
 
 
 def _scratch(spark, what: str) -> str:
@@ -769,10 +777,7 @@ def s13_stream_features(spark, sf_dir):
 
 
 # ================================================================== joins and vectors
-from pyspark.ml.feature import StandardScaler as _StdScaler, VectorAssembler as _VA  # noqa: E402
-from pyspark.ml.functions import vector_to_array as _v2a  # noqa: E402
 
-from ..operators import join as JN, models as MD, vectors as VC  # noqa: E402
 
 
 def _emb(spark, sf_dir):
@@ -933,7 +938,6 @@ def _Pipeline_fit(train):
 
 
 # ================================================================== neighbours and resampling
-from ..operators import resample as RS  # noqa: E402
 
 
 def _emb_binary(spark, sf_dir):

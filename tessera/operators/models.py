@@ -117,6 +117,20 @@ def best_model(comparison: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- M11/M12 tuning
+# MLlib counterparts of the reference's search spaces (trees: count, depth, learning rate,
+# row and feature subsampling, leaf size; forests: bootstrap and feature subsets; linear: penalty).
+DEFAULT_GRIDS = {
+    "gbt": {"maxIter": [100, 200, 300], "maxDepth": [3, 5, 7], "stepSize": [0.01, 0.05, 0.1, 0.2],
+            "subsamplingRate": [0.8, 0.9, 1.0], "featureSubsetStrategy": ["0.8", "0.9", "all"],
+            "minInstancesPerNode": [5, 10, 20]},
+    "random_forest": {"numTrees": [100, 200, 300], "maxDepth": [5, 10, 15], "minInstancesPerNode": [1, 2, 4],
+                      "featureSubsetStrategy": ["sqrt", "log2", "0.8"], "bootstrap": [True, False]},
+    "logistic": {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5, 1.0]},
+    "linear_svc": {"regParam": [0.0, 0.01, 0.1]},
+    "mlp": {"stepSize": [0.001, 0.01], "maxIter": [300, 500]},
+    "decision_tree": {"maxDepth": [5, 10, 15], "minInstancesPerNode": [1, 2, 4]},
+}
+
 def param_grid(est, grid: Mapping[str, Sequence], n_random: int | None = None, seed: int = 42):
     """M12 grid; with ``n_random`` a seeded random subset (random search)."""
     b = ParamGridBuilder()
@@ -129,7 +143,7 @@ def param_grid(est, grid: Mapping[str, Sequence], n_random: int | None = None, s
 
 
 def cross_validate(est, grid, data: DataFrame, fold_col: str = "fold", label: str = "label",
-                   parallelism: int = 2, metric: str = "f1", n_folds: int = 5) -> tuple[PipelineModel, list[float]]:
+                   parallelism: int = 4, metric: str = "f1", n_folds: int = 5) -> tuple[PipelineModel, list[float]]:
     """K-fold CV over a user fold column (W5), scored by positive-class F1 (or ROC-AUC)."""
     if metric == "f1":
         ev = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
@@ -141,6 +155,24 @@ def cross_validate(est, grid, data: DataFrame, fold_col: str = "fold", label: st
     return m.bestModel, [float(x) for x in m.avgMetrics]
 
 
+def fold_loop(kind: str, data: DataFrame, fold_col: str = "fold", n_folds: int = 5, features: str = "features",
+              label: str = "label", id_col: str = "id", n_features: int | None = None, **params) -> DataFrame:
+    """Train on all folds but one, score the held-out fold; per fold the F1 at the best
+    coarse threshold, that threshold, and ROC-AUC (summarised with ``evaluate.cv_summary``, A23)."""
+    from .evaluate import coarse_threshold_search
+    spark = data.sparkSession
+    rows = []
+    for k in range(n_folds):
+        train = data.where(F.col(fold_col) != k)
+        held = data.where(F.col(fold_col) == k)
+        scored = fit_and_score(kind, train, held, features, label, n_features=n_features, **dict(params))
+        s = scored.select(label, "p")
+        best = coarse_threshold_search(s, []).first()
+        auc = curve_areas(s, [], label).first()["roc_auc"]
+        rows.append((k, float(best["best_f1"]), float(best["best_threshold"]), None if auc is None else float(auc)))
+    return spark.createDataFrame(rows, "fold int, f1 double, threshold double, roc_auc double")
+
+
 # ---------------------------------------------------------------- M16 calibration
 def isotonic_calibrated_scores(kind: str, train: DataFrame, score: DataFrame, fold_col: str = "fold",
                                n_folds: int = 3, features: str = "features", label: str = "label",

@@ -875,7 +875,8 @@ def _model_frames(spark, sf_dir):
     hold = scaler.transform(hold)
     folds_ = folds.stratified_folds(train.select("id", "label"), "label", 5, "id", 42)
     # iterative fitting re-reads its input many times: cut the lineage into the shared checkpoint folder
-    train = cut_lineage(train.join(folds_.select("id", "fold"), "id").select("id", "label", "features", "fold"))
+    train = cut_lineage(train.join(folds_.select("id", "fold"), "id").select("id", "label", "raw", "features",
+                                                                               "fold"))
     hold = cut_lineage(hold.select("id", "label", "features"))
     return train, hold
 
@@ -909,13 +910,23 @@ def m10_model_comparison(spark, sf_dir):
 
 @register("m11_cross_validation")
 def m11_cross_validation(spark, sf_dir):
+    """5-fold CV over the W5 folds with the scaler inside the pipeline (fitted per fold)."""
     train, _ = _model_frames(spark, sf_dir)
-    est = MD.estimator("logistic")
-    grid = MD.param_grid(est, {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 0.5]})
-    _, metrics = MD.cross_validate(est, grid, train, "fold")
+    lr = MD.estimator("logistic", features="scaled")
+    pipe = MD.pipeline([_StdScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True), lr])
+    grid = MD.param_grid(lr, {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 0.5]})
+    _, metrics = MD.cross_validate(pipe, grid, train, "fold")
     return spark.createDataFrame([(i, m) for i, m in enumerate(metrics)], "param_set int, mean_f1 double")
 
 
+@register("m13_fold_loop")
+def m13_fold_loop(spark, sf_dir):
+    """M13 + A23: per-fold F1/threshold/AUC of a model, then their mean/std/best fold."""
+    train, _ = _model_frames(spark, sf_dir)
+    per_fold = MD.fold_loop("logistic", train, "fold", 5)
+    return evaluate.cv_summary(per_fold.withColumn("model", F.lit("logistic")), "f1", ["model"])
+
+
 @register("m16_isotonic_calibration")
 def m16_isotonic_calibration(spark, sf_dir):
     train, hold = _model_frames(spark, sf_dir)

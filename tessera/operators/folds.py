@@ -112,3 +112,19 @@ def weighted_resample(df: DataFrame, label: str, n: int | None = None, id_col: s
               .repartition(id_col, "__block"))
     return (spread.withColumn("__rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__in_block"))))
             .drop("__copies", "__block", "__in_block", "__rep"))
+
+
+def synthetic_ids(df: DataFrame, out: str = "id", prefix: str = "W", width: int | None = None) -> DataFrame:
+    """consecutive ids ``W0, W1, …`` (``width`` zero-pads, e.g. ``W0000000012``) for rows without one.
+
+    The order is the scan order (``monotonically_increasing_id`` taken right on
+    the input, which a recomputed scan task reproduces); exact prefix sums turn
+    those sparse ids into consecutive positions without a single-task window,
+    and a reliable checkpoint freezes the result.
+    """
+    from ..session import cut_lineage
+    m = df.withColumn("__m", F.monotonically_increasing_id())
+    pos = value_prefix_sums(m.withColumn("__c", F.lit(1).cast("long")), [], "__m", {"c": "__c"}) \
+        .select("__m", F.col("c_lt").alias("__pos"))
+    num = F.col("__pos").cast("string") if width is None else F.lpad(F.col("__pos").cast("string"), width, "0")
+    return cut_lineage(m.join(pos, "__m").withColumn(out, F.concat(F.lit(prefix), num)).drop("__m", "__pos"))

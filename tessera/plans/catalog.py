@@ -1119,3 +1119,9 @@ def f1_f21_nested_jsonl(spark, sf_dir):
     FS.write_jsonl(rec, path)                       # nested JSON lines, nulls omitted like absent keys
     back = FS.read_jsonl(spark, path, rec.schema)
     return _round_doubles(back.select("id", *NF.record_features(back.columns)))
+
+
+@register("f37_synthetic_ids")
+def f37_synthetic_ids(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark")
+    return folds.synthetic_ids(b, "work_id", "W", 10).select("item_id", "work_id")

@@ -10,8 +10,6 @@ Two forms:
   built from the row itself, no grouping), the shape raw JSON-lines records
   have; :func:`record_feature_table` runs the nested-array features on it.
 
-:func:`records` (one nested record per order via ``collect_list``) is kept for
-small inputs and tests; its per-order arrays are as large as the order.
 """
 
 from __future__ import annotations
@@ -27,62 +25,6 @@ from ..sources.tables import table
 AS_OF = dt.datetime(2025, 1, 1)
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    # one sorted array of line items per order; every nested field is derived from it
-    item = F.struct("l_linenumber", "l_quantity", "l_extendedprice", "l_partkey", "l_suppkey", "l_discount",
-                    "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
-    grouped = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    it = F.col("items")
-    author = lambda i: F.struct(
-        i["l_linenumber"].alias("_pos"),
-        F.when(i["l_linenumber"] <= 3, F.concat(F.lit("p"), i["l_linenumber"].cast("string"))).alias("author_position"),
-        F.struct(F.struct(i["l_quantity"].alias("2yr_h_index"), i["l_extendedprice"].alias("2yr_citedness_count"),
-                          i["l_linenumber"].cast("double").alias("2yr_works_count")).alias("summary_stats"))
-        .alias("author"),
-        F.array(F.struct(F.concat(F.lit("I"), i["l_suppkey"].cast("string")).alias("id"))).alias("institutions"))
-    nested_items = grouped.select(
-        "l_orderkey",
-        F.transform(it, author).alias("authorships"),
-        F.transform(it, lambda i: F.struct((i["l_discount"] * 10).alias("score"))).alias("concepts"),
-        F.transform(it, lambda i: F.struct((i["l_tax"] * 10).alias("score"))).alias("topics"),
-        F.transform(it, lambda i: i["l_partkey"].cast("string")).alias("referenced_works"),
-        F.array_distinct(F.transform(it, lambda i: i["l_suppkey"].cast("string"))).alias("related_works"),
-        F.transform(F.filter(it, lambda i: i["l_returnflag"] == "R"),
-                    lambda i: F.struct(i["l_linenumber"].alias("n"))).alias("grants"),
-        F.transform(it, lambda i: F.struct(i["l_shipdate"].alias("ts"))).alias("locations"),
-        F.array_distinct(F.transform(it, lambda i: i["l_returnflag"])).alias("keywords"),
-        F.transform(F.filter(it, lambda i: i["l_linestatus"] == "O"), lambda i: i["l_linenumber"]).alias("mesh"),
-        F.transform(F.filter(it, lambda i: i["l_discount"] > 0.08), lambda i: i["l_linenumber"])
-        .alias("sustainable_development_goals"))
-    o = table(spark, sf_dir, "orders")
-    base = o.select(
-        F.col("o_orderkey").alias("id"),
-        F.year("o_orderdate").alias("publication_year"),
-        F.col("o_orderpriority").alias("type"),
-        F.col("o_orderstatus").alias("language"),
-        F.struct(F.struct(
-            (F.col("o_orderstatus") == "O").alias("is_oa"),
-            F.col("o_orderpriority").startswith("1").alias("is_in_doaj"),
-            F.struct((F.col("o_totalprice") / 1000).alias("2yr_impact_factor"),
-                     F.pmod(F.col("o_custkey"), F.lit(100)).cast("double").alias("2yr_h_index"),
-                     F.col("o_totalprice").alias("2yr_cited_by_count")).alias("summary_stats")).alias("source"))
-        .alias("primary_location"),
-        F.struct((F.col("o_orderstatus") == "F").alias("is_oa"),
-                 F.when(F.col("o_orderstatus") == "F", F.lit("gold"))
-                 .when(F.col("o_orderstatus") == "P", F.lit("green")).alias("oa_status"),
-                 F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("any_repository_has_fulltext"))
-        .alias("open_access"),
-        F.struct(F.when(F.col("o_orderpriority") == "1-URGENT",
-                        F.concat(F.lit("10.1/"), F.col("o_orderkey").cast("string")))
-                 .when(F.col("o_orderpriority") == "2-HIGH", F.lit("")).alias("doi"),
-                 F.when(F.col("o_orderstatus") == "F", F.col("o_custkey").cast("string")).alias("pmid"),
-                 F.lit(None).cast("string").alias("pmcid")).alias("ids"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("updated_date"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("publication_date"))
-    return base.join(nested_items, base["id"] == nested_items["l_orderkey"], "left").drop("l_orderkey")
-
-
 def order_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-order F1, F5-F21, F29-F32 from flat line items (same values as the nested path)."""
     li = table(spark, sf_dir, "lineitem")

@@ -107,3 +107,25 @@ def test_pca_components_orthonormal(spark):
     assert len(ev) == 3 and ev[0] >= ev[1] >= ev[2]
     proj = np.array([r[0] for r in vectors.apply_pca(m, df, "v", "p").select("p").collect()])
     assert np.allclose(proj.mean(0), 0, atol=1e-5)                    # centred before projecting
+
+
+def test_user_model_embedding_and_mean_pool(spark):
+    def make_fn():
+        def predict(texts):
+            return np.stack([[len(t), t.count(" "), 1.0] for t in texts]).astype(np.float32)
+        return predict
+    df = spark.createDataFrame([(1, "a b c"), (2, None)], "id long, t string")
+    out = {r["id"]: r["embedding"] for r in vectors.embed_text(df, "t", model_fn=make_fn, dim=3).collect()}
+    assert out[1] == [5.0, 2.0, 1.0] and out[2] == [0.0, 0.0, 1.0]
+    tok = np.array([[[1.0, 2.0], [3.0, 4.0], [100.0, 100.0]]])
+    assert np.allclose(vectors.mean_pool(tok, np.array([[1, 1, 0]])), [[2.0, 3.0]])
+
+
+def test_synthetic_ids_consecutive(spark):
+    from tessera.operators import folds
+    df = spark.range(0, 50, numPartitions=4).withColumnRenamed("id", "x")
+    ids = sorted(r["id"] for r in folds.synthetic_ids(df, width=4).collect())
+    assert ids == sorted(f"W{i:04d}" for i in range(50))
+    fb = [r["embedding"] for r in vectors.embed_text(spark.createDataFrame([(1, "x y")], "id long, t string"),
+                                                     "t", dim=8).collect()]
+    assert len(fb[0]) == 8

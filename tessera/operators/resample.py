@@ -188,16 +188,18 @@ def knn_within_groups(df: DataFrame, group_col: str, k: int, features: str = "fe
 
 
 def knn_join(query: DataFrame, base: DataFrame, k: int, features: str = "features", id_col: str = "id",
-             label: str | None = None, max_base_rows: int = 200_000) -> DataFrame:
+             label: str | None = None, max_base_cells: int = 20_000_000) -> DataFrame:
     """Exact k nearest ``base`` rows for every ``query`` row.
 
-    The base side is shipped to every task, so its size is checked first
-    (``max_base_rows`` rows); larger bases must be split into groups and use
-    :func:`knn_within_groups`. Output: id, neighbor_id, rank, distance (+ neighbor label).
+    The base side is shipped to every task, so its size is checked first:
+    rows × dimensions must stay within ``max_base_cells`` (20 M doubles ≈ 160 MB);
+    larger bases must be split into groups and use :func:`knn_within_groups`.
+    Output: id, neighbor_id, rank, distance (+ neighbor label).
     """
-    n = base.count()
-    if n > max_base_rows:
-        raise ValueError(f"base has {n} rows > {max_base_rows}; group it and use knn_within_groups")
+    shape = base.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(features)).alias("d")).first()
+    cells = int(shape["n"] or 0) * int(shape["d"] or 0)
+    if cells > max_base_cells:
+        raise ValueError(f"base has {cells} cells > {max_base_cells}; group it and use knn_within_groups")
     cols = [F.col(id_col).cast("string").alias("id"), F.col(features).cast("array<double>").alias("f")]
     if label:
         cols.append(F.col(label).cast("int").alias("label"))

@@ -23,14 +23,14 @@ def _key(df: DataFrame, id_col: str, seed: int):
     return seeded_key(id_col, seed) if integral else seeded_key_any(id_col, seed)
 
 
-def class_positions(df: DataFrame, label: str, id_col: str = "id", seed: int = 42,
+def class_positions(df: DataFrame, label: str | None, id_col: str = "id", seed: int = 42,
                     strata: Sequence[str] = ()) -> DataFrame:
     """Adds ``pos`` (0-based position inside the class in seeded order) and ``class_n``.
 
     Order: seeded hash key, then id. The (key, id) pair is unique, so the
-    position is a true permutation.
+    position is a true permutation. ``label=None`` ranks the whole table.
     """
-    keys = list(strata) + [label]
+    keys = list(strata) + ([label] if label is not None else [])
     k = df.withColumn("__h", _key(df, id_col, seed))
     pre = value_prefix_sums(k.withColumn("__c", F.lit(1).cast("long")), keys, "__h", {"c": "__c"})
     # rows sharing a hash key (rare, small groups) are ordered by id inside it
@@ -80,8 +80,8 @@ def exact_sample(df: DataFrame, fraction: float, id_col: str = "id", seed: int =
     is a filter, not a sort-and-limit through one task.
     """
     n = int(df.count() * fraction)
-    pos = class_positions(df.withColumn("__all", F.lit(0)), "__all", id_col, seed)
-    return pos.where(F.col("pos") < n).drop("pos", "class_n", "__all")
+    pos = class_positions(df, None, id_col, seed)
+    return pos.where(F.col("pos") < n).drop("pos", "class_n")
 
 
 COPY_BLOCK = 10_000   # copies of one row made inside one task at most

@@ -26,9 +26,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_K = "__key0"
-
-
 def value_prefix_sums(df: DataFrame, keys: Sequence[str], x: str,
                       sums: Mapping[str, Column | str], buckets: int = 64,
                       accuracy: int = 10000) -> DataFrame:
@@ -37,41 +34,40 @@ def value_prefix_sums(df: DataFrame, keys: Sequence[str], x: str,
     Output columns: ``keys…, x``, every name in ``sums`` (this value's sum),
     ``{name}_le`` (sum over values ≤ x), ``{name}_lt`` (< x) and
     ``{name}_total`` (all values of the key). Rows where ``x`` is null are
-    ignored.
+    ignored. Without keys the whole table is one key (its bounds are a scalar
+    subquery).
     """
     keys = list(keys)
     names = list(sums)
-    kcols = keys if keys else [_K]
-    base = df if keys else df.withColumn(_K, F.lit(0))
     aggs = [F.sum(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in sums.items()]
-    g = base.where(F.col(x).isNotNull()).groupBy(*kcols, x).agg(*aggs)
+    g = df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(*aggs)
 
     qs = [i / buckets for i in range(1, buckets)]
-    bounds = g.groupBy(*kcols).agg(
-        F.percentile_approx(F.col(x).cast("double"), qs, accuracy).alias("__bounds"))
+    pct = F.percentile_approx(F.col(x).cast("double"), qs, accuracy).alias("__bounds")
+    if keys:
+        with_bounds = g.join(F.broadcast(g.groupBy(*keys).agg(pct)), keys)
+    else:
+        with_bounds = g.withColumn("__bounds", g.agg(pct).scalar())
     xv = F.col(x).cast("double")
-    gb = (g.join(F.broadcast(bounds), kcols)
-          .withColumn("__bucket", F.size(F.filter("__bounds", lambda b: b < xv)))
-          .drop("__bounds"))
+    gb = with_bounds.withColumn("__bucket", F.size(F.filter("__bounds", lambda b: b < xv))).drop("__bounds")
 
-    per_bucket = gb.groupBy(*kcols, "__bucket").agg(*[F.sum(n).alias(f"__b_{n}") for n in names])
-    wk = Window.partitionBy(*kcols).orderBy("__bucket")
+    per_bucket = gb.groupBy(*keys, "__bucket").agg(*[F.sum(n).alias(f"__b_{n}") for n in names])
+    wk = Window.partitionBy(*keys).orderBy("__bucket")          # ≤ buckets rows per key
     before = wk.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*kcols)
+    whole = Window.partitionBy(*keys)
     offsets = per_bucket.select(
-        *kcols, "__bucket",
+        *keys, "__bucket",
         *[F.coalesce(F.sum(f"__b_{n}").over(before), F.lit(0)).alias(f"__off_{n}") for n in names],
         *[F.sum(f"__b_{n}").over(whole).alias(f"{n}_total") for n in names],
     )
 
-    wb = Window.partitionBy(*kcols, "__bucket").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
-    out = gb.join(F.broadcast(offsets), kcols + ["__bucket"])
-    cols = [F.col(c) for c in kcols] + [F.col(x)] + [F.col(n) for n in names]
+    wb = Window.partitionBy(*keys, "__bucket").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
+    out = gb.join(F.broadcast(offsets), keys + ["__bucket"])
+    cols = [F.col(c) for c in keys] + [F.col(x)] + [F.col(n) for n in names]
     for n in names:
         le = F.col(f"__off_{n}") + F.sum(n).over(wb)
         cols += [le.alias(f"{n}_le"), (le - F.col(n)).alias(f"{n}_lt"), F.col(f"{n}_total")]
-    res = out.select(*cols)
-    return res if keys else res.drop(_K)
+    return out.select(*cols)
 
 
 def average_ranks(df: DataFrame, keys: Sequence[str], x: str, weight: Column | str | None = None,

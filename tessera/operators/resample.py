@@ -106,8 +106,8 @@ def tomek_keep(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def assign_chunks(df: DataFrame, chunk_rows: int = CHUNK_ROWS, id_col: str = "id", seed: int = BASE_SEED,
                   out: str = "chunk") -> DataFrame:
     """Bounded chunks of the seeded (shuffled) order: ``floor(position / chunk_rows)``."""
-    pos = class_positions(df.withColumn("__all", F.lit(0)), "__all", id_col, seed)
-    return pos.withColumn(out, F.floor(F.col("pos") / chunk_rows).cast("long")).drop("pos", "class_n", "__all")
+    pos = class_positions(df, None, id_col, seed)
+    return pos.withColumn(out, F.floor(F.col("pos") / chunk_rows).cast("long")).drop("pos", "class_n")
 
 
 RESAMPLED_SCHEMA = "chunk long, id string, label int, features array<double>, synthetic boolean"

@@ -5,15 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_K = "__scalar_key"
-
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate (e.g. totals) to every row of ``df``.
+    """Attach the columns of a one-row global aggregate (e.g. totals) to every row of ``df``.
 
-    The right side is a global aggregate, so it has exactly one row; the
-    equi-join on a constant broadcasts that row.
+    Each column becomes a scalar subquery (computed once, no join), the plan
+    form of "total = (SELECT sum(...) FROM ...)".
     """
-    return (df.withColumn(_K, F.lit(0))
-            .join(F.broadcast(one_row.withColumn(_K, F.lit(0))), _K)
-            .drop(_K))
+    return df.select("*", *[one_row.select(F.col(c)).scalar().alias(c) for c in one_row.columns])

@@ -31,7 +31,6 @@ def order_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     z = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))  # noqa: E731  (missing value → 0)
     agg = li.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("num_authors"),
-        F.count_distinct(F.concat(F.lit("I"), F.col("l_suppkey").cast("string"))).alias("num_institutions"),
         F.min_by(F.struct(z("l_quantity").alias("h"), z("l_extendedprice").alias("c"),
                           z("l_linenumber").alias("w")),
                  F.struct("l_linenumber", "l_quantity", "l_extendedprice")).alias("__first"),
@@ -41,12 +40,17 @@ def order_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("l_linenumber") <= 3).alias("num_authorships"),
         F.max(z("l_discount") * 10).alias("max_concept_score"), F.avg(z("l_discount") * 10).alias("avg_concept_score"),
         F.count_if(z("l_discount") * 10 >= nested.HIGH_CONCEPT_SCORE).alias("num_high_concepts"),
-        F.count("l_partkey").alias("num_references"), F.count_distinct("l_suppkey").alias("num_related_works"),
+        F.count("l_partkey").alias("num_references"),
         F.count_if(F.col("l_returnflag") == "R").alias("num_grants"),
         F.max(z("l_tax") * 10).alias("max_topic_score"), F.avg(z("l_tax") * 10).alias("avg_topic_score"),
-        F.count_distinct("l_returnflag").alias("num_keywords"),
         F.count_if(F.col("l_linestatus") == "O").alias("num_mesh_terms"),
         F.count_if(F.col("l_discount") > 0.08).alias("num_sdgs"))
+    # distinct counts in their own aggregation: Spark expands rows once per distinct column, and
+    # only these two columns need it (institution ids are "I" + supplier key, so their distinct
+    # count is the distinct count of non-null supplier keys)
+    distinct = li.groupBy("l_orderkey").agg(F.count_distinct("l_suppkey").alias("num_institutions"),
+                                            F.count_distinct("l_returnflag").alias("num_keywords"))
+    agg = agg.join(distinct, "l_orderkey")
     o = table(spark, sf_dir, "orders")
     j = o.join(agg, o["o_orderkey"] == agg["l_orderkey"], "left")
     n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
@@ -75,7 +79,7 @@ def order_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                    .when(F.col("o_orderstatus") == "P", F.lit("green")), F.lit(nested.DEFAULT_OA_STATUS))
         .alias("oa_status"),
         nested.flag(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("any_repository_has_fulltext"),
-        n("num_references").alias("num_references"), n("num_related_works").alias("num_related_works"),
+        n("num_references").alias("num_references"), n("num_institutions").alias("num_related_works"),
         nested.flag(F.col("o_orderpriority") == "1-URGENT").alias("has_doi"),
         nested.flag(F.col("o_orderstatus") == "F").alias("has_pmid"), F.lit(0).alias("has_pmcid"),
         n("num_grants").alias("num_grants"), (n("num_grants") > 0).cast("int").alias("has_grants"),

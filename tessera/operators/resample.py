@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .folds import class_positions, stratified_split
 from .join import union_splits
 
@@ -154,7 +155,9 @@ def resample_half(train: DataFrame, features: str = "features", label: str = "la
                   method: str = "enn", chunk_rows: int = CHUNK_ROWS, ratio: float | None = None,
                   seed: int = BASE_SEED) -> DataFrame:
     """V13 + U2: stratified half resampled chunk by chunk, the other half kept as is."""
-    split = stratified_split(train, label, test_fraction=1 - HALF, id_col=id_col, seed=seed, out="__keep")
+    # both halves read the split: compute it once into the shared checkpoint folder
+    split = cut_lineage(stratified_split(train, label, test_fraction=1 - HALF, id_col=id_col, seed=seed,
+                                         out="__keep"))
     part = split.where(~F.col("__keep")).drop("__keep")
     kept = split.where(F.col("__keep")).drop("__keep")
     r = ratio if ratio is not None else adaptive_ratio(part.count())

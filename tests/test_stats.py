@@ -146,3 +146,19 @@ def test_class_counts_and_weights(spark, label_values):
     for k, r in w.items():
         assert math.isclose(r["balanced_weight"], n / (len(w) * r["count"]))
     assert stats.label_diagnostics(df, "label").first()["is_categorical"]
+
+
+def _tail(pdf, lo, hi=None, n=2_000_001):
+    x = np.linspace(lo, hi if hi is not None else lo + 400, n)
+    return np.trapezoid(pdf(x), x)
+
+
+def test_chi2_and_f_tails_match_integrated_densities(spark):
+    k, xv = 3.0, 7.5
+    c = 1 / (2 ** (k / 2) * math.gamma(k / 2))
+    want = _tail(lambda x: c * x ** (k / 2 - 1) * np.exp(-x / 2), xv)
+    assert math.isclose(jvmstats.chi2_sf(spark, xv, k), want, rel_tol=1e-6)
+    d1, d2, f = 3.0, 20.0, 2.5
+    b = math.exp(math.lgamma(d1 / 2) + math.lgamma(d2 / 2) - math.lgamma((d1 + d2) / 2))
+    dens = lambda x: np.sqrt((d1 * x) ** d1 * d2 ** d2 / (d1 * x + d2) ** (d1 + d2)) / (x * b)
+    assert math.isclose(jvmstats.f_sf(spark, f, d1, d2), _tail(dens, f, f + 2000, 4_000_001), rel_tol=1e-5)

@@ -132,7 +132,7 @@ def threshold_metrics(scores: DataFrame, thresholds: Sequence[float], keys: Sequ
     pos_of = F.array(*[F.lit(grid.index(float(t)) + 1) for t in thresholds])
     listed = F.posexplode(pos_of).alias("t_index", "__idx")
     keyed = totals.select(*kcols, listed)
-    out = keyed.join(joined.drop("n_pos", "n_neg"), kcols + ["__idx"]).join(totals, kcols)
+    out = keyed.join(joined, kcols + ["__idx"])
     tp, fp = F.col("tp"), F.col("fp")
     fn = F.col("n_pos") - tp
     tn = F.col("n_neg") - fp
@@ -188,9 +188,9 @@ def coarse_threshold_search(scores: DataFrame, keys: Sequence[str] = ("model",),
 
 def threshold_search(scores: DataFrame, keys: Sequence[str] = ("model",), label: str = "label",
                      p: str = "p") -> DataFrame:
-    """Argmax of F1 on the PR curve (first maximum by ascending threshold; the end
-    point has F1 0 and threshold 0.5), then the 120-point grid replaces it only on strict
-    improvement (first grid point reaching the grid maximum)."""
+    """Argmax of F1 (with 1e-10 added to P+R) over the PR curve's thresholds (first maximum
+    by ascending threshold), then the 120-point grid replaces it only on strict improvement
+    (first grid point reaching the grid maximum)."""
     scores, keys, added = _ensure_keys(scores, keys)
     pr = pr_curve(scores, keys, label, p)
     f1pr = 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + PR_F1_EPS)
@@ -198,13 +198,15 @@ def threshold_search(scores: DataFrame, keys: Sequence[str] = ("model",), label:
     pr_best = _first_best(pr, keys, "f1", F.col("threshold"), ["threshold", "f1"]).select(
         *keys, F.col("threshold").alias("pr_threshold"), F.col("f1").alias("pr_f1"))
     grid = threshold_metrics(scores, FINE_GRID, keys, label, p)
-    g_best = _first_best(grid, keys, "f1", F.col("t_index"), ["threshold", "f1"]).select(
-        *keys, F.col("threshold").alias("g_threshold"), F.col("f1").alias("g_f1"))
-    j = pr_best.join(g_best, list(keys))
-    better = F.col("g_f1") > F.col("pr_f1")
-    return _done(j.select(*keys,
-                          F.when(better, F.col("g_threshold")).otherwise(F.col("pr_threshold")).alias("best_threshold"),
-                          F.when(better, F.col("g_f1")).otherwise(F.col("pr_f1")).alias("best_f1")), added)
+    g_best = _first_best(grid, keys, "f1", F.col("t_index"), ["threshold", "f1"])
+    # one row per key from each search; the grid replaces the PR choice only on a strictly
+    # higher F1 (on a tie the PR row's priority 1 wins)
+    both = (pr_best.select(*keys, F.col("pr_threshold").alias("threshold"), F.col("pr_f1").alias("f1"),
+                           F.lit(1).alias("__prio"))
+            .unionByName(g_best.select(*keys, "threshold", "f1", F.lit(0).alias("__prio"))))
+    best = both.groupBy(*keys).agg(F.max_by(F.struct("threshold", "f1"), F.struct("f1", "__prio")).alias("__b"))
+    return _done(best.select(*keys, F.col("__b.threshold").alias("best_threshold"),
+                             F.col("__b.f1").alias("best_f1")), added)
 
 
 # ----------------------------------------------------------------- A17 / A18

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed values of the record features.
 HIGH_CONCEPT_SCORE = 0.5

@@ -17,11 +17,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import Binarizer, MinMaxScaler
+from pyspark.ml.feature import Binarizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .evaluate import curve_areas, f1_at_threshold
@@ -224,13 +224,5 @@ def load_bundle(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
     return model, meta
 
 
-def minmax(col: str, out: str) -> MinMaxScaler:
-    return MinMaxScaler(inputCol=col, outputCol=out)
-
-
 def pipeline(stages) -> Pipeline:
     return Pipeline(stages=list(stages))
-
-
-def label_double(df: DataFrame, label: str = "label") -> Column:
-    return F.col(label).cast("double")

@@ -129,3 +129,26 @@ def test_synthetic_ids_consecutive(spark):
     fb = [r["embedding"] for r in vectors.embed_text(spark.createDataFrame([(1, "x y")], "id long, t string"),
                                                      "t", dim=8).collect()]
     assert len(fb[0]) == 8
+
+
+def test_column_classification_and_selection(spark):
+    df = spark.createDataFrame([(1, "a", 2.0, [0.1], 3, True)],
+                               "id long, type string, x double, specter2_embedding array<float>, n int, b boolean")
+    groups = schema.classify_columns(df, embedding_prefixes=["specter2_"])
+    assert groups == {"id": ["id"], "embedding": ["specter2_embedding"], "numeric": ["x", "n", "b"],
+                      "categorical": ["type"]}
+    sel = schema.select_available(df, ["x", "missing", "id", "x"])
+    assert sel.columns == ["x", "id"]
+    fs = schema.feature_set(df, {"regular": ["x", "n"], "specter2": ["specter2_embedding"]}, ["regular", "specter2"])
+    assert fs.columns == ["x", "n", "specter2_embedding"]
+
+
+def test_size_shuffles_only_raises(spark):
+    from tessera.session import size_shuffles
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        assert size_shuffles(spark, 10 << 30, min_partitions=1) >= 40
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 40
+        assert size_shuffles(spark, 1, min_partitions=1) == 40          # never lowered
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(before))

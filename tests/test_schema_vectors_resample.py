@@ -146,9 +146,11 @@ def test_column_classification_and_selection(spark):
 def test_size_shuffles_only_raises(spark):
     from tessera.session import size_shuffles
     before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     try:
         assert size_shuffles(spark, 10 << 30, min_partitions=1) >= 40
         assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 40
         assert size_shuffles(spark, 1, min_partitions=1) == 40          # never lowered
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", str(before))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)

@@ -71,3 +71,14 @@ def test_extract_struct_and_compose(spark):
     assert out.columns == ["id", "source_a", "source_b"]
     composed = schema.compose(df, [(True, lambda d: d.withColumn("k", F.lit(1))), (False, lambda d: d.drop("id"))])
     assert composed.columns == ["id", "s", "k"]
+
+
+def test_streaming_bounded_batches(spark):
+    src = tempfile.mkdtemp(prefix="tessera-src-")
+    sink = tempfile.mkdtemp(prefix="tessera-sink-") + "/out"
+    schema = "id long, text string"
+    for i in range(3):
+        spark.createDataFrame([(i, "t" * (i + 1))], schema).coalesce(1).write.mode("append").parquet(src)
+    ingest.ingest_available(spark, src, spark.createDataFrame([], schema).schema, lambda d: d, sink,
+                            max_files_per_trigger=1)
+    assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == [0, 1, 2]

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tessera.llm.codes import mix64
 from tessera.llm.scratch import Scratch
 
-WEIGHTS, CAP, GROUP, SEED = (5, 2, 1), 3.0, 20_000, 17
+WEIGHTS, CAP, GROUP, SEED = (5, 2, 1), 3.0, 2_000, 17
 #: Documents of a source that are left to the landing step, beside the flight's last two
 LANDING = 10
 WORD = r"[^\x20\x09-\x0D]+"

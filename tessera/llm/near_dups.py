@@ -7,12 +7,13 @@ from the root: at every node the path itself picks a position, and the class mov
 named by its minwise value there, so two classes of similarity s part at a step with probability
 1 - s. Nodes are looked at from ``DEPTH`` steps on, where unrelated classes rarely meet:
 
-1. every class is compared with its node's pivot (the smallest id), found links are united;
+1. every class is compared with the smallest of its nodes' pivots (a node's smallest id) that looks
+   alike, and found links are united;
 2. a node whose classes are united is done, as further links in it change nothing. In other
-   small nodes (at most ``SMALL`` components) the components are compared exhaustively; larger nodes
-   drop the pivot's component and the rest branches on by two further minwise tokens each;
-3. two components that look similar (by the signatures of their smallest members in the node) are
-   compared on the full sets of all their members, in bounded chunks, one link found being enough.
+   small nodes (at most ``SMALL`` components) the components are compared exhaustively by the
+   signatures of their smallest members there; larger nodes branch on by further minwise tokens;
+3. two components found alike are compared on the full sets of all their members, in bounded chunks,
+   one link found being enough.
 
 Every link is confirmed on full sets with ``100 * |A & B| >= 80 * |A | B|``. A pair of similarity 0.8
 meets in one tree with probability 0.8**5, so that 32 trees miss it with probability 3e-6.
@@ -32,13 +33,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tessera.llm.codes import NOT_SPACE, mix64, slices, windows, words_of
 from tessera.llm.scratch import Scratch
 
 WIDTH, PERCENT = 2, 80
 POSITIONS, TREES, DEPTH, SMALL, CHUNK = 128, 32, 5, 64, 256
+#: Ways on from a large node, and their length: a pair of similarity 0.8 parts on all with probability 0.014
+FORKS, DEEPER = 18, 7
 #: Signature similarity from which pairs are compared on their full sets: low enough for a link
 #: between the components of two classes, not just between the classes
 ALIKE, ALIKE_PIVOT = 0.4, 0.68
@@ -139,12 +142,17 @@ def _plant(trees: int, depth: int):
 
 
 def _branch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Two children (by independent positions) of each class's node."""
+    """The nodes that each class of a large node reaches on FORKS ways of DEEPER steps more."""
     for frame in frames:
         if len(frame):
-            signature = _matrix(frame["signature"])
-            path = frame["node"].to_numpy(np.int64).view(np.uint64)
-            yield pd.concat([pd.DataFrame({"id": frame["id"], "node": _step(mix64(path + np.uint64(k)), signature).view(np.int64)}) for k in (1, 2)], ignore_index=True)
+            signature, parts = _matrix(frame["signature"]), []
+            root = frame["node"].to_numpy(np.int64).view(np.uint64)
+            for fork in range(1, FORKS + 1):
+                path = mix64(root + np.uint64(fork))
+                for _ in range(DEEPER):
+                    path = _step(path, signature)
+                parts.append(pd.DataFrame({"id": frame["id"], "node": path.view(np.int64)}))
+            yield pd.concat(parts, ignore_index=True)
 
 
 def _alike(least: float):
@@ -156,6 +164,28 @@ def _alike(least: float):
     return run
 
 
+def _exhaust(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All pairs of small nodes' components that look alike, each once a task; a row is a node.
+
+    Two single classes must look like a link; members of larger components may be more alike than those here.
+    """
+    seen: set[tuple[int, int]] = set()
+    for frame in frames:
+        fresh = set()
+        for node in frame["held"]:
+            label, size = np.array([h["label"] for h in node]), np.array([h["n_label"] for h in node])
+            signature = np.frombuffer(b"".join(h["signature"] for h in node), dtype=np.uint16).reshape(-1, POSITIONS)
+            same = (signature[:, None, :] == signature[None, :, :]).mean(axis=2)
+            least = np.where((size[:, None] == 1) & (size[None, :] == 1), ALIKE_PIVOT, ALIKE)
+            for i, j in zip(*np.nonzero(np.triu(same >= least, 1))):
+                a, b = int(min(label[i], label[j])), int(max(label[i], label[j]))
+                if a != b and (a, b) not in seen:
+                    fresh.add((a, b))
+        if len(seen) < 1_000_000:
+            seen |= fresh
+        yield pd.DataFrame(sorted(fresh), columns=["a", "b"], dtype="int64")
+
+
 def _chunk_links(percent: int):
     """Links between the members of two chunks; one for each of the smaller side is enough."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -166,7 +196,7 @@ def _chunk_links(percent: int):
             sizes = np.array([len(x) for x in sets])
             flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
             for id_, mine in zip(few["id"], few["set"]):
-                mine = np.asarray(mine, dtype=np.int64)
+                mine = np.sort(np.asarray(mine, dtype=np.int64))
                 at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
                 both = np.bincount(owner[mine[at] == flat], minlength=len(sets))
                 hit = np.flatnonzero(100 * both >= percent * (sizes + len(mine) - both))
@@ -180,26 +210,26 @@ def _chunk_links(percent: int):
 def connected(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(id, label): the smallest id reachable over undirected links (a, b), for every linked id.
 
-    Hash-to-min with jumps: each round every id takes the smallest label among its neighbours'
-    and its own, then the label of that label, until nothing changes.
+    Each round every id takes the smallest label among its neighbours and itself; after the first rounds,
+    which settle stars, also the label of that label, so that long chains halve. Labels only fall:
+    when their sum stays, they are final.
     """
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    spark = links.sparkSession
+    both = links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")), F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b"))).alias("e")).select("e.a", "e.b").distinct()
     edges = scratch.table(both, f"{name}-edges")
-    labels = scratch.table(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("label")), f"{name}-0")
-    turn = 0
+    labels, last, turn = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label")), None, 0
     while True:
-        turn += 1
-        near = edges.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        best = labels.join(near, "id").withColumn("best", F.least("label", "near"))
-        far = labels.select(F.col("id").alias("best"), F.col("label").alias("far"))
-        moved = best.join(far, "best").select("id", "label", F.least("best", "far").alias("new"))
-        moved = scratch.table(moved, f"{name}-{turn}")
-        changed = moved.where(F.col("new") < F.col("label")).limit(1).count()
-        scratch.drop(f"{name}-{turn - 1}")
-        labels = moved.select("id", F.col("new").alias("label"))
-        if not changed:
-            scratch.drop(f"{name}-edges")
+        seen = Observation()
+        path = scratch.path(f"{name}-{turn}")
+        labels.observe(seen, F.sum(F.col("label").cast("decimal(38,0)")).alias("total")).write.mode("overwrite").parquet(path)
+        labels, total = spark.read.schema("id long, label long").parquet(path), seen.get["total"]
+        if total == last:
             return labels
+        last, turn = total, turn + 1
+        labels = edges.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("label"))
+        if turn > 3:
+            held = spark.read.schema("id long, label long").parquet(path)
+            labels = labels.join(held.toDF("label", "far"), "label").select("id", F.least("label", "far").alias("label"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -230,42 +260,43 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, tree
     signed = heads.select("id", "signature")
 
     # nodes of the trees, from the depth at which they are looked at
-    planted = signed.mapInPandas(_plant(trees, depth), "id long, node long")
+    planted = scratch.table(signed.mapInPandas(_plant(trees, depth), "id long, node long"), "planted")
     nodes = planted.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
     member = scratch.table(planted.join(nodes, "node").select("node", "id", "pivot"), "members")
     involved = heads.select("id", "s1").join(member.select("id").distinct(), "id", "left_semi")
     sets = text.withColumnRenamed("doc_id", "id").join(involved, "id").select("id", "text", "s1")
     sets = scratch.table(sets.mapInArrow(_sets(width), "id long, set array<long>"), "sets")
 
-    # 1. pivots: first each class's smallest one, then those that did not unite it
+    # 1. each class with the smallest pivot that looks alike
     stars = member.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     stars = stars.join(signed.toDF("a", "sa"), "a").join(signed.toDF("b", "sb"), "b")
-    stars = scratch.table(stars.mapInPandas(_alike(ALIKE_PIVOT), "a long, b long"), "stars")
-    links = scratch.table(_confirmed(stars.groupBy("a").agg(F.min("b").alias("b")), sets, percent), "links0")
-    labels = connected(links, scratch, "labels0")
-    apart = _apart(stars, labels)
-    links = links.union(scratch.table(_confirmed(apart, sets, percent), "links1"))
+    stars = stars.mapInPandas(_alike(ALIKE_PIVOT), "a long, b long").groupBy("a").agg(F.min("b").alias("b"))
+    links = scratch.table(_confirmed(stars, sets, percent), "links1")
     labels = connected(links, scratch, "labels1")
 
     # 2. nodes that still hold several components
+    sized = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_label"))
+    of_id = scratch.table(labels.join(sized, "label"), "sized-labels")
     similar, turn = None, 0
     while True:
-        held = _labelled(member.select("node", "id"), labels).groupBy("node", "label").agg(F.min("id").alias("id"))
-        counted = held.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("least")).where("n > 1")
-        open_ = scratch.table(held.join(counted, "node"), f"open{turn}")
-        one = open_.select("node", "n", "least", F.col("label").alias("a"), F.col("id").alias("ia"))
-        other = open_.select("node", F.col("label").alias("b"), F.col("id").alias("ib"))
-        # small nodes: all pairs of their components; large ones: the first against the rest
-        met = one.join(other, "node").where((F.col("a") < F.col("b")) & ((F.col("n") <= small) | (F.col("a") == F.col("least"))))
-        met = met.select("a", "b", "ia", "ib").distinct()
+        held = _labelled(member.select("node", "id"), of_id).withColumn("n_label", F.coalesce("n_label", F.lit(1)))
+        held = held.groupBy("node", "label").agg(F.min("id").alias("id"), F.max("n_label").alias("n_label"))
+        counted = held.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        open_ = scratch.table(held.join(counted, "node").join(signed, "id"), f"open{turn}")
+        nodes = open_.where(F.col("n") <= small).groupBy("node").agg(F.collect_list(F.struct("label", "n_label", "signature")).alias("held"))
+        met = nodes.select("held").mapInPandas(_exhaust, "a long, b long")
         similar = met if similar is None else similar.union(met)
-        rest = open_.where((F.col("n") > small) & (F.col("label") != F.col("least")))
-        if not rest.limit(1).count():
+        large = open_.where(F.col("n") > small)
+        if not large.limit(1).count():
             break
+        # larger components meet all others of a large node here; single classes go on
+        many = large.where("n_label > 1").select("node", F.col("label").alias("b"), F.col("signature").alias("sb"))
+        across = large.select("node", F.col("label").alias("a"), F.col("signature").alias("sa")).join(many, "node").where("a <> b")
+        across = across.select("a", "b", "sa", "sb").mapInPandas(_alike(ALIKE), "a long, b long")
+        similar = similar.union(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         turn += 1
-        member = scratch.table(rest.join(signed, "id").mapInPandas(_branch, "id long, node long"), f"branched{turn}")
-    signs = similar.distinct().join(signed.select(F.col("id").alias("ia"), F.col("signature").alias("sa")), "ia").join(signed.select(F.col("id").alias("ib"), F.col("signature").alias("sb")), "ib")
-    pairs = signs.select("a", "b", "sa", "sb").mapInPandas(_alike(ALIKE), "a long, b long").distinct()
+        member = scratch.table(large.where("n_label = 1").select("id", "node", "signature").mapInPandas(_branch, "id long, node long"), f"branched{turn}")
+    pairs = similar.distinct()
 
     # 3. similar components on the full sets of their members
     late = _between(scratch.table(pairs, "similar"), labels, sets, percent, scratch)
@@ -278,14 +309,6 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, tree
     return described.select("doc_id", "n_shingles").join(of_doc, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends have different labels."""
-    marked = pairs
-    for end in ("a", "b"):
-        marked = marked.join(labels.select(F.col("id").alias(end), F.col("label").alias(f"l{end}")), end, "left").withColumn(f"l{end}", F.coalesce(f"l{end}", end))
-    return marked.where("la <> lb").select("a", "b")
-
-
 def _between(pairs: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links between the members of component pairs (a, b), compared chunk by chunk."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("label")).distinct()

@@ -30,7 +30,7 @@ from tessera.llm.codes import Lookup, bytes_of, slices
 from tessera.llm.scratch import Scratch
 
 ORDER, QUANTILE, HOLD, ALLOWANCE = 5, 0.995, 5, 4.0
-MODEL_ROWS = 4_000_000
+MODEL_ROWS = 3_000_000
 #: Distinct grams that a task holds before it emits them
 HELD_GRAMS = 1_000_000
 START = 10
@@ -70,7 +70,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
         held.clear()
 
-    for batch in slices(batches, most=2 << 20):
+    for batch in slices(batches):
         for lang, rows in _by_lang(batch):
             gram, n = np.unique(grams(batch.column("text").take(pa.array(rows)))[0], return_counts=True)
             if lang in held:
@@ -161,7 +161,7 @@ class Model:
 def _score(model: Broadcast, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models: dict[str, Model] = {}
-        for batch in slices(batches, most=2 << 20):
+        for batch in slices(batches):
             loss = np.zeros(batch.num_rows)
             known = np.zeros(batch.num_rows, dtype=bool)
             for lang, rows in _by_lang(batch):
@@ -179,7 +179,7 @@ def _score(model: Broadcast, order: int):
 
 def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct grams of each row with their counts."""
-    for batch in slices(batches, most=2 << 20):
+    for batch in slices(batches):
         gram, offsets = grams(batch.column("text"))
         size = np.diff(offsets)
         row = np.repeat(np.arange(len(size)), size)
@@ -216,10 +216,13 @@ def score(docs: DataFrame, model: DataFrame, scratch: Scratch, order: int = ORDE
     """doc_id, lang (null as ''), n_bytes and loss (minus the log probability of the text)."""
     if model.count() > model_rows:
         return score_by_join(docs, model, scratch, order)
-    frame = model.toPandas()
     tables: dict[str, dict] = {}
-    for (lang, o, is_gram), part in frame.groupby(["lang", "order", frame["logp"].notna()]):
-        tables.setdefault(lang, {})[(int(o), bool(is_gram))] = part["gram"].to_numpy(np.int64).view(np.uint64), part["logp" if is_gram else "back"].to_numpy(np.float64)
+    for (lang,) in model.select("lang").distinct().orderBy("lang").collect():
+        mine = model.where(F.col("lang") == lang)
+        for o in range(1, order + 1):
+            for is_gram, column in ((True, "logp"), (False, "back")):
+                part = mine.where((F.col("order") == o) & F.col(column).isNotNull()).select("gram", column).toArrow()
+                tables.setdefault(lang, {})[(o, is_gram)] = part["gram"].to_numpy().view(np.uint64), part[column].to_numpy()
     held = docs.sparkSession.sparkContext.broadcast(tables)
     return _text(docs).mapInArrow(_score(held, order), "doc_id long, lang string, n_bytes long, loss double")
 

@@ -31,7 +31,7 @@ from tessera.llm.codes import ALNUM, LOWER, Words, slices, words_of
 from tessera.llm.scratch import Scratch
 
 #: Labelled rows of each kind that lexicon and curve are learned from, at most (smallest id hashes first)
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 10_000
 #: Lexicon entries, by strength, and exceptions at most: what is broadcast has this bound
 TERMS, EXCEPTIONS = 5_000, 100_000
 STEMS, LONGEST = range(4, 9), 24
@@ -140,7 +140,14 @@ def learn(docs: DataFrame, sample: tuple[np.ndarray, np.ndarray], scratch: Scrat
     sure = rated.where((F.col("docs") >= SUPPORT) & (F.col("odds") >= RATIO) & (F.col("strength") >= F.col("chance") + SLACK))
     best = sure.orderBy(F.round("strength", 6).desc(), F.col("kind").desc(), "term").limit(TERMS).collect()
     stems = _apart([(bytes(r.term), float(np.log(r.odds))) for r in best if r.kind])
-    words = {bytes(r.term): (float(np.log(r.odds)), edits(len(r.term))) for r in best if not r.kind}
+    seen = {bytes(r.term): r.pos for r in best if r.kind}
+    words = {}
+    for r in best:
+        if not r.kind:
+            word = bytes(r.term)
+            # one of many words of a stem is matched exactly, as the stem covers its kin
+            main = all(2 * r.pos >= seen[s] for s in stems if word.startswith(s))
+            words[word] = float(np.log(r.odds)), edits(len(word)) if main else 0
     # innocent words that the lexicon would match: near ones switch their terms' distance off, others are exceptions
     common = rated.where((F.col("kind") == 0) & (F.col("neg") > 0) & (F.col("odds") < 2)).select("term", "neg")
     met = common.mapInArrow(_innocent(spark.sparkContext.broadcast(Lexicon(stems, words))), "term binary, neg long, near binary")
@@ -155,7 +162,7 @@ def _innocent(lexicon: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = np.ones(256, dtype=bool)
         fuzzy = {w: (weight, most) for w, (weight, most) in lexicon.value.words.items() if most}
-        everything, alone = Automaton(lexicon.value), {}
+        everything, found = Automaton(lexicon.value), set()
         for batch in batches:
             code = everything.match(words_of(batch.column("term"), whole))    # every term is one word here
             out = [(t, n, None) for t, n in zip(*(batch.column(c).filter(pa.array(code > 0)).to_pylist() for c in ("term", "neg")))]
@@ -163,9 +170,8 @@ def _innocent(lexicon: Broadcast):
             if len(terms):
                 split = words_of(terms, whole)
                 for word, rule in fuzzy.items():
-                    if word not in alone:
-                        alone[word] = Automaton(Lexicon({}, {word: rule}))
-                    if (alone[word].match(split) < 0).any():
+                    if word not in found and (Automaton(Lexicon({}, {word: rule})).match(split) < 0).any():
+                        found.add(word)
                         out.append((word, 0, word))
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.binary(), pa.int64(), pa.binary()))], names=["term", "neg", "near"])
     return run
@@ -210,7 +216,7 @@ class Automaton:
         self.empty = len(self.child) == 1
         self.sets: list[frozenset] = [frozenset()] * (self.fixed + 1)
         self.ids: dict[frozenset, int] = {frozenset(): DEAD}
-        self.next = np.full((max(1024, 2 * self.fixed), 256), -1, dtype=np.int32)
+        self.next = np.full((max(64, 2 * self.fixed + 2), 256), -1, dtype=np.int32)
         self.next[:self.fixed + 1] = np.arange(self.fixed + 1)[:, None]
         self.end = list(range(self.fixed + 1))
         self.root = self._state(self._close({0: 0}))

@@ -109,7 +109,7 @@ def train(docs: DataFrame, trusted: DataFrame, scratch: Scratch, order: int = OR
 
     ``trusted`` has the doc_ids to train on.
     """
-    rows = _text(docs).join(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    rows = _text(docs).join(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
     top = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = {order: scratch.table(top, f"counts{order}")}
     for o in range(order - 1, 0, -1):

@@ -18,6 +18,10 @@ def _m3(spark: SparkSession):
     return spark.sparkContext._jvm.org.apache.commons.math3.distribution
 
 
+def _special(spark: SparkSession):
+    return spark.sparkContext._jvm.org.apache.commons.math3.special
+
+
 def t_two_sided_p(spark: SparkSession, t: float, df: float) -> float:
     if df <= 0 or t is None or math.isnan(t):
         return float("nan")
@@ -34,15 +38,17 @@ def t_quantile(spark: SparkSession, p: float, df: float) -> float:
 def chi2_sf(spark: SparkSession, x: float, dof: float) -> float:
     if dof <= 0 or x is None or math.isnan(x):
         return float("nan")
-    dist = _m3(spark).ChiSquaredDistribution(float(dof))
-    return float(1.0 - dist.cumulativeProbability(float(x)))
+    # the upper tail itself: 1 - cdf would underflow for strong features
+    return float(_special(spark).Gamma.regularizedGammaQ(float(dof) / 2.0, max(0.0, float(x)) / 2.0))
 
 
 def f_sf(spark: SparkSession, f: float, d1: float, d2: float) -> float:
     if d1 <= 0 or d2 <= 0 or f is None or math.isnan(f):
         return float("nan")
-    dist = _m3(spark).FDistribution(float(d1), float(d2))
-    return float(1.0 - dist.cumulativeProbability(float(f)))
+    if math.isinf(f):
+        return 0.0
+    f = max(0.0, float(f))
+    return float(_special(spark).Beta.regularizedBeta(d2 / (d2 + d1 * f), d2 / 2.0, d1 / 2.0))
 
 
 def pearson_p(spark: SparkSession, r: float, n: int) -> float:
@@ -78,17 +84,14 @@ def _range_cdf_given_s(q: float, k: int, s: np.ndarray) -> np.ndarray:
 def studentized_range_cdf(q: float, k: int, df: float) -> float:
     if q <= 0:
         return 0.0
-    if df > 5000:  # s is ~1: the range of normals alone
-        return float(_range_cdf_given_s(q, k, np.array([1.0]))[0])
-    # density of s = sqrt(chi2_df / df), integrated on a log grid around 1
-    lo, hi = math.log(1e-3), math.log(6.0)
-    u = 0.5 * (hi - lo) * _GL_X + 0.5 * (hi + lo)
-    wu = 0.5 * (hi - lo) * _GL_W
-    s = np.exp(u)
+    # density of s = sqrt(chi2_df / df): centred on 1 with a width of about 1 / sqrt(2 df)
+    width = 12.0 / math.sqrt(2.0 * df)
+    lo, hi = max(1e-9, 1.0 - width), 1.0 + width
+    s = 0.5 * (hi - lo) * _GL_X + 0.5 * (hi + lo)
+    ws = 0.5 * (hi - lo) * _GL_W
     log_dens = (math.log(2.0) + (df / 2.0) * math.log(df / 2.0) - math.lgamma(df / 2.0)
                 + (df - 1) * np.log(s) - df * s * s / 2.0)
-    dens = np.exp(log_dens) * s  # change of variables ds = s du
-    return float(np.clip((dens * wu * _range_cdf_given_s(q, k, s)).sum(), 0.0, 1.0))
+    return float(np.clip((np.exp(log_dens) * ws * _range_cdf_given_s(q, k, s)).sum(), 0.0, 1.0))
 
 
 def studentized_range_sf(q: float, k: int, df: float) -> float:

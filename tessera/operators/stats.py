@@ -216,8 +216,9 @@ def chi_square_stats(df: DataFrame, features: Sequence[str], label: str) -> Data
     Computed over observed cells only (no category × label grid):
     χ² = n·(Σ o²/(R·C) − 1); for 2×2 with Yates
     χ² = n·max(0, |ad − bc| − n/2)² / (R1·R2·C1·C2).
+    Rows with a null category or label take no part in any total.
     """
-    ct = contingency(df, features, label)
+    ct = contingency(df, features, label).where(F.col("x").isNotNull() & F.col("y").isNotNull())
     rows = ct.groupBy("feature", "x").agg(F.sum("count").alias("row_total"))
     cols = ct.groupBy("feature", "y").agg(F.sum("count").alias("col_total"))
     dims = ct.groupBy("feature").agg(
@@ -245,7 +246,7 @@ def chi_square_stats(df: DataFrame, features: Sequence[str], label: str) -> Data
     yates = (n * F.pow(F.greatest(F.lit(0.0), F.abs(F.col("__a") * F.col("__d") - F.col("__b") * F.col("__c"))
                                   - n / 2.0), 2)
              / (F.col("__r1").cast("double") * F.col("__r2") * F.col("__c1") * F.col("__c2")))
-    chi2 = F.when(dof == 1, yates).otherwise(n * (F.col("__s") - 1.0))
+    chi2 = F.when(dof == 1, yates).otherwise(F.greatest(F.lit(0.0), n * (F.col("__s") - 1.0)))
     out = agg.where((F.col("r") >= 2) & (F.col("k") >= 2)).select(
         "feature", chi2.alias("chi2"), dof.cast("long").alias("dof"), F.col("n").cast("long").alias("n"),
         F.least(F.col("r"), F.col("k")).alias("__m"))
@@ -308,7 +309,7 @@ def anova_report(df: DataFrame, features: Sequence[str], label: str) -> DataFram
         p = jvmstats.f_sf(spark, r["F"], r["df_between"], r["df_within"])
         if p == p:  # finite
             out.append((r["feature"], float(r["F"]), float(p)))
-    return spark.createDataFrame(out, "feature string, F double, p_value double").orderBy("p_value", "feature")
+    return spark.createDataFrame(out, "feature string, F double, p_value double").orderBy("p_value", F.col("F").desc(), "feature")
 
 
 # ---------------------------------------------------------------- A13 Tukey HSD

@@ -24,7 +24,7 @@ def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: T.StructT
 
     Malformed lines are dropped (``DROPMALFORMED``); with ``keep_rejects`` they
     are kept as rows whose ``_corrupt_record`` holds the raw line (``PERMISSIVE``).
-    Without a schema one is inferred from a sample (S2).
+    Without a schema one is inferred from the whole input (S2).
     """
     if schema is None:
         schema = infer_schema(spark, path)
@@ -36,11 +36,9 @@ def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: T.StructT
             .schema(schema).json(path))
 
 
-def infer_schema(spark: SparkSession, path: str | Sequence[str], sample_lines: int = 1000) -> T.StructType:
-    """Schema inferred from the first ``sample_lines`` parsable lines (a bounded sample)."""
-    sample = spark.read.text(path).limit(sample_lines)
-    parsed = spark.read.option("mode", "DROPMALFORMED").json(sample.rdd.map(lambda r: r[0]))
-    return parsed.schema
+def infer_schema(spark: SparkSession, path: str | Sequence[str], sampling_ratio: float = 1.0) -> T.StructType:
+    """Schema inferred from all parsable lines (or, on request, from a share of them)."""
+    return spark.read.option("mode", "DROPMALFORMED").option("samplingRatio", str(sampling_ratio)).json(path).schema
 
 
 def rejected_lines(df: DataFrame) -> DataFrame:

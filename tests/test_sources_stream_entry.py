@@ -82,3 +82,14 @@ def test_streaming_bounded_batches(spark):
     ingest.ingest_available(spark, src, spark.createDataFrame([], schema).schema, lambda d: d, sink,
                             max_files_per_trigger=1)
     assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == [0, 1, 2]
+
+
+def test_schema_inference_sees_the_last_line(spark, tmp_path):
+    from tessera.sources import files
+
+    path = f"{tmp_path}/late.jsonl"
+    with open(path, "w") as f:
+        f.writelines('{"id": %d}\n' % k for k in range(1500))
+        f.write('not json\n{"id": 1500, "late": "x"}\n')
+    df = files.read_jsonl(spark, path)
+    assert df.columns == ["id", "late"] and df.where("late = 'x'").count() == 1

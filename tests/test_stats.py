@@ -162,3 +162,32 @@ def test_chi2_and_f_tails_match_integrated_densities(spark):
     b = math.exp(math.lgamma(d1 / 2) + math.lgamma(d2 / 2) - math.lgamma((d1 + d2) / 2))
     dens = lambda x: np.sqrt((d1 * x) ** d1 * d2 ** d2 / (d1 * x + d2) ** (d1 + d2)) / (x * b)
     assert math.isclose(jvmstats.f_sf(spark, f, d1, d2), _tail(dens, f, f + 2000, 4_000_001), rel_tol=1e-5)
+
+
+def test_tail_p_values_do_not_underflow(spark):
+    from tessera import jvmstats
+
+    assert 0 < jvmstats.f_sf(spark, 200.0, 1, 959_998) < 1e-40
+    assert 0 < jvmstats.chi2_sf(spark, 100.0, 1) < 1e-20
+    assert abs(jvmstats.chi2_sf(spark, 3.841459, 1) - 0.05) < 1e-6
+    assert jvmstats.f_sf(spark, 0.0, 3, 10) == 1.0
+
+
+def test_studentized_range_mass_at_many_degrees_of_freedom():
+    from tessera import jvmstats
+
+    # critical values of the 5 % table: k = 10 at 120 and infinitely many degrees of freedom, k = 3 at 10
+    assert abs(jvmstats.studentized_range_quantile(0.95, 10, 120) - 4.56) < 0.02
+    assert abs(jvmstats.studentized_range_quantile(0.95, 3, 10) - 3.88) < 0.02
+    for df in (100, 500, 5000, 100_000):
+        assert abs(jvmstats.studentized_range_cdf(60.0, 10, df) - 1.0) < 1e-6
+        assert 4.46 < jvmstats.studentized_range_quantile(0.95, 10, df) < 4.62
+
+
+def test_chi_square_leaves_null_categories_out(spark):
+    from tessera.operators import stats
+
+    rows = [(x, y) for x in ("a", "b", "c") for y in (0, 1) for _ in range(20)]
+    df = spark.createDataFrame(rows + [(None, k % 2) for k in range(40)], "f string, y int")
+    r = stats.chi_square_stats(df, ["f"], "y").first()
+    assert abs(r.chi2) < 1e-9 and r.n == 120 and abs(r.cramers_v) < 1e-9

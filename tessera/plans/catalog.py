@@ -958,23 +958,18 @@ def _emb_binary(spark, sf_dir):
                     (F.col("label") == 0).cast("int").alias("label"))
 
 
-_CHUNK_SQL = f"""ch AS (SELECT vec_id, embedding,
-       (row_number() OVER (ORDER BY {S.keys.seeded_key_sql('vec_id', 42)}, vec_id) - 1) // {RS.CHUNK_ROWS} AS chunk
-       FROM embeddings)"""
-
-
-@register("j5_knn_within_chunks", f"""WITH {_CHUNK_SQL},
-pairs AS (SELECT a.vec_id AS id, b.vec_id AS neighbor_id, list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS d
-          FROM ch a JOIN ch b ON a.chunk = b.chunk AND a.vec_id <> b.vec_id),
+@register("j5_knn_within_chunks", """WITH pairs AS (
+SELECT a.vec_id AS id, b.vec_id AS neighbor_id, list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS d
+          FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
 ranked AS (SELECT id, neighbor_id, d, row_number() OVER (PARTITION BY id ORDER BY d, neighbor_id) AS rank FROM pairs)
 SELECT CAST(id AS VARCHAR) AS id, CAST(neighbor_id AS VARCHAR) AS neighbor_id, CAST(rank AS INTEGER) AS rank,
        round(d, 5) AS distance
 FROM ranked WHERE rank <= 5""")
 def j5_knn_within_chunks(spark, sf_dir):
-    e = _emb_binary(spark, sf_dir)
-    chunks = RS.assign_chunks(e, RS.CHUNK_ROWS, "id", 42)
-    nb = RS.knn_within_groups(chunks, "chunk", 5)
-    return nb.select("id", "neighbor_id", "rank", rnd("distance", 5).alias("distance"))
+    """Neighbours over the whole table (the name is from when they were sought inside chunks)."""
+    nb = RS.knn_table(_emb_binary(spark, sf_dir), 5)
+    return nb.select(F.col("id").cast("string").alias("id"), F.col("neighbor_id").cast("string").alias("neighbor_id"), "rank",
+                     rnd("distance", 5).alias("distance"))
 
 
 _EMB_SPLIT_SQL = f"""eb AS (SELECT vec_id, embedding, CAST(label = 0 AS INTEGER) AS y FROM embeddings),
@@ -993,17 +988,17 @@ def m9_knn_classifier(spark, sf_dir):
     e = _emb_binary(spark, sf_dir)
     s = folds.stratified_split(e, "label", test_fraction=0.2, id_col="id", seed=42)
     train, test = s.where(~F.col("is_test")), s.where(F.col("is_test"))
-    return RS.knn_classify(test, train, 5)
+    return RS.knn_classify(test, train, 5).withColumn("id", F.col("id").cast("string"))
 
 
 @register("v9_v11_smote_enn")
 def v9_v11_smote_enn(spark, sf_dir):
-    return RS.resample_half(_emb_binary(spark, sf_dir), method="enn")
+    return RS.resample(_emb_binary(spark, sf_dir), method="enn")
 
 
 @register("v10_smote_tomek")
 def v10_smote_tomek(spark, sf_dir):
-    return RS.resample_half(_emb_binary(spark, sf_dir), method="tomek")
+    return RS.resample(_emb_binary(spark, sf_dir), method="tomek")
 
 
 @register("v14_weighted_resample", f"""WITH eb AS (SELECT vec_id, CAST(label = 0 AS INTEGER) AS label FROM embeddings),

@@ -43,40 +43,65 @@ def test_knn_indices_exact():
     assert np.allclose(dist, np.take_along_axis(d, want, axis=1))
 
 
-def test_tomek_and_enn():
-    x = np.array([[0.0], [0.1], [5.0], [5.2], [10.0], [10.05]])
-    y = np.array([0, 1, 0, 0, 1, 1])
-    keep = resample.tomek_keep(x, y)
-    assert keep.tolist() == [False, False, True, True, True, True]      # one link: rows 0 and 1
-    x2 = np.array([[0.0], [0.1], [0.2], [0.3], [0.15], [9.0], [9.1], [9.2], [9.3]])
-    y2 = np.array([0, 0, 0, 0, 1, 1, 1, 1, 1])
-    keep2 = resample.enn_keep(x2, y2)
-    assert not keep2[4] and keep2[5:].all()                             # the outlier of class 1 goes
-
-
-def test_smote_counts_and_small_minority():
+def _points(spark, x, y):
+    return spark.createDataFrame([(str(i), int(c), [float(v) for v in p]) for i, (p, c) in enumerate(zip(x, y))],
+                                 "id string, label int, features array<double>")
+
+
+def test_tomek_and_enn(spark):
+    x = [[0.0], [0.1], [5.0], [5.2], [10.0], [10.05]]
+    kept = resample.tomek(_points(spark, x, [0, 1, 0, 0, 1, 1]))
+    assert {r["id"] for r in kept.collect()} == {"2", "3", "4", "5"}      # one link: rows 0 and 1
+    x2 = [[0.0], [0.1], [0.2], [0.3], [0.15], [9.0], [9.1], [9.2], [9.3]]
+    kept2 = {r["id"] for r in resample.enn(_points(spark, x2, [0, 0, 0, 0, 1, 1, 1, 1, 1])).collect()}
+    assert "4" not in kept2 and {"5", "6", "7", "8"} <= kept2             # the outlier of class 1 goes
+
+
+def test_knn_table_over_many_leaves(spark):
+    """Recall against brute force with leaves far smaller than the table, and a third of it one vector."""
+    rng = np.random.RandomState(3)
+    centres = rng.randn(12, 8) * 3
+    x = centres[rng.randint(0, 12, 900)] + rng.randn(900, 8)
+    x[600:] = x[600]
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)] + [(900, None)], "id long, features array<double>")
+    got = resample.knn_table(df, 5, leaf=64, trees=12).toPandas()
+    counts = got.groupby("id").size()
+    assert len(counts) == 900 and (counts == 5).all() and (got["id"] != got["neighbor_id"]).all()
+    assert not got.duplicated(["id", "neighbor_id"]).any()
+    d = np.sqrt(((x[got["id"]] - x[got["neighbor_id"]]) ** 2).sum(1))
+    assert np.allclose(d, got["distance"])
+    _, want = resample.knn_indices(x, 5)
+    worst = dict(zip(range(900), want[:, 4]))
+    recall = np.mean([r.distance <= worst[r.id] + 1e-9 for r in got.itertuples()])
+    assert recall >= 0.9
+    assert (got[got["id"] >= 600]["distance"] == 0).all()
+    again = resample.knn_table(df, 5, leaf=64, trees=12).toPandas()
+    key = ["id", "rank"]
+    assert got.sort_values(key, ignore_index=True).equals(again.sort_values(key, ignore_index=True))
+
+
+def test_smote_counts_and_place(spark):
     rng = np.random.RandomState(1)
     x = rng.randn(100, 3)
     y = np.array([1] * 10 + [0] * 90)
-    new = resample.smote(x, y, 0.5, np.random.RandomState(42))
-    assert len(new) == 45 - 10
+    new = resample.smote(_points(spark, x, y), 0.5).toPandas()
+    assert len(new) == 45 - 10 and new["id"].is_unique and (new["label"] == 1).all()
     # synthetic rows lie on segments between minority rows: inside their bounding box
-    xm = x[y == 1]
-    assert (new >= xm.min(0) - 1e-12).all() and (new <= xm.max(0) + 1e-12).all()
-    y3 = np.array([1, 1, 1] + [0] * 97)
-    assert len(resample.smote(x, y3, 0.2, np.random.RandomState(0))) == 19 - 3   # k shrinks to 2
+    p, xm = np.stack(new["features"]), x[y == 1]
+    assert (p >= xm.min(0) - 1e-12).all() and (p <= xm.max(0) + 1e-12).all()
+    three = np.array([1, 1, 1] + [0] * 97)
+    assert resample.smote(_points(spark, x, three), 0.2).count() == 19 - 3     # k shrinks to 2
 
 
-def test_resample_chunks_spark(spark):
+def test_resample_whole_table(spark):
     rng = np.random.RandomState(2)
-    rows = [(i, int(rng.rand() < 0.1), [float(v) for v in rng.randn(4)]) for i in range(400)]
-    df = spark.createDataFrame(rows, "id long, label int, features array<double>")
-    out = resample.resample_half(df, method="tomek", chunk_rows=100)
-    assert out.where("synthetic").count() > 0
-    assert out.where(~F.col("synthetic")).select("id").distinct().count() <= 400
-    single = spark.createDataFrame([(i, 0, [0.0]) for i in range(5)], "id long, label int, features array<double>")
-    untouched = resample.resample_chunks(resample.assign_chunks(single, 100))
-    assert untouched.count() == 5
+    df = _points(spark, rng.randn(400, 4), (rng.rand(400) < 0.1).astype(int))
+    out = resample.resample(df, method="tomek", leaf=64).toPandas()
+    assert out["synthetic"].sum() > 0 and out["id"].is_unique and (~out["synthetic"]).sum() <= 400
+    single = _points(spark, [[0.0]] * 5, [0] * 5)
+    assert resample.resample(single).count() == 5
+    assert resample.resample(single.limit(0)).count() == 0
+    assert [resample.adaptive_ratio(n) for n in (10, 60_000, 200_000)] == [0.35, 0.25, 0.15]
 
 
 def test_knn_join_and_classifier(spark):
@@ -84,7 +109,7 @@ def test_knn_join_and_classifier(spark):
                                  "id long, features array<double>, label int")
     q = spark.createDataFrame([(9, [10.4])], "id long, features array<double>")
     nb = resample.knn_join(q, base, 2).orderBy("rank").collect()
-    assert [r["neighbor_id"] for r in nb] == ["3", "4"]
+    assert [r["neighbor_id"] for r in nb] == [3, 4]
     r = resample.knn_classify(q, base, 3).first()
     assert math.isclose(r["p"], 2 / 3) and r["prediction"] == 1.0
 

@@ -6,92 +6,85 @@ value ``x`` inside a key, the totals of rows with a smaller value. A plain
 one task. Instead:
 
 1. collapse to distinct ``(key, x)`` with their sums (map-side combined);
-2. cut each key's value range into ``buckets`` slices at approximate
-   quantiles (a bounded sketch per key, kept in the plan, never collected);
-3. a tiny ``(key, bucket)`` table gives each bucket's offset;
-4. the running sum inside a ``(key, bucket)`` slice plus its offset is the
-   exact prefix sum.
-
-A value that holds a third of all rows is still one row after step 1, so hot
-values do not create hot tasks. The keys are low-cardinality (features,
-models, classes): the per-key tables of steps 2-3 hold ``#keys × buckets``
-rows and are broadcast, so a key with most of the values is never routed to
-a single join task.
+2. range-partition these by ``(key, x)`` and note each row's slice. This is written once to the
+   checkpoint folder, so the input is read once and a recomputed task sees the same slices;
+3. a small ``(key, slice)`` table gives each slice's offset;
+4. the running sum inside a ``(key, slice)`` plus its offset is the exact prefix sum.
+
+The number of slices follows the shuffle partitions that AQE finds fit for the data. A value that
+holds a third of all rows is one row after step 1, and a key with most of the values spreads over
+many slices, so neither makes a hot task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-def value_prefix_sums(df: DataFrame, keys: Sequence[str], x: str,
-                      sums: Mapping[str, Column | str], buckets: int = 64,
-                      accuracy: int = 10000) -> DataFrame:
+from ..session import cut_lineage
+
+
+def value_prefix_sums(df: DataFrame, keys: Sequence[str], x: str, sums: Mapping[str, Column | str],
+                      slices: int | None = None) -> DataFrame:
     """Per distinct ``(keys, x)``: the sums, and their running totals by ascending ``x``.
 
     Output columns: ``keys…, x``, every name in ``sums`` (this value's sum),
     ``{name}_le`` (sum over values ≤ x), ``{name}_lt`` (< x) and
-    ``{name}_total`` (all values of the key). Rows where ``x`` is null are
-    ignored. Without keys the whole table is one key (its bounds are a scalar
-    subquery).
+    ``{name}_total`` (all values of the key). Rows where ``x`` or a key is null are
+    ignored. Without keys the whole table is one key. ``slices`` fixes the number of slices.
     """
     keys = list(keys)
     names = list(sums)
     aggs = [F.sum(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in sums.items()]
-    g = df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(*aggs)
-
-    qs = [i / buckets for i in range(1, buckets)]
-    pct = F.percentile_approx(F.col(x).cast("double"), qs, accuracy).alias("__bounds")
-    if keys:
-        with_bounds = g.join(F.broadcast(g.groupBy(*keys).agg(pct)), keys)
-    else:
-        with_bounds = g.withColumn("__bounds", g.agg(pct).scalar())
-    xv = F.col(x).cast("double")
-    gb = with_bounds.withColumn("__bucket", F.size(F.filter("__bounds", lambda b: b < xv))).drop("__bounds")
-
-    per_bucket = gb.groupBy(*keys, "__bucket").agg(*[F.sum(n).alias(f"__b_{n}") for n in names])
-    wk = Window.partitionBy(*keys).orderBy("__bucket")          # ≤ buckets rows per key
+    known = reduce(and_, [F.col(c).isNotNull() for c in [*keys, x]])
+    g = df.where(known).groupBy(*keys, x).agg(*aggs)
+    dealt = g.repartitionByRange(slices, *keys, x) if slices else g.repartitionByRange(*keys, x)
+    placed = cut_lineage(dealt.withColumn("__slice", F.spark_partition_id()))
+
+    per_slice = placed.groupBy(*keys, "__slice").agg(*[F.sum(n).alias(f"__b_{n}") for n in names])
+    wk = Window.partitionBy(*keys).orderBy("__slice")          # a row per slice of the key
     before = wk.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    offsets = per_bucket.select(
-        *keys, "__bucket",
+    offsets = per_slice.select(
+        *keys, "__slice",
         *[F.coalesce(F.sum(f"__b_{n}").over(before), F.lit(0)).alias(f"__off_{n}") for n in names],
         *[F.sum(f"__b_{n}").over(whole).alias(f"{n}_total") for n in names],
     )
 
-    wb = Window.partitionBy(*keys, "__bucket").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
-    out = gb.join(F.broadcast(offsets), keys + ["__bucket"])
+    ws = Window.partitionBy(*keys, "__slice").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
+    out = placed.join(offsets, keys + ["__slice"])
     cols = [F.col(c) for c in keys] + [F.col(x)] + [F.col(n) for n in names]
     for n in names:
-        le = F.col(f"__off_{n}") + F.sum(n).over(wb)
+        le = F.col(f"__off_{n}") + F.sum(n).over(ws)
         cols += [le.alias(f"{n}_le"), (le - F.col(n)).alias(f"{n}_lt"), F.col(f"{n}_total")]
     return out.select(*cols)
 
 
 def average_ranks(df: DataFrame, keys: Sequence[str], x: str, weight: Column | str | None = None,
-                  buckets: int = 64) -> DataFrame:
+                  slices: int | None = None) -> DataFrame:
     """1-based average (mid) rank of each distinct ``x`` within ``keys``.
 
     Output: ``keys…, x, n_x`` (rows with that value), ``rank`` and ``n`` (rows of the key).
     """
     w = F.lit(1).cast("long") if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
-    p = value_prefix_sums(df.withColumn("__w", w), keys, x, {"n_x": "__w"}, buckets=buckets)
+    p = value_prefix_sums(df.withColumn("__w", w), keys, x, {"n_x": "__w"}, slices)
     return p.select(*keys, x, "n_x",
                     (F.col("n_x_lt") + (F.col("n_x") + 1) / 2.0).alias("rank"),
                     F.col("n_x_total").alias("n"))
 
 
-def exact_median(long: DataFrame, key: str, x: str, buckets: int = 64) -> DataFrame:
+def exact_median(long: DataFrame, key: str, x: str, slices: int | None = None) -> DataFrame:
     """Exact (interpolated) median of ``x`` per ``key``, nulls ignored.
 
     Uses the prefix sums instead of gathering every value of a key in one
     aggregation buffer: the median is read off the value(s) covering the
     middle position(s).
     """
-    p = value_prefix_sums(long.withColumn("__one", F.lit(1).cast("long")), [key], x, {"c": "__one"},
-                          buckets=buckets)
+    p = value_prefix_sums(long.withColumn("__one", F.lit(1).cast("long")), [key], x, {"c": "__one"}, slices)
     n = F.col("c_total")
     lo_pos = F.floor((n + 1) / 2)          # 1-based middle positions
     hi_pos = F.floor(n / 2) + 1

@@ -5,8 +5,8 @@ import pytest
 from tessera.operators import ranking
 
 
-@pytest.mark.parametrize("seed,buckets", [(0, 4), (1, 64), (2, 2)])
-def test_prefix_sums_match_brute_force(spark, seed, buckets):
+@pytest.mark.parametrize("seed,slices", [(0, 4), (1, 64), (2, None)])
+def test_prefix_sums_match_brute_force(spark, seed, slices):
     rng = np.random.RandomState(seed)
     n = 400
     pdf = pd.DataFrame({"k": rng.choice(["a", "b", "c"], n, p=[0.7, 0.2, 0.1]),
@@ -14,7 +14,7 @@ def test_prefix_sums_match_brute_force(spark, seed, buckets):
                         "w": rng.randint(1, 4, n)})
     pdf.loc[:150, "x"] = 0.0                                       # one hot value with a third of the rows
     df = spark.createDataFrame(pdf)
-    got = ranking.value_prefix_sums(df, ["k"], "x", {"s": "w"}, buckets=buckets).toPandas()
+    got = ranking.value_prefix_sums(df, ["k"], "x", {"s": "w"}, slices).toPandas()
     for _, r in got.iterrows():
         sub = pdf[pdf.k == r.k]
         assert r.s == sub[sub.x == r.x].w.sum()

@@ -95,7 +95,7 @@ def fit_and_score(kind: str, train: DataFrame, score: DataFrame, features: str =
 
 def compare_models(kinds: Sequence[str], train: DataFrame, val: DataFrame, features: str = "features",
                    label: str = "label", weight: str | None = None, n_features: int | None = None) -> DataFrame:
-    """F1 (at 0.5), ROC-AUC and fit+score seconds per model; failures are skipped."""
+    """F1 (at 0.5), ROC-AUC and fit+score seconds per model; a model that fails keeps its row, with ``error``."""
     spark = train.sparkSession
     rows = []
     for k in kinds:
@@ -104,16 +104,16 @@ def compare_models(kinds: Sequence[str], train: DataFrame, val: DataFrame, featu
             scored = fit_and_score(k, train, val, features, label, weight, n_features).select(label, "p")
             f1 = f1_at_threshold(scored, 0.5, [], label).first()["f1"]
             auc = curve_areas(scored, [], label).first()["roc_auc"]
-        except Exception:  # noqa: BLE001  (a failing model is reported as missing)
+        except Exception as e:  # noqa: BLE001  (reported in the model's row)
+            rows.append((k, None, None, time.time() - t0, f"{type(e).__name__}: {e}"))
             continue
-        rows.append((k, float(f1), None if auc is None else float(auc), time.time() - t0))
-    out = spark.createDataFrame(rows, "model string, f1 double, roc_auc double, seconds double")
-    return out
+        rows.append((k, float(f1), None if auc is None else float(auc), time.time() - t0, None))
+    return spark.createDataFrame(rows, "model string, f1 double, roc_auc double, seconds double, error string")
 
 
 def best_model(comparison: DataFrame) -> DataFrame:
     """L4: the row with the best F1 (first in model order on ties)."""
-    return comparison.orderBy(F.col("f1").desc(), "model").limit(1)
+    return comparison.orderBy(F.col("f1").desc_nulls_last(), "model").limit(1)
 
 
 # ---------------------------------------------------------------- M11/M12 tuning
@@ -198,10 +198,11 @@ def isotonic_calibrated_scores(kind: str, train: DataFrame, score: DataFrame, fo
 
 # ---------------------------------------------------------------- M17 scoring / S12 bundles
 def check_feature_count(df: DataFrame, features: str, expected: int) -> None:
-    """Refuse to score when the feature vector length differs from training."""
-    first = df.select(F.size(vector_to_array(features)).alias("n")).first()
-    if first is not None and first["n"] != expected:
-        raise ValueError(f"feature count {first['n']} != expected {expected}")
+    """Refuse to score when any row's feature vector length differs from training."""
+    n = F.size(vector_to_array(features))
+    seen = df.agg(F.min(n).alias("least"), F.max(n).alias("most")).first()
+    if seen["least"] is not None and (seen["least"], seen["most"]) != (expected, expected):
+        raise ValueError(f"feature counts {seen['least']} to {seen['most']} != expected {expected}")
 
 
 def score_batch(model: PipelineModel, df: DataFrame, features: str, expected: int, keep: Sequence[str] = ("id",)):

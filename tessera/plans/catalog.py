@@ -905,7 +905,7 @@ for _name, _kind, _params in (("m1_gbt_scores", "gbt", {"maxIter": 20, "maxDepth
 def m10_model_comparison(spark, sf_dir):
     train, hold = _model_frames(spark, sf_dir)
     return MD.compare_models(["logistic", "decision_tree", "gaussian_nb", "dummy"], train, hold,
-                             n_features=len(MODEL_FEATURES)).select("model", "f1", "roc_auc")
+                             n_features=len(MODEL_FEATURES)).select("model", "f1", "roc_auc", "error")
 
 
 @register("m11_cross_validation")
@@ -930,7 +930,8 @@ def m13_fold_loop(spark, sf_dir):
 @register("m16_isotonic_calibration")
 def m16_isotonic_calibration(spark, sf_dir):
     train, hold = _model_frames(spark, sf_dir)
-    return MD.isotonic_calibrated_scores("logistic", train, hold, "fold", 3)
+    thirds = folds.stratified_folds(train.drop("fold"), "label", 3)
+    return MD.isotonic_calibrated_scores("logistic", thirds, hold, "fold", 3)
 
 
 @register("m17_bundle_scoring")
@@ -1042,7 +1043,7 @@ def s9_s10_report_roundtrip(spark, sf_dir):
 
 
 # ================================================================== more than two groups (A12, A13 with 10 classes)
-EMB_DIMS = 4
+EMB_DIMS = 64   # every dimension
 
 
 def _emb_dims(spark, sf_dir):

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import resample, schema, vectors
@@ -179,3 +180,20 @@ def test_size_shuffles_only_raises(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", str(before))
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
+
+
+def test_model_comparison_keeps_failures_and_feature_counts(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from tessera.operators import models
+    rows = [(Vectors.dense([float(i % 7), float(i % 2)]), float(i % 2)) for i in range(40)]
+    df = spark.createDataFrame(rows, ["features", "label"])
+    out = models.compare_models(["logistic", "no_such_model"], df, df, n_features=2)
+    got = {r["model"]: r for r in out.collect()}
+    assert got["logistic"]["error"] is None and got["logistic"]["f1"] == 1.0
+    assert got["no_such_model"]["f1"] is None and got["no_such_model"]["error"]
+    assert models.best_model(out).first()["model"] == "logistic"
+    odd = df.unionByName(spark.createDataFrame([(Vectors.dense([1.0]), 0.0)], ["features", "label"]))
+    models.check_feature_count(df, "features", 2)
+    with pytest.raises(ValueError):
+        models.check_feature_count(odd, "features", 2)

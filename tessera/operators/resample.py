@@ -2,14 +2,16 @@
 
 Neighbours are searched in ``trees`` independent hash trees. A row's code in a tree is the sides of
 seeded random hyperplanes (through the mean vector) that it lies on; a leaf is the shortest code
-prefix that at most ``leaf`` rows share. Rows that no further bit parts (groups of equal vectors)
-are dealt over leaves by a hash of their id. Inside a leaf distances are exact; the best ``k`` of
+prefix that at most ``leaf`` rows share. A cell still larger at the last bit (a dense cluster away from the
+mean) is cut again by new hyperplanes through its own mean, until its parts fit. Only groups of equal
+vectors, which no hyperplane parts, are dealt over leaves by a hash of their id. Inside a leaf distances are exact; the best ``k`` of
 all trees are merged per id. Every group handed to Python is a leaf, so it is bounded whatever the
 size or skew of the table, and only top-k rows leave it.
 
 A table of at most ``leaf`` rows is one leaf and its result exact; beyond, it is approximate. Recall
 of the 5 nearest of 64 dimensions, 32 trees of 2,048 rows a leaf: 1.0 on 10,256 vectors, 0.98 on
-51,282 (16 trees: 0.99 and 0.88). It falls as tables grow; more trees or larger leaves raise it.
+51,282 (16 trees: 0.99 and 0.88). Beyond ``EVEN`` leaves of rows the number of trees grows with the table
+(:func:`trees_for`), as a pair meets in a tree the less often the more cuts lie above its leaf.
 Vectors null or holding null or non-finite values take no part.
 
 Random choices are functions of ids and positions, so a recomputed task returns the same rows.
@@ -39,6 +41,13 @@ RATIO = 0.35
 LEAF, TREES = 2048, 32
 #: Code bits from the first level looked at to the last
 LEVELS = 12
+#: Leaves of rows up to which the given trees are used, and the power of the rows that they follow beyond
+EVEN, GROWTH = 25, 0.65
+
+
+def trees_for(n_rows: int, leaf: int, trees: int) -> int:
+    """Trees over ``n_rows``: one if they are one leaf, else ``trees``, more beyond ``EVEN`` leaves."""
+    return 1 if n_rows <= leaf else round(trees * max(1.0, n_rows / (EVEN * leaf)) ** GROWTH)
 
 
 def adaptive_ratio(n_rows: int) -> float:
@@ -93,8 +102,23 @@ def _coder(mean: list[float], trees: int, bits: int, seed: int):
         for frame in frames:
             if len(frame):
                 x = np.stack(frame["f"].to_numpy()).astype(float) - np.asarray(mean)
-                side = (x @ planes.T > 0).reshape(len(x), trees, bits)
-                yield frame.assign(codes=list(side.astype(np.int64) @ weights))
+                codes = [(x @ planes[t * bits:(t + 1) * bits].T > 0).astype(np.int64) @ weights for t in range(trees)]
+                yield frame.assign(codes=list(np.stack(codes, axis=1)))
+    return run
+
+
+def _projector(turn: int, seed: int):
+    """Adds the place of each row along the normals of its tree's hyperplanes of a turn."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                x, tree = np.stack(frame["f"].to_numpy()).astype(float), frame["tree"].to_numpy()
+                y = np.empty((len(x), LEVELS))
+                for t in np.unique(tree):
+                    mine = tree == t
+                    for level, normal in enumerate(np.random.RandomState([seed, turn, t]).standard_normal((LEVELS, x.shape[1]))):
+                        y[mine, level] = (x[mine] * normal).sum(axis=1)    # equal rows have equal sums
+                yield frame.assign(y=list(y))
     return run
 
 
@@ -116,13 +140,37 @@ def _leaf_neighbours(k: int, itself: bool):
 
 # ---------------------------------------------------------------- J5 / M9 neighbour joins
 def _leaves(coded: DataFrame, bits: int, start: int, leaf: int) -> DataFrame:
-    """(tree, code) to the level of its leaf (null if no level parts it) and the rows at its last level."""
-    codes = coded.select(F.posexplode("codes").alias("tree", "code")).groupBy("tree", "code").agg(F.count(F.lit(1)).alias("n"))
+    """(tree, path, code) to the level of its leaf; null if no level parts it."""
+    codes = coded.groupBy("tree", "path", "code").agg(F.count(F.lit(1)).alias("n"))
     steps = codes.withColumn("level", F.explode(F.sequence(F.lit(start), F.lit(bits)))) \
         .withColumn("prefix", F.expr(f"shiftright(code, {bits} - level)"))
-    cells = steps.groupBy("tree", "level", "prefix").agg(F.sum("n").alias("held"))
-    return steps.join(cells, ["tree", "level", "prefix"]).groupBy("tree", "code") \
-        .agg(F.min(F.when(F.col("held") <= leaf, F.col("level"))).alias("level"), F.min("held").alias("held"))
+    cells = steps.groupBy("tree", "path", "level", "prefix").agg(F.sum("n").alias("held"))
+    return steps.join(cells, ["tree", "path", "level", "prefix"]).groupBy("tree", "path", "code") \
+        .agg(F.min(F.when(F.col("held") <= leaf, F.col("level"))).alias("level"))
+
+
+def _placed(coded: DataFrame, bits: int, start: int, leaf: int, id_type: str, seed: int) -> DataFrame:
+    """``coded`` (id, label, asks, f, tree, path, code) with the path of each row's leaf, of at most ``leaf`` rows."""
+    kept, done, turn = ["id", "label", "asks", "f", "tree"], [], 0
+    while True:
+        leaves = cut_lineage(_leaves(coded, bits, start, leaf))
+        at = coded.join(leaves.where("level is not null"), ["tree", "path", "code"])
+        done.append(at.select(*kept, F.expr(f"concat(path, level, ':', shiftright(code, {bits} - level))").alias("path")))
+        large = leaves.where("level is null")
+        if large.isEmpty():
+            return union_splits(done)
+        turn += 1
+        rows = coded.join(large, ["tree", "path", "code"]).select(*kept, F.concat("path", "code", F.lit("/")).alias("path"))
+        rows = cut_lineage(rows.mapInPandas(_projector(turn, seed), f"id {id_type}, label int, asks boolean, f array<double>, tree int, path string, y array<double>"))
+        y = [F.col("y")[i] for i in range(LEVELS)]
+        cells = rows.groupBy("tree", "path").agg(F.count(F.lit(1)).alias("held"), *[F.array(*[f(c) for c in y]).alias(name) for name, f in (("low", F.min), ("high", F.max), ("mean", F.avg))])
+        # at a mean that rounding puts on or beyond the ends, the lowest rows are parted from the others
+        cells = cells.withColumn("cut", F.expr("transform(low, (l, i) -> if(mean[i] < high[i], greatest(mean[i], l), l))")).withColumn("equal", F.col("low") == F.col("high"))
+        rows = rows.join(cells.select("tree", "path", "held", "cut", "equal"), ["tree", "path"])
+        piece = F.pmod(F.xxhash64("id", "tree"), F.ceil(F.col("held") / leaf))
+        done.append(rows.where("equal").select(*kept, F.concat("path", F.lit("="), piece).alias("path")))
+        code = sum(F.when(c > F.col("cut")[i], 1 << (LEVELS - 1 - i)).otherwise(0) for i, c in enumerate(y))
+        coded, bits, start = rows.where("not equal").select(*kept, "path", code.cast("long").alias("code")), LEVELS, 1
 
 
 def _neighbours(rows: DataFrame, k: int, itself: bool, leaf: int, trees: int, seed: int) -> DataFrame:
@@ -135,16 +183,13 @@ def _neighbours(rows: DataFrame, k: int, itself: bool, leaf: int, trees: int, se
     if not moments:
         return spark.createDataFrame([], out).withColumn("rank", F.lit(1)).select("id", "neighbor_id", "rank", "distance", "neighbor_label")
     n = moments[0]["n"]
-    trees = trees if n > leaf else 1                        # a table of one leaf is the same in every tree
+    trees = trees_for(n, leaf, trees)
     start = max(0, math.ceil(math.log2(max(n / leaf, 1))) - 3)
     bits = start + LEVELS
     coded = rows.mapInPandas(_coder([r["m"] for r in moments], trees, bits, seed), f"id {id_type}, label int, asks boolean, f array<double>, codes array<long>")
-    coded = cut_lineage(coded)
-    placed = coded.select("id", "label", "asks", "f", F.posexplode("codes").alias("tree", "code")).join(_leaves(coded, bits, start, leaf), ["tree", "code"])
-    prefix = F.expr(f"shiftright(code, {bits} - coalesce(level, {bits}))")
-    piece = F.when(F.col("level").isNull(), F.pmod(F.xxhash64("id", "tree"), F.ceil(F.col("held") / leaf))).otherwise(0)
-    placed = placed.select("id", "label", "asks", "f", "tree", F.coalesce("level", F.lit(bits)).alias("level"), prefix.alias("prefix"), piece.alias("piece"))
-    near = placed.groupBy("tree", "level", "prefix", "piece").applyInPandas(_leaf_neighbours(k, itself), out)
+    coded = cut_lineage(coded).select("id", "label", "asks", "f", F.posexplode("codes").alias("tree", "code")).withColumn("path", F.lit(""))
+    placed = _placed(coded, bits, start, leaf, id_type, seed)
+    near = placed.groupBy("tree", "path").applyInPandas(_leaf_neighbours(k, itself), out)
     # at most trees × k candidates an id
     best = near.groupBy("id").agg(F.slice(F.array_sort(F.collect_set(F.struct("distance", "neighbor_id", "neighbor_label"))), 1, k).alias("best"))
     return best.select("id", F.posexplode("best").alias("at", "b")) \

@@ -81,6 +81,23 @@ def test_knn_table_over_many_leaves(spark):
     assert got.sort_values(key, ignore_index=True).equals(again.sort_values(key, ignore_index=True))
 
 
+def test_knn_table_in_a_dense_cluster_off_the_mean(spark):
+    """Neighbours inside a tight cluster that no hyperplane through the global mean parts."""
+    rng = np.random.RandomState(8)
+    x = rng.randn(2400, 8)
+    x[:800] = 4 + x[:800] * 1e-4
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, features array<double>")
+    got = resample.knn_table(df, 5, leaf=64, trees=12).toPandas()
+    _, want = resample.knn_indices(x[:800], 5)
+    mine = got[got["id"] < 800]
+    assert len(mine) == 4000 and np.mean(mine["distance"].to_numpy() <= want[mine["id"], 4] + 1e-12) >= 0.8
+
+
+def test_trees_follow_the_rows():
+    assert [resample.trees_for(n, 2048, 32) for n in (10, 2049, 51_200)] == [1, 32, 32]
+    assert resample.trees_for(1_000_000, 2048, 32) > 6 * 32
+
+
 def test_smote_counts_and_place(spark):
     rng = np.random.RandomState(1)
     x = rng.randn(100, 3)

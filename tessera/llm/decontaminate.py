@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.codes import ALNUM, LOWER, Lookup, slices, windows, words_of
+from tessera.llm.codes import ALNUM, LOWER, Lookup, Words, slices, windows, words_of
+from tessera.llm.scratch import Scratch
 
 WIDTH = 10
 BLOCK_WINDOWS = 1_000_000
@@ -77,29 +78,35 @@ def windows_of_lines(column: pa.Array, width: int) -> np.ndarray:
     return windows(w.hash, width)[w.first[:-1]] if len(column) else np.empty(0, np.uint64)
 
 
+def _hits_of(held: _Block, w: Words) -> tuple[list[list], list[set]]:
+    """Spans and items hit of each row."""
+    n = len(w.first) - 1
+    spans: list[list] = [[] for _ in range(n)]
+    items: list[set] = [set() for _ in range(n)]
+    for width, (lookup, keys, owners) in held.by.items():
+        found = lookup.find(windows(w.hash, width))
+        at = np.flatnonzero(found >= 0)
+        row = np.searchsorted(w.first, at, side="right") - 1
+        for k, r in zip(at[at + width <= w.first[row + 1]].tolist(), row[at + width <= w.first[row + 1]].tolist()):
+            key = keys[found[k]]
+            said = b" ".join(LOWER[w.data[w.start[j]:w.end[j]]].tobytes() for j in range(k, k + width))
+            if said == key:
+                first = k - int(w.first[r])
+                mine = spans[r]
+                if mine and mine[-1]["first"] <= first <= mine[-1]["last"]:
+                    mine[-1]["last"] = max(mine[-1]["last"], first + width)
+                else:
+                    mine.append({"first": first, "last": first + width})
+                items[r].update(owners[found[k]])
+    return spans, items
+
+
 def _scan(block: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Block(block.value)
         for batch in slices(batches):
             w = words_of(batch.column("text"), ALNUM)
-            n = batch.num_rows
-            spans: list[list] = [[] for _ in range(n)]
-            items: list[set] = [set() for _ in range(n)]
-            for width, (lookup, keys, owners) in held.by.items():
-                found = lookup.find(windows(w.hash, width))
-                at = np.flatnonzero(found >= 0)
-                row = np.searchsorted(w.first, at, side="right") - 1
-                for k, r in zip(at[at + width <= w.first[row + 1]].tolist(), row[at + width <= w.first[row + 1]].tolist()):
-                    key = keys[found[k]]
-                    said = b" ".join(LOWER[w.data[w.start[j]:w.end[j]]].tobytes() for j in range(k, k + width))
-                    if said == key:
-                        first = k - int(w.first[r])
-                        mine = spans[r]
-                        if mine and mine[-1]["first"] <= first <= mine[-1]["last"]:
-                            mine[-1]["last"] = max(mine[-1]["last"], first + width)
-                        else:
-                            mine.append({"first": first, "last": first + width})
-                        items[r].update(owners[found[k]])
+            spans, items = _hits_of(held, w)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(np.diff(w.first), pa.int64()),
                 pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
@@ -108,21 +115,24 @@ def _scan(block: Broadcast):
     return run
 
 
+def _blocks(bench: DataFrame, width: int, block_windows: int) -> Iterator[Broadcast]:
+    """The windows of a benchmark, broadcast in blocks (one at least)."""
+    rows = benchmark_windows(bench, width)
+    blocks = max(1, -(-rows.count() // block_windows))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)))
+    for block in range(blocks):
+        held = [(r.width, bytes(r.window), r["item"]) for r in rows.where(F.col("block") == block).select("width", "window", "item").toLocalIterator()]
+        yield bench.sparkSession.sparkContext.broadcast(held)
+
+
 def find_hits(docs: DataFrame, bench: DataFrame, width: int = WIDTH, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """Per document: doc_id, n_words, hit word ranges ``spans`` [first, last) and ``items`` hit.
 
     Spans of one row may overlap (several widths or blocks); see :func:`report` for totals.
     """
-    spark = docs.sparkSession
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = benchmark_windows(bench, width)
-    blocks = max(1, -(-rows.count() // block_windows))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)))
-    parts = []
-    for block in range(blocks):
-        held = [(r.width, bytes(r.window), r["item"]) for r in rows.where(F.col("block") == block).select("width", "window", "item").toLocalIterator()]
-        parts.append(text.mapInArrow(_scan(spark.sparkContext.broadcast(held)), HITS))
-    if blocks == 1:
+    parts = [text.mapInArrow(_scan(held), HITS) for held in _blocks(bench, width, block_windows)]
+    if len(parts) == 1:
         return parts[0]
     both = reduce(DataFrame.unionByName, parts)
     return both.groupBy("doc_id").agg(
@@ -149,10 +159,25 @@ def report(hits: DataFrame) -> DataFrame:
         (n_hit > 0).alias("contaminated"))
 
 
-def drop_contaminated(docs: DataFrame, bench: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Documents without any benchmark window, columns unchanged."""
-    bad = find_hits(docs, bench, width).where(F.size("spans") > 0).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_hit"]), "left_anti")
+def _clean(block: Broadcast):
+    """The rows without a window of the block, whole."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Block(block.value)
+        for batch in slices(batches, "_said"):
+            yield batch.filter(pa.array([not s for s in _hits_of(held, words_of(batch.column("_said"), ALNUM))[0]], pa.bool_()))
+    return run
+
+
+def drop_contaminated(docs: DataFrame, bench: DataFrame, width: int = WIDTH, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """Documents without any benchmark window, columns unchanged; each row goes by its own text only."""
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    for k, held in enumerate(_blocks(bench, width, block_windows)):
+        if k:                                              # one block at a time is in memory
+            docs = scratch.table(docs, f"clean{k}")
+            scratch.drop(f"clean{k - 1}")
+        rows = docs.withColumn("_said", F.col("text").cast("string"))
+        docs = rows.mapInArrow(_clean(held), rows.schema).drop("_said")
+    return docs
 
 
 def strip_spans(docs: DataFrame, bench: DataFrame, width: int = WIDTH) -> DataFrame:

@@ -175,8 +175,20 @@ def report(mixed: DataFrame) -> DataFrame:
 
 
 def repeat_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The documents as often as the mix takes them, columns unchanged (documents taken 0 times go)."""
-    times = mixed.groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("times").cast("int").alias("_mix_times")).where("_mix_times > 0")
-    joined = docs.join(times, docs["doc_id"].eqNullSafe(times["_mix_id"]))
-    copies = joined.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times"))))
+    """The documents as often as the mix takes them, columns unchanged (documents taken 0 times go).
+
+    Rows of one id (or of none), source and size are alike to the mix, which takes some of them once more than
+    the others: those are the first by a hash of the whole row.
+    """
+    # takes of a source differ by one at most
+    low = mixed.groupBy(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size")) \
+        .agg(F.min("times").alias("_mix_low"), F.max("times").alias("_mix_high"), F.sum("times").alias("_mix_all"), F.count(F.lit(1)).alias("_mix_n"))
+    times = low.withColumn("_mix_more", F.col("_mix_all") - F.col("_mix_low") * F.col("_mix_n")).where("_mix_high > 0").drop("_mix_high", "_mix_all", "_mix_n")
+    rows = docs.withColumn("_mix_words", token_count(F.col("text").cast("string")))
+    same = rows["doc_id"].cast("long").eqNullSafe(times["_mix_id"]) & rows["source"].cast("string").eqNullSafe(times["_mix_source"]) & (rows["_mix_words"] == times["_mix_size"])
+    joined = rows.join(times, same)
+    alike = joined.where("_mix_more = 0").withColumn("_mix_times", F.col("_mix_low"))
+    place = F.row_number().over(Window.partitionBy("_mix_id", "_mix_source", "_mix_size").orderBy(F.xxhash64(*docs.columns)))
+    drawn = joined.where("_mix_more > 0").withColumn("_mix_times", F.col("_mix_low") + (place <= F.col("_mix_more")).cast("long"))
+    copies = alike.unionByName(drawn).where("_mix_times > 0").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times").cast("int"))))
     return copies.select(*docs.columns)

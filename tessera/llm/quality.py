@@ -34,6 +34,7 @@ MODEL_ROWS = 3_000_000
 #: Distinct grams that a task holds before it emits them
 HELD_GRAMS = 1_000_000
 START = 10
+DIGEST = "_judged_by"
 GRID = 1000
 
 
@@ -85,7 +86,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _text(docs: DataFrame) -> DataFrame:
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *[c for c in docs.columns if c == DIGEST])
+
+
+def _digest(docs: DataFrame) -> Column:
+    """Digest of what a row is judged by: its language and its text."""
+    lang, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "text"))
+    return F.unhex(F.md5(F.concat(F.octet_length(lang).cast("string"), F.lit(":"), lang, text).cast("binary")))
 
 
 def _held_out(doc_id: Column) -> Column:
@@ -173,7 +180,8 @@ def _score(model: Broadcast, order: int):
                 total = np.concatenate([[0.0], np.cumsum(models[lang].logp(gram))])
                 loss[rows], known[rows] = -np.diff(total[offsets]), True
             size = np.diff(bytes_of(batch.column("text"))[1])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(size), pa.array(loss, mask=~known)], names=["doc_id", "lang", "n_bytes", "loss"])
+            digest = [n for n in batch.schema.names if n == DIGEST]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(size), pa.array(loss, mask=~known), *[batch.column(n) for n in digest]], names=["doc_id", "lang", "n_bytes", "loss", *digest])
     return run
 
 
@@ -209,7 +217,7 @@ def score_by_join(docs: DataFrame, model: DataFrame, scratch: Scratch, order: in
     rows = rows.withColumn("logp", F.when(F.col("open"), F.col("logp") + float(np.log(1.0 / 256))).otherwise(F.col("logp")))
     losses = scratch.table(rows.groupBy("row").agg(F.sum(-F.col("logp") * F.col("n")).alias("loss")), "losses")
     out = text.join(losses, "row", "left").join(F.broadcast(known.withColumn("judged", F.lit(True))), "lang", "left")
-    return out.select("doc_id", "lang", F.octet_length("text").cast("long").alias("n_bytes"), F.when(F.col("judged"), F.coalesce("loss", F.lit(0.0))).alias("loss"))
+    return out.select("doc_id", "lang", F.octet_length("text").cast("long").alias("n_bytes"), F.when(F.col("judged"), F.coalesce("loss", F.lit(0.0))).alias("loss"), *[c for c in text.columns if c == DIGEST])
 
 
 def score(docs: DataFrame, model: DataFrame, scratch: Scratch, order: int = ORDER, model_rows: int = MODEL_ROWS) -> DataFrame:
@@ -224,7 +232,7 @@ def score(docs: DataFrame, model: DataFrame, scratch: Scratch, order: int = ORDE
                 part = mine.where((F.col("order") == o) & F.col(column).isNotNull()).select("gram", column).toArrow()
                 tables.setdefault(lang, {})[(o, is_gram)] = part["gram"].to_numpy().view(np.uint64), part[column].to_numpy()
     held = docs.sparkSession.sparkContext.broadcast(tables)
-    return _text(docs).mapInArrow(_score(held, order), "doc_id long, lang string, n_bytes long, loss double")
+    return _text(docs).mapInArrow(_score(held, order), "doc_id long, lang string, n_bytes long, loss double" + (f", {DIGEST} binary" if DIGEST in docs.columns else ""))
 
 
 def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -241,7 +249,7 @@ def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float = QUANTILE
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """doc_id, n_bytes, perplexity (a byte), threshold, kept for each row of ``docs``."""
+    """doc_id, n_bytes, perplexity (a byte), threshold, kept for each row of ``docs`` (and its digest, if ``docs`` has it)."""
     scratch = Scratch(docs.sparkSession, "quality")
     trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
     model = train(docs, trusted.where(~_held_out(F.col("doc_id"))), scratch)
@@ -253,10 +261,11 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     loss = F.col("loss") / F.col("n_bytes")
     out = scored.join(limits, "lang", "left")
     kept = (F.col("n_bytes") > 0) & F.coalesce(loss <= F.col("limit"), F.lit(True))
-    return out.select("doc_id", "n_bytes", F.when(F.col("n_bytes") > 0, F.exp(loss)).alias("perplexity"), F.exp("limit").alias("threshold"), kept.alias("kept"))
+    return out.select("doc_id", "n_bytes", F.when(F.col("n_bytes") > 0, F.exp(loss)).alias("perplexity"), F.exp("limit").alias("threshold"), kept.alias("kept"), *[c for c in scored.columns if c == DIGEST])
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """The documents that the classifier keeps, columns unchanged."""
-    bad = classify(docs, labels, quantile).where(~F.col("kept")).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]), "left_anti")
+    """The documents that the classifier keeps, columns unchanged; rows of one id, or of none, are judged each."""
+    rows = docs.withColumn(DIGEST, _digest(docs))
+    bad = classify(rows, labels, quantile).where(~F.col("kept")).select(F.col("doc_id").alias("_bad_id"), F.col(DIGEST).alias("_bad")).distinct()
+    return rows.join(bad, rows["doc_id"].cast("long").eqNullSafe(bad["_bad_id"]) & (rows[DIGEST] == bad["_bad"]), "left_anti").drop(DIGEST)

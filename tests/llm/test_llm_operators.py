@@ -295,6 +295,38 @@ def test_decontaminate_against_brute_force(spark, docs, corpus):
     assert decontaminate.find_hits(docs, bench.limit(0)).where("size(spans) > 0").count() == 0
 
 
+def test_stages_decide_each_row_of_null_and_repeated_ids(spark, tmp_path):
+    rnd = random.Random(9)
+    say = lambda: " ".join(rnd.choice(["the", "cat", "sat", "on", "a", "mat", "house", "with"]) for _ in range(40))
+    secret = "one two three four five six seven eight nine ten"
+    good = [(k, say(), "en", "a", 1) for k in range(40)] + [(None, say(), "en", "a", 2) for _ in range(20)] + [(50, say(), "en", "a", 3)]
+    junk = [(None, "", "en", "a", 4), (None, "%%% ### !! " * 20, "en", "a", 5), (50, "zqxj " * 30, "en", "a", 6)]
+    leaks = [(None, say() + " " + secret, "en", "a", 7), (50, secret, "en", "a", 8), (None, say(), "en", "a", 9)]
+    schema = "doc_id long, text string, lang string, source string, n_chars int"
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(40)], LABELS)
+    kept = quality.keep_good(spark.createDataFrame(good + junk, schema).repartition(3), labels)
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"] and sorted(collected(kept), key=str) == sorted(good, key=str)
+    bench = spark.createDataFrame([(1, secret), (2, "never said here")], "item_id long, text string")
+    df = spark.createDataFrame(good + leaks, schema).repartition(3)
+    for block in (10 ** 6, 1):
+        assert sorted(collected(decontaminate.drop_contaminated(df, bench, block_windows=block)), key=str) == sorted([*good, leaks[2]], key=str)
+
+
+def test_mix_takes_rows_of_null_and_repeated_ids_each(spark):
+    rows = [(None if k % 2 else k % 10, f"{k} " + "w " * (k % 5), ("a", "b", None)[k % 3], k) for k in range(300)]
+    rows += [rows[1]] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n int").repartition(3)
+    mixed = mixing.mix(df, group=20)
+    taken, got = collections.Counter(), collections.Counter()
+    for r in mixed.collect():
+        taken[r.doc_id, r.source, r.size] += r.times
+    repeated = mixing.repeat_documents(df, mixed)
+    assert repeated.columns == df.columns
+    for r in repeated.collect():
+        got[r.doc_id, r.source, len(words(r.text))] += 1
+    assert got == +taken
+
+
 def test_pipeline_stages_keep_the_columns(spark, tmp_path, docs, corpus):
     docs.drop("n_words").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(k, 1, 0) for k in range(0, 50, 2)], LABELS).write.parquet(f"{tmp_path}/labels.parquet")

@@ -6,11 +6,11 @@ The set of windows is shipped to every task; each document's word windows are lo
 hash and every hit is verified on the words themselves.
 
 The set is broadcast in blocks of at most ``BLOCK_WINDOWS`` windows, so its size has a bound
-whatever the benchmark's size; with more than one block the documents are scanned once a block
-and the hits of a row are merged by its id.
+whatever the benchmark's size; with more than one block the documents are written with a row key,
+scanned once a block, and the hits of a row are merged by that key.
 
 Edge cases: null or empty texts and items have no words and no windows; repeated document ids
-are reported once per row with one block (merged by id with several); repeated items each
+(and null ones) are reported once per row; repeated items each
 count; empty tables give empty results (no benchmark: nothing is hit).
 """
 
@@ -107,11 +107,12 @@ def _scan(block: Broadcast):
         for batch in slices(batches):
             w = words_of(batch.column("text"), ALNUM)
             spans, items = _hits_of(held, w)
+            key = [n for n in batch.schema.names if n == "row"]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(np.diff(w.first), pa.int64()),
                 pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
-                pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-            ], names=["doc_id", "n_words", "spans", "items"])
+                pa.array([sorted(x) for x in items], pa.list_(pa.string())), *[batch.column(n) for n in key],
+            ], names=["doc_id", "n_words", "spans", "items", *key])
     return run
 
 
@@ -131,14 +132,17 @@ def find_hits(docs: DataFrame, bench: DataFrame, width: int = WIDTH, block_windo
     Spans of one row may overlap (several widths or blocks); see :func:`report` for totals.
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = [text.mapInArrow(_scan(held), HITS) for held in _blocks(bench, width, block_windows)]
-    if len(parts) == 1:
-        return parts[0]
-    both = reduce(DataFrame.unionByName, parts)
-    return both.groupBy("doc_id").agg(
+    blocks = list(_blocks(bench, width, block_windows))
+    if len(blocks) == 1:
+        return text.mapInArrow(_scan(blocks[0]), HITS)
+    # the key of a row is written, so that it is the same for every block
+    text = Scratch(docs.sparkSession, "decontaminate").table(text.withColumn("row", F.monotonically_increasing_id()), "rows")
+    both = reduce(DataFrame.unionByName, [text.mapInArrow(_scan(held), f"{HITS}, row long") for held in blocks])
+    return both.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"),
         F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).drop("row")
 
 
 def _hit_words(spans) -> F.Column:

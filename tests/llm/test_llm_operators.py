@@ -295,6 +295,14 @@ def test_decontaminate_against_brute_force(spark, docs, corpus):
     assert decontaminate.find_hits(docs, bench.limit(0)).where("size(spans) > 0").count() == 0
 
 
+def test_hits_are_a_row_a_document_row_in_any_number_of_blocks(spark):
+    rows = [(None, "a b c"), (None, "d e f g"), (None, "x y"), (5, "a b c a b c"), (5, "d e f"), (5, "d e f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(1, "a b c"), (2, "d e f"), (3, "p q")], "item_id long, text string")
+    got = [sorted(collected(decontaminate.report(decontaminate.find_hits(df, bench, block_windows=n))), key=str) for n in (10 ** 6, 1)]
+    assert got[0] == got[1] and sorted((str(r[0]), r[1], r[2]) for r in got[0]) == [("5", 3, 3), ("5", 3, 3), ("5", 6, 6), ("None", 2, 0), ("None", 3, 3), ("None", 4, 3)]
+
+
 def test_stages_decide_each_row_of_null_and_repeated_ids(spark, tmp_path):
     rnd = random.Random(9)
     say = lambda: " ".join(rnd.choice(["the", "cat", "sat", "on", "a", "mat", "house", "with"]) for _ in range(40))

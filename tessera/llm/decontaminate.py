@@ -11,7 +11,7 @@ scanned once a block, and the hits of a row are merged by that key.
 
 Edge cases: null or empty texts and items have no words and no windows; repeated document ids
 (and null ones) are reported once per row; repeated items each
-count; empty tables give empty results (no benchmark: nothing is hit).
+count; items without an id are hit like others but not named among ``items``; empty tables give empty results (no benchmark: nothing is hit).
 """
 
 from __future__ import annotations
@@ -52,8 +52,8 @@ def _window_rows(width: int):
 
 
 def benchmark_windows(bench: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Distinct (width, window, item) of a benchmark (item_id, text)."""
-    rows = bench.select(F.col("item_id").cast("string").alias("item"), "text").where("item is not null")
+    """Distinct (width, window, item) of a benchmark (item_id, text); windows of items without an id have a null item."""
+    rows = bench.select(F.col("item_id").cast("string").alias("item"), "text")
     return rows.mapInArrow(_window_rows(width), "width int, window binary, item string").distinct()
 
 
@@ -66,7 +66,9 @@ class _Block:
             items: dict[bytes, list[str]] = {}
             for w, window, item in rows:
                 if w == width:
-                    items.setdefault(window, []).append(item)
+                    owners = items.setdefault(window, [])
+                    if item is not None:
+                        owners.append(item)
             keys = list(items)
             hashes = windows_of_lines(pa.array(keys, pa.binary()), width)
             self.by[width] = (Lookup(hashes), keys, [items[k] for k in keys])

@@ -303,6 +303,16 @@ def test_hits_are_a_row_a_document_row_in_any_number_of_blocks(spark):
     assert got[0] == got[1] and sorted((str(r[0]), r[1], r[2]) for r in got[0]) == [("5", 3, 3), ("5", 3, 3), ("5", 6, 6), ("None", 2, 0), ("None", 3, 3), ("None", 4, 3)]
 
 
+def test_items_without_an_id_are_hit(spark):
+    df = spark.createDataFrame([(1, "a b c d"), (2, "x y"), (3, "k l m")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "b c"), (7, "k l"), (None, "k l")], "item_id long, text string")
+    none, one = decontaminate.sha256_of_items([]), decontaminate.sha256_of_items(["7"])
+    for block in (10 ** 6, 1):
+        got = sorted(collected(decontaminate.report(decontaminate.find_hits(df, bench, block_windows=block))))
+        assert got == [(1, 4, 2, 0, none, True), (2, 2, 0, 0, none, False), (3, 3, 2, 1, one, True)]
+    assert [r.doc_id for r in decontaminate.drop_contaminated(df, bench).collect()] == [2]
+
+
 def test_stages_decide_each_row_of_null_and_repeated_ids(spark, tmp_path):
     rnd = random.Random(9)
     say = lambda: " ".join(rnd.choice(["the", "cat", "sat", "on", "a", "mat", "house", "with"]) for _ in range(40))

@@ -3,11 +3,12 @@
 Learning (labels of training rows only): words and word beginnings (stems) of a bounded, stratified
 sample of labelled documents are counted by label. Terms that go with the label far beyond
 chance make the lexicon, each weighed by its log odds: stems match words that begin so, whole words
-match within an edit distance that grows with their length, unless training documents hold innocent words
-so near to them. Innocent words that a stem would match are exceptions.
+match within an edit distance that grows with their length. Innocent words of training documents that the
+lexicon would match, by a stem or as near misses, are exceptions, each for itself.
 
-Matching: the lexicon's trie is intersected with Levenshtein automata into one deterministic automaton
-over bytes, built state by state as texts need it; all words of a batch run through it together.
+Matching: the lexicon's trie is intersected with Levenshtein automata into deterministic automata
+over bytes (one of the stems, and one for each ``HELD`` words), built state by state as texts need them and begun
+anew beyond ``STATES`` states; all distinct words of a batch run through them together.
 
 Scoring: each hit's weight is lowered if it is a near miss, and if its window is a quotation (within
 quotation marks or after a reporting word). A document's sum, and the sum for its length, enter a logistic
@@ -32,14 +33,16 @@ from tessera.llm.scratch import Scratch
 
 #: Labelled rows of each kind that lexicon and curve are learned from, at most (smallest id hashes first)
 SAMPLE_ROWS = 10_000
-#: Lexicon entries, by strength, and exceptions at most: what is broadcast has this bound
-TERMS, EXCEPTIONS = 5_000, 100_000
+#: Lexicon entries, by strength, at most
+TERMS = 5_000
 STEMS, LONGEST = range(4, 9), 24
 #: Least ratio of rates and number of toxic documents of a term, slack of the test against chance, and
 #: the most that one document counts for a term
 RATIO, SUPPORT, SLACK, MOST = 8.0, 3, 0.5, 3
 FUZZY, QUOTED, THRESHOLD = 0.6, 0.25, 0.3
 WINDOW = 8
+#: Whole words of an automaton, and states that all automata of a task keep from batch to batch
+HELD, STATES = 16, 40_000
 # Quotation marks, and words that report what others say.
 QUOTES = ['"', "“", "”", "„", "«", "»", "‟", "‹", "›"]
 REPORTING = "said says quote quoted quotes word words term called wrote dit disait écrit mot sagte schrieb wort dijo escribió palabra".split()
@@ -140,40 +143,20 @@ def learn(docs: DataFrame, sample: tuple[np.ndarray, np.ndarray], scratch: Scrat
     sure = rated.where((F.col("docs") >= SUPPORT) & (F.col("odds") >= RATIO) & (F.col("strength") >= F.col("chance") + SLACK))
     best = sure.orderBy(F.round("strength", 6).desc(), F.col("kind").desc(), "term").limit(TERMS).collect()
     stems = _apart([(bytes(r.term), float(np.log(r.odds))) for r in best if r.kind])
-    seen = {bytes(r.term): r.pos for r in best if r.kind}
-    words = {}
-    for r in best:
-        if not r.kind:
-            word = bytes(r.term)
-            # one of many words of a stem is matched exactly, as the stem covers its kin
-            main = all(2 * r.pos >= seen[s] for s in stems if word.startswith(s))
-            words[word] = float(np.log(r.odds)), edits(len(word)) if main else 0
-    # innocent words that the lexicon would match: near ones switch their terms' distance off, others are exceptions
-    common = rated.where((F.col("kind") == 0) & (F.col("neg") > 0) & (F.col("odds") < 2)).select("term", "neg")
-    met = common.mapInArrow(_innocent(spark.sparkContext.broadcast(Lexicon(stems, words))), "term binary, neg long, near binary")
-    met = scratch.table(met, "innocent")
-    near = {bytes(r.near) for r in met.where("near is not null").select("near").distinct().collect()}
-    rest = met.where("near is null").orderBy(F.col("neg").desc(), "term").limit(EXCEPTIONS).collect()
-    return Lexicon(stems, {w: (weight, 0 if w in near else most) for w, (weight, most) in words.items()}, frozenset(bytes(r.term) for r in rest))
+    words = {bytes(r.term): (float(np.log(r.odds)), edits(len(r.term))) for r in best if not r.kind}
+    # innocent words that the lexicon would match are exceptions; all of them, as a near one stands for its term's distance
+    common = rated.where((F.col("kind") == 0) & (F.col("neg") > 0) & (F.col("odds") < 2)).select("term")
+    met = common.mapInArrow(_innocent(spark.sparkContext.broadcast(Lexicon(stems, words))), "term binary")
+    return Lexicon(stems, words, frozenset(bytes(r.term) for r in scratch.table(met, "innocent").collect()))
 
 
 def _innocent(lexicon: Broadcast):
-    """Words that the lexicon matches; for near misses, each of the terms that they are near to."""
+    """Words that the lexicon matches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = np.ones(256, dtype=bool)
-        fuzzy = {w: (weight, most) for w, (weight, most) in lexicon.value.words.items() if most}
-        everything, found = Automaton(lexicon.value), set()
+        whole, automata = np.ones(256, dtype=bool), Automata(lexicon.value)
         for batch in batches:
-            code = everything.match(words_of(batch.column("term"), whole))    # every term is one word here
-            out = [(t, n, None) for t, n in zip(*(batch.column(c).filter(pa.array(code > 0)).to_pylist() for c in ("term", "neg")))]
-            terms = batch.column("term").filter(pa.array(code < 0))
-            if len(terms):
-                split = words_of(terms, whole)
-                for word, rule in fuzzy.items():
-                    if word not in found and (Automaton(Lexicon({}, {word: rule})).match(split) < 0).any():
-                        found.add(word)
-                        out.append((word, 0, word))
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.binary(), pa.int64(), pa.binary()))], names=["term", "neg", "near"])
+            met = automata.match(words_of(batch.column("term"), whole)) != 0    # every term is one word here
+            yield batch.filter(pa.array(met))
     return run
 
 
@@ -214,11 +197,16 @@ class Automaton:
                 self.word[node] = most, len(self.weights) - 1
         self.fixed = len(lexicon.stems)           # states up to this one are DEAD and the stems
         self.empty = len(self.child) == 1
+        self.forget()
+
+    def forget(self) -> None:
+        """Begin anew without states."""
         self.sets: list[frozenset] = [frozenset()] * (self.fixed + 1)
         self.ids: dict[frozenset, int] = {frozenset(): DEAD}
         self.next = np.full((max(64, 2 * self.fixed + 2), 256), -1, dtype=np.int32)
         self.next[:self.fixed + 1] = np.arange(self.fixed + 1)[:, None]
         self.end = list(range(self.fixed + 1))
+        self.price = [0] * (self.fixed + 1)       # edits of the word that ends at a state
         self.root = self._state(self._close({0: 0}))
 
     def _close(self, spent: dict[int, int]) -> frozenset:
@@ -239,6 +227,7 @@ class Automaton:
             self.sets.append(members)
             fit = min(((cost, -self.weights[self.word[node][1]], self.word[node][1]) for node, cost in members if cost <= self.word[node][0]), default=(0, 0.0, 0))
             self.end.append(-fit[2] if fit[0] else fit[2])
+            self.price.append(fit[0])
             if len(self.sets) > len(self.next):
                 self.next = np.concatenate([self.next, np.full_like(self.next, -1)])
         return self.ids[members]
@@ -257,6 +246,11 @@ class Automaton:
 
     def match(self, w: Words) -> np.ndarray:
         """For each word the number of the term that it is, minus that number for a near miss, or 0."""
+        state = self.states(w)                    # adds to the states' ends
+        return np.asarray(self.end, dtype=np.int32)[state]
+
+    def states(self, w: Words) -> np.ndarray:
+        """The state at the end of each word."""
         n = len(w.start)
         if self.empty or not n:
             return np.zeros(n, dtype=np.int32)
@@ -275,7 +269,34 @@ class Automaton:
             state[live] = to
             live = live[to > self.fixed]
             at += 1
-        return np.asarray(self.end, dtype=np.int32)[state]
+        return state
+
+
+class Automata:
+    """The matches of one :class:`Automaton` of the whole lexicon, by several small ones: their states add up instead of combining."""
+
+    def __init__(self, lexicon: Lexicon, held: int = HELD):
+        words = sorted(lexicon.words.items())
+        self.parts = [Automaton(Lexicon(lexicon.stems, {}))] + [Automaton(Lexicon({}, dict(words[k:k + held]))) for k in range(0, len(words), held)]
+        self.weights = [0.0, *(x for part in self.parts for x in part.weights[1:])]
+
+    def match(self, w: Words) -> np.ndarray:
+        """As :meth:`Automaton.match`: a stem, else the fewest edits, the highest weight, the first term."""
+        _, at, where = np.unique(w.hash, return_index=True, return_inverse=True)
+        one = Words(w.data, w.rows, w.start[at], w.end[at], w.hash[at], w.first)
+        code, price, weight = np.zeros(len(at), dtype=np.int32), np.full(len(at), 99), np.zeros(len(at))
+        before, weights = 0, np.asarray(self.weights)
+        for k, part in enumerate(self.parts):
+            if len(part.sets) > max(1000 + part.fixed, STATES // len(self.parts)):
+                part.forget()
+            state = part.states(one)
+            got, cost = (np.asarray(x, dtype=np.int32)[state] for x in (part.end, part.price))
+            got = got + np.sign(got) * np.int32(before)
+            value, cost = weights[np.abs(got)], cost - (k == 0)          # stems go first
+            better = (got != 0) & ((cost < price) | ((cost == price) & (value > weight)))
+            code[better], price[better], weight[better] = got[better], cost[better], value[better]
+            before += len(part.weights) - 1
+        return code[where]
 
 
 # --- scoring --------------------------------------------------------------------------------
@@ -296,7 +317,7 @@ _REPORTING = {r.encode() for r in REPORTING}
 def _weigh(lexicon: Broadcast):
     """doc_id, weighed hits and number of words of each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, exceptions = Automaton(lexicon.value), lexicon.value.exceptions
+        automaton, exceptions = Automata(lexicon.value), lexicon.value.exceptions
         for batch in slices(batches):
             w = words_of(batch.column("text"), ALNUM)
             hit = automaton.match(w)

@@ -247,6 +247,37 @@ def test_toxicity_learns_terms_and_their_near_misses(spark):
     assert toxicity.score(df, labels.limit(0)).where("predicted = 1").count() == 0
 
 
+def test_toxicity_keeps_the_distance_of_every_term(spark):
+    rnd = random.Random(7)
+    fill = lambda: " ".join(rnd.choice(["stone", "river", "walks", "green", "table"]) for _ in range(30))
+    # horrible is a small part of its stem; grumble is innocent and near crumble
+    said = lambda k: ("crumble " + ("horrible" if k % 16 == 0 else "horrid horror")) if k % 4 == 0 else "grumble"
+    rows = [(k, f"{fill()} {said(k)} {fill()}") for k in range(400)]
+    extra = [(1000, fill() + " hoprible"), (1001, fill() + " crimble"), (1002, fill() + " grumble"), (1003, fill())]
+    df = spark.createDataFrame(rows + extra, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(400)], LABELS)
+    got = {r.doc_id: r.score for r in toxicity.score(df, labels).collect()}
+    assert got[1000] > got[1003] and got[1001] > got[1003] and abs(got[1002] - got[1003]) < 1e-12
+
+
+def test_several_automata_match_like_one():
+    from tessera.llm.codes import ALNUM, words_of
+
+    rnd = random.Random(8)
+    word = lambda lo, hi: "".join(rnd.choice("abc") for _ in range(rnd.randint(lo, hi))).encode()
+    terms = {t: (float(rnd.randint(1, 3)), toxicity.edits(len(t))) for t in (word(3, 10) for _ in range(40))}
+    lexicon = toxicity.Lexicon({b"abca": 2.0, b"ccbb": 1.0}, terms)
+    w = words_of(pa.array([" ".join(word(1, 11).decode() for _ in range(3000))]), ALNUM)
+    one = toxicity.Automaton(lexicon)
+    for held in (1, 7, 100):
+        several = toxicity.Automata(lexicon, held)
+        assert several.weights == one.weights
+        for _ in range(2):
+            assert (several.match(w) == one.match(w)).all()
+            for part in several.parts:
+                part.forget()
+
+
 def test_automaton_is_levenshtein():
     def distance(a, b):
         row = list(range(len(b) + 1))

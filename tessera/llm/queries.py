@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import decontaminate, line_dedup, mixing, near_dups, quality, token_files, token_rollups, topk, toxicity, warc_audit
+from tessera.llm import decontaminate, line_dedup, mixing, near_dups, periodic_runs, piece_codec, quality, spelling, token_files, token_rollups, topk, toxicity, warc_audit
 from tessera.llm.scratch import Scratch
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -90,8 +91,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.find_hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary of ``documents`` with each word's near words, form and root; null texts have no words."""
+    return spelling.group_variants(read(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of each document, a period written over the tail of one in ten; texts without words have none."""
+    return periodic_runs.report(periodic_runs.detect(read(spark, sf_dir, "documents"), periodic_runs.planted))
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of each document and the text read back from them; null text is empty and has no ids."""
+    return piece_codec.report(piece_codec.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), PIECES, decoded="decoded"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_near_dups, op2_warc_audit, op3_mixing, op4_topk, op5_token_rollups, op6_quality, op7_token_files, op8_line_dedup, op9_toxicity, op10_decontaminate)}
+    op1_near_dups, op2_warc_audit, op3_mixing, op4_topk, op5_token_rollups, op6_quality, op7_token_files, op8_line_dedup, op9_toxicity, op10_decontaminate,
+    op11_spelling, op12_periodic_runs, op13_pieces)}
 
 # A-Z in lower case only
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -158,4 +175,23 @@ ORACLES: dict[str, str] = {
         select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
             sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
         from d left join pos using (doc_id) left join items using (doc_id)""",
+    "op11_spelling": rf"""
+        with recursive tab as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end)) as t),
+        r as (select doc_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[a-z\x{{C0}}-\x{{FF}}]+')) as run from documents),
+        k as (select doc_id, run, count(*) as k, flatten(list_transform(string_split(doc_id::varchar || ':' || run, ''), lambda c: case when unicode(c) < 128 then [unicode(c)::bigint]
+                  else [192 + unicode(c)::bigint // 64, 128 + unicode(c)::bigint % 64] end)) as bytes from r where length(run) >= 6 group by 1, 2),
+        h as (select run, k, xor(4294967295, list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) as h from k, tab),
+        w as (select case when h % 199 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, sum(k)::bigint as n from h group by 1),
+        v as (select word, n from w where length(word) >= 6 and n >= 5),
+        cut as (select distinct word, n, substr(word, 1, i - 1) || substr(word, i + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from v)),
+        hole as (select word, n, i, substr(word, 1, i - 1) || '.' || substr(word, i + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from v)),
+        del as (select c.word as a, c.n as na, v.word as b, v.n as nb from cut c join v on v.word = c.rest),
+        near as (select a, na, b, nb from del union all select b, nb, a, na from del
+            union all select x.word, x.n, y.word, y.n from hole x join hole y on x.rest = y.rest and x.i = y.i and x.word <> y.word),
+        best as (select a as word, count(*) as n_near, max(nb) as most from near group by 1),
+        form as (select word, min(b) as form, min(nb) as form_n from best join near on a = word and nb = most where nb >= 5 * na group by 1),
+        chain as (select word, word as root, 0 as step from v union all select c.word, f.form, step + 1 from chain c join form f on f.word = c.root),
+        root as (select word, arg_max(root, step) as root from chain group by 1)
+        select v.word, form.form, root.root, v.n, coalesce(n_near, 0) as n_near, form.form_n
+        from v join root using (word) left join best using (word) left join form using (word)""",
 }

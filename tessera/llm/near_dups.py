@@ -7,23 +7,26 @@ from the root: at every node the path itself picks a position, and the class mov
 named by its minwise value there, so two classes of similarity s part at a step with probability
 1 - s. Nodes are looked at from ``DEPTH`` steps on, where unrelated classes rarely meet:
 
-1. every class is compared with the smallest of its nodes' pivots (a node's smallest id) that looks
-   alike, and found links are united;
+1. every class is compared with the most alike of its nodes' pivots (a node's pivot is the class whose nodes are
+   fullest in all trees: in a cloud of copies of one text, that text), and found links are united;
 2. a node whose classes are united is done, as further links in it change nothing. In other
    small nodes (at most ``SMALL`` components) the components are compared exhaustively by the
-   signatures of their smallest members there; larger nodes branch on by further minwise tokens;
+   signatures of their smallest members there; each pair that looks alike is given out by the
+   first node in order that holds both, not by every tree they meet in. In larger nodes components of
+   several classes meet all others, and single classes branch on by further minwise tokens, ``FORKS`` ways each;
 3. two components found alike are compared on the full sets of all their members, in bounded chunks,
    one link found being enough.
 
 Every link is confirmed on full sets with ``100 * |A & B| >= 80 * |A | B|``. A pair of similarity 0.8
-meets in one tree with probability 0.8**5, so that 32 trees miss it with probability 3e-6.
+meets in one tree with probability 0.8**5, so that 32 trees miss it with probability 3e-6; if all its
+nodes are large, the first further branching misses it with probability 1e-4.
 
 Groups of copies: exact copies are one class by a partial aggregate; a large group of near copies is
 united through pivots, with one row a member, not a row a pair. Nothing is capped.
 
-Edge cases: null text is empty; of rows repeating a doc_id the first set in order stands for it, and
-each row is reported with its own size and the id's component; a null doc_id takes no part in groups and is
-reported with a null component and kept; extra columns are ignored; an empty table gives an empty result.
+Edge cases: null text is empty; every row takes part with its own set, so rows that repeat a doc_id may lie in
+different groups; rows without a doc_id take part, their group being named by its smallest id (null if it has none);
+rows without words are in no group; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,15 +36,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm.codes import NOT_SPACE, mix64, slices, windows, words_of
 from tessera.llm.scratch import Scratch
 
 WIDTH, PERCENT = 2, 80
 POSITIONS, TREES, DEPTH, SMALL, CHUNK = 128, 32, 5, 64, 256
-#: Ways on from a large node, and their length: a pair of similarity 0.8 parts on all with probability 0.014
-FORKS, DEEPER = 18, 7
+#: Ways on from a large node, and their length
+FORKS, DEEPER = 6, 7
 #: Signature similarity from which pairs are compared on their full sets: low enough for a link
 #: between the components of two classes, not just between the classes
 ALIKE, ALIKE_PIVOT = 0.4, 0.68
@@ -97,13 +100,13 @@ def _describe(width: int):
             value, offsets = shingles(batch.column("text"), width)
             signature = signatures(value, offsets)
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(np.diff(offsets), pa.int64()), pa.array(_sums(value, offsets)), pa.array(_sums(mix64(value + np.uint64(SEED)), offsets)),
-                pa.array([row.tobytes() for row in signature], pa.binary())], names=["doc_id", "n_shingles", "s1", "s2", "signature"])
+                batch.column("row"), batch.column("doc_id"), batch.column("digest"), pa.array(np.diff(offsets), pa.int64()), pa.array(_sums(value, offsets)), pa.array(_sums(mix64(value + np.uint64(SEED)), offsets)),
+                pa.array([row.tobytes() for row in signature], pa.binary())], names=["row", "doc_id", "digest", "n_shingles", "s1", "s2", "signature"])
     return run
 
 
 def _sets(width: int):
-    """The full sets of the texts whose set has the sum wanted (a repeated id may have others)."""
+    """The full sets of the texts whose set has the sum wanted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=2 << 20):
             value, offsets = shingles(batch.column("text"), width)
@@ -160,30 +163,34 @@ def _alike(least: float):
         for frame in frames:
             if len(frame):
                 same = (_matrix(frame["sa"]) == _matrix(frame["sb"])).mean(axis=1)
-                yield frame.loc[same >= least, ["a", "b"]]
+                yield frame.assign(same=same).loc[same >= least, ["a", "b", "same"]]
     return run
 
 
 def _exhaust(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """All pairs of small nodes' components that look alike, each once a task; a row is a node.
+    """The pairs of small nodes' components that look alike, each from the first node that holds both; a row is a node.
 
     Two single classes must look like a link; members of larger components may be more alike than those here.
     """
-    seen: set[tuple[int, int]] = set()
     for frame in frames:
-        fresh = set()
-        for node in frame["held"]:
+        found = [np.empty((0, 2), dtype=np.int64)]
+        for here, node in zip(frame["node"], frame["held"]):
             label, size = np.array([h["label"] for h in node]), np.array([h["n_label"] for h in node])
             signature = np.frombuffer(b"".join(h["signature"] for h in node), dtype=np.uint16).reshape(-1, POSITIONS)
             same = (signature[:, None, :] == signature[None, :, :]).mean(axis=2)
             least = np.where((size[:, None] == 1) & (size[None, :] == 1), ALIKE_PIVOT, ALIKE)
-            for i, j in zip(*np.nonzero(np.triu(same >= least, 1))):
-                a, b = int(min(label[i], label[j])), int(max(label[i], label[j]))
-                if a != b and (a, b) not in seen:
-                    fresh.add((a, b))
-        if len(seen) < 1_000_000:
-            seen |= fresh
-        yield pd.DataFrame(sorted(fresh), columns=["a", "b"], dtype="int64")
+            alike = np.triu(same >= least, 1)
+            owner = np.repeat(np.arange(len(node)), [len(h["nodes"]) for h in node])
+            other = np.concatenate([h["nodes"] for h in node])
+            owner, other = owner[other < here], other[other < here]
+            if len(other):
+                _, which = np.unique(other, return_inverse=True)
+                holds = np.zeros((len(node), which.max() + 1), dtype=np.float32)
+                holds[owner, which] = 1
+                alike &= holds @ holds.T == 0
+            i, j = np.nonzero(alike)
+            found.append(np.sort(np.column_stack([label[i], label[j]]), axis=1))
+        yield pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
 
 def _chunk_links(percent: int):
@@ -214,21 +221,17 @@ def connected(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     which settle stars, also the label of that label, so that long chains halve. Labels only fall:
     when their sum stays, they are final.
     """
-    spark = links.sparkSession
     both = links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")), F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b"))).alias("e")).select("e.a", "e.b").distinct()
     edges = scratch.table(both, f"{name}-edges")
     labels, last, turn = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label")), None, 0
     while True:
-        seen = Observation()
-        path = scratch.path(f"{name}-{turn}")
-        labels.observe(seen, F.sum(F.col("label").cast("decimal(38,0)")).alias("total")).write.mode("overwrite").parquet(path)
-        labels, total = spark.read.schema("id long, label long").parquet(path), seen.get["total"]
+        labels = scratch.table(labels, f"{name}-{turn}")
+        total = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
         if total == last:
             return labels
-        last, turn = total, turn + 1
+        last, turn, held = total, turn + 1, labels
         labels = edges.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("label"))
         if turn > 3:
-            held = spark.read.schema("id long, label long").parquet(path)
             labels = labels.join(held.toDF("label", "far"), "label").select("id", F.least("label", "far").alias("label"))
 
 
@@ -244,33 +247,33 @@ def _labelled(ids: DataFrame, labels: DataFrame) -> DataFrame:
     return ids.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
 
 
-def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, small: int = SMALL) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id."""
+def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, small: int = SMALL, row: str | None = None) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id; also row (the values of column ``row``) and the group's label."""
     scratch = Scratch(docs.sparkSession, "near-dups")
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    described = scratch.table(text.mapInArrow(_describe(width), "doc_id long, n_shingles long, s1 long, s2 long, signature binary"), "described")
+    text = docs.select((F.col(row) if row else F.lit(None)).cast("long").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("digest", F.xxhash64("doc_id", "text"))
+    described = scratch.table(text.mapInArrow(_describe(width), "row long, doc_id long, digest long, n_shingles long, s1 long, s2 long, signature binary"), "described")
     same = ["n_shingles", "s1", "s2"]
-    # one set an id: of a repeated id the first in order
-    filled = described.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    named = filled.groupBy("doc_id").agg(F.min(F.struct(*same)).alias("set")).select("doc_id", "set.*")
-    named = scratch.table(named, "named")
-    classes = named.groupBy(*same).agg(F.min("doc_id").alias("id"))
-    heads = filled.join(classes, same).where(F.col("doc_id") == F.col("id")).select(*same, "id", "signature").dropDuplicates(["id"])
+    # a class has a number of its own, its smallest doc_id, and one row that stands for it
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
+    heads = described.where("n_shingles > 0").groupBy(*same).agg(first, F.first("signature").alias("signature"))
+    heads = heads.select(F.monotonically_increasing_id().alias("id"), *same, F.col("first.doc_id").alias("doc_id"), F.col("first.digest").alias("digest"), "signature")
     heads = scratch.table(heads, "classes")
     signed = heads.select("id", "signature")
 
     # nodes of the trees, from the depth at which they are looked at
     planted = scratch.table(signed.mapInPandas(_plant(trees, depth), "id long, node long"), "planted")
-    nodes = planted.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
-    member = scratch.table(planted.join(nodes, "node").select("node", "id", "pivot"), "members")
-    involved = heads.select("id", "s1").join(member.select("id").distinct(), "id", "left_semi")
-    sets = text.withColumnRenamed("doc_id", "id").join(involved, "id").select("id", "text", "s1")
-    sets = scratch.table(sets.mapInArrow(_sets(width), "id long, set array<long>"), "sets")
-
-    # 1. each class with the smallest pivot that looks alike
-    stars = member.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+    nodes = planted.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    member = scratch.table(planted.join(nodes, "node").select("node", "id", "n"), "members")
+    involved = heads.select("id", "s1", "digest").join(member.select("id").distinct(), "id", "left_semi")
+    sets = text.select("digest", "text").join(involved, "digest").select("id", "text", "s1")
+    sets = scratch.table(sets.mapInArrow(_sets(width), "id long, set array<long>").dropDuplicates(["id"]), "sets")
+
+    # 1. each class with the pivot most like it; a node's pivot is the class with the fullest nodes in all trees
+    weight = member.groupBy("id").agg(F.sum("n").alias("weight"))
+    pivot = member.join(weight, "id").groupBy("node").agg(F.max(F.struct("weight", F.col("id"))).alias("top")).select("node", F.col("top.id").alias("pivot"))
+    stars = member.join(pivot, "node").where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     stars = stars.join(signed.toDF("a", "sa"), "a").join(signed.toDF("b", "sb"), "b")
-    stars = stars.mapInPandas(_alike(ALIKE_PIVOT), "a long, b long").groupBy("a").agg(F.min("b").alias("b"))
+    stars = stars.mapInPandas(_alike(ALIKE_PIVOT), "a long, b long, same double").groupBy("a").agg(F.max(F.struct("same", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
     links = scratch.table(_confirmed(stars, sets, percent), "links1")
     labels = connected(links, scratch, "labels1")
 
@@ -282,17 +285,20 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, tree
         held = _labelled(member.select("node", "id"), of_id).withColumn("n_label", F.coalesce("n_label", F.lit(1)))
         held = held.groupBy("node", "label").agg(F.min("id").alias("id"), F.max("n_label").alias("n_label"))
         counted = held.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        open_ = scratch.table(held.join(counted, "node").join(signed, "id"), f"open{turn}")
-        nodes = open_.where(F.col("n") <= small).groupBy("node").agg(F.collect_list(F.struct("label", "n_label", "signature")).alias("held"))
-        met = nodes.select("held").mapInPandas(_exhaust, "a long, b long")
+        open_ = scratch.table(held.join(counted, "node"), f"open{turn}")
+        few = open_.where(F.col("n") <= small)
+        # an id's small nodes: at most one a tree at first, and FORKS for each large node later
+        few = few.join(few.groupBy("id").agg(F.collect_list("node").alias("nodes")), "id").join(signed, "id")
+        nodes = few.groupBy("node").agg(F.collect_list(F.struct("label", "n_label", "signature", "nodes")).alias("held"))
+        met = nodes.mapInPandas(_exhaust, "a long, b long")
         similar = met if similar is None else similar.union(met)
-        large = open_.where(F.col("n") > small)
+        large = open_.where(F.col("n") > small).join(signed, "id")
         if not large.limit(1).count():
             break
         # larger components meet all others of a large node here; single classes go on
         many = large.where("n_label > 1").select("node", F.col("label").alias("b"), F.col("signature").alias("sb"))
         across = large.select("node", F.col("label").alias("a"), F.col("signature").alias("sa")).join(many, "node").where("a <> b")
-        across = across.select("a", "b", "sa", "sb").mapInPandas(_alike(ALIKE), "a long, b long")
+        across = across.select("a", "b", "sa", "sb").mapInPandas(_alike(ALIKE), "a long, b long, same double")
         similar = similar.union(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         turn += 1
         member = scratch.table(large.where("n_label = 1").select("id", "node", "signature").mapInPandas(_branch, "id long, node long"), f"branched{turn}")
@@ -304,9 +310,11 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, tree
     labels = connected(links, scratch, "labels2")
 
     # classes to documents
-    of_class = _labelled(heads.select(*same, "id"), labels).select(*same, "label")
-    of_doc = named.join(of_class, same).select("doc_id", "label")
-    return described.select("doc_id", "n_shingles").join(of_doc, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
+    of_class = scratch.table(_labelled(heads.select(*same, "id", "doc_id"), labels).select(*same, "label", "doc_id"), "labelled")
+    named = of_class.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    of_class = of_class.join(named, "label").select(*same, "label", "component_id")
+    found = described.select("row", "doc_id", *same).join(of_class, same, "left")
+    return found.select("doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "row", "label")
 
 
 def _between(pairs: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -335,12 +343,16 @@ def _between(pairs: DataFrame, labels: DataFrame, sets: DataFrame, percent: int,
 
 def report(found: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
-    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
-    """One document (smallest id) of each group, columns unchanged; of a repeated id one row stays."""
-    found = components(docs, width, percent)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    """One row of each group (smallest id, rows without one last), columns unchanged; rows without words stay."""
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    rows = Scratch(docs.sparkSession, "near-dups-rows").table(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = components(rows, width, percent, row=row)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    gone = found.where("label is not null").join(found.where("label is not null").groupBy("label").agg(first), "label").where(F.col("row") != F.col("first.row"))
+    return rows.join(gone.select(F.col("row").alias(row)), row, "left_anti").drop(row)

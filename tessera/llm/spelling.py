@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.llm.codes import mix64
 from tessera.llm.scratch import Scratch
@@ -185,15 +185,13 @@ def near_words(vocab: DataFrame, scratch: Scratch, most: int = BLOCKS) -> DataFr
 
 def roots(forms: DataFrame, scratch: Scratch) -> DataFrame:
     """(word, root) of rows (word, form): the end of each word's chain of forms."""
-    spark, at = forms.sparkSession, scratch.table(forms.select("word", F.col("form").alias("root")), "roots0")
+    at = scratch.table(forms.select("word", F.col("form").alias("root")), "roots0")
     turn = 0
     while True:
-        turn, moved = turn + 1, Observation()
-        further = at.join(at.toDF("root", "far"), "root", "left")
-        path = scratch.path(f"roots{turn}")
-        further.observe(moved, F.count("far").alias("moved")).select("word", F.coalesce("far", "root").alias("root")).write.parquet(path)
-        at = spark.read.schema("word string, root string").parquet(path)
-        if not moved.get["moved"]:
+        turn += 1
+        further = scratch.table(at.join(at.toDF("root", "far"), "root", "left").select("word", F.coalesce("far", "root").alias("root"), F.col("far").isNotNull().alias("moved")), f"roots{turn}")
+        at = further.select("word", "root")
+        if not further.where("moved").limit(1).count():
             return at
 
 

@@ -89,6 +89,35 @@ def test_keep_one_keeps_columns_and_one_of_each_group(docs, corpus):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(expected)
 
 
+def test_near_dups_of_repeated_and_null_ids(spark):
+    a, b = " ".join(f"w{k}" for k in range(40)), " ".join(f"v{k}" for k in range(40))
+    rows = [(1, a, "r"), (1, b, "r"), (2, a + " end", "r"), (3, b + " end", "r"), (None, a + " more", "r"), (None, "alone in the world", "r"),
+            (None, "alone in the world", "r"), (None, None, "r"), (4, "", "r"), (9, a, "r"), (9, a, "r")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    got = collections.Counter(tuple(r) for r in near_dups.report(near_dups.components(table)).collect())
+    assert got == collections.Counter([(1, 39, 1, True), (1, 39, 1, True), (2, 40, 1, False), (3, 40, 1, False), (None, 40, 1, False), (None, 3, None, True),
+                                       (None, 3, None, True), (None, 0, None, True), (4, 0, 4, True), (9, 39, 1, False), (9, 39, 1, False)])
+    kept = near_dups.keep_one(table, width=2)
+    assert kept.columns == table.columns
+    assert collections.Counter((r.doc_id, r.text) for r in kept.collect()) == collections.Counter([(1, a), (1, b), (None, "alone in the world"), (None, None), (4, "")])
+    assert near_dups.keep_one(table.limit(0)).count() == 0
+
+
+def test_a_cloud_of_copies_is_one_group_and_pairs_come_once(spark):
+    rnd = random.Random(8)
+    base = [f"w{k}" for k in range(120)]
+    texts = [" ".join(w if rnd.random() > .06 else f"x{rnd.randrange(9999)}" for w in base) for _ in range(300)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(999, " ".join(base))]
+    got = near_dups.components(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80)
+    sets = {k: set(t.split()) for k, t in rows}
+    label = {k: k for k in sets}
+    for _ in range(12):
+        for x in sets:
+            near = [label[y] for y in sets if 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])]
+            label[x] = min(near)
+    assert {r.doc_id: r.component_id for r in got.collect()} == label
+
+
 def test_warc_audit_finds_what_differs(spark):
     a = spark.createDataFrame([(k, f"record {k}") for k in range(300)] + [(7, "again"), (None, "lost place")], "offset long, record string").withColumn("record", F.col("record").cast("binary"))
     b = spark.createDataFrame([(k, f"record {k}" if k != 130 else "rotten") for k in range(299)] + [(7, "again"), (None, "lost place"), (70_000, "new")], "offset long, record string").withColumn("record", F.col("record").cast("binary"))

@@ -6,8 +6,8 @@ The set of windows is shipped to every task; each document's word windows are lo
 hash and every hit is verified on the words themselves.
 
 The set is broadcast in blocks of at most ``BLOCK_WINDOWS`` windows, so its size has a bound
-whatever the benchmark's size; with more than one block the documents are written with a row key,
-scanned once a block, and the hits of a row are merged by that key.
+whatever the benchmark's size; with more than one block the documents are scanned once a block, each row
+carrying its hits so far, and written between two blocks, so that one block at a time is in memory.
 
 Edge cases: null or empty texts and items have no words and no windows; repeated document ids
 (and null ones) are reported once per row; repeated items each
@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,8 @@ from tessera.llm.scratch import Scratch
 WIDTH = 10
 BLOCK_WINDOWS = 1_000_000
 
-HITS = "doc_id long, n_words long, spans array<struct<first:int,last:int>>, items array<string>"
+SPANS = "array<struct<first:int,last:int>>"
+HITS = f"doc_id long, n_words long, spans {SPANS}, items array<string>"
 
 
 def _window_rows(width: int):
@@ -104,17 +104,18 @@ def _hits_of(held: _Block, w: Words) -> tuple[list[list], list[set]]:
 
 
 def _scan(block: Broadcast):
+    """Rows (doc_id, text, n_words, spans, items) with the block's hits added."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Block(block.value)
         for batch in slices(batches):
             w = words_of(batch.column("text"), ALNUM)
             spans, items = _hits_of(held, w)
-            key = [n for n in batch.schema.names if n == "row"]
+            spans = [(old or []) + new for old, new in zip(batch.column("spans").to_pylist(), spans)]
+            items = [sorted(new.union(old or [])) for old, new in zip(batch.column("items").to_pylist(), items)]
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(np.diff(w.first), pa.int64()),
-                pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
-                pa.array([sorted(x) for x in items], pa.list_(pa.string())), *[batch.column(n) for n in key],
-            ], names=["doc_id", "n_words", "spans", "items", *key])
+                batch.column("doc_id"), batch.column("text"), pa.array(np.diff(w.first), pa.int64()),
+                pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))), pa.array(items, pa.list_(pa.string())),
+            ], names=["doc_id", "text", "n_words", "spans", "items"])
     return run
 
 
@@ -133,18 +134,19 @@ def find_hits(docs: DataFrame, bench: DataFrame, width: int = WIDTH, block_windo
 
     Spans of one row may overlap (several widths or blocks); see :func:`report` for totals.
     """
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = list(_blocks(bench, width, block_windows))
-    if len(blocks) == 1:
-        return text.mapInArrow(_scan(blocks[0]), HITS)
-    # the key of a row is written, so that it is the same for every block
-    text = Scratch(docs.sparkSession, "decontaminate").table(text.withColumn("row", F.monotonically_increasing_id()), "rows")
-    both = reduce(DataFrame.unionByName, [text.mapInArrow(_scan(held), f"{HITS}, row long") for held in blocks])
-    return both.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.max("n_words").alias("n_words"),
-        F.flatten(F.collect_list("spans")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).drop("row")
+    return _found(docs, bench, width, block_windows).select("doc_id", "n_words", "spans", "items")
+
+
+def _found(docs: DataFrame, bench: DataFrame, width: int, block_windows: int) -> DataFrame:
+    """The rows (doc_id, text) with their hits in all blocks."""
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.lit(None).cast(SPANS).alias("spans"), F.lit(None).cast("array<string>").alias("items"))
+    for k, held in enumerate(_blocks(bench, width, block_windows)):
+        if k:
+            rows = scratch.table(rows, f"found{k}")
+            scratch.drop(f"found{k - 1}")
+        rows = rows.mapInArrow(_scan(held), f"doc_id long, text string, n_words long, spans {SPANS}, items array<string>")
+    return rows
 
 
 def _hit_words(spans) -> F.Column:
@@ -169,29 +171,26 @@ def _clean(block: Broadcast):
     """The rows without a window of the block, whole."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Block(block.value)
-        for batch in slices(batches, "_said"):
-            yield batch.filter(pa.array([not s for s in _hits_of(held, words_of(batch.column("_said"), ALNUM))[0]], pa.bool_()))
+        for batch in slices(batches):
+            yield batch.filter(pa.array([not s for s in _hits_of(held, words_of(batch.column("text"), ALNUM))[0]], pa.bool_()))
     return run
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, width: int = WIDTH, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """Documents without any benchmark window, columns unchanged; each row goes by its own text only."""
     scratch = Scratch(docs.sparkSession, "decontaminate")
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
     for k, held in enumerate(_blocks(bench, width, block_windows)):
         if k:                                              # one block at a time is in memory
-            docs = scratch.table(docs, f"clean{k}")
+            rows = scratch.table(rows, f"clean{k}")
             scratch.drop(f"clean{k - 1}")
-        rows = docs.withColumn("_said", F.col("text").cast("string"))
-        docs = rows.mapInArrow(_clean(held), rows.schema).drop("_said")
-    return docs
+        rows = rows.mapInArrow(_clean(held), rows.schema)
+    return rows.select("row.*")
 
 
-def strip_spans(docs: DataFrame, bench: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id and the text with every hit word removed (other bytes stay)."""
-    hits = find_hits(docs, bench, width).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), "spans").dropDuplicates(["_id"])
-    text = docs.select("doc_id", "text")
-    joined = text.join(hits, text["doc_id"].eqNullSafe(hits["_id"]), "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(_strip, "doc_id long, text string")
+def strip_spans(docs: DataFrame, bench: DataFrame, width: int = WIDTH, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """doc_id and the text with every hit word removed (other bytes stay), each row by its own hits."""
+    return _found(docs, bench, width, block_windows).mapInArrow(_strip, "doc_id long, text string")
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

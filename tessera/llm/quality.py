@@ -35,6 +35,8 @@ MODEL_ROWS = 3_000_000
 HELD_GRAMS = 1_000_000
 START = 10
 DIGEST = "_judged_by"
+#: Languages up to which their discounts are broadcast (a row of four numbers each)
+LANGUAGES = 10_000
 GRID = 1000
 
 
@@ -99,8 +101,11 @@ def _held_out(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(HOLD)) == 0
 
 
-def _discounted(counts: DataFrame) -> DataFrame:
-    """With ``d``, the modified Kneser-Ney discount of each row's count in its language."""
+def _discounted(counts: DataFrame, table) -> DataFrame:
+    """With ``d``, the modified Kneser-Ney discount of each row's count in its language; ``table`` writes and rereads.
+
+    The discounts are a row a language: broadcast up to ``LANGUAGES`` of them, so that a large language is not one task.
+    """
     many = [F.sum(F.when(F.col("n") == k, 1).otherwise(0)).cast("double") for k in (1, 2, 3, 4)]
     by = counts.groupBy("lang").agg(*[c.alias(f"n{k}") for k, c in enumerate(many, 1)])
     y = F.col("n1") / F.greatest(F.col("n1") + 2 * F.col("n2"), F.lit(1.0))
@@ -108,7 +113,9 @@ def _discounted(counts: DataFrame) -> DataFrame:
         fit = k - (k + 1) * y * F.col(f"n{k + 1}") / F.greatest(F.col(f"n{k}"), F.lit(1.0))
         by = by.withColumn(f"d{k}", F.greatest(F.lit(0.1), F.least(F.lit(k - 0.1), fit)))
     d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    return counts.join(by.select("lang", "d1", "d2", "d3"), "lang").withColumn("d", d).drop("d1", "d2", "d3")
+    by = table(by.select("lang", "d1", "d2", "d3"))
+    by = F.broadcast(by) if by.count() <= LANGUAGES else by
+    return counts.join(by, "lang").withColumn("d", d).drop("d1", "d2", "d3")
 
 
 def train(docs: DataFrame, trusted: DataFrame, scratch: Scratch, order: int = ORDER) -> DataFrame:
@@ -124,7 +131,7 @@ def train(docs: DataFrame, trusted: DataFrame, scratch: Scratch, order: int = OR
         counts[o] = scratch.table(below, f"counts{o}")
     below, model = None, None
     for o in range(1, order + 1):
-        seen = _discounted(counts[o]).withColumn("context", F.shiftright("gram", 8))
+        seen = _discounted(counts[o], lambda by, o=o: scratch.table(by, f"discounts{o}")).withColumn("context", F.shiftright("gram", 8))
         contexts = seen.groupBy("lang", "context").agg(F.sum("n").alias("total"), (F.sum(F.col("d").cast("decimal(20,12)")).cast("double") / F.sum("n")).alias("back"))
         p = seen.join(contexts, ["lang", "context"]).withColumn("suffix", F.col("gram").bitwiseAND(F.lit(_mask(o - 1))))
         if below is None:
@@ -266,6 +273,6 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
 
 def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """The documents that the classifier keeps, columns unchanged; rows of one id, or of none, are judged each."""
-    rows = docs.withColumn(DIGEST, _digest(docs))
-    bad = classify(rows, labels, quantile).where(~F.col("kept")).select(F.col("doc_id").alias("_bad_id"), F.col(DIGEST).alias("_bad")).distinct()
-    return rows.join(bad, rows["doc_id"].cast("long").eqNullSafe(bad["_bad_id"]) & (rows[DIGEST] == bad["_bad"]), "left_anti").drop(DIGEST)
+    rows = docs.select(F.struct("*").alias("row"), *[c for c in ("doc_id", "lang", "text") if c in docs.columns], _digest(docs).alias(DIGEST))
+    bad = classify(rows, labels, quantile).where(~F.col("kept")).select(F.col("doc_id").alias("bad_id"), F.col(DIGEST).alias("bad")).distinct()
+    return rows.join(bad, rows["doc_id"].cast("long").eqNullSafe(bad["bad_id"]) & (rows[DIGEST] == bad["bad"]), "left_anti").select("row.*")

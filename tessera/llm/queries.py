@@ -52,13 +52,14 @@ def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda text, word: F.coalesce(F.regexp_count(text, F.lit(word)), F.lit(0)).cast("long")
     cleaned = F.regexp_replace("text", r"[*$%#&!|]+", "")
     words, alnum = r"[^\x20\x09-\x0D]+", "[0-9A-Za-z]+"
+    # a row is counted under a number of its own: ids may be null or repeat
     measured = scratch.table(read(spark, sf_dir, "documents").select(
-        "doc_id", "source", "lang", count(F.col("text"), words).alias("words"), count(F.col("text"), alnum).alias("alnum"), count(cleaned, words).alias("cleaned")), "measured")
+        F.monotonically_increasing_id().alias("row"), "doc_id", "source", "lang", count(F.col("text"), words).alias("words"), count(F.col("text"), alnum).alias("alnum"), count(cleaned, words).alias("cleaned")), "measured")
     labels = read(spark, sf_dir, "labels")
 
     def batch(rows: DataFrame, first: str, second: str) -> DataFrame:
         versions = F.explode(F.array(*[F.struct(F.lit(name).alias("tokenizer"), F.expr(value).cast("long").alias("n_tokens")) for name, value in (("words-1", first), ("alnum-1", second))]))
-        return rows.select("doc_id", "source", "lang", versions.alias("v")).select("doc_id", "source", "lang", "v.tokenizer", "v.n_tokens")
+        return rows.select(F.col("row").alias("doc_id"), "source", "lang", versions.alias("v")).select("doc_id", "source", "lang", "v.tokenizer", "v.n_tokens")
 
     rollups = token_rollups.TokenRollups(spark, scratch.path("state"))
     rollups.commit("b1-insert", batch(measured, "words", "alnum"))

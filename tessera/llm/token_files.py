@@ -33,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tessera.llm.codes import _power_tables, bytes_of, mix64, slices
@@ -199,7 +200,7 @@ def sequence_schema(sequence: int, wide: bool) -> pa.Schema:
 
 
 DOC_SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
-MANIFEST = "ids_path string, docs_path string, first_doc long, n_docs long, n_tokens long"
+MANIFEST = "part int, ids_path string, docs_path string, n_docs long, n_tokens long"
 
 
 def _sequences(ids: np.ndarray, schema: pa.Schema, sequence: int) -> pa.RecordBatch:
@@ -217,10 +218,9 @@ def _write_part(root: str, path: str, sequence: int, end_id: int):
         wide = encoder.tokenizer.get_vocab_size() > 1 << 16
         schema, kind = sequence_schema(sequence, wide), np.uint32 if wide else np.uint16
         name, full = f"{root}/part-{uuid.uuid4().hex}", sequence * BATCH_SEQUENCES
-        held, n_held, total, n_docs, first, out = [], 0, 0, 0, None, None
+        held, n_held, total, n_docs, out = [], 0, 0, 0, None
         for batch in slices(batches, most=1 << 20):
             if out is None:
-                first = batch.column("doc_id")[0].as_py()
                 out = _open_out(f"{name}.ids.arrow"), _open_out(f"{name}.docs.arrow")
                 writers = pa.ipc.new_stream(out[0], schema), pa.ipc.new_stream(out[1], DOC_SCHEMA)
             ids, offsets = encoder.encode(batch.column("text"))
@@ -242,8 +242,8 @@ def _write_part(root: str, path: str, sequence: int, end_id: int):
                 writers[0].write_batch(_sequences(np.concatenate(held), schema, sequence))
             for x in (*writers, *out):
                 x.close()
-            yield pa.RecordBatch.from_arrays([pa.array([f"{name}.ids.arrow"]), pa.array([f"{name}.docs.arrow"]), pa.array([first], pa.int64()), pa.array([n_docs], pa.int64()), pa.array([total], pa.int64())],
-                                             names=["ids_path", "docs_path", "first_doc", "n_docs", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([f"{name}.ids.arrow"]), pa.array([f"{name}.docs.arrow"]), pa.array([n_docs], pa.int64()), pa.array([total], pa.int64())],
+                                             names=["part", "ids_path", "docs_path", "n_docs", "n_tokens"])
     return run
 
 
@@ -251,7 +251,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, root: str, sequence: int
     """Write the files under ``root`` (shared storage); the manifest, with each part's corpus-wide ``base``."""
     spark = docs.sparkSession
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ordered = text.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # a repeated id, or none, may hold any number of rows: ranges are cut within it by the text's hash
+    text = text.withColumn("digest", F.xxhash64("text"))
+    ordered = text.repartitionByRange("doc_id", "digest").sortWithinPartitions("doc_id", "digest", "text").select("doc_id", "text")
     manifest = ordered.mapInArrow(_write_part(f"{root}/files", tokenizer, sequence, end_id), MANIFEST)
     manifest.write.mode("overwrite").parquet(f"{root}/manifest")
     return read_manifest(spark, root)
@@ -260,7 +262,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, root: str, sequence: int
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     """The committed parts in order (one row a part) with ``base``: all ids in the parts before."""
     parts = spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
-    before = Window.orderBy(F.col("first_doc").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return parts.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
@@ -306,8 +308,8 @@ def _read_part(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_documents(manifest: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, read from the files."""
-    spread = manifest.repartition(F.xxhash64("ids_path"))
+    """doc_id, start, n_tokens, ids_crc32 of every document, read from the files, about a part a task."""
+    spread = manifest.repartition(max(1, manifest.count()), "ids_path")
     return spread.select("ids_path", "docs_path", "base").mapInPandas(_read_part, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -211,6 +211,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE,
     index = scratch.table(index, "index")
     # each index block meets each query block once
     met = index.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<bigint>"))).join(asked, "query_block")
-    found = met.select("block", "dims", "ids", "rows", "query_ids", "queries").mapInPandas(_search(k), "query_id long, vec_id long, score long")
+    # a task a pair of blocks at most; a task's pairs come by block, whose index is built once
+    spread = met.repartition(max(1, min(blocks * query_blocks, 4096)), "block", "query_block").sortWithinPartitions("block")
+    found = spread.select("block", "dims", "ids", "rows", "query_ids", "queries").mapInPandas(_search(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -417,3 +417,46 @@ def test_pipeline_stages_keep_the_columns(spark, tmp_path, docs, corpus):
     assert now.where("text is null").count() == 0
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in now.collect())
+
+
+CLASHING = ["_said", "_judged_by", "_kept_id", "_mix_words", "_mix_times", "row", "row_", "label", "digest", "text_"]
+
+
+def test_stages_keep_columns_named_like_their_own(spark, docs, corpus):
+    table = docs
+    for name in CLASHING:
+        table = table.withColumn(name, F.concat(F.lit(f"{name} "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(40)], LABELS)
+    bench = spark.createDataFrame([("i", corpus[3][1])], "item_id string, text string")
+    for out in (quality.keep_good(table, labels), near_dups.keep_one(table), decontaminate.drop_contaminated(table, bench), decontaminate.drop_contaminated(table, bench, block_windows=2),
+                mixing.repeat_documents(table, mixing.mix(table))):
+        rows = out.collect()
+        assert out.columns == table.columns and rows
+        assert all(r[name] == f"{name} {r.doc_id}" for r in rows for name in CLASHING)
+
+
+def test_strip_spans_goes_by_the_row(spark):
+    passage = " ".join(f"p{k}" for k in range(12))
+    table = spark.createDataFrame([(5, f"a {passage} b"), (5, "short"), (None, None), (None, f"{passage}!")], "doc_id long, text string")
+    bench = spark.createDataFrame([("i", passage), (None, "a  p0")], "item_id string, text string")
+    for most in (1_000_000, 1):
+        if most == 1:
+            got = [tuple(r) for r in decontaminate.find_hits(table, bench, block_windows=1).select("doc_id", "n_words").collect()]
+            assert sorted(got, key=str) == sorted([(5, 14), (5, 1), (None, 0), (None, 12)], key=str)
+        rows = decontaminate.strip_spans(table, bench, block_windows=most).collect()
+        assert sorted(((r.doc_id, r.text.split() if r.text is not None else None) for r in rows), key=str) == sorted([(5, ["b"]), (5, ["short"]), (None, None), (None, ["!"])], key=str)
+
+
+def test_token_files_split_a_hot_id_and_read_parts_apart(spark, tmp_path):
+    rows = [(None if k % 3 else k, f"text number {k}") for k in range(400)] + [(7, "same")] * 200
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    manifest = token_files.write_token_files(table, queries.TOKENIZER, str(tmp_path / "t"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = manifest.orderBy("part").collect()
+    assert len(parts) > 3 and max(p.n_docs for p in parts) < 400
+    got = token_files.read_documents(manifest)
+    assert got.rdd.getNumPartitions() == len(parts)
+    found = sorted((r.start, r.doc_id, r.n_tokens) for r in got.collect())
+    assert [f[1] for f in found] == sorted((r[0] for r in rows), key=lambda k: (k is not None, k or 0)) and len(found) == len(rows)
+    assert all(a[0] + a[2] == b[0] for a, b in zip(found, found[1:]))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import work_id
-from .ranking import value_prefix_sums
+from .ranking import tie_ranked
 from .util import attach_scalar
 
 GEOMETRIC_EPS = 1e-10   # fixed value: added before the logarithm
@@ -35,14 +35,12 @@ def rank_transform(scores: DataFrame, keys: Sequence[str] = ("model",), p: str =
                    out: str = "rank_p") -> DataFrame:
     """(number of strictly smaller scores) / (n − 1) within ``keys``; 0 for a single row.
 
-    Equal to ``percent_rank`` but computed from exact prefix sums, so no key is
-    ranked inside a single task.
+    Equal to ``percent_rank``, but the rows carry their rank through one exchange (:func:`.ranking.tie_ranked`), so
+    neither a model nor a tied score is ranked inside a single task. Rows without a score or key are left out.
     """
-    one = scores.withColumn("__one", F.lit(1).cast("long"))
-    ranks = value_prefix_sums(one, keys, p, {"c": "__one"}).select(
-        *keys, p, F.when(F.col("c_total") > 1, F.col("c_lt") / (F.col("c_total") - 1))
-        .otherwise(F.lit(0.0)).alias(out))
-    return scores.join(ranks, list(keys) + [p])
+    ranked = tie_ranked(scores, keys, p, "__below", "__n")
+    share = F.when(F.col("__n") > 1, F.col("__below") / (F.col("__n") - 1)).otherwise(F.lit(0.0))
+    return ranked.withColumn(out, share).drop("__below", "__n")
 
 
 def combine(scores: DataFrame, method: str = "weighted_mean", models: DataFrame | None = None,

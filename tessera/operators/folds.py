@@ -1,20 +1,19 @@
 """Stratified folds, splits and class-balancing samples.
 
-All of them rank rows inside their class by a seeded hash key. The per-class
-position comes from exact prefix sums over the hash key (see
-:mod:`.ranking`), so a class holding most of the rows is still ranked by
-many tasks.
+All of them number the rows of a class by a seeded hash key. The place is carried by the rows
+(:func:`.ranking.numbered`): they are dealt and sorted once, over all tasks, so a class holding most of the rows is
+numbered by many. A null label is a class; rows without an id are ordered by a hash of the whole row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import seeded_key, seeded_key_any
-from .ranking import value_prefix_sums
+from .ranking import numbered
 from .util import attach_scalar
 
 
@@ -27,17 +26,13 @@ def class_positions(df: DataFrame, label: str | None, id_col: str = "id", seed:
                     strata: Sequence[str] = ()) -> DataFrame:
     """Adds ``pos`` (0-based position inside the class in seeded order) and ``class_n``.
 
-    Order: seeded hash key, then id. The (key, id) pair is unique, so the
-    position is a true permutation. ``label=None`` ranks the whole table.
+    Order: seeded hash key, then id; rows without an id by a hash of the row, so that they are spread and ordered alike
+    in reruns. The (key, id) pair of others is unique, so the position is a true permutation. ``label=None`` ranks the
+    whole table.
     """
     keys = list(strata) + ([label] if label is not None else [])
-    k = df.withColumn("__h", _key(df, id_col, seed))
-    pre = value_prefix_sums(k.withColumn("__c", F.lit(1).cast("long")), keys, "__h", {"c": "__c"})
-    # rows sharing a hash key (rare, small groups) are ordered by id inside it
-    within = Window.partitionBy(*keys, "__h").orderBy(id_col)
-    ranked = k.join(pre.select(*keys, "__h", "c_lt", F.col("c_total").alias("class_n")), keys + ["__h"]) \
-        .withColumn("pos", F.col("c_lt") + F.row_number().over(within) - 1)
-    return ranked.drop("__h", "c_lt")
+    k = df.withColumn("__h", F.coalesce(_key(df, id_col, seed), F.xxhash64(*df.columns)))
+    return numbered(k, keys, ["__h", id_col], "pos", "class_n").drop("__h")
 
 
 def stratified_folds(df: DataFrame, label: str, k: int = 5, id_col: str = "id", seed: int = 42,
@@ -76,12 +71,10 @@ def undersample(df: DataFrame, label: str, id_col: str = "id", seed: int = 42) -
 def exact_sample(df: DataFrame, fraction: float, id_col: str = "id", seed: int = 42) -> DataFrame:
     """Exactly ``int(total · fraction)`` rows, the first ones in seeded hash order.
 
-    The cut is found from exact prefix sums over the hash key, so the sample
-    is a filter, not a sort-and-limit through one task.
+    Rows are numbered, so the sample is a filter, not a sort-and-limit through one task.
     """
-    n = int(df.count() * fraction)
     pos = class_positions(df, None, id_col, seed)
-    return pos.where(F.col("pos") < n).drop("pos", "class_n")
+    return pos.where(F.col("pos") < F.floor(F.col("class_n") * F.lit(float(fraction)))).drop("pos", "class_n")
 
 
 COPY_BLOCK = 10_000   # copies of one row made inside one task at most
@@ -114,17 +107,12 @@ def weighted_resample(df: DataFrame, label: str, n: int | None = None, id_col: s
             .drop("__copies", "__block", "__in_block", "__rep"))
 
 
-def synthetic_ids(df: DataFrame, out: str = "id", prefix: str = "W", width: int | None = None) -> DataFrame:
+def synthetic_ids(df: DataFrame, out: str = "id", prefix: str = "W", width: int | None = None, order: Sequence[str] = ()) -> DataFrame:
     """consecutive ids ``W0, W1, …`` (``width`` zero-pads, e.g. ``W0000000012``) for rows without one.
 
-    The order is the scan order (``monotonically_increasing_id`` taken right on
-    the input, which a recomputed scan task reproduces); exact prefix sums turn
-    those sparse ids into consecutive positions without a single-task window,
-    and a reliable checkpoint freezes the result.
+    In the order of ``order``, else in scan order: then the rows are not moved at all, only written once with their
+    index in the task, and a table of a row a task gives the offsets.
     """
-    from ..session import cut_lineage
-    m = df.withColumn("__m", F.monotonically_increasing_id())
-    pos = value_prefix_sums(m.withColumn("__c", F.lit(1).cast("long")), [], "__m", {"c": "__c"}) \
-        .select("__m", F.col("c_lt").alias("__pos"))
+    rows = numbered(df, [], list(order), "__pos")
     num = F.col("__pos").cast("string") if width is None else F.lpad(F.col("__pos").cast("string"), width, "0")
-    return cut_lineage(m.join(pos, "__m").withColumn(out, F.concat(F.lit(prefix), num)).drop("__m", "__pos"))
+    return rows.withColumn(out, F.concat(F.lit(prefix), num)).drop("__pos")

@@ -13,18 +13,20 @@ import random
 import time
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import Binarizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .evaluate import curve_areas, f1_at_threshold
+from .calibrate import apply_isotonic, fit_isotonic
+from .evaluate import coarse_threshold_search, curve_areas, f1_at_threshold, threshold_search
+from .extra_trees import ExtraTrees
 
 KINDS = ("gbt", "random_forest", "extra_trees", "bagging", "decision_tree", "logistic", "linear_svc",
          "gaussian_nb", "bernoulli_nb", "mlp", "dummy")
@@ -40,9 +42,8 @@ def estimator(kind: str, features: str = "features", label: str = "label", weigh
                              maxDepth=params.pop("maxDepth", 5), **params)
     if kind == "random_forest":             # M2
         return RandomForestClassifier(**common, **w, seed=seed, numTrees=params.pop("numTrees", 100), **params)
-    if kind == "extra_trees":               # M2/M3: random splits approximated by feature subsets per node
-        return RandomForestClassifier(**common, **w, seed=seed, featureSubsetStrategy="sqrt",
-                                      bootstrap=False, numTrees=params.pop("numTrees", 100), **params)
+    if kind == "extra_trees":               # M2: random cuts, no bootstrap
+        return ExtraTrees(**common, weightCol=weight, seed=seed, **params)
     if kind == "bagging":                   # M2: bootstrap samples, all features
         return RandomForestClassifier(**common, **w, seed=seed, featureSubsetStrategy="all",
                                       numTrees=params.pop("numTrees", 10), **params)
@@ -69,6 +70,23 @@ def estimator(kind: str, features: str = "features", label: str = "label", weigh
     raise ValueError(f"unknown model kind {kind!r}")
 
 
+def without_summary(model):
+    """The model without its training summaries.
+
+    A binary summary holds the session, which cannot be written once it has an observation: scoring with the
+    model would then fail. Scores do not need it.
+    """
+    for stage in model.stages if isinstance(model, PipelineModel) else [model]:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkSession.getActiveSession().sparkContext._jvm.scala.Option.empty())
+    return model
+
+
+def fit(est, train: DataFrame, params: Mapping | None = None):
+    """Fit for scoring (see :func:`without_summary`)."""
+    return without_summary(est.fit(train, params) if params else est.fit(train))
+
+
 def positive_probability(pred: DataFrame, out: str = "p") -> DataFrame:
     """P(class 1) from ``probability``; models without one give the hard prediction."""
     if "probability" in pred.columns:
@@ -88,14 +106,20 @@ def fit_and_score(kind: str, train: DataFrame, score: DataFrame, features: str =
     if kind == "dummy":
         maj = majority_class(train, label)
         return score.withColumn("prediction", F.lit(float(maj))).withColumn("p", F.lit(float(maj)))
-    est = estimator(kind, features, label, weight, n_features=n_features, **params)
-    model = est.fit(train)
+    model = fit(estimator(kind, features, label, weight, n_features=n_features, **params), train)
     return positive_probability(model.transform(score))
 
 
+#: What a model that cannot be had or fitted raises; anything else (a crash of Spark) is not a model's failure
+FIT_ERRORS = (ValueError, TypeError, IllegalArgumentException)
+
+
 def compare_models(kinds: Sequence[str], train: DataFrame, val: DataFrame, features: str = "features",
                    label: str = "label", weight: str | None = None, n_features: int | None = None) -> DataFrame:
-    """F1 (at 0.5), ROC-AUC and fit+score seconds per model; a model that fails keeps its row, with ``error``."""
+    """F1 (at 0.5), ROC-AUC and fit+score seconds per model.
+
+    A model whose estimator refuses its parameters or data keeps its row, with ``error``; other errors are raised.
+    """
     spark = train.sparkSession
     rows = []
     for k in kinds:
@@ -104,7 +128,7 @@ def compare_models(kinds: Sequence[str], train: DataFrame, val: DataFrame, featu
             scored = fit_and_score(k, train, val, features, label, weight, n_features).select(label, "p")
             f1 = f1_at_threshold(scored, 0.5, [], label).first()["f1"]
             auc = curve_areas(scored, [], label).first()["roc_auc"]
-        except Exception as e:  # noqa: BLE001  (reported in the model's row)
+        except FIT_ERRORS as e:
             rows.append((k, None, None, time.time() - t0, f"{type(e).__name__}: {e}"))
             continue
         rows.append((k, float(f1), None if auc is None else float(auc), time.time() - t0, None))
@@ -143,23 +167,42 @@ def param_grid(est, grid: Mapping[str, Sequence], n_random: int | None = None, s
 
 
 def cross_validate(est, grid, data: DataFrame, fold_col: str = "fold", label: str = "label",
-                   parallelism: int = 4, metric: str = "f1", n_folds: int = 5) -> tuple[PipelineModel, list[float]]:
-    """K-fold CV over a user fold column (W5), scored by positive-class F1 (or ROC-AUC)."""
+                   metric: str = "f1", n_folds: int = 5) -> tuple[PipelineModel, list[float]]:
+    """K-fold CV over a user fold column (W5), scored by positive-class F1 (or ROC-AUC).
+
+    Returns the best parameters' model fitted on all rows (first on ties), and each parameter set's mean over folds.
+    """
     if metric == "f1":
         ev = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
     else:
         ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col,
-                        numFolds=n_folds, parallelism=parallelism, seed=42)
-    m = cv.fit(data.withColumn(fold_col, F.col(fold_col).cast("int")))
-    return m.bestModel, [float(x) for x in m.avgMetrics]
+    sums = [0.0] * len(grid)
+    for k in range(n_folds):
+        train, held = data.where(F.col(fold_col) != k), data.where(F.col(fold_col) == k)
+        for i, params in enumerate(grid):
+            sums[i] += float(ev.evaluate(fit(est, train, params).transform(held)))
+    means = [x / n_folds for x in sums]
+    return fit(est, data, grid[means.index(max(means))]), means
+
+
+def random_search(kind: str, data: DataFrame, n_random: int, fold_col: str = "fold", label: str = "label", features: str = "features",
+                  n_folds: int = 5, seed: int = 42, grid: Mapping[str, Sequence] | None = None, weight: str | None = None) -> DataFrame:
+    """M11 + M12: a seeded random subset of the model's search space (``DEFAULT_GRIDS`` or ``grid``), cross-validated.
+
+    Returns params (JSON), mean_f1 and best, a row a parameter set.
+    """
+    est = estimator(kind, features, label, weight, seed=seed)
+    maps = param_grid(est, grid or DEFAULT_GRIDS[kind], n_random, seed)
+    _, means = cross_validate(est, maps, data, fold_col, label, n_folds=n_folds)
+    named = [json.dumps({p.name: v for p, v in m.items()}, sort_keys=True) for m in maps]
+    best = means.index(max(means))
+    return data.sparkSession.createDataFrame([(n, m, i == best) for i, (n, m) in enumerate(zip(named, means))], "params string, mean_f1 double, best boolean")
 
 
 def fold_loop(kind: str, data: DataFrame, fold_col: str = "fold", n_folds: int = 5, features: str = "features",
               label: str = "label", id_col: str = "id", n_features: int | None = None, **params) -> DataFrame:
     """Train on all folds but one, score the held-out fold; per fold the F1 at the best
     coarse threshold, that threshold, and ROC-AUC (summarised with ``evaluate.cv_summary``, A23)."""
-    from .evaluate import coarse_threshold_search
     spark = data.sparkSession
     rows = []
     for k in range(n_folds):
@@ -173,27 +216,71 @@ def fold_loop(kind: str, data: DataFrame, fold_col: str = "fold", n_folds: int =
     return spark.createDataFrame(rows, "fold int, f1 double, threshold double, roc_auc double")
 
 
+# ---------------------------------------------------------------- M1 / M13 early stopping
+def boosted_with_early_stop(train: DataFrame, held: DataFrame, features: str = "features", label: str = "label", weight: str | None = None,
+                            tol: float = 0.01, seed: int = 42, **params):
+    """M1: boosted trees that stop when the held-out loss no longer falls by ``tol``; returns (model, history).
+
+    history: trees, train_loss, held_loss (log loss of the margins) after each tree that is kept, and kept (all true).
+    Held-out rows only decide when to stop.
+    """
+    flag = "is_held"
+    while flag in train.columns:
+        flag += "_"
+    est = GBTClassifier(featuresCol=features, labelCol=label, seed=seed, validationIndicatorCol=flag, validationTol=tol, **({"weightCol": weight} if weight else {}), **params)
+    model = fit(est, train.withColumn(flag, F.lit(False)).unionByName(held.withColumn(flag, F.lit(True))))
+    losses = zip(model.evaluateEachIteration(train), model.evaluateEachIteration(held))
+    return model, train.sparkSession.createDataFrame([(k, float(a), float(b)) for k, (a, b) in enumerate(losses, 1)], "trees int, train_loss double, held_loss double")
+
+
+def train_in_passes(train: DataFrame, held: DataFrame, path: str, n_features: int, hidden: Sequence[int] = (32, 16), passes: int = 20, patience: int = 5,
+                    steps: int = 5, features: str = "features", label: str = "label", seed: int = 42) -> tuple[object, DataFrame]:
+    """A network trained pass by pass (``steps`` solver steps each, starting from the weights of the pass before).
+
+    After each pass the model is written under ``path`` and the held-out rows are scored (``path``/scores, by pass);
+    F1 is taken at the best coarse threshold. Training stops after ``patience`` passes without a better F1; the best
+    pass's model is returned with the history: pass, f1, threshold, roc_auc, best. A rerun goes on from what is written.
+    """
+    spark, best, history, weights = train.sparkSession, (-1.0, 0), [], None
+    for k in range(1, passes + 1):
+        est = MultilayerPerceptronClassifier(featuresCol=features, labelCol=label, seed=seed, layers=[n_features, *hidden, 2], maxIter=steps, tol=0.0)
+        if weights is not None:
+            est = est.setInitialWeights(weights)
+        model = fit(est, train)
+        weights = model.weights
+        model.write().overwrite().save(f"{path}/pass-{k:03d}")
+        positive_probability(model.transform(held)).select(F.col(label).cast("int").alias("label"), "p").write.mode("overwrite").parquet(f"{path}/scores/pass={k}")
+        scores = spark.read.schema("label int, p double").parquet(f"{path}/scores/pass={k}")
+        at, auc = coarse_threshold_search(scores, []).first(), curve_areas(scores, []).first()["roc_auc"]
+        history.append((k, float(at["best_f1"]), float(at["best_threshold"]), None if auc is None else float(auc)))
+        if history[-1][1] > best[0]:
+            best = (history[-1][1], k)
+        if k - best[1] >= patience:
+            break
+    rows = [(*h, h[0] == best[1]) for h in history]
+    return type(model).load(f"{path}/pass-{best[1]:03d}"), spark.createDataFrame(rows, "pass int, f1 double, threshold double, roc_auc double, best boolean")
+
+
 # ---------------------------------------------------------------- M16 calibration
 def isotonic_calibrated_scores(kind: str, train: DataFrame, score: DataFrame, fold_col: str = "fold",
                                n_folds: int = 3, features: str = "features", label: str = "label",
-                               n_features: int | None = None, id_col: str = "id", **params) -> DataFrame:
+                               n_features: int | None = None, id_col: str = "id", weight: str | None = None, **params) -> DataFrame:
     """Per fold, fit on the other folds, fit isotonic regression on the held-out scores,
     and average the calibrated scores of the fold models over ``score`` rows."""
-    parts = []
+    scored = score.select(id_col, features)
     for k in range(n_folds):
-        fit_part = train.where(F.col(fold_col) % n_folds != k)
-        held = train.where(F.col(fold_col) % n_folds == k)
-        est = estimator(kind, features, label, n_features=n_features, **dict(params))
-        model = est.fit(fit_part)
-        oof = positive_probability(model.transform(held)).select(F.col("p").alias("raw"),
-                                                                 F.col(label).cast("double").alias("y"))
-        iso = IsotonicRegression(featuresCol="raw", labelCol="y", predictionCol="cal").fit(oof)
-        s = positive_probability(model.transform(score)).select(id_col, F.col("p").alias("raw"))
-        parts.append(iso.transform(s).select(id_col, "cal"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy(id_col).agg(F.avg("cal").alias("p"))
+        model = fit(estimator(kind, features, label, weight, n_features=n_features, **dict(params)), train.where(F.col(fold_col) % n_folds != k))
+        held = positive_probability(model.transform(train.where(F.col(fold_col) % n_folds == k)))
+        steps = fit_isotonic(held.select(F.col("p").alias("x"), F.col(label).cast("double").alias("y")))
+        raw = positive_probability(model.transform(scored), f"raw{k}")
+        scored = apply_isotonic(raw, steps, f"raw{k}", f"cal{k}").select(*scored.columns, f"cal{k}")
+    mean = sum((F.col(f"cal{k}") for k in range(n_folds)), F.lit(0.0)) / n_folds
+    return scored.select(id_col, mean.alias("p"))
+
+
+def calibrated_threshold(calibrated: DataFrame, label: str = "label") -> DataFrame:
+    """The decision threshold tuned again on calibrated scores (``p``, label): best_threshold, best_f1."""
+    return threshold_search(calibrated.select(F.col(label).cast("int").alias("label"), "p"), [])
 
 
 # ---------------------------------------------------------------- M17 scoring / S12 bundles

@@ -901,6 +901,18 @@ for _name, _kind, _params in (("m1_gbt_scores", "gbt", {"maxIter": 20, "maxDepth
     register(_name)(_model_query(_kind, **_params))
 
 
+register("m2_extra_trees_scores")(_model_query("extra_trees", numTrees=20, maxDepth=8))
+register("m6_bernoulli_scores")(_model_query("bernoulli_nb"))
+
+
+@register("m4_weighted_scores")
+def m4_weighted_scores(spark, sf_dir):
+    """M4 + A16: every class weighs the same in the loss."""
+    train, hold = _model_frames(spark, sf_dir)
+    weighted = stats.with_class_weight(train, "label", stats.class_weights(train, "label"), out="w")
+    return MD.fit_and_score("logistic", weighted, hold, weight="w").select("id", F.lit("logistic").alias("model"), "p")
+
+
 @register("m10_model_comparison")
 def m10_model_comparison(spark, sf_dir):
     train, hold = _model_frames(spark, sf_dir)
@@ -908,6 +920,13 @@ def m10_model_comparison(spark, sf_dir):
                              n_features=len(MODEL_FEATURES)).select("model", "f1", "roc_auc", "error")
 
 
+def _with_folds(spark, sf_dir):
+    """Train and validation rows together, with folds over both."""
+    train, hold = _model_frames(spark, sf_dir)
+    both = JN.union_splits([train.drop("fold", "raw"), hold])
+    return cut_lineage(folds.stratified_folds(both, "label", 5, "id", 42))
+
+
 @register("m11_cross_validation")
 def m11_cross_validation(spark, sf_dir):
     """5-fold CV over the W5 folds with the scaler inside the pipeline (fitted per fold)."""
@@ -919,6 +938,12 @@ def m11_cross_validation(spark, sf_dir):
     return spark.createDataFrame([(i, m) for i, m in enumerate(metrics)], "param_set int, mean_f1 double")
 
 
+@register("m11_m12_random_search")
+def m11_m12_random_search(spark, sf_dir):
+    """M11 + M12 + U1: a seeded third of the decision tree's search space over folds of train and validation rows."""
+    return MD.random_search("decision_tree", _with_folds(spark, sf_dir), 3)
+
+
 @register("m13_fold_loop")
 def m13_fold_loop(spark, sf_dir):
     """M13 + A23: per-fold F1/threshold/AUC of a model, then their mean/std/best fold."""
@@ -927,6 +952,22 @@ def m13_fold_loop(spark, sf_dir):
     return evaluate.cv_summary(per_fold.withColumn("model", F.lit("logistic")), "f1", ["model"])
 
 
+@register("m1_early_stopping")
+def m1_early_stopping(spark, sf_dir):
+    """M1: losses of boosted trees after each tree, until the held-out loss stops falling."""
+    train, hold = _model_frames(spark, sf_dir)
+    _, history = MD.boosted_with_early_stop(train.select("id", "label", "features"), hold, maxIter=40, maxDepth=3)
+    return history
+
+
+@register("m13_training_passes")
+def m13_training_passes(spark, sf_dir):
+    """F1, threshold and AUC after each pass of a network that is trained until no pass is better."""
+    train, hold = _model_frames(spark, sf_dir)
+    _, history = MD.train_in_passes(train, hold, _scratch(spark, "passes"), len(MODEL_FEATURES), (16,), passes=8, patience=3, steps=10)
+    return history
+
+
 @register("m16_isotonic_calibration")
 def m16_isotonic_calibration(spark, sf_dir):
     train, hold = _model_frames(spark, sf_dir)
@@ -934,6 +975,15 @@ def m16_isotonic_calibration(spark, sf_dir):
     return MD.isotonic_calibrated_scores("logistic", thirds, hold, "fold", 3)
 
 
+@register("m16_calibrated_threshold")
+def m16_calibrated_threshold(spark, sf_dir):
+    """The threshold tuned again on the calibrated scores of the held-out rows."""
+    train, hold = _model_frames(spark, sf_dir)
+    thirds = folds.stratified_folds(train.drop("fold"), "label", 3)
+    scores = MD.isotonic_calibrated_scores("logistic", thirds, hold, "fold", 3)
+    return MD.calibrated_threshold(cut_lineage(scores.join(hold.select("id", "label"), "id")))
+
+
 @register("m17_bundle_scoring")
 def m17_bundle_scoring(spark, sf_dir):
     train, hold = _model_frames(spark, sf_dir)
@@ -1121,3 +1171,11 @@ def f1_f21_nested_jsonl(spark, sf_dir):
 def f37_synthetic_ids(spark, sf_dir):
     b = table(spark, sf_dir, "benchmark")
     return folds.synthetic_ids(b, "work_id", "W", 10).select("item_id", "work_id")
+
+
+@register("f37_ordered_ids", """SELECT doc_id, 'W' || lpad(CAST(row_number() OVER (ORDER BY source NULLS FIRST, n_chars NULLS FIRST, doc_id) - 1 AS VARCHAR), 10, '0') AS work_id
+FROM documents""")
+def f37_ordered_ids(spark, sf_dir):
+    """consecutive ids in the order of source, length and id."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return folds.synthetic_ids(d, "work_id", "W", 10, ["source", "n_chars", "doc_id"]).select("doc_id", "work_id")

@@ -1,29 +1,11 @@
-"""Nearest neighbours and synthetic resampling over whole tables.
+"""Neighbour joins, the neighbour classifier and synthetic resampling over whole tables.
 
-Neighbours are searched in ``trees`` independent hash trees. A row's code in a tree is the sides of
-seeded random hyperplanes (through the mean vector) that it lies on; a leaf is the shortest code
-prefix that at most ``leaf`` rows share. A cell still larger at the last bit (a dense cluster away from the
-mean) is cut again by new hyperplanes through its own mean, until its parts fit. Only groups of equal
-vectors, which no hyperplane parts, are dealt over leaves by a hash of their id. Inside a leaf distances are exact; the best ``k`` of
-all trees are merged per id. Every group handed to Python is a leaf, so it is bounded whatever the
-size or skew of the table, and only top-k rows leave it.
-
-A table of at most ``leaf`` rows is one leaf and its result exact; beyond, it is approximate. Recall
-of the 5 nearest of 64 dimensions, 32 trees of 2,048 rows a leaf: 1.0 on 10,256 vectors, 0.98 on
-51,282 (16 trees: 0.99 and 0.88). Beyond ``EVEN`` leaves of rows the number of trees grows with the table
-(:func:`trees_for`), as a pair meets in a tree the less often the more cuts lie above its leaf.
-Vectors null or holding null or non-finite values take no part.
-
-Random choices are functions of ids and positions, so a recomputed task returns the same rows.
+Neighbours are exact at any size (:mod:`.neighbours`). Random choices are functions of ids and positions, so a
+recomputed task returns the same rows.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +13,7 @@ from ..functions.keys import seeded_key, seeded_unit
 from ..session import cut_lineage
 from .folds import class_positions
 from .join import union_splits
+from .neighbours import CHUNK, exact_neighbours
 
 # Fixed values of the reference's resampling.
 SMOTE_K = 5
@@ -38,18 +21,6 @@ ENN_K = 3
 BASE_SEED = 42
 RATIO = 0.35
 
-LEAF, TREES = 2048, 32
-#: Code bits from the first level looked at to the last
-LEVELS = 12
-#: Leaves of rows up to which the given trees are used, and the power of the rows that they follow beyond
-EVEN, GROWTH = 25, 0.65
-
-
-def trees_for(n_rows: int, leaf: int, trees: int) -> int:
-    """Trees over ``n_rows``: one if they are one leaf, else ``trees``, more beyond ``EVEN`` leaves."""
-    return 1 if n_rows <= leaf else round(trees * max(1.0, n_rows / (EVEN * leaf)) ** GROWTH)
-
-
 def adaptive_ratio(n_rows: int) -> float:
     """The reference's minority/majority ratio by the number of rows (pass it as ``ratio``)."""
     if n_rows > 100_000:
@@ -59,173 +30,37 @@ def adaptive_ratio(n_rows: int) -> float:
     return RATIO
 
 
-# ---------------------------------------------------------------- NumPy kernels (run inside tasks)
-def knn_indices(x: np.ndarray, k: int, base: np.ndarray | None = None, exclude_self: bool = True,
-                block: int = 128) -> tuple[np.ndarray, np.ndarray]:
-    """Exact k nearest neighbours (Euclidean) of each row of ``x`` among ``base`` (default ``x``).
-
-    Distances are computed in row blocks, so memory is ``block × len(base)`` times the dimensions
-    of tied candidates. Ties are broken by the lower index. Returns (indices, distances), both (n, k').
-    """
-    b = x if base is None else base
-    same = base is None and exclude_self
-    k = min(k, len(b) - (1 if same else 0))
-    if k <= 0 or len(x) == 0:
-        return np.zeros((len(x), 0), dtype=np.int64), np.zeros((len(x), 0))
-    bn = (b * b).sum(axis=1)
-    slack = 1e-9 * (1.0 + bn.max())
-    idx_out = np.empty((len(x), k), dtype=np.int64)
-    d_out = np.empty((len(x), k))
-    for s in range(0, len(x), block):
-        xb = x[s:s + block]
-        d2 = (xb * xb).sum(axis=1)[:, None] + bn[None, :] - 2.0 * xb @ b.T
-        if same:
-            d2[np.arange(len(xb)), np.arange(s, s + len(xb))] = np.inf
-        # the expanded form only picks candidates; they are ranked by exact distances
-        kth = np.partition(d2, k - 1, axis=1)[:, k - 1]
-        row, col = np.nonzero(d2 <= (kth + slack)[:, None])
-        diff = xb[row] - b[col]
-        dist = np.sqrt((diff * diff).sum(axis=1))
-        order = np.lexsort((col, dist, row))
-        row, col, dist = row[order], col[order], dist[order]
-        first = np.searchsorted(row, np.arange(len(xb)))
-        take = first[:, None] + np.arange(k)
-        idx_out[s:s + len(xb)], d_out[s:s + len(xb)] = col[take], dist[take]
-    return idx_out, d_out
-
-
-def _coder(mean: list[float], trees: int, bits: int, seed: int):
-    """Adds each row's code in every tree."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        planes = np.random.RandomState(seed).standard_normal((trees * bits, len(mean)))
-        weights = np.int64(1) << np.arange(bits - 1, -1, -1, dtype=np.int64)
-        for frame in frames:
-            if len(frame):
-                x = np.stack(frame["f"].to_numpy()).astype(float) - np.asarray(mean)
-                codes = [(x @ planes[t * bits:(t + 1) * bits].T > 0).astype(np.int64) @ weights for t in range(trees)]
-                yield frame.assign(codes=list(np.stack(codes, axis=1)))
-    return run
-
-
-def _projector(turn: int, seed: int):
-    """Adds the place of each row along the normals of its tree's hyperplanes of a turn."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if len(frame):
-                x, tree = np.stack(frame["f"].to_numpy()).astype(float), frame["tree"].to_numpy()
-                y = np.empty((len(x), LEVELS))
-                for t in np.unique(tree):
-                    mine = tree == t
-                    for level, normal in enumerate(np.random.RandomState([seed, turn, t]).standard_normal((LEVELS, x.shape[1]))):
-                        y[mine, level] = (x[mine] * normal).sum(axis=1)    # equal rows have equal sums
-                yield frame.assign(y=list(y))
-    return run
-
-
-def _leaf_neighbours(k: int, itself: bool):
-    """The k nearest base rows of a leaf for each of its queries; with ``itself`` every row is both."""
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("id", ignore_index=True)
-        asks, base = (rows, rows) if itself else (rows[rows["asks"]], rows[~rows["asks"]])
-        found = pd.DataFrame({"id": [], "neighbor_id": [], "distance": [], "neighbor_label": []})
-        if len(asks) and len(base):
-            x, b = np.stack(asks["f"].to_numpy()), np.stack(base["f"].to_numpy())
-            nn, dist = knn_indices(x, k) if itself else knn_indices(x, k, b, False)
-            flat = nn.ravel()
-            found = pd.DataFrame({"id": np.repeat(asks["id"].to_numpy(), nn.shape[1]), "neighbor_id": base["id"].to_numpy()[flat],
-                                  "distance": dist.ravel(), "neighbor_label": base["label"].to_numpy()[flat]})
-        return found
-    return run
-
-
 # ---------------------------------------------------------------- J5 / M9 neighbour joins
-def _leaves(coded: DataFrame, bits: int, start: int, leaf: int) -> DataFrame:
-    """(tree, path, code) to the level of its leaf; null if no level parts it."""
-    codes = coded.groupBy("tree", "path", "code").agg(F.count(F.lit(1)).alias("n"))
-    steps = codes.withColumn("level", F.explode(F.sequence(F.lit(start), F.lit(bits)))) \
-        .withColumn("prefix", F.expr(f"shiftright(code, {bits} - level)"))
-    cells = steps.groupBy("tree", "path", "level", "prefix").agg(F.sum("n").alias("held"))
-    return steps.join(cells, ["tree", "path", "level", "prefix"]).groupBy("tree", "path", "code") \
-        .agg(F.min(F.when(F.col("held") <= leaf, F.col("level"))).alias("level"))
-
-
-def _placed(coded: DataFrame, bits: int, start: int, leaf: int, id_type: str, seed: int) -> DataFrame:
-    """``coded`` (id, label, asks, f, tree, path, code) with the path of each row's leaf, of at most ``leaf`` rows."""
-    kept, done, turn = ["id", "label", "asks", "f", "tree"], [], 0
-    while True:
-        leaves = cut_lineage(_leaves(coded, bits, start, leaf))
-        at = coded.join(leaves.where("level is not null"), ["tree", "path", "code"])
-        done.append(at.select(*kept, F.expr(f"concat(path, level, ':', shiftright(code, {bits} - level))").alias("path")))
-        large = leaves.where("level is null")
-        if large.isEmpty():
-            return union_splits(done)
-        turn += 1
-        rows = coded.join(large, ["tree", "path", "code"]).select(*kept, F.concat("path", "code", F.lit("/")).alias("path"))
-        rows = cut_lineage(rows.mapInPandas(_projector(turn, seed), f"id {id_type}, label int, asks boolean, f array<double>, tree int, path string, y array<double>"))
-        y = [F.col("y")[i] for i in range(LEVELS)]
-        cells = rows.groupBy("tree", "path").agg(F.count(F.lit(1)).alias("held"), *[F.array(*[f(c) for c in y]).alias(name) for name, f in (("low", F.min), ("high", F.max), ("mean", F.avg))])
-        # at a mean that rounding puts on or beyond the ends, the lowest rows are parted from the others
-        cells = cells.withColumn("cut", F.expr("transform(low, (l, i) -> if(mean[i] < high[i], greatest(mean[i], l), l))")).withColumn("equal", F.col("low") == F.col("high"))
-        rows = rows.join(cells.select("tree", "path", "held", "cut", "equal"), ["tree", "path"])
-        piece = F.pmod(F.xxhash64("id", "tree"), F.ceil(F.col("held") / leaf))
-        done.append(rows.where("equal").select(*kept, F.concat("path", F.lit("="), piece).alias("path")))
-        code = sum(F.when(c > F.col("cut")[i], 1 << (LEVELS - 1 - i)).otherwise(0) for i, c in enumerate(y))
-        coded, bits, start = rows.where("not equal").select(*kept, "path", code.cast("long").alias("code")), LEVELS, 1
-
-
-def _neighbours(rows: DataFrame, k: int, itself: bool, leaf: int, trees: int, seed: int) -> DataFrame:
-    """``rows`` (id, label, asks, f) to id, neighbor_id, rank, distance, neighbor_label."""
-    spark, id_type = rows.sparkSession, rows.schema["id"].dataType.simpleString()
-    finite = F.forall("f", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = rows.where(finite)
-    moments = rows.select(F.posexplode("f").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m"), F.count(F.lit(1)).alias("n")).orderBy("i").collect()
-    out = f"id {id_type}, neighbor_id {id_type}, distance double, neighbor_label int"
-    if not moments:
-        return spark.createDataFrame([], out).withColumn("rank", F.lit(1)).select("id", "neighbor_id", "rank", "distance", "neighbor_label")
-    n = moments[0]["n"]
-    trees = trees_for(n, leaf, trees)
-    start = max(0, math.ceil(math.log2(max(n / leaf, 1))) - 3)
-    bits = start + LEVELS
-    coded = rows.mapInPandas(_coder([r["m"] for r in moments], trees, bits, seed), f"id {id_type}, label int, asks boolean, f array<double>, codes array<long>")
-    coded = cut_lineage(coded).select("id", "label", "asks", "f", F.posexplode("codes").alias("tree", "code")).withColumn("path", F.lit(""))
-    placed = _placed(coded, bits, start, leaf, id_type, seed)
-    near = placed.groupBy("tree", "path").applyInPandas(_leaf_neighbours(k, itself), out)
-    # at most trees × k candidates an id
-    best = near.groupBy("id").agg(F.slice(F.array_sort(F.collect_set(F.struct("distance", "neighbor_id", "neighbor_label"))), 1, k).alias("best"))
-    return best.select("id", F.posexplode("best").alias("at", "b")) \
-        .select("id", "b.neighbor_id", (F.col("at") + 1).alias("rank"), "b.distance", "b.neighbor_label")
-
-
 def _rows(df: DataFrame, features: str, id_col: str, label: str | None, asks: bool) -> DataFrame:
     y = F.col(label).cast("int") if label else F.lit(0)
     return df.select(F.col(id_col).alias("id"), y.alias("label"), F.lit(asks).alias("asks"), F.col(features).cast("array<double>").alias("f"))
 
 
 def knn_table(df: DataFrame, k: int, features: str = "features", id_col: str = "id", label: str | None = None,
-              leaf: int = LEAF, trees: int = TREES, seed: int = BASE_SEED) -> DataFrame:
+              chunk: int = CHUNK) -> DataFrame:
     """The k nearest other rows of every row: id, neighbor_id, rank, distance (+ neighbor_label)."""
-    out = _neighbours(_rows(df, features, id_col, label, True), k, True, leaf, trees, seed)
+    out = exact_neighbours(_rows(df, features, id_col, label, True), k, True, chunk=chunk)
     return out if label else out.drop("neighbor_label")
 
 
 def knn_join(query: DataFrame, base: DataFrame, k: int, features: str = "features", id_col: str = "id",
-             label: str | None = None, leaf: int = LEAF, trees: int = TREES, seed: int = BASE_SEED) -> DataFrame:
+             label: str | None = None, chunk: int = CHUNK) -> DataFrame:
     """The k nearest ``base`` rows of every ``query`` row: id, neighbor_id, rank, distance (+ neighbor_label)."""
     both = _rows(query, features, id_col, None, True).unionByName(_rows(base, features, id_col, label, False))
-    out = _neighbours(both, k, False, leaf, trees, seed)
+    out = exact_neighbours(both, k, False, chunk=chunk)
     return out if label else out.drop("neighbor_label")
 
 
 def knn_classify(query: DataFrame, base: DataFrame, k: int = 5, features: str = "features", id_col: str = "id",
-                 label: str = "label", leaf: int = LEAF, trees: int = TREES) -> DataFrame:
+                 label: str = "label", chunk: int = CHUNK) -> DataFrame:
     """M9: share of positive neighbours as the score, majority vote as the prediction."""
-    nb = knn_join(query, base, k, features, id_col, label, leaf, trees)
+    nb = knn_join(query, base, k, features, id_col, label, chunk)
     return nb.groupBy("id").agg(F.avg(F.col("neighbor_label").cast("double")).alias("p")) \
         .withColumn("prediction", (F.col("p") > 0.5).cast("double"))
 
 
 # ---------------------------------------------------------------- V9-V13 resampling
-def smote(df: DataFrame, ratio: float = RATIO, k: int = SMOTE_K, seed: int = BASE_SEED, leaf: int = LEAF, trees: int = TREES) -> DataFrame:
+def smote(df: DataFrame, ratio: float = RATIO, k: int = SMOTE_K, seed: int = BASE_SEED, chunk: int = CHUNK) -> DataFrame:
     """V9: synthetic rows (id, label, features) so that minority ≈ ratio · majority (none if already there).
 
     ``df`` holds id, label and features. Draw ``j`` of the missing rows picks, by seeded keys of ``j``, a row of the
@@ -239,7 +74,7 @@ def smote(df: DataFrame, ratio: float = RATIO, k: int = SMOTE_K, seed: int = BAS
         return spark.createDataFrame([], schema)
     (n_min, minority) = counts[0]
     small = cut_lineage(class_positions(df.where(F.col("label") == minority), None, "id", seed).select("id", "pos", "features"))
-    near = knn_table(small, k, leaf=leaf, trees=trees, seed=seed).select("id", "neighbor_id", "rank")
+    near = knn_table(small, k, chunk=chunk).select("id", "neighbor_id", "rank")
     wide = near.groupBy("id").agg(F.count(F.lit(1)).alias("n_near"))
     draws = spark.range(missing).select(F.col("id").alias("j"), F.pmod(seeded_key("id", seed), F.lit(n_min)).alias("pos"))
     draws = draws.join(small, "pos").join(wide, "id").withColumn("rank", 1 + F.pmod(seeded_key("j", seed + 1), F.col("n_near")))
@@ -249,23 +84,23 @@ def smote(df: DataFrame, ratio: float = RATIO, k: int = SMOTE_K, seed: int = BAS
     return draws.withColumn("step", step).select(F.concat(F.lit("syn-"), F.col("j")).alias("id"), F.lit(minority).cast("int").alias("label"), point.alias("features"))
 
 
-def enn(df: DataFrame, k: int = ENN_K, leaf: int = LEAF, trees: int = TREES) -> DataFrame:
+def enn(df: DataFrame, k: int = ENN_K, chunk: int = CHUNK) -> DataFrame:
     """Rows whose k nearest neighbours all share their class (all classes cleaned); a row without any stays."""
-    near = knn_table(df, k, label="label", leaf=leaf, trees=trees)
+    near = knn_table(df, k, label="label", chunk=chunk)
     around = near.groupBy("id").agg(F.min("neighbor_label").alias("__least"), F.max("neighbor_label").alias("__most"))
     kept = df.join(around, "id", "left").where("__least is null or (__least = label and __most = label)")
     return kept.drop("__least", "__most")
 
 
-def tomek(df: DataFrame, leaf: int = LEAF, trees: int = TREES) -> DataFrame:
+def tomek(df: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Without both rows of every Tomek link (mutual nearest neighbours of different classes)."""
-    near = cut_lineage(knn_table(df, 1, label="label", leaf=leaf, trees=trees).select("id", "neighbor_id", "neighbor_label"))
+    near = cut_lineage(knn_table(df, 1, label="label", chunk=chunk).select("id", "neighbor_id", "neighbor_label"))
     mutual = near.join(near.select(F.col("id").alias("neighbor_id"), F.col("neighbor_id").alias("id"), F.col("neighbor_label").alias("own")), ["id", "neighbor_id"])
     return df.join(mutual.where("own <> neighbor_label").select("id"), "id", "left_anti")
 
 
 def resample(train: DataFrame, features: str = "features", label: str = "label", id_col: str = "id", method: str = "enn",
-             ratio: float = RATIO, seed: int = BASE_SEED, leaf: int = LEAF, trees: int = TREES) -> DataFrame:
+             ratio: float = RATIO, seed: int = BASE_SEED, chunk: int = CHUNK) -> DataFrame:
     """V9-V13 + U2: SMOTE to ``ratio`` over all rows, then ENN or Tomek links (``method``) over all rows.
 
     Output: id (string), label, features, synthetic. A table of a single class is returned untouched.
@@ -273,8 +108,8 @@ def resample(train: DataFrame, features: str = "features", label: str = "label",
     if method not in ("enn", "tomek", "none"):
         raise ValueError(method)
     rows = train.select(F.col(id_col).cast("string").alias("id"), F.col(label).cast("int").alias("label"), F.col(features).cast("array<double>").alias("features"))
-    new = smote(rows, ratio, seed=seed, leaf=leaf, trees=trees)
+    new = smote(rows, ratio, seed=seed, chunk=chunk)
     every = cut_lineage(union_splits([rows.withColumn("synthetic", F.lit(False)), new.withColumn("synthetic", F.lit(True))]))
     if method == "none":
         return every
-    return enn(every, leaf=leaf, trees=trees) if method == "enn" else tomek(every, leaf, trees)
+    return enn(every, chunk=chunk) if method == "enn" else tomek(every, chunk)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import resample, schema, vectors
+from tessera.operators import neighbours, resample, schema, vectors
 
 
 def test_duplicate_columns_greedy(spark):
@@ -33,15 +33,22 @@ def test_complement_and_downcast(spark):
     assert dict(out.dtypes)["v"] == "float"
 
 
-def test_knn_indices_exact():
+def _brute(x, base, k, itself):
+    """The k nearest by (distance, index) of each row of ``x``."""
+    d = np.sqrt(((x[:, None, :] - base[None, :, :]) ** 2).sum(2))
+    if itself:
+        np.fill_diagonal(d, np.inf)
+    at = np.argsort(d, axis=1, kind="stable")[:, :k]
+    return at, np.take_along_axis(d, at, axis=1)
+
+
+def test_nearest_is_exact():
     rng = np.random.RandomState(0)
-    x = rng.randn(300, 5)
-    idx, dist = resample.knn_indices(x, 4, block=64)
-    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(2))
-    np.fill_diagonal(d, np.inf)
-    want = np.argsort(d, axis=1, kind="stable")[:, :4]
-    assert (idx == want).all()
-    assert np.allclose(dist, np.take_along_axis(d, want, axis=1))
+    x, base = rng.randn(300, 5), np.round(rng.randn(200, 5), 1)
+    at, distance = neighbours.nearest(x, base, 4, block=64)
+    want, far = _brute(x, base, 4, False)
+    assert (at == want).all() and np.allclose(distance, far)
+    assert neighbours.nearest(x, base[:2], 4)[0].shape == (300, 2) and neighbours.nearest(x, base[:0], 4)[0].shape == (300, 0)
 
 
 def _points(spark, x, y):
@@ -58,44 +65,58 @@ def test_tomek_and_enn(spark):
     assert "4" not in kept2 and {"5", "6", "7", "8"} <= kept2             # the outlier of class 1 goes
 
 
-def test_knn_table_over_many_leaves(spark):
-    """Recall against brute force with leaves far smaller than the table, and a third of it one vector."""
-    rng = np.random.RandomState(3)
-    centres = rng.randn(12, 8) * 3
-    x = centres[rng.randint(0, 12, 900)] + rng.randn(900, 8)
-    x[600:] = x[600]
-    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)] + [(900, None)], "id long, features array<double>")
-    got = resample.knn_table(df, 5, leaf=64, trees=12).toPandas()
-    counts = got.groupby("id").size()
-    assert len(counts) == 900 and (counts == 5).all() and (got["id"] != got["neighbor_id"]).all()
-    assert not got.duplicated(["id", "neighbor_id"]).any()
-    d = np.sqrt(((x[got["id"]] - x[got["neighbor_id"]]) ** 2).sum(1))
-    assert np.allclose(d, got["distance"])
-    _, want = resample.knn_indices(x, 5)
-    worst = dict(zip(range(900), want[:, 4]))
-    recall = np.mean([r.distance <= worst[r.id] + 1e-9 for r in got.itertuples()])
-    assert recall >= 0.9
-    assert (got[got["id"] >= 600]["distance"] == 0).all()
-    again = resample.knn_table(df, 5, leaf=64, trees=12).toPandas()
-    key = ["id", "rank"]
-    assert got.sort_values(key, ignore_index=True).equals(again.sort_values(key, ignore_index=True))
-
-
-def test_knn_table_in_a_dense_cluster_off_the_mean(spark):
-    """Neighbours inside a tight cluster that no hyperplane through the global mean parts."""
-    rng = np.random.RandomState(8)
-    x = rng.randn(2400, 8)
-    x[:800] = 4 + x[:800] * 1e-4
-    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, features array<double>")
-    got = resample.knn_table(df, 5, leaf=64, trees=12).toPandas()
-    _, want = resample.knn_indices(x[:800], 5)
-    mine = got[got["id"] < 800]
-    assert len(mine) == 4000 and np.mean(mine["distance"].to_numpy() <= want[mine["id"], 4] + 1e-12) >= 0.8
-
-
-def test_trees_follow_the_rows():
-    assert [resample.trees_for(n, 2048, 32) for n in (10, 2049, 51_200)] == [1, 32, 32]
-    assert resample.trees_for(1_000_000, 2048, 32) > 6 * 32
+def _clusters(seed, n=900, dims=6):
+    """Tight clusters, a third of the rows in one of them, a third of those one vector, and some noise."""
+    rng = np.random.RandomState(seed)
+    centres = rng.randn(15, dims) * 8
+    x = centres[rng.randint(0, 15, n)] + rng.randn(n, dims) * 0.2
+    x[: n // 3] = centres[0] + rng.randn(n // 3, dims) * 1e-3
+    x[: n // 9] = x[0]
+    x[-n // 10:] = rng.randn(n // 10, dims) * 10
+    return x
+
+
+@pytest.mark.parametrize("seed,pivots", [(3, 1024), (4, 7), (5, 1)])
+def test_neighbours_are_exact_over_many_cells(spark, seed, pivots):
+    x = _clusters(seed)
+    df = spark.createDataFrame([(i, 0, True, [float(v) for v in p]) for i, p in enumerate(x)] + [(900, 0, True, None), (901, 0, True, [float("nan")] * 6)],
+                               "id long, label int, asks boolean, f array<double>").repartition(5)
+    got = neighbours.exact_neighbours(df, 5, True, pivots=pivots, chunk=32).toPandas().sort_values(["id", "rank"], ignore_index=True)
+    want, far = _brute(x, x, 5, True)
+    assert (got["id"].to_numpy() == np.repeat(np.arange(900), 5)).all() and (got["rank"].to_numpy() == np.tile(np.arange(1, 6), 900)).all()
+    assert np.allclose(got["distance"], far.ravel(), atol=1e-12)
+    # ties by id: equal except where brute force rounds equal distances apart
+    assert (got["neighbor_id"].to_numpy() == want.ravel()).mean() > 0.999
+    again = neighbours.exact_neighbours(df.repartition(3), 5, True, pivots=pivots, chunk=200).toPandas().sort_values(["id", "rank"], ignore_index=True)
+    assert got.equals(again)
+
+
+def test_neighbours_of_other_rows_are_exact(spark):
+    x, q = _clusters(6), _clusters(7)[::3]
+    rows = [(f"b{i:04d}", i % 3, False, [float(v) for v in p]) for i, p in enumerate(x)] + [(f"q{i:04d}", 0, True, [float(v) for v in p]) for i, p in enumerate(q)]
+    df = spark.createDataFrame(rows, "id string, label int, asks boolean, f array<double>")
+    got = neighbours.exact_neighbours(df, 4, False, chunk=50).toPandas().sort_values(["id", "rank"], ignore_index=True)
+    want, far = _brute(q, x, 4, False)
+    assert np.allclose(got["distance"], far.ravel(), atol=1e-12) and (got["neighbor_label"].to_numpy() == np.array([int(n[1:]) % 3 for n in got["neighbor_id"]])).all()
+    few = df.where("asks or id < 'b0002'")                      # fewer rows than asked for
+    assert neighbours.exact_neighbours(few, 4, False).groupBy("id").count().select("count").distinct().collect()[0][0] == 2
+    assert neighbours.exact_neighbours(df.limit(0), 4, True).count() == 0
+    assert neighbours.exact_neighbours(df.where("asks"), 4, False).count() == 0
+
+
+def test_clustered_points_meet_few_cells(spark, monkeypatch):
+    """What the second round ships on clustered vectors: a few cells a point, not all of them."""
+    visits = []
+    real = neighbours._meet
+    monkeypatch.setattr(neighbours, "_meet", lambda asks, *a: visits.append(asks.count()) or real(asks, *a))
+    rng = np.random.RandomState(2)
+    centres = rng.randn(40, 12) * 20
+    for n in (1000, 4000):
+        x = centres[rng.randint(0, 40, n)] + rng.randn(n, 12)
+        df = spark.createDataFrame([(i, 0, True, [float(v) for v in p]) for i, p in enumerate(x)], "id long, label int, asks boolean, f array<double>")
+        neighbours.exact_neighbours(df, 5, True, chunk=64).count()
+    first, second = visits[1] / visits[0], visits[3] / visits[2]
+    assert visits[0] == 1000 and first < 16 and second < 16 * 4 and second < 4000 * 2 / 64 * 0.6
 
 
 def test_smote_counts_and_place(spark):
@@ -114,7 +135,7 @@ def test_smote_counts_and_place(spark):
 def test_resample_whole_table(spark):
     rng = np.random.RandomState(2)
     df = _points(spark, rng.randn(400, 4), (rng.rand(400) < 0.1).astype(int))
-    out = resample.resample(df, method="tomek", leaf=64).toPandas()
+    out = resample.resample(df, method="tomek", chunk=64).toPandas()
     assert out["synthetic"].sum() > 0 and out["id"].is_unique and (~out["synthetic"]).sum() <= 400
     single = _points(spark, [[0.0]] * 5, [0] * 5)
     assert resample.resample(single).count() == 5

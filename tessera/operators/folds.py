@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,6 +109,72 @@ def weighted_resample(df: DataFrame, label: str, n: int | None = None, id_col: s
             .drop("__copies", "__block", "__in_block", "__rep"))
 
 
+#: Rows whose draws are made together at the end of the halving
+DRAW_BLOCK = 4096
+
+
+def draws_of_range(seed: int, stratum: int, n_draws: int, n_rows: int, lo: int, hi: int) -> np.ndarray:
+    """How often the rows ``lo`` to ``hi`` are drawn, of ``n_draws`` with replacement among ``n_rows`` rows.
+
+    The whole range is halved, the draws of the left half being binomial, down to blocks, whose draws are multinomial.
+    Every step has a generator of its own (seed, stratum, range), so any task gets the same counts for the same rows,
+    and all counts add up to ``n_draws``.
+    """
+    out = np.zeros(hi - lo, dtype=np.int64)
+    todo = [(0, n_rows, n_draws)]
+    while todo:
+        a, b, n = todo.pop()
+        if n == 0 or b <= lo or a >= hi:
+            continue
+        rng = np.random.Generator(np.random.Philox(np.random.SeedSequence([seed, stratum, a, b])))
+        if b - a <= DRAW_BLOCK:
+            drawn = rng.multinomial(n, np.full(b - a, 1.0 / (b - a)))
+            s, e = max(a, lo), min(b, hi)
+            out[s - lo:e - lo] = drawn[s - a:e - a]
+            continue
+        mid = a + DRAW_BLOCK * (-(-(b - a) // DRAW_BLOCK) // 2)
+        left = int(rng.binomial(n, (mid - a) / (b - a)))
+        todo += [(a, mid, left), (mid, b, n - left)]
+    return out
+
+
+def draw_with_replacement(df: DataFrame, label: str, n: int | None = None, id_col: str = "id", seed: int = 42) -> DataFrame:
+    """Exactly ``n`` draws (default: as many as rows) with replacement, a row's weight being 1 / its class's count.
+
+    A draw's class is even among the classes and its row even within the class; how often each class is drawn is one
+    multinomial, and the rows' counts follow from their places in the seeded order of ids (:func:`draws_of_range`): the
+    rows are moved once, and reruns or retried tasks draw the same. Rows drawn very often are spread over tasks.
+    """
+    rows = class_positions(df, label, id_col, seed)
+    totals = rows.groupBy(label).agg(F.first("class_n").alias("n")).orderBy(label).collect()
+    n = sum(r["n"] for r in totals) if n is None else n
+    rng = np.random.Generator(np.random.Philox(np.random.SeedSequence([seed, len(totals)])))
+    shares = rng.multinomial(n, np.full(len(totals), 1.0 / len(totals))).tolist() if totals else []
+    drawn = {r[label]: (k, int(share), r["n"]) for k, (r, share) in enumerate(zip(totals, shares))}
+    order = F.coalesce(*[F.when(F.col(label).eqNullSafe(F.lit(v)), F.lit(k)) for v, (k, _, _) in drawn.items()]) if drawn else F.lit(0)
+    parts = {k: (share, size) for k, share, size in drawn.values()}
+
+    @F.pandas_udf("long")
+    def copies(stratum: pd.Series, pos: pd.Series) -> pd.Series:
+        out = np.zeros(len(pos), dtype=np.int64)
+        at, place = stratum.to_numpy(), pos.to_numpy()
+        for k in np.unique(at):
+            mine = np.flatnonzero(at == k)
+            share, size = parts[int(k)]
+            blocks = place[mine] // DRAW_BLOCK
+            for b in np.unique(blocks):
+                here = mine[blocks == b]
+                lo = int(place[here].min())
+                out[here] = draws_of_range(seed, int(k), share, size, lo, int(place[here].max()) + 1)[place[here] - lo]
+        return pd.Series(out)
+    counted = rows.withColumn("__copies", copies(order, F.col("pos"))).where("__copies > 0").drop("pos", "class_n")
+    few = counted.where(F.col("__copies") <= COPY_BLOCK).withColumn("__rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("__copies") - 1) / COPY_BLOCK))
+    many = counted.where(F.col("__copies") > COPY_BLOCK).withColumn("__block", F.explode(blocks)).repartition(id_col, "__block")
+    many = many.withColumn("__rep", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPY_BLOCK).cast("long"), F.col("__copies") - F.col("__block") * COPY_BLOCK))))
+    return few.drop("__copies", "__rep").unionByName(many.drop("__copies", "__block", "__rep"))
+
+
 def synthetic_ids(df: DataFrame, out: str = "id", prefix: str = "W", width: int | None = None, order: Sequence[str] = ()) -> DataFrame:
     """consecutive ids ``W0, W1, …`` (``width`` zero-pads, e.g. ``W0000000012``) for rows without one.
 

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, HashingTF, IDF, Normalizer, RegexTokenizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -101,6 +102,88 @@ def explained_variance(model: PipelineModel) -> list[float]:
     return [float(x) for x in model.stages[-1].explainedVariance.toArray()]
 
 
+# ---------------------------------------------------------------- V4 / V15: PCA inside folds
+_CROSS = "fold int, i int, n long, s double, row array<double>"
+
+
+def fold_moments(df: DataFrame, col: str, fold_col: str = "fold") -> tuple[np.ndarray, dict[int, tuple[int, np.ndarray, np.ndarray]]]:
+    """(shift, {fold: (n, sums, cross products)}) of an array column, of the values minus ``shift``, in one pass.
+
+    ``shift`` is the rough mean (of a first pass), so that the products lose no digits. A task hands on a line a fold
+    and dimension; what comes to the driver is folds x dimensions**2 numbers, whatever the rows.
+    """
+    x = df.select(F.col(fold_col).cast("int").alias("fold"), F.col(col).cast("array<double>").alias("x")).where("x is not null")
+    shift = np.array([r["mean"] for r in vector_moments(x, "x").orderBy("dim").collect()], dtype=float)
+
+    def partial(frames):
+        held = {}
+        for frame in frames:
+            for fold, part in frame.groupby("fold"):
+                v = np.stack(part["x"].to_numpy()) - shift
+                n, s, c = held.get(fold, (0, 0.0, 0.0))
+                held[fold] = (n + len(v), s + v.sum(axis=0), c + v.T @ v)
+        for fold, (n, s, c) in held.items():
+            yield pd.DataFrame({"fold": fold, "i": np.arange(len(s)), "n": n, "s": s, "row": list(c)})
+
+    def total(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"fold": rows["fold"].iloc[:1], "i": rows["i"].iloc[:1], "n": [rows["n"].sum()], "s": [rows["s"].sum()], "row": [np.sum(np.stack(rows["row"].to_numpy()), axis=0)]})
+    lines = x.mapInPandas(partial, _CROSS).groupBy("fold", "i").applyInPandas(total, _CROSS).orderBy("fold", "i").toPandas()
+    return shift, {int(k): (int(p["n"].iloc[0]), p["s"].to_numpy(), np.stack(p["row"].to_numpy())) for k, p in lines.groupby("fold")}
+
+
+def outside_moments(moments: dict[int, tuple[int, np.ndarray, np.ndarray]]) -> dict[int | None, tuple[int, np.ndarray, np.ndarray]]:
+    """Per fold, the moments of all other folds (the total minus the fold's); ``None``: of all rows."""
+    whole = tuple(sum(m[k] for m in moments.values()) for k in range(3))
+    return {None: whole, **{fold: tuple(w - p for w, p in zip(whole, m)) for fold, m in moments.items()}}
+
+
+@dataclass
+class FoldPca:
+    """PCA of one column, a model a fold, fitted on the other folds; ``None`` is the model of all rows."""
+
+    col: str
+    mean: dict
+    components: dict            # [k, dimensions], the largest entry of each positive
+    explained: dict             # share of variance of each component
+
+    def transform(self, df: DataFrame, out: str, fold_col: str | None = "fold") -> DataFrame:
+        """``df`` with each row's projection by the model that its fold had no part in (all rows' without ``fold_col``)."""
+        mean, components = self.mean, self.components
+
+        @F.pandas_udf("array<float>")
+        def project(x: pd.Series, fold: pd.Series) -> pd.Series:
+            done = pd.Series([None] * len(x), dtype=object)
+            known = np.flatnonzero(x.notna().to_numpy())
+            at = fold.to_numpy()
+            for k in set(at[known].tolist()):
+                mine = known[at[known] == k]
+                key = None if k < 0 else int(k)
+                y = (np.stack(x.to_numpy()[mine]).astype(float) - mean[key]) @ components[key].T
+                for i, row in zip(mine, y.astype(np.float32)):
+                    done.iat[i] = row
+            return done
+        fold = F.col(fold_col).cast("int") if fold_col else F.lit(-1)
+        return df.withColumn(out, project(F.col(self.col).cast("array<double>"), fold))
+
+
+def fold_pca(df: DataFrame, families: dict[str, int], fold_col: str = "fold") -> dict[str, FoldPca]:
+    """V4 + V15: for each array column its PCA to so many components in every fold, from one pass over the rows."""
+    out = {}
+    for col, k in families.items():
+        shift, moments = fold_moments(df, col, fold_col)
+        mean, components, explained = {}, {}, {}
+        for fold, (n, s, c) in outside_moments(moments).items():
+            centre = s / n
+            cov = (c - n * np.outer(centre, centre)) / max(n - 1, 1)
+            value, vector = np.linalg.eigh(cov)
+            top = np.argsort(-value, kind="stable")[:k]
+            axes = vector[:, top].T
+            axes = axes * np.sign(axes[np.arange(len(axes)), np.abs(axes).argmax(axis=1)])[:, None]
+            mean[fold], components[fold], explained[fold] = shift + centre, axes, value[top] / value.sum()
+        out[col] = FoldPca(col, mean, components, explained)
+    return out
+
+
 # ---------------------------------------------------------------- V6/V7 scaling
 @dataclass
 class ArrayScaler:

@@ -21,9 +21,11 @@ from ..functions import nested as NF
 from ..functions import text as TX
 from ..operators import ensemble, evaluate, folds, stats
 from ..operators import join as JN
+from ..operators import model_ready as MR
 from ..operators import models as MD
 from ..operators import resample as RS
 from ..operators import schema as SO
+from ..operators import source_fields as SF
 from ..operators import vectors as VC
 from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources import files as FS
@@ -1179,3 +1181,98 @@ def f37_ordered_ids(spark, sf_dir):
     """consecutive ids in the order of source, length and id."""
     d = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
     return folds.synthetic_ids(d, "work_id", "W", 10, ["source", "n_chars", "doc_id"]).select("doc_id", "work_id")
+
+
+# ================================================================== whole flows
+@register("s8_model_ready", f"""WITH {S.WORKS_CTE},
+f AS (SELECT w.id, w.split, w.language, w.title_length, l.toxic, w.n_chars FROM feats w LEFT JOIN labels l ON l.doc_id = w.id)
+SELECT f.id, f.split, e.embedding AS sent_embedding, CAST(f.title_length AS FLOAT) AS title_length,
+       CAST(coalesce(f.toxic, (SELECT median(toxic) FROM f WHERE split = 'train')) AS FLOAT) AS toxic, CAST(f.n_chars AS FLOAT) AS n_chars, f.language
+FROM f LEFT JOIN embeddings e ON e.vec_id = f.id""")
+def s8_model_ready(spark, sf_dir):
+    """Model-ready splits written from a base with an all-null column and two
+    embedding families, one of them without a test split, and read back."""
+    base = _feats_full(spark, sf_dir).select("id", "title_length", "toxic", "n_chars", "language", F.lit(None).cast("double").alias("empty"), "split")
+    splits = {s: base.where(F.col("split") == s).drop("split") for s in FS.SPLITS}
+    root = _scratch(spark, "model-ready")
+    vectors = _emb(spark, sf_dir).select(F.col("vec_id").alias("id"), "embedding").withColumn("split", W.split_of("id"))
+    for family, have in (("sent", FS.SPLITS), ("lost", FS.SPLITS[:2])):
+        for split in have:
+            FS.write_parquet(vectors.where(F.col("split") == split).drop("split"), f"{root}/{family}_X_{split}.parquet")
+    MR.build(spark, splits, root, f"{root}/out", buckets=8)
+    return JN.union_splits([FS.load_split(spark, f"{root}/out", s).withColumn("split", F.lit(s)) for s in FS.SPLITS])
+
+
+def _source_records(spark, sf_dir):
+    """Suppliers as records with nested strings: a source whose keys differ from row to row, one key on the last row only."""
+    s = table(spark, sf_dir, "supplier")
+    last = s.agg(F.max("s_suppkey").alias("last"))
+    rich = F.col("s_acctbal") > 0
+    source = F.struct(
+        F.concat(F.lit("S"), F.col("s_suppkey")).alias("id"), F.col("s_name").alias("display_name"), rich.alias("is_core"),
+        F.when(rich, F.col("s_nationkey")).alias("works_count"), F.when(~rich, F.col("s_acctbal")).alias("apc_usd"),
+        (F.col("s_suppkey") % 2 == 0).alias("is_scholarly"), F.when(F.col("s_suppkey") == last.scalar(), F.concat(F.lit("https://"), F.col("s_suppkey"))).alias("homepage"))
+    place = F.struct(F.when(F.col("s_suppkey") % 5 != 0, source).alias("source"), F.lit("pdf").alias("pdf_url"))
+    access = F.struct((F.col("s_suppkey") % 4 == 0).alias("any_repository_has_fulltext"))
+    version = F.when(F.col("s_suppkey") % 3 == 0, "publishedVersion").when(F.col("s_suppkey") % 3 == 1, "acceptedVersion")
+    return s.select(F.col("s_suppkey").alias("id"), F.to_json(place).alias("primary_location"), F.when(F.col("s_suppkey") % 7 != 0, F.to_json(access)).alias("open_access"), version.alias("version"), F.lit("cc").alias("license"))
+
+
+@register("p14_p15_source_fields", """WITH m AS (SELECT max(s_suppkey) AS last FROM supplier), s AS (SELECT *, s_suppkey % 5 <> 0 AS has FROM supplier, m)
+SELECT s_suppkey AS id, CASE WHEN s_suppkey % 7 <> 0 AND s_suppkey % 4 = 0 THEN 1 ELSE 0 END AS any_repository_has_fulltext,
+       CAST(s_suppkey % 3 = 1 AS INTEGER) AS "version_acceptedVersion", CAST(s_suppkey % 3 = 2 AS INTEGER) AS "version_noVersion", CAST(s_suppkey % 3 = 0 AS INTEGER) AS "version_publishedVersion",
+       CASE WHEN has AND s_acctbal <= 0 THEN CAST(s_acctbal AS DOUBLE) END AS source_apc_usd,
+       CASE WHEN has AND s_suppkey = last THEN 'https://' || s_suppkey END AS source_homepage,
+       CASE WHEN has THEN CAST(s_suppkey % 2 = 0 AS DOUBLE) END AS source_is_scholarly,
+       CASE WHEN has AND s_acctbal > 0 THEN CAST(s_nationkey AS DOUBLE) END AS source_works_count
+FROM s""")
+def p14_p15_source_fields(spark, sf_dir):
+    """P14 + P15, F28, F29: the enabled steps in order; source keys are found in all rows, listed ones are left out."""
+    rec = cut_lineage(_source_records(spark, sf_dir))
+    flag = lambda d: d.withColumn("any_repository_has_fulltext", NF.fulltext_flag_from_string("open_access")).drop("open_access")
+    versions = lambda d: encode.one_hot_encode(d, rec, "version", null_label="noVersion")
+    fields = lambda d: SF.extract_fields(d, "primary_location")
+    out = SO.compose(rec, [(True, flag), (True, versions), (True, fields), (False, lambda d: d.limit(0))])
+    if "source_homepage" not in out.columns:               # the last supplier has no source in this table
+        out = out.withColumn("source_homepage", F.lit(None).cast("string"))
+    return out
+
+
+@register("f28_sparse_one_hot", """WITH v AS (SELECT c_custkey, CASE WHEN c_custkey % 10 <> 0 THEN c_name END AS name FROM customer),
+l AS (SELECT DISTINCT coalesce(name, 'unknown') AS name FROM v), i AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS index FROM l)
+SELECT c_custkey AS id, CAST((SELECT count(*) + 1 FROM l) AS INTEGER) AS size, CAST(index AS INTEGER) AS index, CAST(1.0 AS DOUBLE) AS value
+FROM v JOIN i ON i.name = coalesce(v.name, 'unknown')""")
+def f28_sparse_one_hot(spark, sf_dir):
+    """F27/F28 for an open vocabulary: customer names, null being a level."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 10 != 0, F.col("c_name")).alias("name"))
+    model = encode.sparse_one_hot(c, "name", "name_at")
+    return encode.sparse_pairs(encode.encode_sparse(model, c, "name", "name_at").select("id", "name_at"), "name_at")
+
+
+@register("v4_fold_moments", """WITH u AS (SELECT vec_id % 5 AS fold, unnest(CAST(embedding AS DOUBLE[])) AS x, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings),
+f AS (SELECT DISTINCT fold FROM u)
+SELECT CAST(f.fold AS INTEGER) AS fold, CAST(u.dim AS INTEGER) AS dim, count(*) AS n, round(avg(x), 6) AS mean, round(var_samp(x), 6) AS var
+FROM f JOIN u ON u.fold <> f.fold GROUP BY ALL""")
+def v4_fold_moments(spark, sf_dir):
+    """V4 + V15: per fold, the moments of the other folds' embeddings, by subtraction from those of all rows."""
+    e = _emb(spark, sf_dir).withColumn("fold", F.col("vec_id") % 5)
+    shift, moments = VC.fold_moments(e, "embedding")
+    rows = [(fold, dim, n, float(shift[dim] + s[dim] / n), float((c[dim, dim] - s[dim] ** 2 / n) / (n - 1)))
+            for fold, (n, s, c) in VC.outside_moments(moments).items() if fold is not None for dim in range(len(shift))]
+    return spark.createDataFrame(rows, "fold int, dim int, n long, mean double, var double").withColumn("mean", rnd("mean")).withColumn("var", rnd("var"))
+
+
+@register("v15_fold_pca")
+def v15_fold_pca(spark, sf_dir):
+    """Each embedding projected by the PCA of the folds that it is not in, with that fold's share of variance."""
+    e = _emb(spark, sf_dir).withColumn("fold", (F.col("vec_id") % 5).cast("int"))
+    model = VC.fold_pca(e, {"embedding": 8})["embedding"]
+    kept = {fold: float(v.sum()) for fold, v in model.explained.items() if fold is not None}
+    share = F.coalesce(*[F.when(F.col("fold") == k, F.lit(v)) for k, v in kept.items()])
+    return model.transform(e.select("vec_id", "fold", "embedding"), "pca").select("vec_id", "fold", "pca", share.alias("explained"))
+
+
+@register("v14_draw_with_replacement")
+def v14_draw_with_replacement(spark, sf_dir):
+    """As many draws as rows, with replacement, every class alike."""
+    return folds.draw_with_replacement(_emb_binary(spark, sf_dir), "label").select("id", "label")

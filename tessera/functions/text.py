@@ -10,12 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values that define the features.
-WORD_RE = r"(?U)\b\w+\b"            # a word for the nlp_* features
+WORD_RE = r"(?U)\w+"                # a word for the nlp_* features
 SPACE_RE = r"(?U)\s+"               # whitespace run (str.split semantics)
 SENTENCE_END_RE = r"[.!?]+"         # sentence separators
 TOKEN_RE = r"(?U)\S+"               # a whitespace-separated token
 NON_WORD_RE = r"(?U)\W+"
-SENTENCE_RE = r"(?U)[^.!?]*[^.!?\s][^.!?]*"   # a sentence piece with some non-space
+SENTENCE_RE = r"(?U)[^.!?\s][^.!?]*"   # a sentence piece from its first non-space on
 SENTENCE_TOKEN_RE = r"(?U)[^\s.!?]+"
 CAPITAL_RE = r"[A-Z]"
 DIGIT_RE = r"\p{Nd}"
@@ -44,7 +44,7 @@ def whitespace_word_count(text) -> Column:
 
 
 def regex_word_count(text) -> Column:
-    """Number of ``\\b\\w+\\b`` matches."""
+    """Number of runs of word characters."""
     return F.coalesce(F.regexp_count(_c(text), F.lit(WORD_RE)), F.lit(0)).cast("long")
 
 

@@ -58,7 +58,7 @@ def combine(scores: DataFrame, method: str = "weighted_mean", models: DataFrame
         if models is None:
             raise ValueError("weighted_mean needs the models table")
         w = models.select(model_col, model_weight().alias("__w"))
-        j = scores.join(F.broadcast(w), model_col)
+        j = scores.join(w, model_col)
         return j.groupBy(id_col).agg((F.sum(F.col(p) * F.col("__w")) / F.sum("__w")).alias("p"))
     if method == "geometric_mean":
         return scores.groupBy(id_col).agg(F.exp(F.avg(F.log(F.col(p) + GEOMETRIC_EPS))).alias("p"))

@@ -291,8 +291,8 @@ def score_histogram(scores: DataFrame, keys: Sequence[str] = ("model",), label:
     hi = F.when(F.col("__hi") > F.col("__lo"), F.col("__hi")).otherwise(F.col("__hi") + 0.5)
     width = (hi - lo) / bins
     b = F.least(F.floor((F.col(p) - lo) / (hi - lo) * bins) + 1, F.lit(bins)).cast("int")
-    # the ranges table has one row per (keys, class): broadcast
-    binned = s.join(F.broadcast(rng), kc).select(*kc, b.alias("bin"), lo.alias("__l"), width.alias("__w"), "__n")
+    # the ranges table has one row per (keys, class)
+    binned = s.join(rng, kc).select(*kc, b.alias("bin"), lo.alias("__l"), width.alias("__w"), "__n")
     return binned.groupBy(*kc, "bin", "__l", "__w", "__n").agg(F.count(F.lit(1)).alias("count")).select(
         *kc, "bin", (F.col("__l") + (F.col("bin") - 1) * F.col("__w")).alias("bin_start"),
         (F.col("__l") + F.col("bin") * F.col("__w")).alias("bin_end"), "count",

@@ -95,7 +95,7 @@ def weighted_resample(df: DataFrame, label: str, n: int | None = None, id_col: s
     from ..functions.keys import seeded_unit
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
     shape = counts.agg(F.count(F.lit(1)).alias("__k"), F.sum("__nc").alias("__n"))
-    j = attach_scalar(df.join(F.broadcast(counts), label), shape)
+    j = attach_scalar(df.join(counts, label), shape)
     want = (F.lit(float(n)) if n is not None else F.col("__n").cast("double")) / F.col("__k")
     rate = want / F.col("__nc")
     copies = F.floor(rate) + (seeded_unit(id_col, seed) < rate - F.floor(rate)).cast("long")

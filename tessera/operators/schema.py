@@ -128,8 +128,8 @@ def duplicate_columns(df: DataFrame, columns: Sequence[str], rtol: float = DUP_R
                       atol: float = DUP_ATOL) -> DataFrame:
     """Columns that repeat an earlier column within ``|a − b| ≤ atol + rtol·|b|`` on every row.
 
-    Greedy as in "keep the first of each group": column j joins the group of
-    the first unchecked column i < j it is close to. Pass 1 aggregates a
+    The first column of a group stands for it: column j belongs to the first column i < j that it is
+    close to and that belongs to no other. Pass 1 aggregates a
     signature per column (count, min, max, sum, max |x|); only pairs whose
     signatures allow closeness are verified, in one more pass.
     Output: column, duplicate_of.
@@ -161,16 +161,12 @@ def duplicate_columns(df: DataFrame, columns: Sequence[str], rtol: float = DUP_R
                                 - (F.lit(atol) + F.lit(rtol) * F.abs(_q(cols[j]).cast("double"))))
                           .alias(f"c{k}") for k, (i, j) in enumerate(cand)]).first()
         close = {cand[k] for k in range(len(cand)) if checks[f"c{k}"] is not None and checks[f"c{k}"] <= 0}
-    checked: set[int] = set()
-    rows = []
-    for i in range(len(cols)):
-        if i in checked:
-            continue
-        for j in range(i + 1, len(cols)):
-            if j not in checked and (i, j) in close:
-                rows.append((cols[j], cols[i]))
-                checked.add(j)
-    return spark.createDataFrame(rows, "column string, duplicate_of string")
+    # pairs in order: the first representative that is none's duplicate itself keeps the column
+    first: dict[int, int] = {}
+    for i, j in sorted(close):
+        if i not in first:
+            first.setdefault(j, i)
+    return spark.createDataFrame([(cols[j], cols[i]) for j, i in sorted(first.items())], "column string, duplicate_of string")
 
 
 # ---------------------------------------------------------------- P12

@@ -74,6 +74,17 @@ def missingness_report(splits: Mapping[str, DataFrame]) -> DataFrame:
     return out.select(*ordered).orderBy(F.col(f"{names[0]}_missing").desc(), "column")
 
 
+def missingness_by_split(df: DataFrame, names: Sequence[str], split: str = "split") -> DataFrame:
+    """A1 over one table with a split column: the report of :func:`missingness_report` from a single aggregation."""
+    columns = [c for c in df.columns if c != split]
+    counts = df.where(F.col(split).isin(*names)).groupBy(split).agg(F.count(F.lit(1)).alias("__rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in columns])
+    long = counts.unpivot([split, "__rows"], columns, "column", "__missing")
+    of = lambda n, c: F.coalesce(F.max(F.when(F.col(split) == n, F.col(c))), F.lit(0))
+    wide = long.groupBy("column").agg(*[of(n, "__missing").cast("long").alias(f"{n}_missing") for n in names], *[of(n, "__rows").alias(f"__{n}_rows") for n in names])
+    rates = [F.when(F.col(f"__{n}_rows") > 0, F.col(f"{n}_missing") / F.col(f"__{n}_rows")).otherwise(F.lit(0.0)).alias(f"{n}_pct") for n in names]
+    return wide.select("column", *[f"{n}_missing" for n in names], *rates).orderBy(F.col(f"{names[0]}_missing").desc(), "column")
+
+
 def all_null_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """P2 helper: columns whose every value is null (one pass)."""
     row = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in columns])
@@ -152,30 +163,23 @@ def correlation_stats(df: DataFrame, features: Sequence[str], label: str, checkp
     """Pearson r and Spearman rho (average ranks) of each feature vs the label.
 
     Pairs with a null on either side are dropped. Features with fewer than
-    ``MIN_PAIRS`` pairs or a constant side are skipped. The input is read once
-    into distinct ``(feature, x, y)`` pair counts (checkpointed into the shared
-    folder, so the branches below do not rescan it); Pearson is a two-pass
-    centred weighted moment over those pairs, Spearman a weighted Pearson of
-    their average ranks. Output: feature, n, pearson_r, spearman_r.
+    ``MIN_PAIRS`` pairs or a constant side are skipped. Pearson is one aggregate with partial sums in the
+    tasks (a row a feature is shuffled). Ranks need the distinct ``(feature, x, y)`` counts, written once into the
+    shared folder; Spearman is a weighted Pearson of their average ranks. Output: feature, n, pearson_r, spearman_r.
     """
-    long = to_long(df, features, label).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    pairs = long.withColumn("y", F.col("y").cast("double")).groupBy("feature", "x", "y") \
-        .agg(F.count(F.lit(1)).alias("w"))
-    if checkpoint:
-        pairs = cut_lineage(pairs)
-    w = F.col("w")
-    mom = pairs.groupBy("feature").agg(
-        F.sum("w").alias("n"), (F.sum(w * F.col("x")) / F.sum("w")).alias("__mx"),
-        (F.sum(w * F.col("y")) / F.sum("w")).alias("__my"),
+    long = to_long(df, features, label).where(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumn("y", F.col("y").cast("double"))
+    mom = long.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("pearson_r"),
         F.min("x").alias("__xmin"), F.max("x").alias("__xmax"), F.min("y").alias("__ymin"), F.max("y").alias("__ymax"))
     mom = mom.where((F.col("n") >= MIN_PAIRS) & (F.col("__xmin") < F.col("__xmax"))
                     & (F.col("__ymin") < F.col("__ymax")))
-    # one row per feature: bounded by the schema
-    c = pairs.join(F.broadcast(mom.select("feature", "n", "__mx", "__my")), "feature")
-    dx, dy = F.col("x") - F.col("__mx"), F.col("y") - F.col("__my")
-    pear = c.groupBy("feature").agg(
-        F.first("n").alias("n"),
-        (F.sum(w * dx * dy) / F.sqrt(F.sum(w * dx * dx) * F.sum(w * dy * dy))).alias("pearson_r"))
+    if checkpoint:
+        mom = cut_lineage(mom)                       # one row per feature: bounded by the schema
+    pear = mom.select("feature", "n", "pearson_r")
+    pairs = long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("w"))
+    if checkpoint:
+        pairs = cut_lineage(pairs)
+    w = F.col("w")
 
     rx = average_ranks(pairs, ["feature"], "x", "w").select("feature", "x", F.col("rank").alias("rx"))
     ry = average_ranks(pairs, ["feature"], "y", "w").select("feature", "y", F.col("rank").alias("ry"))
@@ -218,14 +222,15 @@ def chi_square_stats(df: DataFrame, features: Sequence[str], label: str) -> Data
     χ² = n·max(0, |ad − bc| − n/2)² / (R1·R2·C1·C2).
     Rows with a null category or label take no part in any total.
     """
-    ct = contingency(df, features, label).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    # the table is built once: its totals, sizes and cells read what was written
+    ct = cut_lineage(contingency(df, features, label).where(F.col("x").isNotNull() & F.col("y").isNotNull()))
     rows = ct.groupBy("feature", "x").agg(F.sum("count").alias("row_total"))
     cols = ct.groupBy("feature", "y").agg(F.sum("count").alias("col_total"))
     dims = ct.groupBy("feature").agg(
         F.sum("count").alias("n"), F.countDistinct("x").alias("r"), F.countDistinct("y").alias("k"),
         F.min("x").alias("__x0"), F.min("y").alias("__y0"))
-    # per-feature dimensions and label totals are tiny (features × classes): broadcast
-    cell = ct.join(rows, ["feature", "x"]).join(F.broadcast(cols), ["feature", "y"]).join(F.broadcast(dims), "feature")
+    # dimensions are a row a feature (bounded by the schema); a label may have any number of values
+    cell = ct.join(rows, ["feature", "x"]).join(cols, ["feature", "y"]).join(F.broadcast(dims), "feature")
     agg = cell.groupBy("feature", "n", "r", "k").agg(
         F.sum(F.col("count") * F.col("count") / (F.col("row_total") * F.col("col_total"))).alias("__s"),
         # 2×2 cells: a = (x0, y0), d = (x1, y1), b/c the off-diagonal ones
@@ -286,7 +291,7 @@ def anova_stats(df: DataFrame, features: Sequence[str], label: str) -> DataFrame
     Groups with ≤1 row or variance ≤ 1e-10 are dropped; at least two groups
     must remain. Output: feature, F, df_between, df_within.
     """
-    g = group_moments(df, features, label).where((F.col("n") > 1) & (F.col("var") > ANOVA_MIN_VAR))
+    g = cut_lineage(group_moments(df, features, label).where((F.col("n") > 1) & (F.col("var") > ANOVA_MIN_VAR)))
     per = g.groupBy("feature").agg(
         F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"),
         (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("__grand"),
@@ -317,11 +322,14 @@ def anova_report(df: DataFrame, features: Sequence[str], label: str) -> DataFram
 def tukey_hsd(df: DataFrame, features: Sequence[str], label: str, alpha: float = 0.05) -> DataFrame:
     """Tukey HSD pairwise comparisons of label groups for each feature.
 
-    Group moments come from one aggregation; the pairwise table is formed on
-    the driver over (#groups choose 2) pairs per feature.
+    Group moments come from one aggregation. A label with more than ``CATEGORICAL_LABEL_MAX`` values is no category
+    and raises, so the driver holds at most that many moments, and 190 pairs, per feature.
     Output: group1, group2, meandiff, p-adj, lower, upper, reject, feature.
     """
     spark = df.sparkSession
+    levels = df.select(label).where(F.col(label).isNotNull()).distinct().limit(CATEGORICAL_LABEL_MAX + 1).count()
+    if levels > CATEGORICAL_LABEL_MAX:
+        raise ValueError(f"{label} has more than {CATEGORICAL_LABEL_MAX} values: no groups to compare")
     mom = group_moments(df, features, label).collect()
     by_feat: dict[str, list] = {}
     for r in mom:

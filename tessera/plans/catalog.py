@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array as _v2a
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import dates as DT
 from ..functions import encode
 from ..functions import nested as NF
 from ..functions import text as TX
@@ -490,8 +491,7 @@ FROM works""")
 @register("a1_missingness", _missing_sql())
 def a1_missingness(spark, sf_dir):
     w = W.works(spark, sf_dir)
-    splits = {s: w.where(F.col("split") == s).select(*RAW_COLUMNS) for s in ("train", "val", "test")}
-    return stats.missingness_report(splits)
+    return stats.missingness_by_split(w.select(*RAW_COLUMNS, "split"), ["train", "val", "test"])
 
 
 _A2_SQL = (f"WITH {S.WORKS_CTE},\nf2 AS (SELECT f.*, w.toxic FROM feats f JOIN works w USING (id))\n"
@@ -1140,24 +1140,24 @@ SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id
        round(l_extendedprice + l_discount * 1000, 6) AS total_author_citations,
        round((l_extendedprice + l_discount * 1000) / 2, 6) AS avg_author_citations,
        CAST(1 AS BIGINT) AS num_authorships,
-       round(l_extendedprice / 1000, 6) AS venue_impact_factor, CAST(0.0 AS DOUBLE) AS venue_h_index,
+       round(l_extendedprice / 1000, 6) AS venue_impact_factor, round(CASE WHEN l_linestatus = 'F' THEN l_tax * 10 ELSE 0.0 END, 6) AS venue_h_index,
        round(l_quantity, 6) AS venue_citations,
-       CAST(l_linestatus = 'O' AS INTEGER) AS is_oa_venue, 0 AS is_in_doaj,
+       CAST(l_linestatus = 'O' AS INTEGER) AS is_oa_venue, CAST(l_returnflag = 'A' AS INTEGER) AS is_in_doaj,
        CAST(2 AS BIGINT) AS num_concepts, round(greatest(l_discount * 10, l_tax * 10), 6) AS max_concept_score,
        round((l_discount * 10 + l_tax * 10) / 2, 6) AS avg_concept_score,
        CAST(CAST(l_discount * 10 >= 0.5 AS INTEGER) + CAST(l_tax * 10 >= 0.5 AS INTEGER) AS BIGINT) AS num_high_concepts,
        CAST(l_returnflag = 'A' AS INTEGER) AS is_oa,
        CASE WHEN l_returnflag = 'A' THEN 'gold' WHEN l_returnflag = 'R' THEN 'bronze' ELSE 'closed' END AS oa_status,
-       0 AS any_repository_has_fulltext,
-       CAST(2 AS BIGINT) AS num_references, CAST(0 AS BIGINT) AS num_related_works,
-       CAST(l_linestatus = 'F' AS INTEGER) AS has_doi, 0 AS has_pmid, 0 AS has_pmcid,
+       CAST(l_linenumber > 1 AND l_discount > 0.05 AS INTEGER) AS any_repository_has_fulltext,
+       CAST(2 AS BIGINT) AS num_references, CAST(l_linestatus = 'O' AS BIGINT) AS num_related_works,
+       CAST(l_linestatus = 'F' AS INTEGER) AS has_doi, CAST(l_returnflag = 'R' AS INTEGER) AS has_pmid, CAST(l_linestatus = 'O' AS INTEGER) AS has_pmcid,
        CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS BIGINT) AS num_grants,
        CAST(l_returnflag = 'R' AS INTEGER) AS has_grants,
        CAST(1 AS BIGINT) AS num_locations,
        CAST(CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END AS BIGINT) AS num_topics,
        round(CASE WHEN l_returnflag = 'N' THEN 0.0 ELSE l_tax * 5 END, 6) AS max_topic_score,
        round(CASE WHEN l_returnflag = 'N' THEN 0.0 ELSE l_tax * 5 END, 6) AS avg_topic_score,
-       CAST(2 AS BIGINT) AS num_keywords, CAST(0 AS BIGINT) AS num_mesh_terms,
+       CAST(2 AS BIGINT) AS num_keywords, CAST(CASE WHEN l_returnflag = 'N' THEN 2 ELSE 0 END AS BIGINT) AS num_mesh_terms,
        CAST(CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END AS BIGINT) AS num_sdgs,
        CAST(l_discount > 0.05 AS INTEGER) AS has_sdgs
 FROM lineitem""")
@@ -1276,3 +1276,65 @@ def v15_fold_pca(spark, sf_dir):
 def v14_draw_with_replacement(spark, sf_dir):
     """As many draws as rows, with replacement, every class alike."""
     return folds.draw_with_replacement(_emb_binary(spark, sf_dir), "label").select("id", "label")
+
+
+@register("n8_n9_submission_files", f"""WITH {S.scores_cte().strip()},
+b AS (SELECT unnest(['aggressive', 'conservative', 'prob_mean', 'round_down', 'round_up']) AS tie_breaker),
+r AS (SELECT tie_breaker, CAST(CASE WHEN p > 0.5 OR (p = 0.5 AND tie_breaker IN ('aggressive', 'prob_mean', 'round_up')) THEN 1 ELSE 0 END AS INTEGER) AS label FROM scores, b)
+SELECT tie_breaker, label, count(*) AS count, count(*) / sum(count(*)) OVER (PARTITION BY tie_breaker) AS share FROM r GROUP BY tie_breaker, label""")
+def n8_n9_submission_files(spark, sf_dir):
+    """Every score as a submission row, written as CSV by each tie breaker, read back and counted."""
+    scores = _scores(spark, sf_dir).withColumn("id", F.concat(F.lit("W"), F.col("id").cast("string")))
+    out = None
+    for breaker in sorted(ensemble.TIE_BREAKERS):
+        path = _scratch(spark, f"submission-{breaker}")
+        FS.write_csv(ensemble.submission(scores, 0.5, breaker), path)
+        back = spark.read.schema("work_id string, label int").option("header", True).csv(path)
+        part = ensemble.submission_summary(back).withColumn("tie_breaker", F.lit(breaker))
+        out = part if out is None else out.unionByName(part)
+    return out.select("tie_breaker", "label", "count", "share")
+
+
+@register("s2_s4_s11_files", """SELECT doc_id, lang, n_chars, NULL::INTEGER AS quality, FALSE AS labelled FROM documents
+UNION ALL SELECT doc_id, NULL, NULL, quality, TRUE FROM labels""")
+def s2_s4_s11_files(spark, sf_dir):
+    """JSON lines read by the schema inferred from all of them, united with labels keyed by id."""
+    at = _scratch(spark, "inferred")
+    FS.write_jsonl(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), f"{at}/docs")
+    docs = FS.read_jsonl(spark, f"{at}/docs").withColumn("labelled", F.lit(False))
+    FS.write_labels(table(spark, sf_dir, "labels"), f"{at}/labels", "doc_id", "quality")
+    both = FS.union_by_name([docs, FS.read_labels(spark, f"{at}/labels").withColumn("labelled", F.lit(True))])
+    quality = dict(table(spark, sf_dir, "labels").dtypes)["quality"]
+    chars = dict(table(spark, sf_dir, "documents").dtypes)["n_chars"]
+    return both.select("doc_id", "lang", F.col("n_chars").cast(chars).alias("n_chars"), F.col("quality").cast(quality).alias("quality"), "labelled")
+
+
+@register("f30_f33_strings", """SELECT o_orderkey AS id, 2025 - year(o_orderdate) AS num_years_after_publication,
+       CASE WHEN o_orderkey % 7 <> 0 THEN CAST(trunc((epoch_us(TIMESTAMP '2025-01-01') - epoch_us(CAST(o_orderdate AS TIMESTAMP))) / 86400000000.0) AS BIGINT) END AS days_since_updated,
+       CASE WHEN o_orderkey % 5 <> 0 THEN CAST(trunc((epoch_us(TIMESTAMP '2025-01-01') - epoch_us(date_trunc('day', CAST(o_orderdate AS TIMESTAMP)))) / 86400000000.0) AS BIGINT) END AS days_since_publication,
+       CAST(CASE WHEN o_orderkey % 3 = 0 THEN 2 WHEN o_orderkey % 3 = 1 THEN 0 ELSE 1 END AS BIGINT) AS num_related_words
+FROM orders""")
+def f30_f33_strings(spark, sf_dir):
+    """years, dates and list lengths from strings, some of them malformed."""
+    o = table(spark, sf_dir, "orders")
+    words = F.when(F.col("o_orderkey") % 3 == 0, F.lit('["a", {"b": 1}]')).when(F.col("o_orderkey") % 3 == 1, F.lit("no list [")).otherwise(F.lit("[null]"))
+    when = F.col("o_orderdate").cast("timestamp_ntz")
+    raw = o.select(F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("publication_year"), words.alias("words"),
+                   F.when(F.col("o_orderkey") % 7 == 0, F.lit("yesterday")).otherwise(F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("updated_date"),
+                   F.when(F.col("o_orderkey") % 5 == 0, F.lit("2025-13-40")).otherwise(F.date_format(when, "yyyy-MM-dd")).alias("publication_date"))
+    return raw.select("id", DT.years_after("publication_year", RC.AS_OF.year), *DT.date_features("updated_date", "publication_date", RC.AS_OF), NF.json_list_length("words").alias("num_related_words"))
+
+
+@register("a14_label_codes", """WITH l AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS code FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL))
+SELECT doc_id, CAST(coalesce(code, (SELECT count(*) FROM l)) AS DOUBLE) AS code FROM documents LEFT JOIN l USING (source)""")
+def a14_label_codes(spark, sf_dir):
+    """Codes of a label that is no number, in order of its values; without one the code after the last."""
+    return stats.label_codes(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "code").select("doc_id", "code")
+
+
+@register("l1_l2_longest", """SELECT CAST(row_number() OVER (ORDER BY n_chars DESC, doc_id) AS INTEGER) AS place, doc_id, n_chars FROM documents QUALIFY place <= 20""")
+def l1_l2_longest(spark, sf_dir):
+    """L1 + L2: the twenty longest documents in order, the place being that in the returned order."""
+    top = table(spark, sf_dir, "documents").select("doc_id", "n_chars").orderBy(F.col("n_chars").desc(), "doc_id").limit(20)
+    rows = [(k, *r) for k, r in enumerate(top.collect(), 1)]
+    return spark.createDataFrame(rows, f"place int, doc_id {dict(top.dtypes)['doc_id']}, n_chars {dict(top.dtypes)['n_chars']}")

@@ -8,7 +8,7 @@ Two forms:
   before its partials are merged; nothing is collected per key.
 * :func:`line_records` — one nested record per line item (arrays and structs
   built from the row itself, no grouping), the shape raw JSON-lines records
-  have; :func:`record_feature_table` runs the nested-array features on it.
+  have; the nested-array features run on it.
 
 """
 
@@ -122,9 +122,9 @@ def line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         c("l_returnflag").alias("type"),
         F.when(c("l_linestatus") == "O", F.lit("en")).alias("language"),
         F.array(first, second).alias("authorships"),
-        F.struct(F.struct((c("l_linestatus") == "O").alias("is_oa"), F.lit(None).cast("boolean").alias("is_in_doaj"),
+        F.struct(F.struct((c("l_linestatus") == "O").alias("is_oa"), F.when(c("l_returnflag") != "N", c("l_returnflag") == "A").alias("is_in_doaj"),
                           F.struct((c("l_extendedprice") / 1000).alias("2yr_impact_factor"),
-                                   F.lit(None).cast("double").alias("2yr_h_index"),
+                                   F.when(c("l_linestatus") == "F", c("l_tax") * 10).alias("2yr_h_index"),
                                    c("l_quantity").alias("2yr_cited_by_count")).alias("summary_stats"))
                  .alias("source")).alias("primary_location"),
         F.array(F.struct((c("l_discount") * 10).alias("score")), F.struct((c("l_tax") * 10).alias("score")))
@@ -133,21 +133,15 @@ def line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct((c("l_returnflag") == "A").alias("is_oa"),
                  F.when(c("l_returnflag") == "A", F.lit("gold")).when(c("l_returnflag") == "R", F.lit("bronze"))
                  .alias("oa_status"),
-                 F.lit(None).cast("boolean").alias("any_repository_has_fulltext")).alias("open_access"),
+                 F.when(c("l_linenumber") > 1, c("l_discount") > 0.05).alias("any_repository_has_fulltext")).alias("open_access"),
         F.array(c("l_partkey").cast("string"), c("l_suppkey").cast("string")).alias("referenced_works"),
-        F.array().cast("array<string>").alias("related_works"),
+        F.when(c("l_linestatus") == "O", F.array(c("l_partkey").cast("string"))).otherwise(F.array().cast("array<string>")).alias("related_works"),
         F.struct(F.when(c("l_linestatus") == "F", F.concat(F.lit("10."), c("l_orderkey").cast("string")))
-                 .alias("doi"), F.lit("").alias("pmid"), F.lit(None).cast("string").alias("pmcid")).alias("ids"),
+                 .alias("doi"), F.when(c("l_returnflag") == "R", F.lit("123")).otherwise(F.lit("")).alias("pmid"),
+                 F.when(c("l_linestatus") == "O", F.lit("PMC1")).alias("pmcid")).alias("ids"),
         F.when(c("l_returnflag") == "R", F.array(F.lit("g"))).alias("grants"),
         F.array(c("l_shipdate").cast("string")).alias("locations"),
         F.array(c("l_returnflag"), c("l_linestatus")).alias("keywords"),
-        F.lit(None).cast("array<string>").alias("mesh"),
+        F.when(c("l_returnflag") == "N", F.array(F.lit("m"), F.lit("n"))).alias("mesh"),
         F.when(c("l_discount") > 0.05, F.array(F.lit("s"))).otherwise(F.array().cast("array<string>"))
         .alias("sustainable_development_goals"))
-
-
-def record_feature_table(rec: DataFrame) -> DataFrame:
-    """id + F1, F5-F21, F29-F32 features of nested records."""
-    return rec.select("id", *nested.record_features(rec.columns),
-                      dates.years_after("publication_year", AS_OF.year),
-                      *dates.date_features("updated_date", "publication_date", AS_OF))

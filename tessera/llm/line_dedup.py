@@ -2,10 +2,14 @@
 
 A line's key is the line stripped of ``[\\x20\\x09-\\x0D]`` and lower-cased in A-Z; it is held as
 two 64-bit hashes. Documents come in batches (by a hash of their id, so a document is in one
-batch). Each batch is collapsed to ``(h1, h2, n_docs, last_doc)``, sorted by hash, and written as a
-run of level 0; ``fanout`` runs of a level are merged into one run of the next. Lines are then
-merge-joined with the runs: a line whose key is held by ``min_docs`` documents goes, except in the
-largest doc_id that holds it (:func:`dropped_lines`). :meth:`LineRuns.fresh` is the anti-join for
+batch). Each batch is collapsed to ``(h1, h2, n_docs, last_doc)`` and merge-anti-joined with the runs: keys in no run
+are fresh and become a run of level 0, the others are noted as *again* with their counts. ``fanout`` runs of a level
+are compacted into one of the next; a key is in one run only, so that compaction is a merge. Runs, notes and the keys
+of a batch are tables bucketed and sorted by (h1, h2), all alike: a batch is shuffled and sorted once, and the joins
+with the runs read them bucket by bucket, without an exchange on either side.
+
+Lines are dropped after the last batch, as a line goes only if its key is held by ``min_docs`` documents of all batches,
+and stays in the largest doc_id that holds it (:func:`dropped_lines`). :meth:`LineRuns.fresh` is the same anti-join for
 running ingestion, where only lines never seen before stay.
 
 Hot lines: keys are distinct per document and partially aggregated before the shuffle, so a line
@@ -21,6 +25,9 @@ gives an empty result.
 
 from __future__ import annotations
 
+import uuid
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.llm.scratch import Scratch
@@ -28,6 +35,7 @@ from tessera.llm.scratch import Scratch
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_LENGTH, MIN_DOCS, BATCHES, FANOUT = 20, 3, 4, 4
+KEYS = "h1 long, h2 long, n_docs long, last_doc long"
 #: Stands for a null doc_id in comparisons
 NO_ID = -(1 << 63)
 
@@ -44,45 +52,82 @@ def line_hashes(text: Column, min_length: int = MIN_LENGTH) -> Column:
         F.char_length(k) >= min_length, F.struct(F.xxhash64(k).alias("h1"), F.xxhash64(F.lit(1), k).alias("h2"))))
 
 
+class Run(NamedTuple):
+    """A written table: its bucketed rows and the folder of its files."""
+
+    rows: DataFrame
+    path: str
+
+
 class LineRuns:
-    """Sorted runs of ``(h1, h2, n_docs, last_doc)`` in levels, kept under one folder."""
+    """Sorted runs of ``(h1, h2, n_docs, last_doc)`` in levels, kept under one folder (``buckets``: default, the shuffle partitions)."""
 
-    def __init__(self, spark: SparkSession, root: str, fanout: int = FANOUT):
+    def __init__(self, spark: SparkSession, root: str, fanout: int = FANOUT, buckets: int | None = None):
         self.spark, self.root, self.fanout = spark, root, fanout
-        self.levels: list[list[str]] = []
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.levels: list[list[Run]] = []
+        self.again: list[Run] = []
         self.made = 0
 
-    def _write(self, keys: DataFrame, level: int) -> None:
-        path = f"{self.root}/level{level}-run{self.made}"
+    def _bucketed(self, keys: DataFrame, name: str) -> Run:
+        """``keys`` written in buckets of (h1, h2), a file each, sorted."""
         self.made += 1
-        keys.sortWithinPartitions("h1", "h2").write.mode("overwrite").parquet(path)
+        table, path = f"lines_{uuid.uuid4().hex}", f"{self.root}/{name}{self.made}"
+        keys.repartition(self.buckets, "h1", "h2").write.format("parquet").option("path", path).bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").saveAsTable(table)
+        return Run(self.spark.table(table), path)
+
+    def _plain(self, tables: list[Run]) -> DataFrame:
+        """The rows of several bucketed tables as one plain table (a union of bucketed scans must not be grouped or joined as if in buckets)."""
+        return self.spark.read.schema(KEYS).parquet(*[t.path for t in tables])
+
+    def runs(self) -> list[DataFrame]:
+        return [run.rows for level in self.levels for run in level]
+
+    def fresh(self, lines: DataFrame) -> DataFrame:
+        """Lines ``(.., h1, h2)`` whose key is in no run: the merge-anti-join with each of them."""
+        for run in self.runs():
+            lines = lines.join(run.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
+        return lines
+
+    def add(self, lines: DataFrame) -> None:
+        """Add a batch of ``(doc, h1, h2)`` rows; batches share no document."""
+        batch = self._bucketed(lines.groupBy("h1", "h2").agg(F.count_distinct("doc").alias("n_docs"), F.max("doc").alias("last_doc")), "batch")
+        if not self.runs():
+            return self._keep(batch, 0)
+        run = self._bucketed(self.fresh(batch.rows), "level0-run")
+        self.again.append(self._bucketed(batch.rows.join(run.rows.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti"), "again"))
+        if len(self.again) >= self.fanout:
+            self.again = [self._bucketed(self._sum(self.again), "again")]
+        self._keep(run, 0)
+
+    def _keep(self, run: Run, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(path)
+        self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
-            self._write(self._merge(full), level + 1)
+            self._keep(self._bucketed(self._plain(full), f"level{level + 1}-run"), level + 1)
 
-    def _merge(self, paths: list[str]) -> DataFrame:
-        rows = self.spark.read.parquet(*paths)
-        if len(paths) == 1:
-            return rows
-        return rows.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
-
-    def add(self, lines: DataFrame) -> None:
-        """Add a batch of ``(doc, h1, h2)`` rows as a run; batches share no document."""
-        self._write(lines.groupBy("h1", "h2").agg(F.count_distinct("doc").alias("n_docs"), F.max("doc").alias("last_doc")), 0)
+    def _sum(self, tables: list[Run]) -> DataFrame:
+        return self._plain(tables).groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
 
     def keys(self) -> DataFrame:
-        """All keys with their totals over every run."""
-        paths = [p for level in self.levels for p in level]
-        if not paths:
-            return self.spark.createDataFrame([], "h1 long, h2 long, n_docs long, last_doc long")
-        return self._merge(paths)
-
-    def fresh(self, lines: DataFrame) -> DataFrame:
-        """Lines ``(.., h1, h2)`` whose key is in no run: the anti-join of running ingestion."""
-        return lines.join(self.keys().select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
+        """All keys with their totals, written: each run's own counts and those noted again."""
+        if not self.runs():
+            return self.spark.createDataFrame([], KEYS)
+        self.made += 1
+        for k, total in enumerate(self._totals()):
+            total.write.mode("append" if k else "overwrite").parquet(f"{self.root}/keys{self.made}")
+        return self.spark.read.schema(KEYS).parquet(f"{self.root}/keys{self.made}")
+
+    def _totals(self) -> list[DataFrame]:
+        """The totals of each run's keys, by a join of buckets."""
+        if len(self.again) > 1:
+            self.again = [self._bucketed(self._sum(self.again), "again")]
+        if not self.again:
+            return self.runs()
+        more = self.again[0].rows.toDF("h1", "h2", "more", "later").hint("merge")
+        return [run.join(more, ["h1", "h2"], "left").select("h1", "h2", (F.col("n_docs") + F.coalesce("more", F.lit(0))).alias("n_docs"), F.greatest("last_doc", "later").alias("last_doc")) for run in self.runs()]
 
 
 def dropped_lines(lines: DataFrame, runs: LineRuns, min_docs: int = MIN_DOCS) -> DataFrame:

@@ -252,15 +252,35 @@ def test_line_dedup_against_brute_force(docs, corpus):
 
 
 def test_runs_are_compacted_and_anti_joined(spark):
-    runs = line_dedup.LineRuns(spark, Scratch(spark, "runs").path("r"), fanout=2)
+    runs = line_dedup.LineRuns(spark, Scratch(spark, "runs").path("r"), fanout=2, buckets=4)
     lines = lambda *x: spark.createDataFrame(list(x), "doc long, h1 long, h2 long")
-    for batch in ([(1, 5, 5), (2, 5, 5)], [(3, 5, 5), (3, 6, 6)], [(4, 7, 7)]):
+    for batch in ([(1, 5, 5), (2, 5, 5)], [(3, 5, 5), (3, 6, 6)], [(4, 7, 7), (4, 5, 5)]):
         runs.add(lines(*batch))
     assert [len(level) for level in runs.levels] == [1, 1]
-    assert set(collected(runs.keys().select("h1", "n_docs", "last_doc"))) == {(5, 3, 3), (6, 1, 3), (7, 1, 4)}
+    held = [{tuple(r) for r in run.select("h1", "n_docs").collect()} for run in runs.runs()]
+    assert held == [{(7, 1)}, {(5, 2), (6, 1)}]                  # a key is in the run of the batch that had it first
+    assert set(collected(runs.keys().select("h1", "n_docs", "last_doc"))) == {(5, 4, 4), (6, 1, 3), (7, 1, 4)}
     assert [r.h1 for r in runs.fresh(lines((9, 5, 5), (9, 8, 8))).collect()] == [8]
 
 
+def test_runs_are_joined_without_an_exchange(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = line_dedup.LineRuns(spark, Scratch(spark, "runs").path("r"), fanout=8, buckets=4)
+        for k in range(3):
+            runs.add(spark.range(100).selectExpr(f"id + {1000 * k} as doc", f"id + {50 * k} as h1", "id * 0 as h2"))
+        batch = runs._bucketed(spark.range(400).selectExpr("id as h1", "id * 0 as h2"), "b").rows
+        plan = runs.fresh(batch)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 3 and "Exchange" not in plan
+        totals = runs._totals()
+        assert len(totals) == 3 and not any("Exchange" in t._jdf.queryExecution().executedPlan().toString() for t in totals)
+        got = {r.h1: (r.n_docs, r.last_doc) for r in runs.keys().collect()}
+        assert len(got) == 200 and got[75] == (2, 1025) and got[10] == (1, 10) and got[199] == (1, 2099)
+        assert runs.fresh(batch).count() == 200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_toxicity_learns_terms_and_their_near_misses(spark):
     rnd = random.Random(4)
     fill = lambda: " ".join(rnd.choice(["stone", "river", "walks", "green", "table"]) for _ in range(30))

@@ -184,11 +184,11 @@ def repeat_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     low = mixed.groupBy(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size")) \
         .agg(F.min("times").alias("_mix_low"), F.max("times").alias("_mix_high"), F.sum("times").alias("_mix_all"), F.count(F.lit(1)).alias("_mix_n"))
     times = low.withColumn("_mix_more", F.col("_mix_all") - F.col("_mix_low") * F.col("_mix_n")).where("_mix_high > 0").drop("_mix_high", "_mix_all", "_mix_n")
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "source", token_count(F.col("text").cast("string")).alias("words"), F.xxhash64(F.struct("*")).alias("digest"))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "source", token_count(F.col("text").cast("string")).alias("words"))
     same = rows["doc_id"].cast("long").eqNullSafe(times["_mix_id"]) & rows["source"].cast("string").eqNullSafe(times["_mix_source"]) & (rows["words"] == times["_mix_size"])
     joined = rows.join(times, same)
     alike = joined.where("_mix_more = 0").withColumn("_mix_times", F.col("_mix_low"))
-    place = F.row_number().over(Window.partitionBy("_mix_id", "_mix_source", "_mix_size").orderBy("digest"))
+    place = F.row_number().over(Window.partitionBy("_mix_id", "_mix_source", "_mix_size").orderBy(F.xxhash64("row")))
     drawn = joined.where("_mix_more > 0").withColumn("_mix_times", F.col("_mix_low") + (place <= F.col("_mix_more")).cast("long"))
     copies = alike.unionByName(drawn).where("_mix_times > 0").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times").cast("int"))))
     return copies.select("row.*")

@@ -167,30 +167,36 @@ def _alike(least: float):
     return run
 
 
-def _exhaust(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _exhaust(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs of small nodes' components that look alike, each from the first node that holds both; a row is a node.
 
-    Two single classes must look like a link; members of larger components may be more alike than those here.
+    Two single classes must look like a link; members of larger components may be more alike than those here. All is
+    read off the Arrow buffers, so a batch costs little more than its bytes.
     """
-    for frame in frames:
-        found = [np.empty((0, 2), dtype=np.int64)]
-        for here, node in zip(frame["node"], frame["held"]):
-            label, size = np.array([h["label"] for h in node]), np.array([h["n_label"] for h in node])
-            signature = np.frombuffer(b"".join(h["signature"] for h in node), dtype=np.uint16).reshape(-1, POSITIONS)
+    for batch in batches:
+        held, found = batch.column("held"), [np.empty((0, 2), dtype=np.int64)]
+        first, flat, here = held.offsets.to_numpy(), held.values, batch.column("node").to_numpy()
+        labels, sizes = flat.field("label").to_numpy(), flat.field("n_label").to_numpy()
+        signed, listed = flat.field("signature"), flat.field("nodes")
+        edge, data = np.frombuffer(signed.buffers()[1], dtype=np.int32)[signed.offset:], np.frombuffer(signed.buffers()[2], dtype=np.uint8)
+        start, others = listed.offsets.to_numpy(), listed.values.to_numpy()
+        for k, (lo, hi) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+            label, size = labels[lo:hi], sizes[lo:hi]
+            signature = data[edge[lo]:edge[hi]].view(np.uint16).reshape(-1, POSITIONS)
             same = (signature[:, None, :] == signature[None, :, :]).mean(axis=2)
             least = np.where((size[:, None] == 1) & (size[None, :] == 1), ALIKE_PIVOT, ALIKE)
             alike = np.triu(same >= least, 1)
-            owner = np.repeat(np.arange(len(node)), [len(h["nodes"]) for h in node])
-            other = np.concatenate([h["nodes"] for h in node])
-            owner, other = owner[other < here], other[other < here]
+            owner, other = np.repeat(np.arange(hi - lo), np.diff(start[lo:hi + 1])), others[start[lo]:start[hi]]
+            owner, other = owner[other < here[k]], other[other < here[k]]
             if len(other):
                 _, which = np.unique(other, return_inverse=True)
-                holds = np.zeros((len(node), which.max() + 1), dtype=np.float32)
+                holds = np.zeros((hi - lo, which.max() + 1), dtype=np.float32)
                 holds[owner, which] = 1
                 alike &= holds @ holds.T == 0
             i, j = np.nonzero(alike)
             found.append(np.sort(np.column_stack([label[i], label[j]]), axis=1))
-        yield pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+        pairs = np.concatenate(found)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def _chunk_links(percent: int):
@@ -290,7 +296,7 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, tree
         # an id's small nodes: at most one a tree at first, and FORKS for each large node later
         few = few.join(few.groupBy("id").agg(F.collect_list("node").alias("nodes")), "id").join(signed, "id")
         nodes = few.groupBy("node").agg(F.collect_list(F.struct("label", "n_label", "signature", "nodes")).alias("held"))
-        met = nodes.mapInPandas(_exhaust, "a long, b long")
+        met = nodes.mapInArrow(_exhaust, "a long, b long")
         similar = met if similar is None else similar.union(met)
         large = open_.where(F.col("n") > small).join(signed, "id")
         if not large.limit(1).count():

@@ -36,16 +36,6 @@ def attach_families(base: DataFrame, families: Mapping[str, DataFrame], id_col:
     return out
 
 
-def complete_families(families_by_split: Mapping[str, Mapping[str, DataFrame]],
-                      splits: Sequence[str] = ("train", "val", "test")) -> list[str]:
-    """Families present for every split (a family missing anywhere is dropped everywhere)."""
-    names = None
-    for s in splits:
-        have = set(families_by_split.get(s, {}))
-        names = have if names is None else names & have
-    return sorted(names or [])
-
-
 def attach_labels(df: DataFrame, labels: DataFrame, id_col: str = "id", label: str = "label",
                   how: str = "inner", check_unique: bool = True) -> DataFrame:
     """Labels by id (never by row position)."""

@@ -95,7 +95,7 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-# ---------------------------------------------------------------- S4/S6
+# ---------------------------------------------------------------- S4
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """Concatenation of frames with differing columns; missing columns become null."""
     out = frames[0]
@@ -104,16 +104,6 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def count_rows(spark: SparkSession, path: str) -> int:
-    """Row count (answered from parquet metadata / a column-free scan)."""
-    return spark.read.parquet(path).count()
-
-
-def scan_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Projection-only scan (only these columns are read)."""
-    return spark.read.parquet(path).select(*columns)
-
-
 # ---------------------------------------------------------------- S8/S14 listing
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm

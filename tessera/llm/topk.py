@@ -13,8 +13,12 @@ Queries are held in blocks of ``QUERY_ROWS`` and meet each index block once: the
 against all rows, block by block. A block returns at most k rows a query, so what is shuffled to
 the final ranking is k * blocks rows a query.
 
-Edge cases: a vector that is null, holds a null or non-finite component, or one whose quantised value is
-beyond +-2**28 (scores stay far inside a long), takes no part, nor does a null id; shorter vectors count as padded with zeros;
+Wide vectors, with a component of 2**28 or more after quantising, do not fit the int32 slices. They and the
+queries they meet go through :func:`_wide_search`: components in slices of ``LIMB`` bits, as many as the largest needs,
+products of slices added up by weight and carried, rows ordered from the most significant slice downward.
+
+Edge cases: a vector that is null or holds a null or non-finite component takes no part, nor does a null id; scores beyond a
+long rank by their exact value and are reported as the nearest long; shorter vectors count as padded with zeros;
 empty vectors score 0; rows that repeat an id are candidates each, except for queries of that id; a
 repeated query id is asked once, with its smallest vector; ties go to the smaller id; with fewer than
 k rows all are returned; an empty table gives an empty result.
@@ -34,14 +38,20 @@ SCALE, K = 1024, 10
 BLOCK_ROWS, QUERY_ROWS = 16_384, 1_024
 #: Low bits of the components left out of the sliced sum
 SKIP = 3
+#: Quantised values from here on are wide
 LIMIT = 1 << 28
+#: Bits of a slice of wide values, and slices' sums that a task holds at once
+LIMB, HELD_SUMS = 16, 1 << 23
+FOUND = "query_id long, vec_id long, score long, over int, beyond binary"
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, q array<long>) of the vectors that take part."""
-    x = F.transform("embedding", lambda v: F.floor(v.cast("double") * scale))
-    fine = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double") * scale) < LIMIT))
-    return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(fine).select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("q"))
+    """(vec_id, q array<long>, x array<double>) of the vectors that take part; q is null where one is wide, x elsewhere."""
+    x = F.transform("embedding", lambda v: v.cast("double"))
+    fine = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    wide = F.exists("x", lambda v: F.abs(v * scale) >= LIMIT)
+    rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x")).where(fine)
+    return rows.select("vec_id", F.when(~wide, F.transform("x", lambda v: F.floor(v * scale))).alias("q"), F.when(wide, F.col("x")).alias("x"))
 
 
 def _matrix(rows: pd.Series, dims: int) -> np.ndarray:
@@ -187,6 +197,81 @@ def _search(k: int):
     return run
 
 
+def _limbs(part: pd.DataFrame, dims: int, scale: int) -> np.ndarray:
+    """Values of rows as slices [limb, row, dim] of LIMB bits, the last one signed."""
+    out = np.zeros((len(part), dims), dtype=object)
+    for at, (q, x) in enumerate(zip(part["q"], part["x"])):
+        # a product beyond a double comes from a whole number
+        whole = q if q is not None else [int(np.floor(v * scale)) if np.isfinite(v * scale) else int(v) * scale for v in x]
+        out[at, :len(whole)] = [int(v) for v in whole]
+    limbs, low = [], (1 << LIMB) - 1
+    while out.size and (out.min() < -(1 << 62) or out.max() >= 1 << 62):
+        limbs.append((out & low).astype(np.int64))
+        out = out >> LIMB
+    rest = out.astype(np.int64)
+    while rest.size and (rest.min() < -(1 << LIMB - 1) or rest.max() >= 1 << LIMB - 1):
+        limbs.append(rest & low)
+        rest = rest >> LIMB
+    return np.stack([*limbs, rest])
+
+
+def _sums(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Inner products as carried slices [limb, query, row], least significant first, the last one signed."""
+    total = np.zeros((len(queries) + len(rows) + 2, queries.shape[1], rows.shape[1]), dtype=np.int64)
+    for i, q in enumerate(queries.astype(np.float64)):
+        for j, v in enumerate(rows.astype(np.float64)):
+            for d in range(0, q.shape[1], 4096):      # exact in a double: 2 * LIMB + 12 bits
+                total[i + j] += (q[:, d:d + 4096] @ v[:, d:d + 4096].T).astype(np.int64)
+    for i in range(len(total) - 1):
+        total[i + 1] += total[i] >> LIMB
+        total[i] &= (1 << LIMB) - 1
+    return total
+
+
+def _wide_search(k: int, scale: int, width: int):
+    """The k best of each block of rows for each query of a block, with ``width`` bytes for scores beyond a long."""
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        asked, rows = part[part["asks"]], part[~part["asks"]]
+        ids = rows["vec_id"].to_numpy(np.int64)
+        dims = max(len(v) for c in ("q", "x") for v in part[c] if v is not None)
+        values, queries = _limbs(rows, dims, scale), _limbs(asked, dims, scale)
+        step = max(1, HELD_SUMS // max(1, len(ids) * (len(values) + len(queries) + 2)))
+        out = []
+        for at in range(0, len(asked), step):
+            sums = _sums(queries[:, at:at + step], values)
+            for n, query_id in enumerate(asked["vec_id"].iloc[at:at + step].tolist()):
+                order = np.lexsort((ids, *-sums[:, n]))
+                for row in order[ids[order] != query_id][:k].tolist():
+                    score = sum(int(limb) << LIMB * i for i, limb in enumerate(sums[:, n, row]))
+                    near = min(max(score, -(1 << 63)), (1 << 63) - 1)
+                    out.append((query_id, int(ids[row]), near, (score > near) - (score < near), None if score == near else (score + (1 << 8 * width - 1)).to_bytes(width, "big")))
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score", "over", "beyond"])
+    return run
+
+
+def _dealt(blocks: int) -> Column:
+    """A block for each row of a written table, equal rows apart."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
+
+
+def _wide(rows: DataFrame, queries: DataFrame, n_wide: int, n_rows: int, n_queries: int, n_wide_queries: int, dims: int, k: int, scale: int, block_rows: int, query_rows: int) -> DataFrame:
+    """Scores of wide rows for all queries, and of the other rows for wide queries (FOUND)."""
+    largest = rows.agg(F.max(F.array_max(F.transform("x", lambda v: F.abs(v))))).first()[0]
+    # twice the bits of the largest value and those of the number of products, and a sign
+    width = (2 * ((int(largest) + 1) * scale).bit_length() + dims.bit_length() + 2) // 8 + 1
+    block_rows = max(64, min(block_rows, (1 << 21) // dims))
+    query_rows = max(64, min(query_rows, (1 << 21) // dims))
+    parts = []
+    for are_wide, n_row, asked, n_asked in ((True, n_wide, queries, n_queries), (False, n_rows - n_wide, queries.where("x is not null"), n_wide_queries)):
+        blocks, query_blocks = max(1, -(-n_row // block_rows)), max(1, -(-n_asked // query_rows))
+        mine = rows.where(F.col("x").isNotNull() if are_wide else F.col("x").isNull())
+        mine = mine.select(F.lit(False).alias("asks"), "vec_id", "q", "x", _dealt(blocks).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<bigint>")).alias("query_block"))
+        asked = asked.select(F.lit(True).alias("asks"), "vec_id", "q", "x", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")).alias("block"), F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).alias("query_block"))
+        if n_row and n_asked:
+            parts.append(mine.union(asked).groupBy("block", "query_block").applyInPandas(_wide_search(k, scale, width), FOUND))
+    return parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+
+
 def _blocks(ids: str, rows: str, key: str, dims: int):
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("vec_id", kind="stable")
@@ -199,12 +284,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE,
     """query_id, rank, vec_id, score: the k best rows for each row of ``is_query``, its own id excepted."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "topk")
-    q = scratch.table(quantised(vectors, scale), "quantised")
-    rows, dims = q.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("q")), F.lit(0))).first()
-    queries = q.where(is_query).groupBy("vec_id").agg(F.min("q").alias("q"))
-    n_queries = queries.count()
+    every = scratch.table(quantised(vectors, scale), "quantised")
+    size = F.coalesce(F.max(F.size("q")), F.lit(0)).alias("dims"), F.coalesce(F.max(F.size("x")), F.lit(0)).alias("wide_dims")
+    n_every, rows, dims, wide_dims = every.agg(F.count(F.lit(1)), F.count("q"), *size).first()
+    # a repeated query id is asked once, with its smallest vector
+    all_queries = every.where(is_query).groupBy("vec_id").agg(F.min(F.struct("x", "q")).alias("v")).select("vec_id", "v.q", "v.x")
+    n_all_queries, n_queries = all_queries.agg(F.count(F.lit(1)), F.count("q")).first()
+    q, queries = every.where("q is not null").select("vec_id", "q"), all_queries.where("q is not null").select("vec_id", "q")
     blocks, query_blocks = max(1, -(-rows // block_rows)), max(1, -(-n_queries // query_rows))
-    index = q.withColumn("block", F.pmod(F.xxhash64("vec_id", "q"), F.lit(blocks))).groupBy("block").applyInPandas(
+    index = q.withColumn("block", _dealt(blocks)).groupBy("block").applyInPandas(
         _blocks("ids", "rows", "block", dims), "block long, dims int, ids binary, rows binary")
     asked = queries.withColumn("query_block", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks))).groupBy("query_block").applyInPandas(
         _blocks("query_ids", "queries", "query_block", dims), "query_block long, dims int, query_ids binary, queries binary").drop("dims")
@@ -214,5 +302,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE,
     # a task a pair of blocks at most; a task's pairs come by block, whose index is built once
     spread = met.repartition(max(1, min(blocks * query_blocks, 4096)), "block", "query_block").sortWithinPartitions("block")
     found = spread.select("block", "dims", "ids", "rows", "query_ids", "queries").mapInPandas(_search(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+    found = found.select("*", F.lit(0).alias("over"), F.lit(None).cast("binary").alias("beyond"))
+    if rows < n_every:
+        found = found.union(_wide(every, all_queries, n_every - rows, n_every, n_all_queries, n_all_queries - n_queries, max(dims, wide_dims, 1), k, scale, block_rows, query_rows))
+    order = Window.partitionBy("query_id").orderBy(F.col("over").desc(), F.col("score").desc(), F.col("beyond").desc(), F.col("vec_id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -43,7 +43,7 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token totals after four batches: all documents inserted, low-quality ones revised, toxic ones deleted, the revision replayed.
+    """Token totals after four batches: all documents inserted (and the state compacted), low-quality ones revised, toxic ones deleted, the revision replayed.
 
     Tokenizer versions: blank-separated words, and words of ASCII letters and digits. The revised count is that of
     the text without runs of ``* $ % # & ! |``.
@@ -63,6 +63,7 @@ def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rollups = token_rollups.TokenRollups(spark, scratch.path("state"))
     rollups.commit("b1-insert", batch(measured, "words", "alnum"))
+    rollups.compact()
     low = measured.join(labels.where("quality = 0").select("doc_id").distinct(), "doc_id", "left_semi")
     revision = batch(low, "cleaned", "alnum")
     rollups.commit("b2-revise", revision)

@@ -1,8 +1,8 @@
 """Toxicity: a lexicon learned from labels, matched by Levenshtein automata over its trie.
 
 Learning (labels of training rows only): words and word beginnings (stems) of a bounded, stratified
-sample of labelled documents are counted by label. Terms that go with the label far beyond
-chance make the lexicon, each weighed by its log odds: stems match words that begin so, whole words
+sample of labelled documents are counted by label. All terms that go with the label far beyond
+chance (of overlapping stems the strongest) make the lexicon, each weighed by its log odds: stems match words that begin so, whole words
 match within an edit distance that grows with their length. Innocent words of training documents that the
 lexicon would match, by a stem or as near misses, are exceptions, each for itself.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
@@ -33,8 +34,6 @@ from tessera.llm.scratch import Scratch
 
 #: Labelled rows of each kind that lexicon and curve are learned from, at most (smallest id hashes first)
 SAMPLE_ROWS = 10_000
-#: Lexicon entries, by strength, at most
-TERMS = 5_000
 STEMS, LONGEST = range(4, 9), 24
 #: Least ratio of rates and number of toxic documents of a term, slack of the test against chance, and
 #: the most that one document counts for a term
@@ -105,13 +104,17 @@ class Lexicon:
         self.stems, self.words, self.exceptions = stems, words, exceptions
 
 
-def _apart(stems: list[tuple[bytes, float]]) -> dict[bytes, float]:
-    """Of stems (strongest first, the longer of equals) those that neither begin with nor begin a stronger one."""
-    out: dict[bytes, float] = {}
-    for stem, weight in stems:
-        if not any(stem.startswith(s) or s.startswith(stem) for s in out):
-            out[stem] = weight
-    return out
+def _apart(stems: pd.DataFrame) -> pd.DataFrame:
+    """Of stems with the same first bytes (strongest first, the longer of equals) those that neither begin with nor begin a stronger one."""
+    stems = stems.assign(strength=stems["strength"].round(6), term=stems["term"].map(bytes)).sort_values(["strength", "kind", "term"], ascending=[False, False, True])
+    kept, begun, out = set(), set(), []
+    for stem in stems["term"]:
+        begins = {stem[:k] for k in range(1, len(stem) + 1)}
+        out.append(stem not in begun and not begins & kept)
+        if out[-1]:
+            kept.add(stem)
+            begun |= begins
+    return stems.loc[out, ["term", "odds"]]
 
 
 def training_labels(labels: DataFrame) -> DataFrame:
@@ -141,9 +144,9 @@ def learn(docs: DataFrame, sample: tuple[np.ndarray, np.ndarray], scratch: Scrat
     odds = (F.col("pos") + 0.5) / (F.col("neg") + 0.5) * (1 - base) / base
     rated = counted.join(kinds, "kind").where((base > 0) & (base < 1)).withColumn("strength", part(F.col("pos"), base) + part(F.col("neg"), 1 - base)).withColumn("odds", odds)
     sure = rated.where((F.col("docs") >= SUPPORT) & (F.col("odds") >= RATIO) & (F.col("strength") >= F.col("chance") + SLACK))
-    best = sure.orderBy(F.round("strength", 6).desc(), F.col("kind").desc(), "term").limit(TERMS).collect()
-    stems = _apart([(bytes(r.term), float(np.log(r.odds))) for r in best if r.kind])
-    words = {bytes(r.term): (float(np.log(r.odds)), edits(len(r.term))) for r in best if not r.kind}
+    stems = sure.where("kind > 0").select(F.substring("term", 1, min(STEMS)).alias("lead"), "kind", "term", "strength", "odds").groupBy("lead").applyInPandas(_apart, "term binary, odds double")
+    stems = {bytes(r.term): float(np.log(r.odds)) for r in stems.collect()}
+    words = {bytes(r.term): (float(np.log(r.odds)), edits(len(r.term))) for r in sure.where("kind = 0").select("term", "odds").collect()}
     # innocent words that the lexicon would match are exceptions; all of them, as a near one stands for its term's distance
     common = rated.where((F.col("kind") == 0) & (F.col("neg") > 0) & (F.col("odds") < 2)).select("term")
     met = common.mapInArrow(_innocent(spark.sparkContext.broadcast(Lexicon(stems, words))), "term binary")

@@ -164,6 +164,26 @@ def test_topk_against_brute_force(spark):
     assert topk.top_k(df.where("vec_id in (0, 1, 2)"), F.col("vec_id") == 0).count() == 2
 
 
+def test_topk_of_wide_vectors_against_brute_force(spark):
+    rnd = np.random.default_rng(2)
+    sizes = [1.0, 2.0 ** 18, 1e9, 1e17, 1e200, 1.7e308]
+    vectors = [(int(k), [float(x) for x in rnd.normal(size=5).clip(-1, 1) * sizes[0 if k % 3 else (k // 3) % len(sizes)]]) for k in range(150)]
+    vectors += [(150, [2.0 ** 60]), (151, [2.0 ** 60, 1.0]), (152, vectors[10][1]), (9, vectors[20][1]), (153, []), (154, [float("inf"), 1.0]), (155, [1e30, None]), (None, [1e30])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3)
+
+    def whole(x):
+        return int(np.floor(x * 1024)) if abs(x) < 1e300 else int(x) * 1024
+    fine = [(k, [whole(x) for x in v] + [0] * (5 - len(v))) for k, v in vectors if k is not None and all(x is not None and np.isfinite(x) for x in v)]
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") % 10 == 0, k=100, block_rows=40, query_rows=4).collect()}
+    for query, q in [(k, v) for k, v in fine if k % 10 == 0]:
+        best = sorted((-sum(a * b for a, b in zip(q, v)), k) for k, v in fine if k != query)[:100]
+        assert [got[query, r] for r in range(1, 101)] == [(k, min(max(-s, -2 ** 63), 2 ** 63 - 1)) for s, k in best], query
+    two = spark.createDataFrame([(0, [3e5, 1.0]), (1, [1.0, 2.0]), (2, [-4e5, 0.0])], "vec_id long, embedding array<float>")
+    assert collected(topk.top_k(two, F.col("vec_id") == 0)) == [(0, 1, 1, 3072 * 10 ** 5 * 1024 + 1024 * 2048), (0, 2, 2, -3072 * 10 ** 5 * 4096 * 10 ** 5)]
+    one = two.where("vec_id = 0").withColumn("q", F.lit("clash")).withColumn("block", F.lit(1))
+    assert topk.top_k(one, F.col("vec_id") == 0).count() == 0
+
+
 def test_rollups_are_idempotent_and_survive_reopening(spark):
     scratch = Scratch(spark, "rollup-test")
     rows = lambda *x: spark.createDataFrame(list(x), "doc_id long, tokenizer string, source string, lang string, n_tokens long")
@@ -180,6 +200,34 @@ def test_rollups_are_idempotent_and_survive_reopening(spark):
     assert set(collected(state.totals())) == {("b", "en", "t", 1, 7), ("b", "en", "u", 1, 1)}
 
 
+def test_rollups_join_the_snapshot_without_moving_it(spark):
+    rnd = random.Random(8)
+    scratch = Scratch(spark, "rollup-snapshots")
+    schema = "doc_id long, tokenizer string, source string, lang string, n_tokens long, was string, turn string"
+    now = {}
+    for turn in range(4):
+        batch = {(rnd.randrange(30), rnd.choice("tu")): (rnd.choice(["a", "b", None]), rnd.choice(["en", None]), rnd.choice([None, 1, 2, 3])) for _ in range(25)}
+        now.update(batch)
+        state = TokenRollups(spark, scratch.path("s"))      # reopened each time
+        assert state.commit(f"b{turn}", spark.createDataFrame([(*k, *v, "clash", None) for k, v in batch.items()], schema))
+        expected = collections.defaultdict(lambda: [0, 0])
+        for (_, tokenizer), (source, lang, n) in now.items():
+            if n is not None:
+                expected[source, lang, tokenizer][0] += 1
+                expected[source, lang, tokenizer][1] += n
+        assert {r[:3]: list(r[3:]) for r in collected(state.totals())} == expected
+        if turn in (1, 2):
+            state.compact()
+            state.compact()
+    name, buckets, held = state._folded(state.committed())
+    assert (name, held) == ("compact-3", {"b0", "b1", "b2"}) and buckets
+    new = spark.createDataFrame([(1, "t", 5)], "doc_id long, tokenizer string, n long").groupBy("doc_id", "tokenizer").agg(F.max(F.struct("n")).alias("new"))
+    plan = state._counted(new, sorted(held))._jdf.queryExecution().executedPlan().toString().splitlines()
+    scan = next(k for k, line in enumerate(plan) if "Bucketed: true" in line)
+    branch = plan[max(k for k in range(scan) if "SortMergeJoin" in plan[k] or "Exchange" in plan[k] and plan[k].index("Exchange") < plan[scan].index("FileScan")):scan + 1]
+    assert "SortMergeJoin" in "".join(plan[:scan]) and not any("Exchange" in line for line in branch[1:])
+
+
 def test_quality_rejects_junk_and_both_ways_agree(spark):
     rnd = random.Random(3)
     clean = [" ".join(rnd.choice(["the", "cat", "sat", "on", "a", "mat", "house", "with"]) for _ in range(40)) for _ in range(60)]
@@ -204,6 +252,66 @@ def test_quality_rejects_junk_and_both_ways_agree(spark):
     assert quality.classify(df.limit(0), labels).count() == 0
 
 
+def brute_quality(rows, trusted, held):
+    """Losses, limits by language: interpolated modified Kneser-Ney over byte 5-grams, by hand."""
+    stream = lambda text: b"\n" * 4 + (text or "").encode()
+    cut = lambda text: [stream(text)[i:i + 5] for i in range(len((text or "").encode()))]
+    models = {}
+    for lang in {r[2] or "" for r in rows if r[0] in trusted - held and r[1]}:
+        counts = {5: collections.Counter(g for r in rows if (r[2] or "") == lang and r[0] in trusted - held for g in cut(r[1]))}
+        for o in (4, 3, 2, 1):
+            counts[o] = collections.Counter(g[1:] for g in counts[o + 1])
+        cuts, total, mass = {}, {}, {}
+        for o, c in counts.items():
+            many = [sum(n == k for n in c.values()) for k in range(1, 5)]
+            y = many[0] / max(many[0] + 2 * many[1], 1)
+            cuts[o] = [max(0.1, min(k - 0.1, k - (k + 1) * y * many[k] / max(many[k - 1], 1))) for k in (1, 2, 3)]
+            total[o], mass[o] = collections.Counter(), collections.Counter()
+            for g, n in c.items():
+                total[o][g[:-1]] += n
+                mass[o][g[:-1]] += cuts[o][min(n, 3) - 1]
+        models[lang] = counts, cuts, total, mass
+
+    def p(lang, gram):
+        if not gram:
+            return 1 / 256
+        (counts, cuts, total, mass), o, context = models[lang], len(gram), gram[:-1]
+        if not total[o][context]:
+            return p(lang, gram[1:])
+        n = counts[o][gram]
+        return (max(n - cuts[o][min(n, 3) - 1], 0) if n else 0) / total[o][context] + mass[o][context] / total[o][context] * p(lang, gram[1:])
+    losses = [(r[0], r[2] or "", len((r[1] or "").encode()), -sum(np.log(p(r[2] or "", g)) for g in cut(r[1])) if (r[2] or "") in models else None) for r in rows]
+    limits = {}
+    for lang in models:
+        for ids in (trusted & held, trusted):
+            bins = sorted(int(np.ceil(round(loss / n * 1000, 6))) for k, of, n, loss in losses if of == lang and k in ids and n)
+            if bins and lang not in limits:
+                at = next(i for i, _ in enumerate(bins) if sum(b <= bins[i] for b in bins) >= 0.995 * len(bins))
+                limits[lang] = bins[at] / 1000 * (1 + 4 / len(bins))
+    return losses, limits
+
+
+def test_quality_against_kneser_ney_by_hand(spark):
+    rnd = random.Random(11)
+    clean = lambda n: " ".join(rnd.choice(["the", "cat", "sat", "on", "a", "mat", "ünder", "houses", "with"]) for _ in range(n))
+    rows = [(k, clean(rnd.randint(1, 30)), ("en", "de", None)[k % 3]) for k in range(70)]
+    rows += [(k, "".join(rnd.choice("xqz#%&\n") for _ in range(80)), "en") for k in range(70, 80)]
+    rows += [(80, None, "en"), (81, "", "de"), (82, clean(4000), "en"), (5, clean(9), "de"), (83, clean(5), "fr"), (None, clean(6), "en")]
+    labels = [(k, 1, 0) for k in range(60)] + [(70, 0, 0), (None, 1, 0), (3, 1, 0), (61, None, 0)]
+    trusted = set(range(60))
+    df = spark.createDataFrame([(*r, 1.0, "clash") for r in rows], "doc_id long, text string, lang string, loss double, n_bytes string").repartition(3)
+    held = {r.doc_id for r in spark.range(60).withColumnRenamed("id", "doc_id").where(quality._held_out(F.col("doc_id"))).collect()}
+    losses, limits = brute_quality(rows, trusted, held)
+    got = sorted(quality.classify(df, spark.createDataFrame(labels, LABELS)).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.n_bytes))
+    want = sorted(losses, key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    assert len(got) == len(want)
+    for r, (k, lang, n, loss) in zip(got, want):
+        assert (r.doc_id, r.n_bytes) == (k, n)
+        assert r.perplexity is None if not n or loss is None else r.perplexity == pytest.approx(np.exp(loss / n), rel=1e-6)
+        assert r.threshold is None if lang not in limits else r.threshold == pytest.approx(np.exp(limits[lang]), rel=1e-6)
+        assert r.kept == (n > 0 and (lang not in limits or loss / n <= limits[lang]))
+
+
 def test_token_files_round_trip(spark, docs, corpus, tmp_path):
     from tokenizers import Tokenizer
 
@@ -309,6 +417,104 @@ def test_toxicity_keeps_the_distance_of_every_term(spark):
     assert got[1000] > got[1003] and got[1001] > got[1003] and abs(got[1002] - got[1003]) < 1e-12
 
 
+def distance(a, b):
+    """Levenshtein distance."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def brute_toxic_weights(rows, toxic):
+    """Lexicon, exceptions and each row's (weight, number of words), by plain loops over all words and terms."""
+    spans = lambda text: [(m.start(), m.end(), m.group().lower()) for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode())]
+    tally = collections.defaultdict(lambda: [0, 0, 0])
+    for k, text in rows:
+        if k in toxic:
+            found = collections.Counter()
+            for _, _, w in spans(text):
+                found.update([(0, w)] if 3 <= len(w) <= 24 else [])
+                found.update((size, w[:size]) for size in range(4, 9) if len(w) >= size)
+            for term, n in found.items():
+                tally[term][not toxic[k]] += min(n, 3)
+                tally[term][2] += toxic[k]
+    rate = {}
+    for kind in {kind for kind, _ in tally}:
+        mine = {t: v for (of, t), v in tally.items() if of == kind}
+        base = sum(v[0] for v in mine.values()) / sum(v[0] + v[1] for v in mine.values())
+        for t, (pos, neg, n_docs) in mine.items():
+            part = lambda k, share: k * np.log(k / ((pos + neg) * share)) if k else 0.0
+            strength, odds = part(pos, base) + part(neg, 1 - base), (pos + 0.5) / (neg + 0.5) * (1 - base) / base
+            rate[kind, t] = odds, strength, n_docs >= 3 and odds >= 8 and strength >= np.log(len(mine)) + 0.5
+    stems = {}
+    for (kind, t), (odds, strength, sure) in sorted(rate.items(), key=lambda r: (-round(r[1][1], 6), -r[0][0], r[0][1])):
+        if kind and sure and not any(t.startswith(s) or s.startswith(t) for s in stems):
+            stems[t] = np.log(odds)
+    terms = {t: np.log(odds) for (kind, t), (odds, _, sure) in rate.items() if not kind and sure}
+
+    def hit(w):
+        for s, weight in stems.items():
+            if w.startswith(s):
+                return weight
+        near = [(distance(w, t), -weight, t) for t, weight in terms.items() if abs(len(w) - len(t)) <= 2 and distance(w, t) <= toxicity.edits(len(t))]
+        return -min(near)[1] * (0.6 if min(near)[0] else 1.0) if near else 0.0
+    exceptions = {t for (kind, t), (odds, _, _) in rate.items() if not kind and odds < 2 and tally[kind, t][1] and hit(t)}
+    out = []
+    for k, text in rows:
+        raw, w, weight = (text or "").encode(), spans(text), 0.0
+        for i, (start, end, word) in enumerate(w):
+            lo, hi = max(0, i - 8), min(len(w), i + 9)
+            quotes = [q.encode() for q in toxicity.QUOTES]
+            said = any(w[j][2].decode(errors="replace") in toxicity.REPORTING for j in range(max(0, i - 4), i))
+            marked = any(q in raw[w[lo][0]:start] for q in quotes) and any(q in raw[end:w[hi - 1][1] + 1] for q in quotes)
+            weight += 0.0 if word in exceptions else hit(word) * (0.25 if said or marked else 1.0)
+        out.append((weight, len(w)))
+    return stems, terms, exceptions, out
+
+
+def test_toxicity_against_brute_force(spark):
+    rnd = random.Random(13)
+    plain = ["".join(rnd.choice("aeioulmnrst") for _ in range(rnd.randint(2, 9))) for _ in range(150)] + ["snorkel"]
+    bad = ["grobalix", "Snorfel", "vexingdor", "quib"]
+    text = lambda n: [rnd.choice(plain) for _ in range(n)]
+    rows = []
+    for k in range(240):
+        w = text(rnd.randint(5, 30))
+        if k % 3 == 0:
+            for _ in range(rnd.randint(1, 3)):
+                term = list(rnd.choice(bad))
+                if rnd.random() < 0.3:
+                    term[rnd.randrange(len(term))] = "x"
+                w.insert(rnd.randrange(len(w)), "".join(term))
+        elif k % 7 == 0:
+            w += ["he", "said", '"' + rnd.choice(bad) + '"', "and", "snorkel"]
+        rows.append((k, " ".join(w)))
+    rows += [(240, None), (241, ""), (242, " ".join(text(20_000)) + " Grobalix"), (243, "snorfl grobaliks vexngdr"), (244, "« snorfel »"), (None, "snorfel")]
+    labels = [(k, 1, int(k % 3 == 0)) for k in range(230)]
+    train = {r.doc_id: bool(r.toxic) for r in toxicity.training_labels(spark.createDataFrame(labels, LABELS)).collect()}
+    assert set(train) == {k for k, *_ in labels if zlib.crc32(str(k).encode()) % 4 != 2}
+    stems, terms, exceptions, weights = brute_toxic_weights(rows, train)
+    df = spark.createDataFrame([(*r, "clash", 0.5) for r in rows], "doc_id long, text string, weight string, toxic double").repartition(3)
+    sample = toxicity.draw_sample(spark.createDataFrame([(k, int(t)) for k, t in train.items()], "doc_id long, toxic int"))
+    learned = toxicity.learn(df, sample, Scratch(spark, "toxic-brute"))
+    assert stems and terms and exceptions
+    assert learned.stems == pytest.approx(stems) and learned.exceptions == exceptions
+    assert {t: w for t, (w, _) in learned.words.items()} == pytest.approx(terms)
+
+    mine = [(*w, train[k]) for (k, _), w in zip(rows, weights) if k in train]
+    weight, n_words, toxic = (np.array(x) for x in zip(*mine))
+    a, b, c = toxicity.fit_curve(weight, n_words, toxic, np.ones(len(mine)))
+    design = np.stack([np.ones(len(mine)), np.log1p(weight), np.log1p(100 * weight / (n_words + 10))], axis=1)
+    slope = design.T @ (toxic - 1 / (1 + np.exp(-design @ [a, b, c]))) - np.array([1e-3, 1e-1, 1e-1]) * [a, b, c]
+    assert all(abs(g) < 1e-6 or (x == 0 and g < 0) for g, x in zip(slope, (a, b, c)))       # the ridge's optimum
+    want = {k: 1 / (1 + np.exp(-(a + b * np.log1p(w) + c * np.log1p(100 * w / (n + 10))))) for (k, _), (w, n) in zip(rows, weights)}
+    got = {r.doc_id: r for r in toxicity.score(df, spark.createDataFrame(labels, LABELS)).collect()}
+    assert {k: r.score for k, r in got.items()} == pytest.approx(want)
+    assert all(r.predicted == int(r.score >= 0.3) and r.held_out == (k is not None and zlib.crc32(str(k).encode()) % 4 == 2) for k, r in got.items())
+
+
 def test_several_automata_match_like_one():
     from tessera.llm.codes import ALNUM, words_of
 

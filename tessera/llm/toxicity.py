@@ -7,8 +7,8 @@ match within an edit distance that grows with their length. Innocent words of tr
 lexicon would match, by a stem or as near misses, are exceptions, each for itself.
 
 Matching: the lexicon's trie is intersected with Levenshtein automata into deterministic automata
-over bytes (one of the stems, and one for each ``HELD`` words), built state by state as texts need them and begun
-anew beyond ``STATES`` states; all distinct words of a batch run through them together.
+over bytes (one for each ``HELD_STEMS`` stems or ``HELD`` words), built as texts need them and begun
+anew beyond ``HELD_BYTES``; all distinct beginnings of a batch's words run through them together.
 
 Scoring: each hit's weight is lowered if it is a near miss, and if its window is a quotation (within
 quotation marks or after a reporting word). A document's sum, and the sum for its length, enter a logistic
@@ -40,8 +40,8 @@ STEMS, LONGEST = range(4, 9), 24
 RATIO, SUPPORT, SLACK, MOST = 8.0, 3, 0.5, 3
 FUZZY, QUOTED, THRESHOLD = 0.6, 0.25, 0.3
 WINDOW = 8
-#: Whole words of an automaton, and states that all automata of a task keep from batch to batch
-HELD, STATES = 16, 40_000
+#: Whole words and stems of an automaton, bytes that all automata of a task keep of states, and words run through them at once
+HELD, HELD_STEMS, HELD_BYTES, AT_ONCE = 16, 64, 96 << 20, 1 << 16
 # Quotation marks, and words that report what others say.
 QUOTES = ['"', "“", "”", "„", "«", "»", "‟", "‹", "›"]
 REPORTING = "said says quote quoted quotes word words term called wrote dit disait écrit mot sagte schrieb wort dijo escribió palabra".split()
@@ -165,141 +165,213 @@ def _innocent(lexicon: Broadcast):
 
 # --- matching -------------------------------------------------------------------------------
 
-DEAD = 0
+DEAD, FAR = 0, 100
+
+
+class Prefixes:
+    """Distinct beginnings of words (of ``width`` bytes at most), level by level: each one's last byte, and which one of the level before it goes on."""
+
+    def __init__(self, w: Words, width: int):
+        n, norm = len(w.start), LOWER[w.data]
+        size = np.minimum(w.end - w.start, width)
+        table = np.zeros((n, max(width, 1)), dtype=np.uint8)         # words hold no NUL
+        for k in range(int(size.max(initial=0))):
+            has = np.flatnonzero(size > k)
+            table[has, k] = norm[w.start[has] + k]
+        order = np.argsort(table.view(f"S{table.shape[1]}").ravel(), kind="stable")
+        table, size = table[order], size[order]
+        shared = np.full(n, -1)                                      # bytes that a word begins with like the one before
+        differ = table[1:] != table[:-1]
+        shared[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        self.last = np.zeros(n, dtype=np.int64)                      # the place of each whole word among all of them
+        node, before = np.zeros(n, dtype=np.int64), 1
+        for k in range(1, int(size.max(initial=0)) + 1):
+            begins = (size >= k) & (shared < k)
+            at = np.flatnonzero(begins)
+            self.levels.append((node[at], table[at, k - 1]))
+            node = np.cumsum(begins) - 1
+            ends = size == k
+            self.last[order[ends]] = before + node[ends]
+            before += len(at)
 
 
 class Automaton:
     """Deterministic automaton of all words within the terms' edit distances, built as it is used.
 
-    A state is the set of (trie node, edits spent) that the bytes read so far may have led to. State
-    DEAD is empty; the next ones, one a stem, are never left.
+    A state holds for each trie node the fewest edits with which the bytes read so far lead to it (``FAR``: none).
+    State DEAD leads nowhere; the next ones, one a stem, are never left. Bytes of no term act alike: they share a
+    class. All states that a batch newly needs at a position are made at once, a level of the trie after the other.
     """
 
     def __init__(self, lexicon: Lexicon):
-        self.child: list[dict[int, int]] = [{}]
-        self.reach = [0]                          # edits that some word below a node allows
-        self.word: list[tuple[int, int]] = [(-1, 0)]   # edits that the word ending at a node allows, its number
-        self.stem = [0]                           # state of the stem ending at a node
-        self.weights = [0.0]
-        for term, (weight, most), is_stem in [*((s, (w, 0), True) for s, w in sorted(lexicon.stems.items())), *((t, rule, False) for t, rule in sorted(lexicon.words.items()))]:
-            node = 0
-            self.weights.append(weight)
-            self.reach[0] = max(self.reach[0], most)
-            for byte in term:
-                if byte not in self.child[node]:
-                    self.child[node][byte] = len(self.child)
-                    self.child.append({})
-                    self.reach.append(0)
-                    self.word.append((-1, 0))
-                    self.stem.append(0)
-                node = self.child[node][byte]
-                self.reach[node] = max(self.reach[node], most)
+        terms = [*((s, w, 0, True) for s, w in sorted(lexicon.stems.items())), *((t, w, most, False) for t, (w, most) in sorted(lexicon.words.items()))]
+        self.weights = np.array([0.0, *(w for _, w, _, _ in terms)])
+        self.width = max((len(t) + most + 1 for t, _, most, _ in terms), default=0)      # no longer word is a term
+        self.fixed = len(lexicon.stems)           # states up to this one are DEAD and the stems
+        # nodes of the trie level by level, so that a level's columns lie together
+        beginnings = sorted({t[:k] for t, *_ in terms for k in range(len(t) + 1)} | {b""}, key=lambda x: (len(x), x))
+        node = {x: k for k, x in enumerate(beginnings)}
+        self.size, self.empty = len(node), len(node) == 1
+        depth = np.array([len(x) for x in beginnings])
+        self.levels = [slice(*np.searchsorted(depth, [d, d + 1])) for d in range(1, depth[-1] + 1)]
+        self.parent = np.array([node[x[:-1]] for x in beginnings])
+        used = sorted({x[-1] for x in beginnings[1:]})
+        self.kind = np.zeros(256, dtype=np.uint8)                # class of a byte; 0: in no term
+        self.kind[used] = np.arange(1, len(used) + 1)
+        self.edge = np.array([0, *(self.kind[x[-1]] for x in beginnings[1:])], dtype=np.uint8)
+        self.reach = np.zeros(self.size, dtype=np.uint8)         # edits that some word below a node allows
+        words, stems = [], []
+        for number, (term, weight, most, is_stem) in enumerate(terms, 1):
+            for k in range(len(term) + 1):
+                self.reach[node[term[:k]]] = max(self.reach[node[term[:k]]], most)
             if is_stem:
-                self.stem[node] = len(self.weights) - 1
+                stems.append((node[term], number))
             else:
-                self.word[node] = most, len(self.weights) - 1
-        self.fixed = len(lexicon.stems)           # states up to this one are DEAD and the stems
-        self.empty = len(self.child) == 1
+                words.append((-weight, number, node[term], most))
+        self.stem_at, self.stem_state = (np.array([x[k] for x in stems], dtype=np.int64) for k in (0, 1))
+        # of words with as few edits the one of the highest weight, then the first
+        words.sort()
+        self.word_number, self.word_at, self.word_most = (np.array([w[k] for w in words], dtype=np.int64) for k in (1, 2, 3))
         self.forget()
 
     def forget(self) -> None:
         """Begin anew without states."""
-        self.sets: list[frozenset] = [frozenset()] * (self.fixed + 1)
-        self.ids: dict[frozenset, int] = {frozenset(): DEAD}
-        self.next = np.full((max(64, 2 * self.fixed + 2), 256), -1, dtype=np.int32)
+        room = 2 * self.fixed + 64
+        self.count, self.ids = 0, {}
+        self.costs = np.empty((room, self.size), dtype=np.uint8)
+        self.next = np.empty((room, int(self.kind.max()) + 1), dtype=np.int32)
+        self.end, self.price = np.empty(room, dtype=np.int32), np.empty(room, dtype=np.int32)
+        nowhere = np.full((1, self.size), FAR, dtype=np.uint8)
+        self._add(np.repeat(nowhere, self.fixed + 1, axis=0))
+        self.ids[nowhere.tobytes()] = DEAD
         self.next[:self.fixed + 1] = np.arange(self.fixed + 1)[:, None]
-        self.end = list(range(self.fixed + 1))
-        self.price = [0] * (self.fixed + 1)       # edits of the word that ends at a state
-        self.root = self._state(self._close({0: 0}))
-
-    def _close(self, spent: dict[int, int]) -> frozenset:
-        """With the nodes reached by leaving out bytes of a term; fewest edits for each node."""
-        todo = list(spent)
-        while todo:
-            node = todo.pop()
-            for child in self.child[node].values():
-                cost = spent[node] + 1
-                if cost <= self.reach[child] and cost < spent.get(child, 99):
-                    spent[child] = cost
-                    todo.append(child)
-        return frozenset(spent.items())
-
-    def _state(self, members: frozenset) -> int:
-        if members not in self.ids:
-            self.ids[members] = len(self.sets)
-            self.sets.append(members)
-            fit = min(((cost, -self.weights[self.word[node][1]], self.word[node][1]) for node, cost in members if cost <= self.word[node][0]), default=(0, 0.0, 0))
-            self.end.append(-fit[2] if fit[0] else fit[2])
-            self.price.append(fit[0])
-            if len(self.sets) > len(self.next):
-                self.next = np.concatenate([self.next, np.full_like(self.next, -1)])
-        return self.ids[members]
-
-    def _follow(self, state: int, byte: int) -> int:
-        spent: dict[int, int] = {}
-        for node, cost in self.sets[state]:
-            moves = [(child, cost + (b != byte)) for b, child in self.child[node].items()]
-            moves.append((node, cost + 1))
-            for to, price in moves:
-                if price == 0 and self.stem[to]:
-                    return self.stem[to]
-                if price <= self.reach[to] and price < spent.get(to, 99):
-                    spent[to] = price
-        return self._state(self._close(spent)) if spent else DEAD
+        self.end[:self.fixed + 1] = np.arange(self.fixed + 1)
+        start = nowhere.copy()
+        start[0, 0] = 0
+        self.root = int(self._states(self._close(start))[0])
+
+    def _close(self, cost: np.ndarray) -> np.ndarray:
+        """With the nodes reached by leaving out bytes of a term."""
+        for level in self.levels:
+            np.minimum(cost[:, level], cost[:, self.parent[level]] + 1, out=cost[:, level])
+        cost[cost > self.reach] = FAR
+        return cost
+
+    def _add(self, cost: np.ndarray) -> None:
+        """Append states, with the best word that ends at each."""
+        first, self.count = self.count, self.count + len(cost)
+        if self.count > len(self.costs):
+            room = 2 * self.count
+            for name in ("costs", "next", "end", "price"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old[:first], np.empty((room - first, *old.shape[1:]), dtype=old.dtype)]))
+        mine = slice(first, self.count)
+        self.costs[mine], self.next[mine], self.end[mine], self.price[mine] = cost, -1, 0, 0
+        if len(self.word_at):
+            spent = cost[:, self.word_at].astype(np.int32)
+            spent[spent > self.word_most] = FAR
+            best = spent.argmin(axis=1)
+            price = spent[np.arange(len(cost)), best]
+            fits, number = price < FAR, self.word_number[best]
+            self.end[mine] = np.where(fits, np.where(price > 0, -number, number), 0)
+            self.price[mine] = np.where(fits, price, 0)
+
+    def _states(self, cost: np.ndarray) -> np.ndarray:
+        """Numbers of the states of these costs; new ones are added."""
+        out, fresh, at = np.empty(len(cost), dtype=np.int32), [], self.count
+        for k, key in enumerate(row.tobytes() for row in cost):
+            number = self.ids.get(key)
+            if number is None:
+                number = self.ids[key] = at + len(fresh)
+                fresh.append(k)
+            out[k] = number
+        if fresh:
+            self._add(cost[fresh])
+        return out
+
+    def _follow(self, state: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """The states after these states and byte classes."""
+        old = self.costs[state]
+        cost = old[:, self.parent] + (self.edge != kind[:, None])
+        cost[:, 0] = FAR
+        cost = self._close(np.minimum(cost, old + 1))
+        to, goes_on = np.empty(len(cost), dtype=np.int32), np.ones(len(cost), dtype=bool)
+        if len(self.stem_at):
+            begun = cost[:, self.stem_at] == 0    # at most one, as bytes without an edit lead to one node
+            goes_on = ~begun.any(axis=1)
+            to[~goes_on] = self.stem_state[begun[~goes_on].argmax(axis=1)]
+        to[goes_on] = self._states(cost[goes_on])
+        return to
+
+    @property
+    def bytes(self) -> int:
+        """About what the states take."""
+        return self.count * (2 * self.size + 4 * self.next.shape[1] + 160)
 
     def match(self, w: Words) -> np.ndarray:
         """For each word the number of the term that it is, minus that number for a near miss, or 0."""
-        state = self.states(w)                    # adds to the states' ends
-        return np.asarray(self.end, dtype=np.int32)[state]
+        state = self.states(Prefixes(w, self.width))      # adds to the states' ends
+        return self.end[state]
 
-    def states(self, w: Words) -> np.ndarray:
+    def states(self, prefixes: Prefixes) -> np.ndarray:
         """The state at the end of each word."""
-        n = len(w.start)
-        if self.empty or not n:
-            return np.zeros(n, dtype=np.int32)
-        state = np.full(n, self.root, dtype=np.int32)
-        live, at, norm = np.arange(n), 0, LOWER[w.data]
-        while len(live):
-            live = live[w.start[live] + at < w.end[live]]
-            byte = norm[w.start[live] + at]
-            to = self.next[state[live], byte]
+        if self.empty:
+            return np.zeros(len(prefixes.last), dtype=np.int32)
+        out, wide = [np.array([self.root], dtype=np.int32)], self.next.shape[1]
+        for parent, byte in prefixes.levels:
+            state = out[-1][parent]
+            live = np.flatnonzero(state > self.fixed)
+            now, kind = state[live], self.kind[byte[live]]
+            to = self.next[now, kind]
             new = to < 0
             if new.any():
-                for s, b in set(zip(state[live[new]].tolist(), byte[new].tolist())):
-                    found = self._follow(s, b)
-                    self.next[s, b] = found
-                to = self.next[state[live], byte]
+                s, k = np.divmod(np.unique(now[new].astype(np.int64) * wide + kind[new]), wide)
+                for part in range(0, len(s), 4096):
+                    mine = slice(part, part + 4096)
+                    found = self._follow(s[mine], k[mine].astype(np.uint8))
+                    self.next[s[mine], k[mine]] = found
+                to = self.next[now, kind]
             state[live] = to
-            live = live[to > self.fixed]
-            at += 1
-        return state
+            out.append(state)
+        return np.concatenate(out)[prefixes.last]
 
 
 class Automata:
     """The matches of one :class:`Automaton` of the whole lexicon, by several small ones: their states add up instead of combining."""
 
-    def __init__(self, lexicon: Lexicon, held: int = HELD):
-        words = sorted(lexicon.words.items())
-        self.parts = [Automaton(Lexicon(lexicon.stems, {}))] + [Automaton(Lexicon({}, dict(words[k:k + held]))) for k in range(0, len(words), held)]
-        self.weights = [0.0, *(x for part in self.parts for x in part.weights[1:])]
+    def __init__(self, lexicon: Lexicon, held: int = HELD, held_stems: int = HELD_STEMS):
+        stems, words = sorted(lexicon.stems.items()), sorted(lexicon.words.items())
+        self.parts = [Automaton(Lexicon(dict(stems[k:k + held_stems]), {})) for k in range(0, len(stems), held_stems)]
+        self.parts += [Automaton(Lexicon({}, dict(words[k:k + held]))) for k in range(0, len(words), held)]
+        self.weights = np.array([0.0, *(x for part in self.parts for x in part.weights[1:])])
+        self.width = max((part.width for part in self.parts), default=0)
 
     def match(self, w: Words) -> np.ndarray:
-        """As :meth:`Automaton.match`: a stem, else the fewest edits, the highest weight, the first term."""
+        """As :meth:`Automaton.match`: the shortest stem, else the fewest edits, the highest weight, the first term."""
         _, at, where = np.unique(w.hash, return_index=True, return_inverse=True)
-        one = Words(w.data, w.rows, w.start[at], w.end[at], w.hash[at], w.first)
-        code, price, weight = np.zeros(len(at), dtype=np.int32), np.full(len(at), 99), np.zeros(len(at))
-        before, weights = 0, np.asarray(self.weights)
-        for k, part in enumerate(self.parts):
-            if len(part.sets) > max(1000 + part.fixed, STATES // len(self.parts)):
+        code = np.zeros(len(at), dtype=np.int32)
+        for lo in range(0, len(at), AT_ONCE):
+            some = at[lo:lo + AT_ONCE]
+            code[lo:lo + AT_ONCE] = self._distinct(Words(w.data, w.rows, w.start[some], w.end[some], w.hash[some], w.first))
+        return code[where]
+
+    def _distinct(self, w: Words) -> np.ndarray:
+        code, price, weight = np.zeros(len(w.start), dtype=np.int32), np.full(len(w.start), FAR), np.zeros(len(w.start))
+        before, prefixes = 0, Prefixes(w, self.width)
+        for part in self.parts:
+            if part.bytes > HELD_BYTES // len(self.parts):
                 part.forget()
-            state = part.states(one)
-            got, cost = (np.asarray(x, dtype=np.int32)[state] for x in (part.end, part.price))
+            state = part.states(prefixes)
+            hit = np.flatnonzero(part.end[state])
+            got, cost = part.end[state[hit]], part.price[state[hit]] - (part.fixed > 0)      # stems go first
             got = got + np.sign(got) * np.int32(before)
-            value, cost = weights[np.abs(got)], cost - (k == 0)          # stems go first
-            better = (got != 0) & ((cost < price) | ((cost == price) & (value > weight)))
-            code[better], price[better], weight[better] = got[better], cost[better], value[better]
+            value = self.weights[np.abs(got)]
+            better = (cost < price[hit]) | ((cost == price[hit]) & (cost >= 0) & (value > weight[hit]))
+            hit, got, cost, value = hit[better], got[better], cost[better], value[better]
+            code[hit], price[hit], weight[hit] = got, cost, value
             before += len(part.weights) - 1
-        return code[where]
+        return code
 
 
 # --- scoring --------------------------------------------------------------------------------

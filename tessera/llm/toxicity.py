@@ -142,7 +142,8 @@ def learn(docs: DataFrame, sample: tuple[np.ndarray, np.ndarray], scratch: Scrat
     n, base = F.col("pos") + F.col("neg"), F.col("base")
     part = lambda k, share: F.when(k > 0, k * F.log(k / (n * share))).otherwise(0.0)
     odds = (F.col("pos") + 0.5) / (F.col("neg") + 0.5) * (1 - base) / base
-    rated = counted.join(kinds, "kind").where((base > 0) & (base < 1)).withColumn("strength", part(F.col("pos"), base) + part(F.col("neg"), 1 - base)).withColumn("odds", odds)
+    # a row a kind: 1 + len(STEMS); a join by key would put all whole words into one task
+    rated = counted.join(F.broadcast(kinds), "kind").where((base > 0) & (base < 1)).withColumn("strength", part(F.col("pos"), base) + part(F.col("neg"), 1 - base)).withColumn("odds", odds)
     sure = rated.where((F.col("docs") >= SUPPORT) & (F.col("odds") >= RATIO) & (F.col("strength") >= F.col("chance") + SLACK))
     stems = sure.where("kind > 0").select(F.substring("term", 1, min(STEMS)).alias("lead"), "kind", "term", "strength", "odds").groupBy("lead").applyInPandas(_apart, "term binary, odds double")
     stems = {bytes(r.term): float(np.log(r.odds)) for r in stems.collect()}

@@ -50,10 +50,17 @@ def rejected_lines(df: DataFrame) -> DataFrame:
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+# Lines a file at most: a compressed file is read by one task.
+JSONL_FILE_LINES = 200_000
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """JSON-lines sink keeping microsecond timestamps (the default format keeps milliseconds)."""
+    """JSON-lines sink keeping microsecond timestamps (the default format keeps milliseconds).
+
+    Lines repeat every key, so files are gzipped; each holds few enough lines for the scan to be spread over tasks.
+    """
     (df.write.mode(mode).option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT + "XXX")
-     .json(path))
+     .option("compression", "gzip").option("maxRecordsPerFile", JSONL_FILE_LINES).json(path))
 
 
 # ---------------------------------------------------------------- S3/S9/S10/S11 sinks

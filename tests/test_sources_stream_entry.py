@@ -93,3 +93,13 @@ def test_schema_inference_sees_the_last_line(spark, tmp_path):
         f.write('not json\n{"id": 1500, "late": "x"}\n')
     df = files.read_jsonl(spark, path)
     assert df.columns == ["id", "late"] and df.where("late = 'x'").count() == 1
+
+
+def test_jsonl_sink_is_compressed_and_split(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "JSONL_FILE_LINES", 1000)
+    df = spark.range(0, 2500, 1, 1).select("id", F.lit("the same words in every line, " * 10).alias("text"), F.lit(None).cast("int").alias("n"))
+    files.write_jsonl(df, f"{tmp_path}/lines")
+    sizes = [os.path.getsize(f"{tmp_path}/lines/{f}") for f in os.listdir(f"{tmp_path}/lines") if f.startswith("part-")]
+    assert len(sizes) == 3 and sum(sizes) < 2500 * 300 / 5
+    back = files.read_jsonl(spark, f"{tmp_path}/lines", df.schema)
+    assert back.exceptAll(df).count() == 0 and back.count() == 2500

@@ -774,7 +774,7 @@ def s13_stream_features(spark, sf_dir):
                                                                                           .cast("string"))) \
             .drop("label", "split")
 
-    ingest.ingest_available(spark, sf_dir, schema, to_features, sink, glob="documents.parquet")
+    ingest.ingest_available(spark, f"{sf_dir.rstrip('/')}/documents.parquet", schema, to_features, sink)
     return spark.read.parquet(sink)
 
 

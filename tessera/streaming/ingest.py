@@ -24,7 +24,15 @@ def ingest_available(spark: SparkSession, source_dir: str, schema: T.StructType,
                      transform: Callable[[DataFrame], DataFrame], sink_dir: str,
                      checkpoint_dir: str | None = None, fmt: str = "parquet",
                      glob: str | None = None, max_files_per_trigger: int | None = None) -> None:
-    """Process every file now in ``source_dir`` once and append the result to ``sink_dir``."""
+    """Process every file now in ``source_dir`` once and append the result to ``sink_dir``.
+
+    ``source_dir`` may also name a single file, or a table that is a folder of files.
+    """
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source_dir)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    if found is not None and len(found) == 1 and found[0].isFile():
+        # a stream reads folders: that of the file, and of it only the file
+        source_dir, glob = at.getParent().toString(), at.getName()
     reader = spark.readStream.schema(schema).format(fmt)
     if glob:
         reader = reader.option("pathGlobFilter", glob)

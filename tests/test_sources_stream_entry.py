@@ -103,3 +103,12 @@ def test_jsonl_sink_is_compressed_and_split(spark, tmp_path, monkeypatch):
     assert len(sizes) == 3 and sum(sizes) < 2500 * 300 / 5
     back = files.read_jsonl(spark, f"{tmp_path}/lines", df.schema)
     assert back.exceptAll(df).count() == 0 and back.count() == 2500
+
+
+def test_stream_features_of_a_table_in_several_files(spark, tmp_path):
+    from tessera.plans import catalog
+
+    docs = spark.createDataFrame([(i, f"title {i}\nsome text", "en", "web", 17) for i in range(20)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    assert len([f for f in os.listdir(f"{tmp_path}/documents.parquet") if f.endswith(".parquet")]) > 1
+    assert sorted(r["id"] for r in catalog.QUERIES["s13_stream_features"](spark, str(tmp_path)).collect()) == list(range(20))

@@ -72,3 +72,27 @@ def test_first_line_split(spark):
     assert (rows[0]["h"], rows[0]["r"]) == ("a", "b\nc")
     assert (rows[1]["h"], rows[1]["r"]) == ("solo", None)
     assert df.select(F.lit(1)).count() == 2
+
+
+def test_counts_are_those_of_the_regexes(spark):
+    """Counted by bytes; held against Java's regexes on all kinds of characters."""
+    import random
+
+    rng = random.Random(5)
+    kinds = ["a", "Z", "_", "7", " ", "\t", "\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u200d", "\u0301", "\u203f", "\u00bd", "\u24b6", "\u0663", "\u00c9",
+             "\u4e2d", "\U0001d7d8", "\U0001f130", "\U0001f600", ".", "!", "?", ",", ";", ":", "-", "'", "\0", "\x7f"]
+    rows = [(i, "".join(rng.choice(kinds) for _ in range(rng.randrange(40)))) for i in range(2000)] + [(2000, None)]
+    df = spark.createDataFrame(rows, "i int, t string")
+    n = lambda regex: F.regexp_count(F.coalesce("t", F.lit("")), F.lit(regex))
+    chars, r = F.length(F.coalesce("t", F.lit(""))), lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
+    want = [chars, n(r"(?U)\w+"), r(F.length(F.regexp_replace(F.coalesce("t", F.lit("")), r"(?U)\W+", "")), n(r"(?U)\w+")), n(r"(?U)[^.!?\s][^.!?]*"),
+            r(n(r"(?U)[^\s.!?]+"), n(r"(?U)[^.!?\s][^.!?]*")), r(n("[A-Z]"), chars), r(n(r"\p{Nd}"), chars), r(n("[.,;:!?]"), chars), n(r"(?U)\S+")]
+    got = df.select("i", *text.nlp_features("t"), text.title_abstract_features("t", "t")[-1]).orderBy("i").collect()
+    assert [tuple(x) for x in got] == [tuple(x) for x in df.select("i", *want).orderBy("i").collect()]
+
+
+def test_counts_list_no_matches(spark):
+    """A list of matches a count made most of the time of every query over the feature table."""
+    df = spark.createDataFrame([("a", "b")], "title string, abstract string")
+    plan = df.select(*text.nlp_features("title"), *text.title_abstract_features("title", "abstract"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan

@@ -119,6 +119,22 @@ def test_clustered_points_meet_few_cells(spark, monkeypatch):
     assert visits[0] == 1000 and first < 16 and second < 16 * 4 and second < 4000 * 2 / 64 * 0.6
 
 
+def test_points_without_structure_meet_blocks_not_cells(spark, monkeypatch):
+    """Vectors that meet nearly every cell are shipped once a block of cells."""
+    visits = []
+    real = neighbours._meet
+    monkeypatch.setattr(neighbours, "_meet", lambda asks, *a: visits.append(asks.count()) or real(asks, *a))
+    monkeypatch.setattr(neighbours, "CELL", 32, raising=False)
+    x = np.random.RandomState(8).randn(1500, 24)
+    df = spark.createDataFrame([(i, 0, True, [float(v) for v in p]) for i, p in enumerate(x)], "id long, label int, asks boolean, f array<double>")
+    got = neighbours.exact_neighbours(df, 3, True, chunk=64).toPandas().sort_values(["id", "rank"], ignore_index=True)
+    few = visits[:]
+    got2 = neighbours.exact_neighbours(df, 3, True, chunk=1024).toPandas().sort_values(["id", "rank"], ignore_index=True)
+    want, far = _brute(x, x, 3, True)
+    assert (got["neighbor_id"].to_numpy() == want.ravel()).all() and got.equals(got2) and np.allclose(got["distance"], far.ravel(), atol=1e-12)
+    assert few[0] == visits[2] == 1500 and visits[3] < few[1] / 2 and visits[3] <= 1500 * 16      # 94 cells
+
+
 def test_smote_counts_and_place(spark):
     rng = np.random.RandomState(1)
     x = rng.randn(100, 3)
